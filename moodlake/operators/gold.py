@@ -62,12 +62,20 @@ def fact_streams(tracks: DataFrame, versions: DataFrame, genres: DataFrame) -> D
     )
 
 
+def mean(c: str, digits: int | None = None) -> F.Column:
+    """Mean of a column.  With `digits`, the mean is exact and independent of
+    summation order (values as decimal(38,9), exact decimal sum, half-up
+    rounding), so published averages do not change with the partitioning;
+    without, the plain double average (fastest path)."""
+    if digits is None:
+        return F.avg(c)
+    return F.round(F.avg(F.col(c).cast("decimal(38,9)")), digits).cast("double")
+
+
 def _means(digits: int | None) -> list[F.Column]:
-    def r(c):
-        return F.round(c, digits) if digits is not None else c
-    return [r(F.avg("popularity")).alias("avg_popularity"),
-            r(F.avg("danceability")).alias("avg_danceability"),
-            r(F.avg("energy")).alias("avg_energy")]
+    return [mean("popularity", digits).alias("avg_popularity"),
+            mean("danceability", digits).alias("avg_danceability"),
+            mean("energy", digits).alias("avg_energy")]
 
 
 def agg_genre_trends(tracks: DataFrame, digits: int | None = None) -> DataFrame:

@@ -163,13 +163,27 @@ def _prefix_max(terms: list[Column]) -> Column:
     return F.greatest(*prefixes) if len(prefixes) > 1 else prefixes[0]
 
 
-def _sub_label_expr(family_col: str, exact: bool) -> Column:
+def _family_score(k: int, family_col: str, exact: bool) -> Column:
+    """Score of the k-th sub-label of the row's own family (only that family's
+    weighted sum is evaluated: CASE short-circuits)."""
     expr = None
     for fam, labels in P.SUB_LABELS.items():
-        scores = [(name, (_prefix_max if exact else _sum_left)(_terms(w))) for name, _, w in labels]
-        pick = first_argmax(scores)
+        if k >= len(labels):
+            continue
+        terms = _terms(labels[k][2])
+        val = _prefix_max(terms) if exact else _sum_left(terms)
         cond = F.col(family_col) == fam
-        expr = F.when(cond, pick) if expr is None else expr.when(cond, pick)
+        expr = F.when(cond, val) if expr is None else expr.when(cond, val)
+    return expr
+
+
+def _label_of(k_col: Column, family_col: str) -> Column:
+    """Name of the k-th sub-label of the row's family (constant lookup)."""
+    expr = None
+    for fam, labels in P.SUB_LABELS.items():
+        for k, (name, _, _) in enumerate(labels):
+            cond = (F.col(family_col) == fam) & (k_col == k)
+            expr = F.when(cond, F.lit(name)) if expr is None else expr.when(cond, F.lit(name))
     return expr.otherwise(F.lit(P.UNKNOWN_LABEL))
 
 
@@ -181,10 +195,22 @@ def sub_label(df: DataFrame, family_col: str = "genre_family", out: str = "mood_
     running (prefix) sum, which is what a score-inside-the-loop comparison
     yields.  They agree whenever feature values lie in [0, 1] (all terms are
     then non-negative); they differ for out-of-range inputs such as mode = 2.
+
+    Plan shape: one projection cleans the inputs, the next computes the five
+    scores of the row's own family (five small CASE columns, so generated code
+    stays well under the 64 KB method limit), the last picks the first maximum
+    and maps (family, position) to the label name.
     """
+    n = max(len(v) for v in P.SUB_LABELS.values())
     clean = _clean_feature_columns(df)
-    res = clean.withColumn(out, _sub_label_expr(family_col, exact))
-    return res.drop(*[f"_sv_{f}" for f in SUB_FEATURES])
+    scored = clean.withColumns({f"_ss{k}": _family_score(k, family_col, exact) for k in range(n)})
+    best = F.greatest(*[F.col(f"_ss{k}") for k in range(n)])
+    pos = None
+    for k in range(n):
+        c = F.col(f"_ss{k}") == best
+        pos = F.when(c, F.lit(k)) if pos is None else pos.when(c, F.lit(k))
+    res = scored.withColumn("_spos", pos).withColumn(out, _label_of(F.col("_spos"), family_col))
+    return res.drop(*[f"_sv_{f}" for f in SUB_FEATURES], *[f"_ss{k}" for k in range(n)], "_spos")
 
 
 def sub_label_exact(df: DataFrame, family_col: str = "genre_family", out: str = "mood_cluster") -> DataFrame:

@@ -270,15 +270,7 @@ def q_dq_labels(spark, sf):
 # features
 # ---------------------------------------------------------------------------
 def _history(spark, sf) -> DataFrame:
-    tracks = PL.silver(spark, sf)
-    runs = []
-    for cutoff, run_ts in fixture.SNAPSHOTS:
-        t = tracks if cutoff is None else tracks.filter(F.col("ingestion_timestamp") < F.lit(cutoff).cast("timestamp"))
-        runs.append(FT.build_features(M.classify_tracks(t), run_ts))
-    out = runs[0]
-    for r in runs[1:]:
-        out = out.unionByName(r)
-    return out
+    return PL.feature_history(spark, sf)
 
 
 _HIST = W(O.cte_silver(), O.cte_feature_history())

@@ -1,0 +1,52 @@
+import datetime as dt
+
+from pyspark.sql import functions as F
+
+from moodlake.functions.expr import row_hash
+from moodlake.operators import scd2 as S
+
+
+def snap(spark, rows):
+    df = spark.createDataFrame(rows, "artist_id string, artist_name string, artist_genre string, "
+                                     "artist_popularity bigint")
+    return df.withColumn("row_hash", row_hash("artist_id", "artist_name", "artist_genre", "artist_popularity"))
+
+
+def test_first_load_then_idempotent_merge(spark):
+    s1 = snap(spark, [("a", "A", "pop", 1), ("b", "B", None, 2)])
+    v1 = S.scd2_merge(None, s1, "2024-01-01 00:00:00")
+    assert v1.filter("is_current and valid_to is null").count() == 2
+    v2 = S.scd2_merge(v1, s1, "2024-02-01 00:00:00")
+    assert sorted(map(tuple, v2.collect())) == sorted(map(tuple, v1.collect()))
+
+
+def test_change_disappear_return_and_old_end_dates_kept(spark):
+    v = S.scd2_merge(None, snap(spark, [("a", "A", "pop", 1), ("b", "B", "rock", 2)]), "2024-01-01 00:00:00")
+    v = S.scd2_merge(v, snap(spark, [("a", "A", "pop", 5)]), "2024-02-01 00:00:00")  # a changes, b absent
+    v = S.scd2_merge(v, snap(spark, [("a", "A", "pop", 9), ("b", "B", "rock", 2)]), "2024-03-01 00:00:00")
+    rows = v.orderBy("artist_id", "valid_from").collect()
+    a = [r for r in rows if r["artist_id"] == "a"]
+    b = [r for r in rows if r["artist_id"] == "b"]
+    assert [r["artist_popularity"] for r in a] == [1, 5, 9]
+    # the first version keeps its own end date; only the open one is closed
+    assert a[0]["valid_to"] == dt.datetime(2024, 2, 1) and a[1]["valid_to"] == dt.datetime(2024, 3, 1)
+    assert a[2]["valid_to"] is None and a[2]["is_current"]
+    # b was absent in the middle run: it stays current, unchanged when it returns
+    assert len(b) == 1 and b[0]["is_current"] and b[0]["valid_to"] is None
+
+
+def test_one_open_version_and_no_overlap(spark):
+    v = None
+    for i, pop in enumerate([1, 2, 2, 3]):
+        v = S.scd2_merge(v, snap(spark, [("a", "A", "pop", pop), ("c", "C", "jazz", i)]), f"2024-0{i + 1}-01 00:00:00")
+    per = v.groupBy("artist_id").agg(F.count_if("is_current").alias("open"))
+    assert all(r["open"] == 1 for r in per.collect())
+    a = v.filter("artist_id = 'a'").orderBy("valid_from").collect()
+    for x, y in zip(a, a[1:]):
+        assert x["valid_to"] == y["valid_from"]
+
+
+def test_merge_stats(spark):
+    v = S.scd2_merge(None, snap(spark, [("a", "A", "pop", 1), ("b", "B", "rock", 2)]), "2024-01-01 00:00:00")
+    st = S.merge_stats(v, snap(spark, [("a", "A", "pop", 7), ("c", "C", "x", 1)])).first()
+    assert (st["open_before"], st["expired"], st["unchanged"], st["inserted"]) == (2, 1, 1, 2)

@@ -243,3 +243,50 @@ def cte_feature_history() -> str:
          timestamp '{run_ts}' as event_timestamp from cls{i}""")
     parts.append("history as (" + "\n  union all\n  ".join(unions) + ")")
     return ",\n".join(parts)
+
+
+# ---------------------------------------------------------------------------
+# k-means (standardise, dominant-coordinate seeding, nearest centroid, labels)
+# ---------------------------------------------------------------------------
+def cte_kmeans() -> str:
+    feats = P.KMEANS_FEATURES
+    k = len(feats)
+    zs = ", ".join(f"({f} - (select avg({f}) from km_in)) / (select stddev_samp({f}) from km_in) as z{i}"
+                   for i, f in enumerate(feats))
+    notnull = " and ".join(f"{f} is not null" for f in feats)
+
+    def first_max(cols):
+        g = "greatest(" + ", ".join(cols) + ")"
+        return "case " + " ".join(f"when {c} = {g} then {i}" for i, c in enumerate(cols)) + " end"
+
+    zcols = [f"z{i}" for i in range(k)]
+    means = ", ".join(f"avg(z{i}) as c{i}" for i in range(k))
+    pivot = ", ".join(f"max(case when cidx = {j} then c{i} end) as c{j}_{i}" for j in range(P.KMEANS_K)
+                      for i in range(k))
+    dists = []
+    for j in range(P.KMEANS_K):
+        terms = " + ".join(f"(z{i} - c{j}_{i}) * (z{i} - c{j}_{i})" for i in range(k))
+        dists.append(f"({terms})")
+    best = "least(" + ", ".join(dists) + ")"
+    assign = "case " + " ".join(f"when {d} = {best} then {j}" for j, d in enumerate(dists)) + " end"
+    # labels: dominant coordinate -> preferred label, collisions take the first unused label
+    label_ctes = []
+    prev = "cp"
+    for j in range(P.KMEANS_K):
+        dom = first_max([f"c{j}_{i}" for i in range(k)])
+        pref = "case " + " ".join(f"when {dom} = {d} then '{lab}'" for d, lab in P.KMEANS_DOMINANT_LABEL.items()) \
+               + f" else '{P.KMEANS_LABELS[j % len(P.KMEANS_LABELS)]}' end"
+        taken = ", ".join([f"coalesce(lab{x}, '')" for x in range(j)] + ["''"])
+        unused = "case " + " ".join(f"when '{m}' not in ({taken}) then '{m}'" for m in P.KMEANS_LABELS) + " end"
+        label_ctes.append(f"""kl{j} as (select *, case when c{j}_0 is null then null
+                        when ({pref}) not in ({taken}) then ({pref}) else {unused} end as lab{j} from {prev})""")
+        prev = f"kl{j}"
+    lab_case = "case " + " ".join(f"when cluster = {j} then lab{j}" for j in range(P.KMEANS_K)) + " else 'unknown' end"
+    return f"""km_in as (select * from silver where {notnull}),
+kz as (select track_id, {zs} from km_in),
+kinit as (select *, {first_max(zcols)} as init from kz),
+kcent as (select row_number() over (order by init) - 1 as cidx, {means} from kinit group by init),
+cp as (select {pivot} from kcent),
+{",".join(label_ctes)},
+kassign as (select kz.*, {assign} as cluster from kz cross join cp),
+kmeans_out as (select a.track_id, a.cluster, {lab_case} as mood_label from kassign a cross join kl{P.KMEANS_K - 1})"""

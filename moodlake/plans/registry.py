@@ -17,6 +17,7 @@ from moodlake.operators import artists as A
 from moodlake.operators import bi as B
 from moodlake.operators import features as FT
 from moodlake.operators import gold as G
+from moodlake.operators import kmeans as K
 from moodlake.operators import mood as M
 from moodlake.operators import quality as Q
 from moodlake.operators import scd2 as S
@@ -374,6 +375,46 @@ def q_bi_top_artists(spark, sf):
     return B.bi_top_artists(PL.gold(spark, sf)["agg_artist_profiles"])
 
 
+# ---------------------------------------------------------------------------
+# k-means
+# ---------------------------------------------------------------------------
+_ZCOLS = [f"{c}_z" for c in P.KMEANS_FEATURES]
+
+
+def _standardized(spark, sf) -> DataFrame:
+    data = K.kmeans_features(PL.silver(spark, sf))
+    return K.standardize(data, K.fit_standardizer(data))
+
+
+@register("standardize", W(O.cte_silver(), O.cte_kmeans()) + "select track_id, " + ", ".join(
+    f"round(z{i}, 6) as {c}" for i, c in enumerate(_ZCOLS)) + " from kz")
+def q_standardize(spark, sf):
+    return _standardized(spark, sf).select("track_id", *[F.round(c, 6).alias(c) for c in _ZCOLS])
+
+
+@register("kmeans_assign", W(O.cte_silver(), O.cte_kmeans()) + "select * from kmeans_out")
+def q_kmeans_assign(spark, sf):
+    z = _standardized(spark, sf)
+    cents = K.dominant_init_centroids(z, _ZCOLS)
+    assigned = K.kmeans_assign(z, cents, _ZCOLS)
+    return K.with_cluster_labels(assigned, K.label_clusters(cents)).select("track_id", "cluster", "mood_label")
+
+
+@register("train_kmeans")
+def q_train_kmeans(spark, sf):
+    tracks = PL.silver(spark, sf)
+    return K.kmeans_predictions(K.train_kmeans(tracks), tracks)
+
+
+@register("kmeans_labels")
+def q_kmeans_labels(spark, sf):
+    model = K.train_kmeans(PL.silver(spark, sf))
+    cents = [list(map(float, c)) for c in model.stages[-1].clusterCenters()]
+    rows = [(i, lab, max(range(len(c)), key=lambda j: (c[j], -j)), c)
+            for i, (lab, c) in enumerate(zip(K.label_clusters(cents), cents))]
+    return spark.createDataFrame(rows, "cluster int, mood_label string, dominant int, centroid array<double>")
+
+
 def queries() -> dict[str, Query]:
     return dict(QUERIES)
 

@@ -24,6 +24,7 @@ from moodlake.operators import scd2 as S
 from moodlake.operators.silver import cast_failures, dedup_latest
 from moodlake.plans import oracle as O
 from moodlake.plans import pipeline as PL
+from moodlake.sources import albums as AL
 from moodlake.sources import fixture
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -375,6 +376,37 @@ def q_bi_top_artists(spark, sf):
     return B.bi_top_artists(PL.gold(spark, sf)["agg_artist_profiles"])
 
 
+# ---------------------------------------------------------------------------
+# new-release feed and source union
+# ---------------------------------------------------------------------------
+def _feed_nulls() -> str:
+    types = dict(P.TRACK_SCHEMA)
+    return ", ".join(f"cast(null as {types[c]}) as {c}" for c in AL.FEED_NULL_COLUMNS)
+
+
+_FLAT_SQL = f"""
+select concat('T', cast(l.l_partkey as string)) as track_id, coalesce(p.p_name, '') as track_name,
+       concat_ws(';', s.s_name, case when l.l_linenumber % 3 = 0
+                                     then concat('Artist ', cast(l.l_orderkey % 50 as string)) end) as artists,
+       concat('Album ', cast(o.o_orderkey as string)) as album_name, '' as track_genre,
+       cast(0 as bigint) as popularity, cast(floor(l.l_extendedprice) as bigint) as duration_ms,
+       l.l_returnflag = 'R' as explicit, {_feed_nulls()},
+       timestamp '{fixture.RUN_TS}' as ingestion_timestamp, 'spotify' as source
+from orders o join lineitem l on l.l_orderkey = o.o_orderkey
+left join part p on l.l_partkey = p.p_partkey
+left join supplier s on l.l_suppkey = s.s_suppkey"""
+
+
+@register("flatten_albums", _FLAT_SQL)
+def q_flatten_albums(spark, sf):
+    return AL.flatten_albums(fixture.albums(spark, sf), fixture.RUN_TS)
+
+
+@register("union_sources", f"select * from ({fixture.BRONZE_SQL}) union all by name select * from ({_FLAT_SQL})")
+def q_union_sources(spark, sf):
+    return AL.union_sources(PL.bronze(spark, sf), AL.flatten_albums(fixture.albums(spark, sf), fixture.RUN_TS))
+
+
 # ---------------------------------------------------------------------------
 # k-means
 # ---------------------------------------------------------------------------

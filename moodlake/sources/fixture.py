@@ -88,3 +88,35 @@ def bronze_tracks(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Raw track records (bronze) derived from lineitem x part."""
     register_tables(spark, sf_dir, ["lineitem", "part"])
     return spark.sql(BRONZE_SQL)
+
+
+def albums(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """New-release album records derived from the driver tables: an order is
+    an album, its line items are tracks, the supplier (plus a second artist on
+    every third line) are the track's artists.  Orders without line items are
+    albums with an empty track list.  Tracks per album are bounded by the
+    line items of one order."""
+    from pyspark.sql import functions as F
+
+    o = read(spark, sf_dir, "orders").select("o_orderkey")
+    li = read(spark, sf_dir, "lineitem").select("l_orderkey", "l_partkey", "l_suppkey", "l_linenumber",
+                                                "l_extendedprice", "l_returnflag")
+    p = read(spark, sf_dir, "part").select("p_partkey", "p_name")
+    s = read(spark, sf_dir, "supplier").select("s_suppkey", "s_name")
+    t = li.join(p, li["l_partkey"] == p["p_partkey"], "left").join(s, li["l_suppkey"] == s["s_suppkey"], "left")
+    second = F.struct(F.concat(F.lit("Artist "), (F.col("l_orderkey") % 50).cast("string")).alias("name"))
+    artists = F.when(F.col("l_linenumber") % 3 == 0,
+                     F.array(F.struct(F.col("s_name").alias("name")), second)
+                     ).otherwise(F.array(F.struct(F.col("s_name").alias("name"))))
+    track = F.struct(
+        F.concat(F.lit("T"), F.col("l_partkey").cast("string")).alias("id"),
+        F.col("p_name").alias("name"),
+        artists.alias("artists"),
+        F.floor("l_extendedprice").cast("bigint").alias("duration_ms"),
+        (F.col("l_returnflag") == "R").alias("explicit"),
+    )
+    per_order = t.groupBy("l_orderkey").agg(F.collect_list(track).alias("tracks"))
+    a = o.join(per_order, o["o_orderkey"] == per_order["l_orderkey"], "left")
+    return a.select(F.concat(F.lit("A"), F.col("o_orderkey").cast("string")).alias("id"),
+                    F.concat(F.lit("Album "), F.col("o_orderkey").cast("string")).alias("name"),
+                    "tracks")

@@ -1,0 +1,65 @@
+import json
+import os
+import tempfile
+
+from pyspark.sql import functions as F
+
+from moodlake.functions.params import SUB_LABELS
+from moodlake.plans import jobs as J
+from moodlake.plans import pipeline as PL
+from moodlake.sources import fixture
+from moodlake.streaming.releases import ingest_new_releases
+
+from conftest import SMOKE
+
+
+def test_daily_then_mood_and_kmeans(spark):
+    base = tempfile.mkdtemp(prefix="lake-", dir="/tmp")
+    lake = J.Lake(spark, base)
+    raw = PL.bronze(spark, SMOKE)
+    counts = J.daily(lake, raw, "r1", "2024-01-01 00:00:00", fixture.BRONZE_TIEBREAK, minimum=1)
+    assert counts["bronze"] == raw.count()
+    assert counts["silver"] == PL.silver(spark, SMOKE).count()
+    assert counts["dim_track"] == PL.silver(spark, SMOKE).count()
+    # second day: same data, SCD2 unchanged (idempotent merge), new run dirs
+    first_artists = lake.paths["artists"]
+    J.daily(lake, raw, "r2", "2024-01-02 00:00:00", fixture.BRONZE_TIEBREAK, minimum=1)
+    assert lake.paths["artists"] != first_artists
+    assert lake.read("artists").count() == spark.read.parquet(first_artists).count()
+    feats = J.run_mood(lake, "r2", "2024-01-02 00:00:00")
+    labels = {n for labs in SUB_LABELS.values() for n, _, _ in labs}
+    got = {r["mood_cluster"] for r in lake.read("fact_streams").select("mood_cluster").distinct().collect()}
+    assert got <= labels and spark.read.parquet(feats).count() == counts["dim_track"]
+    model_path = J.run_kmeans(lake, "r2", 1)
+    assert os.path.isdir(model_path) and lake.counts["mood_predictions"] > 0
+
+
+def test_silver_quality_failure_raises(spark):
+    import pytest
+    lake = J.Lake(spark, tempfile.mkdtemp(prefix="lake-", dir="/tmp"))
+    J.run_bronze(lake, PL.bronze(spark, SMOKE), "r1")
+    J.run_silver(lake, "r1", fixture.BRONZE_TIEBREAK)
+    J.run_artists(lake, "r1", "2024-01-01 00:00:00")
+    with pytest.raises(ValueError, match="row_count"):
+        J.run_silver_quality(lake, "r1", minimum=10**9)
+
+
+def test_release_stream_is_incremental(spark):
+    d = tempfile.mkdtemp(prefix="stream-", dir="/tmp")
+    landing, bronze, ckpt = (os.path.join(d, x) for x in ("landing", "bronze", "ckpt"))
+    os.makedirs(landing)
+
+    def land(name, n_tracks):
+        with open(os.path.join(landing, name), "w") as f:
+            tracks = [{"id": f"{name}-{i}", "name": "t", "artists": [{"name": "a"}]} for i in range(n_tracks)]
+            f.write(json.dumps({"id": name, "name": name, "tracks": tracks}) + "\n")
+
+    land("a.json", 3)
+    land("b.json", 2)
+    ingest_new_releases(spark, landing, bronze, ckpt)
+    assert spark.read.parquet(bronze).count() == 5
+    land("c.json", 4)
+    ingest_new_releases(spark, landing, bronze, ckpt)
+    df = spark.read.parquet(bronze)
+    assert df.count() == 9 and df.select(F.countDistinct("track_id")).first()[0] == 9
+    assert df.filter(F.col("source") != "spotify").count() == 0

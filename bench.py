@@ -30,6 +30,9 @@ HEADLINE = [
 ]
 
 
+RUNS = int(os.environ.get("BENCH_RUNS", "2"))  # best of N: the first run pays plan code generation
+
+
 def main() -> None:
     sf_dir = os.environ.get("BENCH_SF_DIR", "/root/testdata/sf0.1")
     cpus = os.environ.get("BENCH_CPUS", "8")
@@ -40,12 +43,15 @@ def main() -> None:
     qs["silver_tracks"](spark, sf_dir).write.format("noop").mode("overwrite").save()
     times = {}
     for name in HEADLINE:
-        t0 = time.time()
-        qs[name](spark, sf_dir).write.format("noop").mode("overwrite").save()
-        times[name] = round(time.time() - t0, 3)
+        runs = []
+        for _ in range(RUNS):
+            t0 = time.time()
+            qs[name](spark, sf_dir).write.format("noop").mode("overwrite").save()
+            runs.append(time.time() - t0)
+        times[name] = round(min(runs), 3)
     sf = os.path.basename(sf_dir.rstrip("/")).replace("sf", "")
     print(json.dumps({"metric": "headline_jobs_total", "value": round(sum(times.values()), 3), "unit": "sec",
-                      "queries": times, "sf": sf, "cpus": int(cpus)}))
+                      "runs_per_query": RUNS, "queries": times, "sf": sf, "cpus": int(cpus)}))
     spark.stop()
 
 

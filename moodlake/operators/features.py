@@ -43,7 +43,8 @@ def features_latest(features: DataFrame, start: str | Column | None = None, end:
 
 def features_as_of(features: DataFrame, requests: DataFrame, ttl_days: int = FEATURE_TTL_DAYS,
                    key: str = "track_id", req_ts: str = "request_ts", ts: str = "event_timestamp",
-                   values: list[str] | None = None) -> DataFrame:
+                   values: list[str] | None = None, hot_group_rows: int = 1_000_000,
+                   salts: int = 64) -> DataFrame:
     """Point-in-time read: for every request (key, request_ts) the latest
     feature row with request_ts - ttl < event_timestamp <= request_ts, else nulls.
 
@@ -52,30 +53,44 @@ def features_as_of(features: DataFrame, requests: DataFrame, ttl_days: int = FEA
     bucket, so every candidate of a request shares its (key, bucket).  Requests
     and features are unioned, partitioned by (key, bucket) and sorted by time;
     a running last-non-null carries the newest feature forward to each request.
-    A key that is hot over many years is split by the buckets.
+
+    Hot groups: a (key, bucket) with more than `hot_group_rows` requests is
+    split into `salts` sub-groups by a hash of the request, and that group's
+    feature rows (at most two buckets of one key) are copied to every
+    sub-group.  The hot-group list is found by an aggregate and has at most
+    requests / hot_group_rows entries, so it is broadcast with a proven bound.
     """
     values = values or [c for c in features.columns if c not in (key, ts)]
     ttl_s = int(ttl_days) * 86400
     bucket = lambda c: F.floor(F.unix_seconds(c) / F.lit(ttl_s)).cast("bigint")
+    req_cols = list(requests.columns)
+    reqs = requests.select(key, bucket(F.col(req_ts)).alias("_bucket"), F.col(req_ts).alias("_t"),
+                           F.lit(0).alias("_is_feat"), F.struct(*req_cols).alias("_r"))
+    hot = (reqs.groupBy(key, "_bucket").agg(F.count(F.lit(1)).alias("_n"))
+           .filter(F.col("_n") > hot_group_rows).select(key, "_bucket", F.lit(True).alias("_hot")))
+    hot = F.broadcast(hot)
+    reqs = (reqs.join(hot, [key, "_bucket"], "left")
+            .withColumn("_salt", F.when(F.col("_hot"), F.pmod(F.xxhash64("_r"), F.lit(salts))).otherwise(F.lit(0)))
+            .drop("_hot"))
     feat = features.select(key, ts, *values)
     feat = (feat.withColumn("_b0", bucket(F.col(ts)))
             .withColumn("_bucket", F.explode(F.array(F.col("_b0"), F.col("_b0") + 1))).drop("_b0"))
-    feat = feat.select(key, "_bucket", F.col(ts).alias("_t"), F.lit(1).alias("_is_feat"),
+    feat = (feat.join(hot, [key, "_bucket"], "left")
+            .withColumn("_salt", F.explode(F.when(F.col("_hot"), F.sequence(F.lit(0), F.lit(salts - 1)))
+                                           .otherwise(F.array(F.lit(0)))))
+            .drop("_hot"))
+    feat = feat.select(key, "_bucket", "_salt", F.col(ts).alias("_t"), F.lit(1).alias("_is_feat"),
                        F.struct(F.col(ts).alias("_fts"), *values).alias("_f"))
-    req_cols = list(requests.columns)
-    reqs = requests.select(key, bucket(F.col(req_ts)).alias("_bucket"), F.col(req_ts).alias("_t"),
-                      F.lit(0).alias("_is_feat"), F.lit(None).alias("_f"), F.struct(*req_cols).alias("_r"))
     feat = feat.withColumn("_r", F.lit(None).cast(reqs.schema["_r"].dataType))
     reqs = reqs.withColumn("_f", F.lit(None).cast(feat.schema["_f"].dataType))
     both = feat.unionByName(reqs)
     # features sort before requests at equal time, so ts <= request_ts is included
-    w = (Window.partitionBy(key, "_bucket").orderBy(F.col("_t"), F.col("_is_feat").desc())
+    w = (Window.partitionBy(key, "_bucket", "_salt").orderBy(F.col("_t"), F.col("_is_feat").desc())
          .rowsBetween(Window.unboundedPreceding, Window.currentRow))
     carried = both.withColumn("_last", F.last("_f", ignorenulls=True).over(w)).filter(F.col("_is_feat") == 0)
     fresh = F.col("_last._fts") > (F.col("_t") - F.expr(f"INTERVAL {int(ttl_days)} DAYS"))
-    out = carried.select("_r.*", *[F.when(fresh, F.col(f"_last.{v}")).alias(v) for v in values],
-                         F.when(fresh, F.col("_last._fts")).alias(ts))
-    return out
+    return carried.select("_r.*", *[F.when(fresh, F.col(f"_last.{v}")).alias(v) for v in values],
+                          F.when(fresh, F.col("_last._fts")).alias(ts))
 
 
 def mood_lookup(features: DataFrame, requests: DataFrame, key: str = "track_id", digits: int = 4) -> DataFrame:

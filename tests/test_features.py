@@ -20,6 +20,19 @@ def test_as_of_matches_brute_force(spark):
     assert sorted(got, key=str) == sorted(want, key=str)
 
 
+def test_as_of_hot_groups_salted_same_result(spark):
+    rnd = random.Random(5)
+    base = dt.datetime(2024, 1, 1)
+    feats = [("hot", base + dt.timedelta(hours=rnd.randint(0, 24 * 20)), float(i)) for i in range(30)]
+    reqs = [("hot", base + dt.timedelta(hours=rnd.randint(0, 24 * 20))) for _ in range(300)]
+    fdf = spark.createDataFrame(feats, "track_id string, event_timestamp timestamp, v double")
+    rdf = spark.createDataFrame(reqs, "track_id string, request_ts timestamp")
+    plain = FT.features_as_of(fdf, rdf, ttl_days=7)
+    salted = FT.features_as_of(fdf, rdf, ttl_days=7, hot_group_rows=10, salts=8)
+    key = lambda r: (r["track_id"], r["request_ts"], r["v"] is None, r["v"] or 0.0)
+    assert sorted(plain.collect(), key=key) == sorted(salted.collect(), key=key)
+
+
 def test_latest_in_range(spark):
     base = dt.datetime(2024, 1, 1)
     rows = [("a", base, 1.0), ("a", base + dt.timedelta(days=3), 2.0), ("a", base + dt.timedelta(days=9), 3.0)]

@@ -13,6 +13,7 @@ from moodlake.operators import mood as M
 from moodlake.operators import scd2 as S
 from moodlake.operators.features import build_features
 from moodlake.operators.silver import build_silver
+from moodlake.session import checkpoint_dir
 from moodlake.sources import fixture
 
 DIGITS = 6  # averages are reported to 6 decimals (double sums are order dependent)
@@ -22,8 +23,17 @@ def bronze(spark: SparkSession, sf: str) -> DataFrame:
     return fixture.bronze_tracks(spark, sf)
 
 
-def silver(spark: SparkSession, sf: str) -> DataFrame:
-    return build_silver(bronze(spark, sf), tiebreak=fixture.BRONZE_TIEBREAK)
+def silver(spark: SparkSession, sf: str, materialize: bool = False) -> DataFrame:
+    """Silver plan.  With `materialize`, the layer is written once to the
+    shared checkpoint folder and read back (lineage cut): compositions that
+    consume silver in several branches then do not repeat the bronze dedup
+    shuffle per branch (column pruning makes those branches' exchanges
+    differ, so exchange reuse cannot merge them)."""
+    df = build_silver(bronze(spark, sf), tiebreak=fixture.BRONZE_TIEBREAK)
+    if materialize:
+        checkpoint_dir(spark)
+        df = df.checkpoint(eager=True)
+    return df
 
 
 def snapshot_at(tracks: DataFrame, cutoff: str | None) -> DataFrame:
@@ -33,7 +43,7 @@ def snapshot_at(tracks: DataFrame, cutoff: str | None) -> DataFrame:
 
 def artist_versions(spark: SparkSession, sf: str, steps: int = 3, tracks: DataFrame | None = None) -> DataFrame:
     """Artist SCD2 table after `steps` successive snapshots of silver."""
-    tracks = tracks if tracks is not None else silver(spark, sf)
+    tracks = tracks if tracks is not None else silver(spark, sf, materialize=True)
     versions = None
     for cutoff, run_ts in fixture.SNAPSHOTS[:steps]:
         versions = S.scd2_merge(versions, snapshot_at(tracks, cutoff), run_ts)
@@ -41,7 +51,7 @@ def artist_versions(spark: SparkSession, sf: str, steps: int = 3, tracks: DataFr
 
 
 def gold(spark: SparkSession, sf: str, digits: int | None = DIGITS) -> dict[str, DataFrame]:
-    tracks = silver(spark, sf)
+    tracks = silver(spark, sf, materialize=True)
     return G.build_gold(tracks, artist_versions(spark, sf, tracks=tracks), digits)
 
 

@@ -97,7 +97,7 @@ select count(o.artist_id) as open_before,
 from (select artist_id, row_hash from versions where is_current) o
 full join snapn n on o.artist_id = n.artist_id""")
 def q_scd2_stats(spark, sf):
-    tracks = PL.silver(spark, sf)
+    tracks = PL.silver(spark, sf, materialize=True)
     return S.merge_stats(PL.artist_versions(spark, sf, steps=2, tracks=tracks), PL.snapshot_at(tracks, None))
 
 
@@ -163,7 +163,7 @@ _SILVER_DQ = (
 
 @register("dq_silver", W(*BASE, O.cte_track_artists("ta")) + _SILVER_DQ)
 def q_dq_silver(spark, sf):
-    tracks = PL.silver(spark, sf)
+    tracks = PL.silver(spark, sf, materialize=True)
     return Q.dq_silver(tracks, PL.artist_versions(spark, sf, tracks=tracks))
 
 
@@ -243,14 +243,14 @@ def q_classify(spark, sf):
 @register("apply_mood_labels", W(*BASE, O.cte_classified()) + """
 select d.* replace (c.mood_cluster as mood_cluster) from dim_track d left join classified c using (track_id)""")
 def q_apply_labels(spark, sf):
-    tracks = PL.silver(spark, sf)
+    tracks = PL.silver(spark, sf, materialize=True)
     return M.apply_mood_labels(G.dim_track(tracks), M.classify_tracks(tracks))
 
 
 @register("fact_mood_labels", W(*BASE, O.cte_classified()) + """
 select f.* replace (c.mood_cluster as mood_cluster) from fact_streams f left join classified c using (track_id)""")
 def q_fact_labels(spark, sf):
-    tracks = PL.silver(spark, sf)
+    tracks = PL.silver(spark, sf, materialize=True)
     g = G.build_gold(tracks, PL.artist_versions(spark, sf, tracks=tracks))
     return M.apply_mood_labels(g["fact_streams"], M.classify_tracks(tracks))
 

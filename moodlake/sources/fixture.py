@@ -11,6 +11,8 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
+from moodlake.sources.tables import read_table
+
 TABLES = ["region", "nation", "customer", "supplier", "part", "orders", "lineitem", "events",
           "documents", "embeddings", "pages", "benchmark", "labels", "conversations"]
 
@@ -77,11 +79,15 @@ RUN_TS = "2024-03-01 00:00:00"
 def register_tables(spark: SparkSession, sf_dir: str, names: list[str] | None = None) -> None:
     """Expose the driver parquet tables as temp views (lazy scans)."""
     for name in names or TABLES:
-        spark.read.parquet(f"{sf_dir}/{name}.parquet").createOrReplaceTempView(name)
+        read(spark, sf_dir, name).createOrReplaceTempView(name)
+
+
+# Fact-sized driver tables: spread when stored as fewer splits than cores.
+FACT_TABLES = {"lineitem", "orders", "events"}
 
 
 def read(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
-    return spark.read.parquet(f"{sf_dir}/{name}.parquet")
+    return read_table(spark, f"{sf_dir}/{name}.parquet", "parquet", spread=name in FACT_TABLES)
 
 
 def bronze_tracks(spark: SparkSession, sf_dir: str) -> DataFrame:

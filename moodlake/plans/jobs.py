@@ -66,7 +66,8 @@ def run_artists(lake: Lake, run_id: str, run_ts: str) -> str:
     the first run).  Reads `artists` from the previous run, writes a new one."""
     existing = lake.read("artists") if "artists" in lake.paths else None
     versions = S.scd2_merge(existing, A.artist_snapshot(lake.read("silver")), run_ts)
-    return lake.write("silver", "artists", versions, run_id)
+    # partitioned by is_current: readers of the open versions prune the history away
+    return lake.write("silver", "artists", versions, run_id, partition_by=["is_current"])
 
 
 def run_silver_quality(lake: Lake, run_id: str, minimum: int = MIN_SILVER_ROWS, enforce: bool = True) -> DataFrame:

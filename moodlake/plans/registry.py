@@ -432,6 +432,17 @@ def q_kmeans_assign(spark, sf):
     return K.with_cluster_labels(assigned, K.label_clusters(cents)).select("track_id", "cluster", "mood_label")
 
 
+@register("dq_accepted_kmeans", W(O.cte_silver(), O.cte_kmeans()) + f"""
+select 'accepted_values' as check_name, 'mood_predictions' as table_name, 'mood_label' as column_name,
+       count(*) filter (where mood_label is not null and mood_label not in ({", ".join(repr(x) for x in P.KMEANS_LABELS)}))
+         as observed,
+       count(*) filter (where mood_label is not null and mood_label not in ({", ".join(repr(x) for x in P.KMEANS_LABELS)}))
+         = 0 as passed
+from kmeans_out""")
+def q_dq_accepted_kmeans(spark, sf):
+    return Q.dq_accepted_values(q_kmeans_assign(spark, sf), "mood_label", P.KMEANS_LABELS, "mood_predictions")
+
+
 @register("train_kmeans")
 def q_train_kmeans(spark, sf):
     tracks = PL.silver(spark, sf)

@@ -37,18 +37,25 @@ class Lake:
     fmt: str = "parquet"
     paths: dict[str, str] = field(default_factory=dict)
     counts: dict[str, int] = field(default_factory=dict)
+    schemas: dict[str, object] = field(default_factory=dict)
 
     def __post_init__(self):
         if self.base is None:
             self.base = checkpoint_dir(self.spark).rstrip("/") + "/lake"
 
     def read(self, name: str) -> DataFrame:
+        """Read a layer with the schema it was written with: no inference
+        pass, and partition columns keep their types (booleans, dates)."""
+        if name in self.schemas:
+            df = self.spark.read.schema(self.schemas[name]).format(self.fmt).load(self.paths[name])
+            return df.select(*[f.name for f in self.schemas[name].fields])
         return read_table(self.spark, self.paths[name], self.fmt)
 
     def write(self, layer: str, name: str, df: DataFrame, run_id: str, partition_by: list[str] | None = None) -> str:
         path = run_path(self.base, layer, name, run_id)
         self.counts[name] = write_table(df, path, self.fmt, partition_by=partition_by)
         self.paths[name] = path
+        self.schemas[name] = df.schema
         return path
 
 

@@ -32,7 +32,7 @@ def _genre_case() -> str:
     return f"case l.l_partkey % 14 {whens} else null end"
 
 
-BRONZE_SQL = f"""
+BRONZE_SQL_TEMPLATE = f"""
 select
   concat('T', cast(l.l_partkey as string)) as track_id,
   p.p_name as track_name,
@@ -62,9 +62,11 @@ select
   l.l_orderkey as src_orderkey,
   l.l_linenumber as src_linenumber,
   l.l_suppkey as src_suppkey
-from lineitem l
-join part p on l.l_partkey = p.p_partkey
+from {{lineitem}} l
+join {{part}} p on l.l_partkey = p.p_partkey
 """
+# Table names for a SQL engine with the tables registered by name.
+BRONZE_SQL = BRONZE_SQL_TEMPLATE.format(lineitem="lineitem", part="part")
 
 # Total order for latest-wins dedup of the fixture rows.
 BRONZE_TIEBREAK = ["src_orderkey", "src_linenumber", "src_suppkey", "popularity", "duration_ms"]
@@ -92,8 +94,8 @@ def read(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
 
 def bronze_tracks(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Raw track records (bronze) derived from lineitem x part."""
-    register_tables(spark, sf_dir, ["lineitem", "part"])
-    return spark.sql(BRONZE_SQL)
+    # DataFrames bound as SQL parameters: no temp views left in the session
+    return spark.sql(BRONZE_SQL_TEMPLATE, lineitem=read(spark, sf_dir, "lineitem"), part=read(spark, sf_dir, "part"))
 
 
 def albums(spark: SparkSession, sf_dir: str) -> DataFrame:

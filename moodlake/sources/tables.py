@@ -44,7 +44,13 @@ def write_table(df: DataFrame, path: str, fmt: str = DEFAULT_FORMAT, mode: str =
     """Write and return the row count, counted by an Observation during the
     write itself (no second pass over the data)."""
     obs = Observation(f"rows_{uuid.uuid4().hex[:8]}")
-    w = df.observe(obs, F.count(F.lit(1)).alias("rows")).write.format(fmt).mode(mode)
+    observed = df.observe(obs, F.count(F.lit(1)).alias("rows"))
+    if partition_by:
+        # rows of one partition value go to few tasks (few files per
+        # directory); adaptive execution splits a value that is too large
+        # and merges small ones, so a hot value does not make one huge task
+        observed = observed.hint("rebalance", *partition_by)
+    w = observed.write.format(fmt).mode(mode)
     if partition_by:
         w = w.partitionBy(*partition_by)
     w.save(path)

@@ -62,7 +62,7 @@ def features_as_of(features: DataFrame, requests: DataFrame, ttl_days: int = FEA
     """
     values = values or [c for c in features.columns if c not in (key, ts)]
     ttl_s = int(ttl_days) * 86400
-    bucket = lambda c: F.floor(F.unix_seconds(c) / F.lit(ttl_s)).cast("bigint")
+    bucket = lambda c: F.floor(F.unix_seconds(c.cast("timestamp")) / F.lit(ttl_s)).cast("bigint")
     req_cols = list(requests.columns)
     reqs = requests.select(key, bucket(F.col(req_ts)).alias("_bucket"), F.col(req_ts).alias("_t"),
                            F.lit(0).alias("_is_feat"), F.struct(*req_cols).alias("_r"))

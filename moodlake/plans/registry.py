@@ -341,6 +341,26 @@ def q_mood_lookup(spark, sf):
     return FT.mood_lookup(_history(spark, sf), req)
 
 
+@register("features_as_of_events", f"""
+with req as (select event_id, user_id, ts as request_ts, row_number() over () as rid
+             from events where event_type = 'purchase'),
+f as (select user_id, ts as event_timestamp, event_type, value from events where event_type <> 'purchase')
+select event_id, user_id, request_ts, event_type, value, event_timestamp from (
+  select r.rid, r.event_id, r.user_id, r.request_ts, f.event_type, f.value, f.event_timestamp,
+         row_number() over (partition by r.rid order by f.event_timestamp desc nulls last) as rn
+  from req r left join f
+    on f.user_id = r.user_id and f.event_timestamp <= r.request_ts
+   and f.event_timestamp > r.request_ts - interval {P.FEATURE_TTL_DAYS} day) where rn = 1""")
+def q_features_as_of_events(spark, sf):
+    """Latest other event of the same user within the time to live before
+    each purchase: the point-in-time read on the event stream table."""
+    ev = fixture.read(spark, sf, "events")
+    req = ev.filter(F.col("event_type") == "purchase").select("event_id", "user_id", F.col("ts").alias("request_ts"))
+    feats = ev.filter(F.col("event_type") != "purchase").select("user_id", F.col("ts").alias("event_timestamp"),
+                                                               "event_type", "value")
+    return FT.features_as_of(feats, req, key="user_id")
+
+
 # ---------------------------------------------------------------------------
 # BI
 # ---------------------------------------------------------------------------

@@ -118,3 +118,39 @@ def test_sub_label_plan_compiles_without_fallback(spark):
                                ", ".join(f"{f} double" for f in M.SUB_FEATURES) + ", genre_family string")
     plan = M.sub_label(df)._jdf.queryExecution().executedPlan().toString()
     assert "WholeStageCodegen" in plan or "*(" in plan
+
+
+def _python_universal(row):
+    """Brute-force reading of the rule table for one row."""
+    def holds(c):
+        if c[0] == "any":
+            return any(holds(x) for x in c[1])
+        f, op, thr = c
+        v = row[f]
+        if v is None or v != v:  # missing / NaN never satisfies a comparison
+            return False
+        return v > thr if op == ">" else v < thr if op == "<" else v == thr
+    scores = {}
+    for mood in M.P.MOOD_NAMES:
+        (p1, c1), (p2, c2) = M.P.MOOD_RULES[mood]
+        s = p1 if all(holds(c) for c in c1) else p2 if all(holds(c) for c in c2) else 0
+        scores[mood] = s + M.P.GENRE_BIAS.get(row["genre_family"], {}).get(mood, 0)
+    best = max(scores.values())
+    return next(m for m in M.P.MOOD_NAMES if scores[m] == best)
+
+
+def test_universal_mood_matches_brute_force(spark):
+    import random
+    rnd = random.Random(11)
+    feats = ["energy", "valence", "danceability", "acousticness", "instrumentalness", "mode"]
+    fams = list(M.P.SUB_LABELS)
+    rows = []
+    for i in range(600):
+        vals = [rnd.choice([round(rnd.random(), 2), round(rnd.random(), 2), None, float("nan")]) if j < 5
+                else float(rnd.choice([0, 1])) for j in range(6)]
+        rows.append(tuple([i] + vals + [fams[i % 10]]))
+    df = spark.createDataFrame(rows, "id int, " + ", ".join(f"{f} double" for f in feats) + ", genre_family string")
+    got = {r["id"]: r["mood"] for r in M.universal_mood(df).collect()}
+    for row in rows:
+        d = dict(zip(["id"] + feats + ["genre_family"], row))
+        assert got[d["id"]] == _python_universal(d), d

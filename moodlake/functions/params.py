@@ -257,6 +257,13 @@ TRACK_SCHEMA: list[tuple[str, str]] = [
     ("tempo", "double"), ("loudness", "double"), ("key", "bigint"), ("mode", "bigint"),
     ("time_signature", "bigint"), ("ingestion_timestamp", "timestamp"), ("source", "string"),
 ]
+# Single-precision variant: fewer columns, five range checks.
+FLOAT_TRACK_SCHEMA: list[tuple[str, str]] = [
+    ("track_id", "string"), ("track_name", "string"), ("artists", "string"),
+    ("danceability", "float"), ("energy", "float"), ("valence", "float"), ("acousticness", "float"),
+    ("instrumentalness", "float"), ("tempo", "float"), ("ingestion_timestamp", "timestamp"),
+]
+FLOAT_RANGE_COLUMNS = ["danceability", "energy", "valence", "acousticness", "instrumentalness"]
 MIN_SILVER_ROWS = 1000
 ARTIST_SEPARATOR = ";"
 HASH_SEPARATOR = "||"

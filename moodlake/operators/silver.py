@@ -41,7 +41,7 @@ def conform_schema(df: DataFrame, schema: list[tuple[str, str]] | None = None) -
         if name not in present:
             continue
         c = F.col(name).try_cast(typ)
-        if typ == "double":
+        if typ in ("double", "float"):
             c = nan_to_null(c)
         out.append(c.alias(name))
     return df.select(*out)
@@ -76,7 +76,10 @@ def filter_ranges(df: DataFrame, cols: list[str] | None = None, not_null: list[s
 
 
 def build_silver(bronze: DataFrame, tiebreak: list[str] | None = None, key: str = "track_id",
-                 ts: str = "ingestion_timestamp") -> DataFrame:
+                 ts: str = "ingestion_timestamp", schema: list[tuple[str, str]] | None = None,
+                 range_cols: list[str] | None = None, not_null: list[str] | None = None) -> DataFrame:
     """bronze -> silver: dedup (before filtering: an out-of-range latest row
-    removes the track rather than resurrecting an older copy), conform, filter."""
-    return filter_ranges(conform_schema(dedup_latest(bronze, key, ts, tiebreak)))
+    removes the track rather than resurrecting an older copy), conform, filter.
+    The canonical schema, range columns and required columns are parameters
+    (e.g. a single-precision variant with five range checks)."""
+    return filter_ranges(conform_schema(dedup_latest(bronze, key, ts, tiebreak), schema), range_cols, not_null)

@@ -21,7 +21,7 @@ from moodlake.operators import kmeans as K
 from moodlake.operators import mood as M
 from moodlake.operators import quality as Q
 from moodlake.operators import scd2 as S
-from moodlake.operators.silver import cast_failures, dedup_latest
+from moodlake.operators.silver import build_silver, cast_failures, dedup_latest
 from moodlake.plans import oracle as O
 from moodlake.plans import pipeline as PL
 from moodlake.sources import albums as AL
@@ -55,6 +55,18 @@ def q_silver(spark, sf):
     return PL.silver(spark, sf)
 
 
+_FLOAT_COLS = ", ".join(f"cast({c} as {t}) as {c}" for c, t in P.FLOAT_TRACK_SCHEMA)
+_FLOAT_RANGES = " and ".join(f"{c} between 0 and 1" for c in P.FLOAT_RANGE_COLUMNS)
+
+
+@register("silver_tracks_float", W(O.cte_ranked()) + f"""
+select * from (select {_FLOAT_COLS} from ranked where rn = 1)
+where {_FLOAT_RANGES} and tempo is not null and not isnan(tempo)""")
+def q_silver_float(spark, sf):
+    return build_silver(PL.bronze(spark, sf), fixture.BRONZE_TIEBREAK, schema=P.FLOAT_TRACK_SCHEMA,
+                        range_cols=P.FLOAT_RANGE_COLUMNS)
+
+
 @register("bronze_cast_failures", W(f"bronze as ({fixture.BRONZE_SQL})") + " union all ".join(
     f"select '{c}' as column_name, cast(count(*) filter (where {c} is not null and try_cast({c} as "
     f"{'timestamp' if t == 'timestamp' else t}) is null) as bigint) as failures from bronze"

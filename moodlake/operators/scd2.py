@@ -37,8 +37,7 @@ def scd2_merge(existing: DataFrame | None, snapshot: DataFrame, run_ts: str | Co
     Versions and snapshot rows are unioned and partitioned by key once; window
     aggregates over the key compare the snapshot hash with the open version's
     hash.  Groups are tiny (versions of one artist plus one snapshot row), so
-    the window never concentrates data; with the version table bucketed by key
-    the shuffle of the existing side disappears too.
+    the window never concentrates data.
     """
     if existing is None:
         return first_load(snapshot, run_ts, key)

@@ -43,6 +43,8 @@ def sub_label_catalog(spark: SparkSession) -> DataFrame:
 def genre_family(df: DataFrame, genre_col: str = "track_genre", out: str = "genre_family") -> DataFrame:
     """Family of lower(genre) via a broadcast join to the 114-row map; unknown
     or null genres fall back to the default family."""
+    if genre_col not in df.columns:
+        return df.withColumn(out, F.lit(P.DEFAULT_FAMILY))
     spark = df.sparkSession
     fam = F.broadcast(genre_family_table(spark).withColumnRenamed("genre_family", "_fam"))
     j = df.join(fam, F.lower(df[genre_col]) == fam["genre"], "left")
@@ -55,9 +57,12 @@ def genre_family(df: DataFrame, genre_col: str = "track_genre", out: str = "genr
 def normalize_features(df: DataFrame) -> DataFrame:
     """loudness_norm, tempo_norm (both clipped to [0,1]), numeric mode with
     default 0; missing values filled with the classifier defaults."""
-    loud = F.coalesce(nan_to_null(F.col("loudness").cast("double")), F.lit(P.LOUDNESS_FILL))
-    tempo = F.coalesce(nan_to_null(F.col("tempo").cast("double")), F.lit(P.TEMPO_FILL))
-    mode = F.coalesce(nan_to_null(F.col("mode").cast("double")), F.lit(P.MODE_FILL))
+    def raw(c: str) -> Column:  # an absent column behaves like an all-missing one
+        return nan_to_null(F.col(c).cast("double")) if c in df.columns else F.lit(None).cast("double")
+
+    loud = F.coalesce(raw("loudness"), F.lit(P.LOUDNESS_FILL))
+    tempo = F.coalesce(raw("tempo"), F.lit(P.TEMPO_FILL))
+    mode = F.coalesce(raw("mode"), F.lit(P.MODE_FILL))
     return df.withColumns({
         "loudness_norm": clip01((loud + F.lit(P.LOUDNESS_SHIFT)) / F.lit(P.LOUDNESS_SCALE)),
         "mode": mode,

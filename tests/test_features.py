@@ -39,3 +39,20 @@ def test_latest_in_range(spark):
     df = spark.createDataFrame(rows, "track_id string, event_timestamp timestamp, v double")
     r = FT.features_latest(df, "2024-01-01 00:00:00", "2024-01-05 00:00:00").collect()
     assert [x["v"] for x in r] == [2.0]
+
+
+def test_lookup_found_flag_and_description(spark):
+    base = dt.datetime(2024, 1, 1)
+    feats = spark.createDataFrame(
+        [("a", "Chill Pop", "Relaxed", "Pop", 0.123456, 0.5, 0.25, base),
+         ("b", None, "Dark", None, 0.1, 0.2, 0.3, base)],
+        "track_id string, mood_cluster string, mood string, genre_family string, danceability float, "
+        "energy float, valence float, event_timestamp timestamp")
+    req = spark.createDataFrame([("a",), ("b",), ("nonexistent_track_id",)], "track_id string")
+    got = {r["track_id"]: r for r in FT.mood_lookup(feats, req).collect()}
+    assert got["a"]["found"] and got["a"]["mood_description"] == "Relaxed, feel-good, and easy-going"
+    assert got["a"]["danceability"] == 0.1235
+    assert got["b"]["mood_label"] == "Unknown" and got["b"]["genre_family"] == "Unknown"
+    assert got["b"]["mood_description"] == ""
+    miss = got["nonexistent_track_id"]
+    assert not miss["found"] and miss["mood_label"] is None and miss["danceability"] is None

@@ -154,3 +154,10 @@ def test_universal_mood_matches_brute_force(spark):
     for row in rows:
         d = dict(zip(["id"] + feats + ["genre_family"], row))
         assert got[d["id"]] == _python_universal(d), d
+
+
+def test_missing_columns_take_defaults(spark):
+    df = spark.createDataFrame([("t1", 0.9, 0.2)], "track_id string, energy double, valence double")
+    r = M.classify_tracks(df).first()
+    assert r["genre_family"] == "Pop" and r["tempo_norm"] == 70 / 150 and r["loudness_norm"] == 0.5
+    assert r["mood"] in M.P.MOOD_NAMES and r["mood_cluster"] in {n for n, _, _ in M.P.SUB_LABELS["Pop"]}

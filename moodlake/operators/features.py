@@ -5,9 +5,11 @@ from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
+from pyspark.sql.types import StructField, StructType, TimestampType
 
 from moodlake.functions.params import FEATURE_TTL_DAYS, UNKNOWN_LABEL
 from moodlake.operators.mood import sub_label_catalog
+from moodlake.operators.silver import dedup_latest
 
 FEATURE_COLUMNS = ["track_id", "mood_cluster", "mood", "genre_family", "danceability", "energy", "valence",
                    "event_timestamp"]
@@ -43,54 +45,123 @@ def features_latest(features: DataFrame, start: str | Column | None = None, end:
 
 def features_as_of(features: DataFrame, requests: DataFrame, ttl_days: int = FEATURE_TTL_DAYS,
                    key: str = "track_id", req_ts: str = "request_ts", ts: str = "event_timestamp",
-                   values: list[str] | None = None, hot_group_rows: int = 1_000_000,
-                   salts: int = 64) -> DataFrame:
+                   values: list[str] | None = None, tiebreak: list[str] | None = None,
+                   hot_group_rows: int = 1_000_000, slices: int = 64, max_hot_groups: int = 10_000) -> DataFrame:
     """Point-in-time read: for every request (key, request_ts) the latest
     feature row with request_ts - ttl < event_timestamp <= request_ts, else nulls.
 
-    No pairs are formed.  Time is cut into TTL-wide buckets; a feature row is
-    copied into its own bucket and the next one, a request lives in its own
-    bucket, so every candidate of a request shares its (key, bucket).  Requests
-    and features are unioned, partitioned by (key, bucket) and sorted by time;
-    a running last-non-null carries the newest feature forward to each request.
-
-    Hot groups: a (key, bucket) with more than `hot_group_rows` requests is
-    split into `salts` sub-groups by a hash of the request, and that group's
-    feature rows (at most two buckets of one key) are copied to every
-    sub-group.  The hot-group list is found by an aggregate and has at most
-    requests / hot_group_rows entries, so it is broadcast with a proven bound.
+    No pairs are formed and either side may be skewed.
+
+    * Feature rows are made unique per (key, time): ties keep the smallest
+      `tiebreak` values (default: the value columns), pre-limited map-side.
+    * Time is cut into TTL-wide buckets.  A (key, bucket) holding more than
+      `hot_group_rows` rows is cut at approximate percentiles of its times
+      into open intervals plus one point slice per percentile value; a time
+      holding a large share of the group always is such a value, and one
+      found at two or more percentiles (>= 1/slices of the group) is salted:
+      its requests are spread over `slices` salts by a hash of the request,
+      and its single feature row (one per key and time) and carry-in row are
+      copied to each salt.  The hot list keeps at most `max_hot_groups`
+      groups (the largest), so the broadcast percentile table is bounded by
+      max_hot_groups x (slices - 1) longs; larger-than-threshold groups past
+      that bound stay whole and are still answered exactly.
+    * Hot groups are found on a sample of about 1000 rows per `hot_group_rows`
+      (the sample only decides where to split, never an answer).
+    * Carry-in comes from the feature rows alone: an aggregate takes the
+      newest feature of every (key, bucket, slice), and a window per key over
+      those summaries plus target stubs (slice 0 of the next bucket -- older
+      buckets are past the TTL -- and every slice of a hot group) gives each
+      slice the newest feature of all earlier slices.  One carry-in row joins
+      each slice's rows, which are sorted by time (features before requests at
+      equal time, so ts <= request_ts is included); a running last-non-null
+      gives each request its newest feature, and the TTL test keeps it or not.
+
+    Requests with a null key or time pass through unmatched.  Requests are
+    read by the sample, the percentile pass (hot groups only) and the sort:
+    pass stored tables or check-pointed plans, not costly derivations.
     """
     values = values or [c for c in features.columns if c not in (key, ts)]
     ttl_s = int(ttl_days) * 86400
-    bucket = lambda c: F.floor(F.unix_seconds(c.cast("timestamp")) / F.lit(ttl_s)).cast("bigint")
     req_cols = list(requests.columns)
-    reqs = requests.select(key, bucket(F.col(req_ts)).alias("_bucket"), F.col(req_ts).alias("_t"),
-                           F.lit(0).alias("_is_feat"), F.struct(*req_cols).alias("_r"))
-    hot = (reqs.groupBy(key, "_bucket").agg(F.count(F.lit(1)).alias("_n"))
-           .filter(F.col("_n") > hot_group_rows).select(key, "_bucket", F.lit(True).alias("_hot")))
-    hot = F.broadcast(hot)
-    reqs = (reqs.join(hot, [key, "_bucket"], "left")
-            .withColumn("_salt", F.when(F.col("_hot"), F.pmod(F.xxhash64("_r"), F.lit(salts))).otherwise(F.lit(0)))
-            .drop("_hot"))
-    feat = features.select(key, ts, *values)
-    feat = (feat.withColumn("_b0", bucket(F.col(ts)))
-            .withColumn("_bucket", F.explode(F.array(F.col("_b0"), F.col("_b0") + 1))).drop("_b0"))
-    feat = (feat.join(hot, [key, "_bucket"], "left")
-            .withColumn("_salt", F.explode(F.when(F.col("_hot"), F.sequence(F.lit(0), F.lit(salts - 1)))
-                                           .otherwise(F.array(F.lit(0)))))
-            .drop("_hot"))
-    feat = feat.select(key, "_bucket", "_salt", F.col(ts).alias("_t"), F.lit(1).alias("_is_feat"),
-                       F.struct(F.col(ts).alias("_fts"), *values).alias("_f"))
-    feat = feat.withColumn("_r", F.lit(None).cast(reqs.schema["_r"].dataType))
-    reqs = reqs.withColumn("_f", F.lit(None).cast(feat.schema["_f"].dataType))
-    both = feat.unionByName(reqs)
-    # features sort before requests at equal time, so ts <= request_ts is included
-    w = (Window.partitionBy(key, "_bucket", "_salt").orderBy(F.col("_t"), F.col("_is_feat").desc())
+
+    feat = (features.select(key, F.col(ts).cast("timestamp").alias("_t"), *values)
+            .filter(F.col(key).isNotNull() & F.col("_t").isNotNull()))
+    feat = dedup_latest(feat, [key, "_t"], "_t", tiebreak or values)
+    f_type = StructType([StructField("_fts", TimestampType())]
+                        + [features.schema[v] for v in values])
+    r_type = StructType([requests.schema[c] for c in req_cols])
+    feat = feat.select(key, "_t", F.lit(0).alias("_kind"),
+                       F.struct(F.col("_t").alias("_fts"), *values).cast(f_type).alias("_f"),
+                       F.lit(None).cast(r_type).alias("_r"))
+    req = requests.select(key, F.col(req_ts).cast("timestamp").alias("_t"), F.lit(1).alias("_kind"),
+                          F.lit(None).cast(f_type).alias("_f"), F.struct(*req_cols).alias("_r"))
+    answerable = F.col(key).isNotNull() & F.col("_t").isNotNull()
+    unmatched = req.filter(~answerable).select("_r", F.lit(None).cast(f_type).alias("_hit"))
+    rows = (feat.unionByName(req.filter(answerable))
+            .withColumn("_b", F.floor(F.unix_seconds(F.col("_t")) / F.lit(ttl_s)).cast("bigint")))
+
+    # hot groups (found on a sample: they only decide splitting, never the
+    # answer) and their percentile times, both bounded (see above)
+    frac = min(1.0, 1000.0 / hot_group_rows)
+    hot = (rows.select(key, "_b").sample(fraction=frac, seed=17) if frac < 1.0 else rows.select(key, "_b"))
+    hot = (hot.groupBy(key, "_b").agg(F.count(F.lit(1)).alias("_n")).filter(F.col("_n") > hot_group_rows * frac)
+           .orderBy(F.col("_n").desc(), key, "_b").limit(max_hot_groups).select(key, "_b"))
+    pct = [i / slices for i in range(1, slices)]
+    bounds = (rows.join(F.broadcast(hot), [key, "_b"], "left_semi").groupBy(key, "_b")
+              .agg(F.percentile_approx(F.unix_micros("_t"), pct).alias("_bounds")))
+    bounds = F.broadcast(bounds)
+    us = F.unix_micros("_t")
+    point = F.coalesce(F.array_contains("_bounds", us), F.lit(False))
+    below = F.coalesce(F.size(F.filter("_bounds", lambda x: x < us)), F.lit(0))
+    # a time at two or more percentiles holds >= 1/slices of the group: salt it
+    heavy = F.coalesce(F.size(F.filter("_bounds", lambda x: x == us)) >= 2, F.lit(False))
+    rows = (rows.join(bounds, [key, "_b"], "left")
+            .withColumn("_s", below * 2 + point.cast("int"))
+            .withColumn("_pt", heavy)
+            .drop("_bounds"))
+    all_salts = F.sequence(F.lit(0), F.lit(slices - 1))
+
+    # carry-in, from the feature rows only: the newest feature of every
+    # (key, bucket, slice), and a window per key over those summaries plus
+    # target stubs (slice 0 of the next bucket -- older buckets are past the
+    # TTL -- and every slice of a hot group) gives each slice the newest
+    # feature of all earlier slices
+    summary = (rows.filter(F.col("_kind") == 0).groupBy(key, "_b", "_s")
+               .agg(F.max(F.struct("_t", "_f")).alias("_m"), F.max("_pt").alias("_pt"))
+               .withColumn("_o", F.lit(1)))
+    no_m = F.lit(None).cast(summary.schema["_m"].dataType)
+    next_bucket = summary.select(key, (F.col("_b") + 1).alias("_b"), F.lit(0).alias("_s"), no_m.alias("_m"),
+                                 F.lit(False).alias("_pt"), F.lit(0).alias("_o"))
+    value_at = F.element_at("_bounds", (F.floor(F.col("_s") / 2) + 1).cast("int"))
+    hot_stubs = (bounds.select(key, "_b", "_bounds", F.explode(F.sequence(F.lit(0), F.lit(2 * (slices - 1))))
+                               .alias("_s"))
+                 .select(key, "_b", "_s", no_m.alias("_m"),
+                         ((F.col("_s") % 2 == 1)
+                          & (F.size(F.filter("_bounds", lambda x: x == value_at)) >= 2)).alias("_pt"),
+                         F.lit(0).alias("_o")))
+    earlier = (Window.partitionBy(key).orderBy("_b", "_s", "_o")
+               .rowsBetween(Window.unboundedPreceding, -1))
+    carry = (summary.unionByName(next_bucket).unionByName(hot_stubs)
+             .withColumn("_c", F.last(F.col("_m._f"), ignorenulls=True).over(earlier))
+             .filter(F.col("_c").isNotNull())
+             .select(key, "_b", "_s",
+                     F.explode(F.when(F.col("_pt"), all_salts).otherwise(F.array(F.lit(0)))).alias("_salt"),
+                     F.lit(None).cast("timestamp").alias("_t"), F.lit(-1).alias("_kind"),
+                     F.col("_c").alias("_f"), F.lit(None).cast(r_type).alias("_r")))
+
+    # point slices: requests salted, the slice's one feature row copied to every salt
+    salt = (F.when(~F.col("_pt"), F.array(F.lit(0)))
+            .when(F.col("_kind") == 1, F.array(F.pmod(F.xxhash64("_r"), F.lit(slices)).cast("int")))
+            .otherwise(all_salts))
+    rows = rows.select(key, "_b", "_s", F.explode(salt).alias("_salt"), "_t", "_kind", "_f", "_r")
+    w = (Window.partitionBy(key, "_b", "_s", "_salt").orderBy(F.col("_t").asc_nulls_first(), F.col("_kind"))
          .rowsBetween(Window.unboundedPreceding, Window.currentRow))
-    carried = both.withColumn("_last", F.last("_f", ignorenulls=True).over(w)).filter(F.col("_is_feat") == 0)
+    carried = (rows.unionByName(carry).withColumn("_last", F.last("_f", ignorenulls=True).over(w))
+               .filter(F.col("_kind") == 1))
     fresh = F.col("_last._fts") > (F.col("_t") - F.expr(f"INTERVAL {int(ttl_days)} DAYS"))
-    return carried.select("_r.*", *[F.when(fresh, F.col(f"_last.{v}")).alias(v) for v in values],
-                          F.when(fresh, F.col("_last._fts")).alias(ts))
+    answered = carried.select("_r", F.when(fresh, F.col("_last")).alias("_hit")).unionByName(unmatched)
+    return answered.select("_r.*", *[F.col(f"_hit.{v}").alias(v) for v in values],
+                           F.col("_hit._fts").alias(ts))
 
 
 def mood_lookup(features: DataFrame, requests: DataFrame, key: str = "track_id", digits: int = 4) -> DataFrame:

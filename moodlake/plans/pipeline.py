@@ -63,14 +63,20 @@ def features(spark: SparkSession, sf: str) -> DataFrame:
     return build_features(classified(spark, sf), fixture.RUN_TS)
 
 
-def feature_history(spark: SparkSession, sf: str) -> DataFrame:
+def feature_history(spark: SparkSession, sf: str, materialize: bool = False) -> DataFrame:
     """Feature rows of three successive runs, run i over the silver rows
     ingested before its cut-off.  Classification is row-wise, so silver is
     classified once and each row is fanned out (a generator, not a union of
-    three re-computations) to the runs that saw it."""
+    three re-computations) to the runs that saw it.  With `materialize` the
+    table is check-pointed (it stands for the stored feature table) for
+    readers that scan it more than once."""
     cls = classified(spark, sf)
     runs = F.array(*[F.struct(F.lit(cut).cast("timestamp").alias("cutoff"), F.lit(ts).cast("timestamp").alias("ts"))
                      for cut, ts in fixture.SNAPSHOTS])
     seen = F.filter(runs, lambda r: r["cutoff"].isNull() | (F.col("ingestion_timestamp") < r["cutoff"]))
     fanned = cls.withColumn("_run", F.explode(seen))
-    return build_features(fanned, F.col("_run.ts"))
+    history = build_features(fanned, F.col("_run.ts"))
+    if materialize:
+        checkpoint_dir(spark)
+        history = history.checkpoint(eager=True)
+    return history

@@ -283,8 +283,8 @@ def q_dq_labels(spark, sf):
 # ---------------------------------------------------------------------------
 # features
 # ---------------------------------------------------------------------------
-def _history(spark, sf) -> DataFrame:
-    return PL.feature_history(spark, sf)
+def _history(spark, sf, materialize: bool = False) -> DataFrame:
+    return PL.feature_history(spark, sf, materialize)
 
 
 _HIST = W(O.cte_silver(), O.cte_feature_history())
@@ -332,7 +332,7 @@ select track_id, request_ts, mood_cluster, mood, genre_family, danceability, ene
     on h.track_id = r.track_id and h.event_timestamp <= r.request_ts
    and h.event_timestamp > r.request_ts - interval {P.FEATURE_TTL_DAYS} day) where rn = 1""")
 def q_features_as_of(spark, sf):
-    return FT.features_as_of(_history(spark, sf), _requests(spark, sf))
+    return FT.features_as_of(_history(spark, sf, materialize=True), _requests(spark, sf))
 
 
 @register("mood_lookup", _HIST + f""",

@@ -20,7 +20,7 @@ def test_as_of_matches_brute_force(spark):
     assert sorted(got, key=str) == sorted(want, key=str)
 
 
-def test_as_of_hot_groups_salted_same_result(spark):
+def test_as_of_hot_groups_sliced_same_result(spark):
     rnd = random.Random(5)
     base = dt.datetime(2024, 1, 1)
     feats = [("hot", base + dt.timedelta(hours=rnd.randint(0, 24 * 20)), float(i)) for i in range(30)]
@@ -28,7 +28,7 @@ def test_as_of_hot_groups_salted_same_result(spark):
     fdf = spark.createDataFrame(feats, "track_id string, event_timestamp timestamp, v double")
     rdf = spark.createDataFrame(reqs, "track_id string, request_ts timestamp")
     plain = FT.features_as_of(fdf, rdf, ttl_days=7)
-    salted = FT.features_as_of(fdf, rdf, ttl_days=7, hot_group_rows=10, salts=8)
+    salted = FT.features_as_of(fdf, rdf, ttl_days=7, hot_group_rows=10, slices=8)
     key = lambda r: (r["track_id"], r["request_ts"], r["v"] is None, r["v"] or 0.0)
     assert sorted(plain.collect(), key=key) == sorted(salted.collect(), key=key)
 
@@ -56,3 +56,64 @@ def test_lookup_found_flag_and_description(spark):
     assert got["b"]["mood_description"] == ""
     miss = got["nonexistent_track_id"]
     assert not miss["found"] and miss["mood_label"] is None and miss["danceability"] is None
+
+
+def _brute_as_of(feats, reqs, ttl_days):
+    want = []
+    for k, t in reqs:
+        cands = [(ts, v) for kk, ts, v in feats if kk == k and ts is not None and t is not None
+                 and t - dt.timedelta(days=ttl_days) < ts <= t]
+        want.append((k, t, min(c for c in cands if c[0] == max(cands)[0])[1] if cands else None))
+    return want
+
+
+def test_as_of_hot_feature_and_request_side_sliced(spark):
+    """A third of the feature rows and of the requests on one key (many
+    requests at one identical time, feature rows tied at equal times); the
+    sliced plan equals brute force and no feature row is copied."""
+    rnd = random.Random(11)
+    base = dt.datetime(2024, 1, 1)
+    feats = []
+    for i in range(600):
+        k = "hot" if i % 3 == 0 else f"t{rnd.randint(0, 9)}"
+        feats.append((k, base + dt.timedelta(hours=rnd.randint(0, 24 * 30)), float(rnd.randint(0, 1000))))
+    feats += [("hot", feats[0][1], -5.0), ("hot", feats[0][1], 7.0)]  # ties at one time: smallest value wins
+    reqs = [("hot", base + dt.timedelta(days=12))] * 150
+    reqs += [("hot" if i % 3 == 0 else f"t{rnd.randint(0, 10)}", base + dt.timedelta(hours=rnd.randint(0, 24 * 35)))
+             for i in range(450)]
+    reqs += [(None, base), ("hot", None)]
+    fdf = spark.createDataFrame(feats, "track_id string, event_timestamp timestamp, v double")
+    rdf = spark.createDataFrame(reqs, "track_id string, request_ts timestamp")
+    out = FT.features_as_of(fdf, rdf, ttl_days=7, hot_group_rows=20, slices=8)
+    got = [(r["track_id"], r["request_ts"], r["v"]) for r in out.collect()]
+    assert len(got) == len(reqs)
+    assert sorted(got, key=str) == sorted(_brute_as_of(feats, reqs, 7), key=str)
+    plan = out._jdf.queryExecution().executedPlan().toString()
+    assert "percentile_approx" in plan and "Expand" not in plan
+    # rows entering any shuffle stay O(requests + features): at most two carry
+    # rows per feature slice, stubs of the hot groups, and salt copies only in
+    # point slices -- never the group's features copied to every salt
+    hot_groups = 11 * 7  # at most: keys x TTL buckets spanned
+    bound = len(reqs) + 3 * len(feats) + hot_groups * (2 * 8 - 1) + 2 * 8 * 8
+    assert max(_shuffle_records(out)) <= bound < len(reqs) + len(feats) * 8 * 2
+
+
+def _shuffle_records(df):
+    """Records written by each shuffle of the DataFrame's executed plan."""
+    df.collect()  # runs the DataFrame's own query execution, whose plan carries the metrics
+    out = []
+
+    def walk(node):
+        cls = node.getClass().getSimpleName()
+        if cls == "AdaptiveSparkPlanExec":
+            return walk(node.executedPlan())
+        if "QueryStage" in cls:
+            return walk(node.plan())
+        if cls == "ShuffleExchangeExec":
+            out.append(node.metrics().apply("shuffleRecordsWritten").value())
+        kids = node.children()
+        for i in range(kids.size()):
+            walk(kids.apply(i))
+    walk(df._jdf.queryExecution().executedPlan())
+    assert out
+    return out

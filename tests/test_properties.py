@@ -77,3 +77,34 @@ def test_empty_inputs(spark):
     assert rep[("row_count", None)]["observed"] == 0 and not rep[("row_count", None)]["passed"]
     assert rep[("referential", "artists")]["passed"]
     assert Q.dq_gold(gold).filter(~F.col("passed")).count() == 0
+
+
+as_of_st = st.tuples(
+    st.lists(st.tuples(st.sampled_from(["a", "b", None]), st.integers(0, 30 * 24), st.integers(-3, 3)),
+             max_size=40),
+    st.lists(st.tuples(st.sampled_from(["a", "b", "c", None]),
+                       st.one_of(st.none(), st.integers(0, 34 * 24), st.just(12 * 24))), max_size=60),
+    st.integers(1, 6), st.integers(2, 5), st.integers(1, 9))
+
+
+@settings(max_examples=12, deadline=None, suppress_health_check=list(HealthCheck))
+@given(as_of_st)
+def test_as_of_equals_brute_force(spark, case):
+    """Any split (tiny hot threshold, few slices, a popular request time, tied
+    feature times, null keys and times) gives the brute-force answer: the
+    newest feature with request - ttl < ts <= request, ties to the smallest value."""
+    from moodlake.operators.features import features_as_of
+    feats, reqs, hot_rows, slices, ttl = case
+    f = [(k, T0 + dt.timedelta(hours=h), float(v)) for k, h, v in feats]
+    r = [(k, None if h is None else T0 + dt.timedelta(hours=h)) for k, h in reqs]
+    fdf = spark.createDataFrame(f, "track_id string, event_timestamp timestamp, v double")
+    rdf = spark.createDataFrame(r, "track_id string, request_ts timestamp")
+    out = features_as_of(fdf, rdf, ttl_days=ttl, hot_group_rows=hot_rows, slices=slices)
+    got = sorted(((x["track_id"], x["request_ts"], x["v"], x["event_timestamp"]) for x in out.collect()), key=str)
+    want = []
+    for k, t in r:
+        c = [(ts, v) for kk, ts, v in f if k is not None and t is not None and kk == k
+             and t - dt.timedelta(days=ttl) < ts <= t]
+        best = max(c)[0] if c else None
+        want.append((k, t, min(v for ts, v in c if ts == best) if c else None, best))
+    assert got == sorted(want, key=str)

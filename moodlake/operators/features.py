@@ -164,20 +164,38 @@ def features_as_of(features: DataFrame, requests: DataFrame, ttl_days: int = FEA
                            F.col("_hit._fts").alias(ts))
 
 
-def mood_lookup(features: DataFrame, requests: DataFrame, key: str = "track_id", digits: int = 4) -> DataFrame:
-    """Batch form of the per-id lookup: every requested id, `found` false when
-    there is no feature row; label description from the 50-row catalog."""
+def mood_lookup(features: DataFrame, requests: DataFrame, key: str = "track_id", digits: int = 4,
+                chunk_rows: int = 100_000) -> DataFrame:
+    """Batch form of the per-id lookup: one row per request (duplicates kept),
+    `found` false when there is no feature row; label description from the
+    50-row catalog.
+
+    The answer depends on the id alone, so requests are counted per id first
+    (pre-aggregated map-side: an id asked for by a third of all requests
+    ships one row per map task) and the counts join the latest features one
+    to one, so no join partition can be skewed.  Multiplicity comes back by
+    cutting each count into chunks of at most `chunk_rows`, spreading the
+    chunks by (id, chunk) and expanding each chunk in its own task.
+    """
     spark = features.sparkSession
     latest = features_latest(features, key=key)
     cat = F.broadcast(sub_label_catalog(spark).select("mood_label", "mood_description"))
-    j = requests.select(key).join(latest, key, "left")
+    counts = requests.groupBy(key).agg(F.count(F.lit(1)).alias("_n"))
+    j = counts.join(latest, key, "left")
     j = j.withColumn("found", F.col("event_timestamp").isNotNull())
     j = j.withColumn("mood_label", F.when(F.col("found"), F.coalesce("mood_cluster", F.lit(UNKNOWN_LABEL))))
     j = j.join(cat, "mood_label", "left")
-    return j.select(
-        key, "found",
+    answers = j.select(
+        key, "_n", "found",
         F.when(F.col("found"), F.coalesce("genre_family", F.lit("Unknown"))).alias("genre_family"),
         "mood_label",
         F.when(F.col("found"), F.coalesce("mood_description", F.lit(""))).alias("mood_description"),
         *[F.round(F.col(c).cast("double"), digits).alias(c) for c in ("danceability", "energy", "valence")],
     )
+    chunk = F.lit(int(chunk_rows)).cast("bigint")
+    chunks = (answers.withColumn("_c", F.explode(F.sequence(F.lit(0).cast("bigint"),
+                                                            F.floor((F.col("_n") - 1) / chunk).cast("bigint"))))
+              .withColumn("_m", F.least(chunk, F.col("_n") - F.col("_c") * chunk))
+              .repartition(key, "_c"))
+    out = chunks.withColumn("_i", F.explode(F.sequence(F.lit(1).cast("bigint"), F.col("_m"))))
+    return out.drop("_n", "_c", "_m", "_i")

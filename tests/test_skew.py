@@ -70,3 +70,26 @@ def test_hot_key_dedup_preserves_one_row_per_key(spark, skew_conf):
     assert out.count() == n_keys
     plan = out._jdf.queryExecution().executedPlan().toString()
     assert plan.count("WindowGroupLimit") >= 2
+
+
+def test_hot_lookup_request_is_whole_and_split(spark, skew_conf):
+    """A third of the lookup requests ask for one track: every request gets
+    its row, and the hot id is pre-aggregated instead of sent to one task."""
+    from moodlake.operators import features as FT
+    t = tracks(spark)
+    feats = t.select("track_id", "popularity", F.lit("Chill Pop").alias("mood_cluster"), F.lit("Relaxed").alias("mood"),
+                     F.lit("Pop").alias("genre_family"), F.col("danceability").cast("float").alias("danceability"),
+                     F.col("energy").cast("float").alias("energy"), F.lit(0.5).cast("float").alias("valence"),
+                     F.lit(dt.datetime(2024, 2, 1)).alias("event_timestamp")).filter(F.col("popularity") % 2 == 0)
+    req = spark.range(N).select(F.when(F.col("id") % 3 == 0, F.lit("T7"))
+                                .otherwise(F.concat(F.lit("T"), F.col("id").cast("string"))).alias("track_id"))
+    out = FT.mood_lookup(feats, req, chunk_rows=1000)
+    rows = out.groupBy("track_id").agg(F.count("*").alias("n"), F.min(F.col("found").cast("int")).alias("f"))
+    got = {r["track_id"]: (r["n"], r["f"]) for r in rows.collect()}
+    assert sum(n for n, _ in got.values()) == N
+    assert got["T7"] == (N // 3 + 1, 0) and got["T8"] == (1, 1)
+    # requests are counted per id before any shuffle: no shuffle carries the
+    # hot id's rows one by one
+    from test_features import _shuffle_records
+    distinct_ids = N - N // 3 + 1
+    assert max(_shuffle_records(out)) <= distinct_ids + 100

@@ -93,3 +93,16 @@ def test_hot_lookup_request_is_whole_and_split(spark, skew_conf):
     from test_features import _shuffle_records
     distinct_ids = N - N // 3 + 1
     assert max(_shuffle_records(out)) <= distinct_ids + 100
+
+
+def test_hot_artist_fact_is_whole_and_split(spark, skew_conf):
+    """The fact's first-artist lookup with a third of all tracks on one artist:
+    one fact row per track, and the hot join partition is split."""
+    t = tracks(spark)
+    versions = S.scd2_merge(None, A.artist_snapshot(t), "2024-02-01 00:00:00").checkpoint()
+    fact = G.fact_streams(t, versions, G.dim_genre(t))
+    got = fact.groupBy(F.col("artist_id") == F.md5(F.lit("Hot Artist"))).count().collect()
+    assert sum(r["count"] for r in got) == N
+    assert [r["count"] for r in got if r[0]] == [N // 3]
+    fact.collect()
+    assert "skew=true" in fact._jdf.queryExecution().executedPlan().toString()

@@ -65,6 +65,33 @@ def scd2_merge(existing: DataFrame | None, snapshot: DataFrame, run_ts: str | Co
     return updated.select(*cols)
 
 
+def _changed_keys(existing: DataFrame, snapshot: DataFrame, key: str, hash_col: str) -> DataFrame:
+    """Keys whose open version differs from the snapshot row (one row per key:
+    the snapshot and the open versions are both unique per key)."""
+    opened = current_versions(existing).select(key, F.col(hash_col).alias("_old"))
+    snap = snapshot.select(key, F.col(hash_col).alias("_new"))
+    return opened.join(snap, key).filter(~F.col("_old").eqNullSafe(F.col("_new"))).select(key)
+
+
+def scd2_expire(existing: DataFrame, snapshot: DataFrame, run_ts: str | Column, key: str = "artist_id",
+                hash_col: str = "row_hash") -> DataFrame:
+    """The open versions a merge closes (semi join on changed keys), with
+    valid_to = run time and is_current = false."""
+    cols = existing.columns
+    closed = current_versions(existing).join(_changed_keys(existing, snapshot, key, hash_col), key, "left_semi")
+    return closed.withColumns({"valid_to": _ts(run_ts), "is_current": F.lit(False)}).select(*cols)
+
+
+def scd2_unchanged(existing: DataFrame, snapshot: DataFrame, key: str = "artist_id",
+                   hash_col: str = "row_hash") -> DataFrame:
+    """The versions a merge leaves as they are: all closed history, and the
+    open versions of keys that are absent from the snapshot or unchanged
+    (anti join on changed keys)."""
+    history = existing.filter(~F.col("is_current"))
+    kept = current_versions(existing).join(_changed_keys(existing, snapshot, key, hash_col), key, "left_anti")
+    return history.unionByName(kept.select(*existing.columns))
+
+
 def current_versions(versions: DataFrame) -> DataFrame:
     return versions.filter(F.col("is_current"))
 

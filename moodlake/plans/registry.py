@@ -113,6 +113,30 @@ def q_scd2_stats(spark, sf):
     return S.merge_stats(PL.artist_versions(spark, sf, steps=2, tracks=tracks), PL.snapshot_at(tracks, None))
 
 
+_LAST_TS = fixture.SNAPSHOTS[2][1]
+_CHANGED = """chg as (select o.artist_id from versions o join snapn n on o.artist_id = n.artist_id
+                where o.is_current and o.row_hash is distinct from n.row_hash)"""
+
+
+@register("scd2_expired", W(O.cte_silver(), O.cte_versions(2), O.cte_snapshot("snapn", None), _CHANGED) + f"""
+select artist_id, artist_name, artist_genre, artist_popularity, row_hash, valid_from,
+       timestamp '{_LAST_TS}' as valid_to, false as is_current
+from versions where is_current and artist_id in (select artist_id from chg)""")
+def q_scd2_expired(spark, sf):
+    """Open versions after two merges that the third snapshot closes."""
+    tracks = PL.silver(spark, sf, materialize=True)
+    return S.scd2_expire(PL.artist_versions(spark, sf, steps=2, tracks=tracks), PL.snapshot_at(tracks, None),
+                         _LAST_TS)
+
+
+@register("scd2_unchanged", W(O.cte_silver(), O.cte_versions(2), O.cte_snapshot("snapn", None), _CHANGED) + """
+select * from versions where not is_current or artist_id not in (select artist_id from chg)""")
+def q_scd2_unchanged(spark, sf):
+    """Versions after two merges that the third snapshot leaves untouched."""
+    tracks = PL.silver(spark, sf, materialize=True)
+    return S.scd2_unchanged(PL.artist_versions(spark, sf, steps=2, tracks=tracks), PL.snapshot_at(tracks, None))
+
+
 # ---------------------------------------------------------------------------
 # gold
 # ---------------------------------------------------------------------------

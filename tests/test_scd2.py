@@ -50,3 +50,21 @@ def test_merge_stats(spark):
     v = S.scd2_merge(None, snap(spark, [("a", "A", "pop", 1), ("b", "B", "rock", 2)]), "2024-01-01 00:00:00")
     st = S.merge_stats(v, snap(spark, [("a", "A", "pop", 7), ("c", "C", "x", 1)])).first()
     assert (st["open_before"], st["expired"], st["unchanged"], st["inserted"]) == (2, 1, 1, 2)
+
+
+def test_merge_is_unchanged_plus_expired_plus_inserted(spark):
+    """The one-shuffle merge equals its join form: untouched versions (anti
+    join), closed open versions (semi join) and new open versions."""
+    from moodlake.plans import pipeline as PL
+    from moodlake.sources import fixture
+    tracks = PL.silver(spark, "/root/testdata/sf0.001", materialize=True)
+    before = PL.artist_versions(spark, "/root/testdata/sf0.001", steps=2, tracks=tracks)
+    snap = PL.snapshot_at(tracks, None)
+    ts = fixture.SNAPSHOTS[2][1]
+    merged = S.scd2_merge(before, snap, ts)
+    expired = S.scd2_expire(before, snap, ts)
+    kept = S.scd2_unchanged(before, snap)
+    inserted = merged.filter("is_current and valid_from = timestamp'" + ts + "'")
+    parts = kept.unionByName(expired).unionByName(inserted)
+    assert expired.count() > 0 and kept.count() > 0
+    assert sorted(map(tuple, merged.collect()), key=str) == sorted(map(tuple, parts.collect()), key=str)

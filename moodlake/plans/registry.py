@@ -259,6 +259,17 @@ def q_universal(spark, sf):
     return M.universal_mood(df).select("track_id", "genre_family", "mood")
 
 
+_SCORE_COLS = [f"score_{m.lower()}" for m in P.MOOD_NAMES]
+
+
+@register("universal_mood_scores", _CLS + "select track_id, genre_family, " + ", ".join(
+    f"s_{m.lower()} as score_{m.lower()}" for m in P.MOOD_NAMES) + " from classified")
+def q_universal_scores(spark, sf):
+    """The ten rule scores with the family bonus (M4, M5) behind the mood pick."""
+    df = M.genre_family(M.normalize_features(PL.silver(spark, sf)))
+    return M.universal_mood(df, keep_scores=True).select("track_id", "genre_family", *_SCORE_COLS)
+
+
 @register("sub_label", _CLS + "select track_id, genre_family, mood_cluster from classified")
 def q_sub_label(spark, sf):
     df = M.genre_family(M.normalize_features(PL.silver(spark, sf)))

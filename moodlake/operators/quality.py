@@ -63,6 +63,32 @@ def dq_unique(df: DataFrame, cols: list[str], table: str = "") -> DataFrame:
     return reduce(DataFrame.unionByName, parts)
 
 
+def dq_table(df: DataFrame, table: str, pk: str | None = None, not_null: list[str] | None = None,
+             accepted: dict[str, list[str]] | None = None) -> DataFrame:
+    """Key (nulls, duplicates), not-null and accepted-value checks of one table
+    in ONE scan: the per-row counters are summed inside the key aggregation,
+    whose partial step runs map-side, so the table is read once and the key
+    shuffle carries a few extra counters instead of a second pass."""
+    not_null = not_null or []
+    accepted = accepted or {}
+    counters = ([(f"n_{i}", F.count_if(F.col(c).isNull())) for i, c in enumerate(not_null)]
+                + [(f"a_{i}", F.count_if(F.col(c).isNotNull() & ~F.col(c).isin(*vals)))
+                   for i, (c, vals) in enumerate(accepted.items())])
+    specs = ([("not_null", table, c, f"n_{i}") for i, c in enumerate(not_null)]
+             + [("accepted_values", table, c, f"a_{i}") for i, c in enumerate(accepted)])
+    if pk is None:
+        wide = df.agg(*[e.alias(n) for n, e in counters]) if counters else None
+    else:
+        per_key = df.groupBy(pk).agg(F.count(F.lit(1)).alias("_n"), *[e.alias(n) for n, e in counters])
+        wide = per_key.agg(F.coalesce(F.sum(F.col("_n") - 1), F.lit(0)).alias("_dups"),
+                           F.coalesce(F.sum(F.when(F.col(pk).isNull(), F.col("_n"))), F.lit(0)).alias("_nulls"),
+                           *[F.coalesce(F.sum(n), F.lit(0)).alias(n) for n, _ in counters])
+        specs = [("not_null", table, pk, "_nulls"), ("unique", table, pk, "_dups")] + specs
+    if wide is None:
+        raise ValueError("dq_table needs a key or at least one column check")
+    return _rows(wide, specs)
+
+
 def dq_accepted_values(df: DataFrame, col: str, values: list[str], table: str = "") -> DataFrame:
     """Non-null values outside the accepted set (nulls pass)."""
     wide = df.agg(F.count_if(F.col(col).isNotNull() & ~F.col(col).isin(*values)).alias("bad"))

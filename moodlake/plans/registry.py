@@ -230,10 +230,9 @@ def q_dq_orders(spark, sf):
     ref = (orphans.agg(F.count(F.lit(1)).alias("observed"))
            .select(F.lit("referential").alias("check_name"), F.lit("orders").alias("table_name"),
                    F.lit("o_custkey").alias("column_name"), "observed", (F.col("observed") == 0).alias("passed")))
-    return Q.dq_report(Q.dq_primary_key(orders, "o_orderkey", "orders"),
-                       Q.dq_nulls(orders, ["o_custkey"], "orders"),
-                       Q.dq_accepted_values(orders, "o_orderstatus", ["F", "O"], "orders"),
-                       ref)
+    checks = Q.dq_table(orders, "orders", pk="o_orderkey", not_null=["o_custkey"],
+                        accepted={"o_orderstatus": ["F", "O"]})
+    return Q.dq_report(checks, ref)
 
 
 # ---------------------------------------------------------------------------

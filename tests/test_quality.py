@@ -22,3 +22,15 @@ def test_assert_quality_lists_all_failures(spark):
         Q.assert_quality(rep)
     msg = str(e.value)
     assert "not_null t.track_id" in msg and "in_range t.energy" in msg and "row_count" in msg
+
+
+def test_dq_table_one_pass_counts(spark):
+    rows = [(1, 10, "F"), (1, None, "O"), (2, 11, "X"), (None, 12, None), (None, None, "F"), (3, 13, "O")]
+    df = spark.createDataFrame(rows, "k bigint, c bigint, s string")
+    out = Q.dq_table(df, "t", pk="k", not_null=["c"], accepted={"s": ["F", "O"]})
+    got = {(r["check_name"], r["column_name"]): (r["observed"], r["passed"]) for r in out.collect()}
+    # duplicates: one extra row for key 1, one for the null key (nulls are equal)
+    assert got == {("not_null", "k"): (2, False), ("unique", "k"): (2, False),
+                   ("not_null", "c"): (2, False), ("accepted_values", "s"): (1, False)}
+    final = out._jdf.queryExecution().executedPlan().toString().split("== Initial Plan ==")[0]
+    assert final.count("Scan ExistingRDD") == 1

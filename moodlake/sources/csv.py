@@ -10,11 +10,14 @@ from pyspark.sql.types import StructType
 INDEX_COLUMNS = ["Unnamed: 0", "_c0"]
 
 
-def read_tracks_csv(spark: SparkSession, path: str, schema: StructType | str | None = None) -> DataFrame:
+def read_tracks_csv(spark: SparkSession, path: str, schema: StructType | str | None = None,
+                    multi_line: bool = True) -> DataFrame:
     """CSV with a header.  Pass a schema in production (one pass, no
     inference); without one the types are inferred.  A stray index column is
-    dropped.  Multi-line quoted fields are supported."""
-    r = spark.read.option("header", True).option("multiLine", True).option("escape", '"')
+    dropped.  With `multi_line` quoted fields may hold line breaks, but each
+    file is then parsed by one task; for landings of a few very large files
+    whose fields hold no line breaks, pass False so files split by size."""
+    r = spark.read.option("header", True).option("multiLine", multi_line).option("escape", '"')
     r = r.schema(schema) if schema is not None else r.option("inferSchema", True)
     df = r.csv(path)
     return df.drop(*[c for c in INDEX_COLUMNS if c in df.columns])

@@ -31,16 +31,19 @@ def build_features(classified: DataFrame, run_ts: str | Column) -> DataFrame:
 
 
 def features_latest(features: DataFrame, start: str | Column | None = None, end: str | Column | None = None,
-                    key: str = "track_id", ts: str = "event_timestamp") -> DataFrame:
+                    key: str = "track_id", ts: str = "event_timestamp",
+                    tiebreak: list[str] | None = None) -> DataFrame:
     """Latest row per entity with start <= ts <= end (materialisation read).
-    row_number() = 1 is pre-limited per map task before the shuffle."""
+    Rows tied on time keep the smallest `tiebreak` values (nulls first;
+    default: the other columns in order).  row_number() = 1 is pre-limited
+    per map task before the shuffle."""
     f = features
     if start is not None:
         f = f.filter(F.col(ts) >= _ts(start))
     if end is not None:
         f = f.filter(F.col(ts) <= _ts(end))
-    w = Window.partitionBy(key).orderBy(F.col(ts).desc_nulls_last())
-    return f.withColumn("_rn", F.row_number().over(w)).filter("_rn = 1").drop("_rn")
+    tiebreak = tiebreak if tiebreak is not None else [c for c in features.columns if c not in (key, ts)]
+    return dedup_latest(f, key, ts, tiebreak)
 
 
 def features_as_of(features: DataFrame, requests: DataFrame, ttl_days: int = FEATURE_TTL_DAYS,

@@ -108,3 +108,35 @@ def test_as_of_equals_brute_force(spark, case):
         best = max(c)[0] if c else None
         want.append((k, t, min(v for ts, v in c if ts == best) if c else None, best))
     assert got == sorted(want, key=str)
+
+
+lookup_st = st.tuples(
+    st.lists(st.tuples(st.sampled_from(["a", "b", "c"]), st.integers(0, 5), st.sampled_from(["Chill Pop", None])),
+             max_size=12),
+    st.lists(st.sampled_from(["a", "b", "c", "d", None]), max_size=40),
+    st.integers(1, 4))
+
+
+@settings(max_examples=10, deadline=None, suppress_health_check=list(HealthCheck))
+@given(lookup_st)
+def test_lookup_returns_every_request_row(spark, case):
+    """One output row per request row (duplicates and null ids kept) for any
+    chunk size; `found` and the label come from the newest feature row."""
+    from moodlake.operators.features import mood_lookup
+    feats, reqs, chunk = case
+    f = [(k, lab, 0.5, 0.5, 0.5, T0 + dt.timedelta(days=d)) for k, d, lab in feats]
+    fdf = spark.createDataFrame(f, "track_id string, mood_cluster string, danceability float, energy float, "
+                                   "valence float, event_timestamp timestamp").withColumn("genre_family", F.lit("Pop"))
+    rdf = spark.createDataFrame([(r,) for r in reqs], "track_id string")
+    got = sorted(((x["track_id"], x["found"], x["mood_label"]) for x in mood_lookup(fdf, rdf, chunk_rows=chunk).collect()),
+                 key=str)
+    latest = {}  # newest row per id; ties on time keep the smallest label, null first
+    for k, lab, *_rest, ts in f:
+        rank = (ts, lab is None, "" if lab is None else tuple(-ord(ch) for ch in lab))
+        if k not in latest or rank > latest[k][0]:
+            latest[k] = (rank, lab)
+    want = []
+    for r in reqs:
+        hit = latest.get(r) if r is not None else None
+        want.append((r, hit is not None, (hit[1] or "Unknown") if hit else None))
+    assert got == sorted(want, key=str)

@@ -176,9 +176,10 @@ def mood_lookup(features: DataFrame, requests: DataFrame, key: str = "track_id",
     The answer depends on the id alone, so requests are counted per id first
     (pre-aggregated map-side: an id asked for by a third of all requests
     ships one row per map task) and the counts join the latest features one
-    to one, so no join partition can be skewed.  Multiplicity comes back by
-    cutting each count into chunks of at most `chunk_rows`, spreading the
-    chunks by (id, chunk) and expanding each chunk in its own task.
+    to one, so no join partition can be skewed.  Multiplicity comes back in
+    place for ids asked at most `chunk_rows` times; a hotter id is cut into
+    chunks of at most `chunk_rows`, the chunks are spread by (id, chunk) and
+    each is expanded in its own task.
     """
     spark = features.sparkSession
     latest = features_latest(features, key=key)
@@ -196,9 +197,15 @@ def mood_lookup(features: DataFrame, requests: DataFrame, key: str = "track_id",
         *[F.round(F.col(c).cast("double"), digits).alias(c) for c in ("danceability", "energy", "valence")],
     )
     chunk = F.lit(int(chunk_rows)).cast("bigint")
-    chunks = (answers.withColumn("_c", F.explode(F.sequence(F.lit(0).cast("bigint"),
-                                                            F.floor((F.col("_n") - 1) / chunk).cast("bigint"))))
+    one = F.lit(1).cast("bigint")
+    # ids asked at most chunk_rows times expand where they are; only the hot
+    # ones are cut into chunks and spread by (id, chunk) before expanding
+    plain = (answers.filter(F.col("_n") <= chunk)
+             .withColumn("_i", F.explode(F.sequence(one, F.col("_n")))).drop("_n", "_i"))
+    chunks = (answers.filter(F.col("_n") > chunk)
+              .withColumn("_c", F.explode(F.sequence(F.lit(0).cast("bigint"),
+                                                     F.floor((F.col("_n") - 1) / chunk).cast("bigint"))))
               .withColumn("_m", F.least(chunk, F.col("_n") - F.col("_c") * chunk))
               .repartition(key, "_c"))
-    out = chunks.withColumn("_i", F.explode(F.sequence(F.lit(1).cast("bigint"), F.col("_m"))))
-    return out.drop("_n", "_c", "_m", "_i")
+    hot = chunks.withColumn("_i", F.explode(F.sequence(one, F.col("_m")))).drop("_n", "_c", "_m", "_i")
+    return plain.unionByName(hot)

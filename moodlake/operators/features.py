@@ -105,12 +105,18 @@ def features_as_of(features: DataFrame, requests: DataFrame, ttl_days: int = FEA
 
     # hot groups (found on a sample: they only decide splitting, never the
     # answer) and their percentile times, both bounded (see above)
+    # (read from the raw keys and times: the bounds steer only the split,
+    # so the feature de-duplication shuffle is not repeated for them)
+    raw = (features.select(key, F.col(ts).cast("timestamp").alias("_t"))
+           .unionByName(requests.select(key, F.col(req_ts).cast("timestamp").alias("_t")))
+           .filter(answerable)
+           .withColumn("_b", F.floor(F.unix_seconds(F.col("_t")) / F.lit(ttl_s)).cast("bigint")))
     frac = min(1.0, 1000.0 / hot_group_rows)
-    hot = (rows.select(key, "_b").sample(fraction=frac, seed=17) if frac < 1.0 else rows.select(key, "_b"))
+    hot = (raw.select(key, "_b").sample(fraction=frac, seed=17) if frac < 1.0 else raw.select(key, "_b"))
     hot = (hot.groupBy(key, "_b").agg(F.count(F.lit(1)).alias("_n")).filter(F.col("_n") > hot_group_rows * frac)
            .orderBy(F.col("_n").desc(), key, "_b").limit(max_hot_groups).select(key, "_b"))
     pct = [i / slices for i in range(1, slices)]
-    bounds = (rows.join(F.broadcast(hot), [key, "_b"], "left_semi").groupBy(key, "_b")
+    bounds = (raw.join(F.broadcast(hot), [key, "_b"], "left_semi").groupBy(key, "_b")
               .agg(F.percentile_approx(F.unix_micros("_t"), pct).alias("_bounds")))
     bounds = F.broadcast(bounds)
     us = F.unix_micros("_t")

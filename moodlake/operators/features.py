@@ -62,9 +62,10 @@ def features_as_of(features: DataFrame, requests: DataFrame, ttl_days: int = FEA
       into open intervals plus one point slice per percentile value; a time
       holding a large share of the group always is such a value, and one
       found at two or more percentiles (>= 1/slices of the group) is salted:
-      its requests are spread over `slices` salts by a hash of the request,
-      and its single feature row (one per key and time) and carry-in row are
-      copied to each salt.  The hot list keeps at most `max_hot_groups`
+      its requests are spread by a hash of the request over at least
+      `slices` salts, more in proportion to its estimated size (one salt per
+      `hot_group_rows`), and its single feature row (one per key and time)
+      and carry-in row are copied to each salt.  The hot list keeps at most `max_hot_groups`
       groups (the largest), so the broadcast percentile table is bounded by
       max_hot_groups x (slices - 1) longs; larger-than-threshold groups past
       that bound stay whole and are still answered exactly.
@@ -114,21 +115,30 @@ def features_as_of(features: DataFrame, requests: DataFrame, ttl_days: int = FEA
     frac = min(1.0, 1000.0 / hot_group_rows)
     hot = (raw.select(key, "_b").sample(fraction=frac, seed=17) if frac < 1.0 else raw.select(key, "_b"))
     hot = (hot.groupBy(key, "_b").agg(F.count(F.lit(1)).alias("_n")).filter(F.col("_n") > hot_group_rows * frac)
-           .orderBy(F.col("_n").desc(), key, "_b").limit(max_hot_groups).select(key, "_b"))
+           .orderBy(F.col("_n").desc(), key, "_b").limit(max_hot_groups)
+           .select(key, "_b", (F.col("_n") / F.lit(frac)).alias("_est")))
     pct = [i / slices for i in range(1, slices)]
-    bounds = (raw.join(F.broadcast(hot), [key, "_b"], "left_semi").groupBy(key, "_b")
-              .agg(F.percentile_approx(F.unix_micros("_t"), pct).alias("_bounds")))
+    bounds = (raw.join(F.broadcast(hot), [key, "_b"]).groupBy(key, "_b")
+              .agg(F.percentile_approx(F.unix_micros("_t"), pct).alias("_bounds"), F.max("_est").alias("_est")))
     bounds = F.broadcast(bounds)
+
+    def salts(reps):
+        """Salts of a point slice whose time covers `reps` percentiles: it holds
+        about reps / slices of the group's estimated rows; at least `slices`
+        salts, more in proportion when that exceeds hot_group_rows per salt."""
+        need = F.ceil(reps * F.col("_est") / F.lit(float(slices * hot_group_rows)))
+        return F.when(reps >= 2, F.greatest(F.lit(slices).cast("bigint"), need)).otherwise(F.lit(1)).cast("int")
+
     us = F.unix_micros("_t")
     point = F.coalesce(F.array_contains("_bounds", us), F.lit(False))
     below = F.coalesce(F.size(F.filter("_bounds", lambda x: x < us)), F.lit(0))
     # a time at two or more percentiles holds >= 1/slices of the group: salt it
-    heavy = F.coalesce(F.size(F.filter("_bounds", lambda x: x == us)) >= 2, F.lit(False))
+    reps = F.coalesce(F.size(F.filter("_bounds", lambda x: x == us)), F.lit(0))
     rows = (rows.join(bounds, [key, "_b"], "left")
             .withColumn("_s", below * 2 + point.cast("int"))
-            .withColumn("_pt", heavy)
-            .drop("_bounds"))
-    all_salts = F.sequence(F.lit(0), F.lit(slices - 1))
+            .withColumn("_ns", salts(reps))
+            .drop("_bounds", "_est"))
+    all_salts = F.sequence(F.lit(0), F.col("_ns") - 1)
 
     # carry-in, from the feature rows only: the newest feature of every
     # (key, bucket, slice), and a window per key over those summaries plus
@@ -136,31 +146,29 @@ def features_as_of(features: DataFrame, requests: DataFrame, ttl_days: int = FEA
     # TTL -- and every slice of a hot group) gives each slice the newest
     # feature of all earlier slices
     summary = (rows.filter(F.col("_kind") == 0).groupBy(key, "_b", "_s")
-               .agg(F.max(F.struct("_t", "_f")).alias("_m"), F.max("_pt").alias("_pt"))
+               .agg(F.max(F.struct("_t", "_f")).alias("_m"), F.max("_ns").alias("_ns"))
                .withColumn("_o", F.lit(1)))
     no_m = F.lit(None).cast(summary.schema["_m"].dataType)
     next_bucket = summary.select(key, (F.col("_b") + 1).alias("_b"), F.lit(0).alias("_s"), no_m.alias("_m"),
-                                 F.lit(False).alias("_pt"), F.lit(0).alias("_o"))
+                                 F.lit(1).alias("_ns"), F.lit(0).alias("_o"))
     value_at = F.element_at("_bounds", (F.floor(F.col("_s") / 2) + 1).cast("int"))
-    hot_stubs = (bounds.select(key, "_b", "_bounds", F.explode(F.sequence(F.lit(0), F.lit(2 * (slices - 1))))
-                               .alias("_s"))
-                 .select(key, "_b", "_s", no_m.alias("_m"),
-                         ((F.col("_s") % 2 == 1)
-                          & (F.size(F.filter("_bounds", lambda x: x == value_at)) >= 2)).alias("_pt"),
-                         F.lit(0).alias("_o")))
+    stub_reps = F.when(F.col("_s") % 2 == 1, F.size(F.filter("_bounds", lambda x: x == value_at))).otherwise(0)
+    hot_stubs = (bounds.select(key, "_b", "_bounds", "_est",
+                               F.explode(F.sequence(F.lit(0), F.lit(2 * (slices - 1)))).alias("_s"))
+                 .select(key, "_b", "_s", no_m.alias("_m"), salts(stub_reps).alias("_ns"), F.lit(0).alias("_o")))
     earlier = (Window.partitionBy(key).orderBy("_b", "_s", "_o")
                .rowsBetween(Window.unboundedPreceding, -1))
     carry = (summary.unionByName(next_bucket).unionByName(hot_stubs)
              .withColumn("_c", F.last(F.col("_m._f"), ignorenulls=True).over(earlier))
              .filter(F.col("_c").isNotNull())
              .select(key, "_b", "_s",
-                     F.explode(F.when(F.col("_pt"), all_salts).otherwise(F.array(F.lit(0)))).alias("_salt"),
+                     F.explode(all_salts).alias("_salt"),
                      F.lit(None).cast("timestamp").alias("_t"), F.lit(-1).alias("_kind"),
                      F.col("_c").alias("_f"), F.lit(None).cast(r_type).alias("_r")))
 
     # point slices: requests salted, the slice's one feature row copied to every salt
-    salt = (F.when(~F.col("_pt"), F.array(F.lit(0)))
-            .when(F.col("_kind") == 1, F.array(F.pmod(F.xxhash64("_r"), F.lit(slices)).cast("int")))
+    salt = (F.when(F.col("_ns") == 1, F.array(F.lit(0)))
+            .when(F.col("_kind") == 1, F.array(F.pmod(F.xxhash64("_r"), F.col("_ns")).cast("int")))
             .otherwise(all_salts))
     rows = rows.select(key, "_b", "_s", F.explode(salt).alias("_salt"), "_t", "_kind", "_f", "_r")
     w = (Window.partitionBy(key, "_b", "_s", "_salt").orderBy(F.col("_t").asc_nulls_first(), F.col("_kind"))

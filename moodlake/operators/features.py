@@ -65,9 +65,9 @@ def features_as_of(features: DataFrame, requests: DataFrame, ttl_days: int = FEA
       its requests are spread by a hash of the request over at least
       `slices` salts, more in proportion to its estimated size (one salt per
       `hot_group_rows`), and its single feature row (one per key and time)
-      and carry-in row are copied to each salt.  The hot list keeps at most `max_hot_groups`
-      groups (the largest), so the broadcast percentile table is bounded by
-      max_hot_groups x (slices - 1) longs; larger-than-threshold groups past
+      and carry-in row are copied to each salt.  The hot list keeps at most
+      `max_hot_groups` groups (the largest), so the broadcast percentile
+      table is bounded by max_hot_groups x (slices - 1) longs; groups past
       that bound stay whole and are still answered exactly.
     * Hot groups are found on a sample of about 1000 rows per `hot_group_rows`
       (the sample only decides where to split, never an answer).
@@ -104,10 +104,9 @@ def features_as_of(features: DataFrame, requests: DataFrame, ttl_days: int = FEA
     rows = (feat.unionByName(req.filter(answerable))
             .withColumn("_b", F.floor(F.unix_seconds(F.col("_t")) / F.lit(ttl_s)).cast("bigint")))
 
-    # hot groups (found on a sample: they only decide splitting, never the
-    # answer) and their percentile times, both bounded (see above)
-    # (read from the raw keys and times: the bounds steer only the split,
-    # so the feature de-duplication shuffle is not repeated for them)
+    # hot groups (found on a sample) and their percentile times, both bounded
+    # (see above); they steer only the split, never an answer, so they are
+    # read from the raw keys and times without the de-duplication shuffle
     raw = (features.select(key, F.col(ts).cast("timestamp").alias("_t"))
            .unionByName(requests.select(key, F.col(req_ts).cast("timestamp").alias("_t")))
            .filter(answerable)

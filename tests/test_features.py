@@ -125,7 +125,8 @@ def test_as_of_point_slice_salts_grow_with_size(spark):
     base = dt.datetime(2024, 1, 1)
     rnd = random.Random(2)
     feats = [("hot", base + dt.timedelta(hours=rnd.randint(0, 24 * 9)), float(i)) for i in range(40)]
-    reqs = [("hot", base + dt.timedelta(days=5))] * 300 + [("hot", base + dt.timedelta(hours=h)) for h in range(0, 240, 7)]
+    reqs = [("hot", base + dt.timedelta(days=5))] * 300
+    reqs += [("hot", base + dt.timedelta(hours=h)) for h in range(0, 240, 7)]
     fdf = spark.createDataFrame(feats, "track_id string, event_timestamp timestamp, v double")
     rdf = spark.createDataFrame(reqs, "track_id string, request_ts timestamp")
     out = FT.features_as_of(fdf, rdf, ttl_days=7, hot_group_rows=5, slices=4)

@@ -128,8 +128,8 @@ def test_lookup_returns_every_request_row(spark, case):
     fdf = spark.createDataFrame(f, "track_id string, mood_cluster string, danceability float, energy float, "
                                    "valence float, event_timestamp timestamp").withColumn("genre_family", F.lit("Pop"))
     rdf = spark.createDataFrame([(r,) for r in reqs], "track_id string")
-    got = sorted(((x["track_id"], x["found"], x["mood_label"]) for x in mood_lookup(fdf, rdf, chunk_rows=chunk).collect()),
-                 key=str)
+    out = mood_lookup(fdf, rdf, chunk_rows=chunk).collect()
+    got = sorted(((x["track_id"], x["found"], x["mood_label"]) for x in out), key=str)
     latest = {}  # newest row per id; ties on time keep the smallest label, null first
     for k, lab, *_rest, ts in f:
         rank = (ts, lab is None, "" if lab is None else tuple(-ord(ch) for ch in lab))

@@ -69,6 +69,9 @@ def features_as_of(features: DataFrame, requests: DataFrame, ttl_days: int = FEA
       `max_hot_groups` groups (the largest), so the broadcast percentile
       table is bounded by max_hot_groups x (slices - 1) longs; groups past
       that bound stay whole and are still answered exactly.
+    * In the largest groups (more than slices x hot_group_rows rows) every
+      open slice is cut once more the same way, so those groups get about
+      (2 x slices)^2 slices.
     * Hot groups are found on a sample of about 1000 rows per `hot_group_rows`
       (the sample only decides where to split, never an answer).
     * Carry-in comes from the feature rows alone: an aggregate takes the
@@ -117,26 +120,43 @@ def features_as_of(features: DataFrame, requests: DataFrame, ttl_days: int = FEA
            .orderBy(F.col("_n").desc(), key, "_b").limit(max_hot_groups)
            .select(key, "_b", (F.col("_n") / F.lit(frac)).alias("_est")))
     pct = [i / slices for i in range(1, slices)]
-    bounds = (raw.join(F.broadcast(hot), [key, "_b"]).groupBy(key, "_b")
-              .agg(F.percentile_approx(F.unix_micros("_t"), pct).alias("_bounds"), F.max("_est").alias("_est")))
-    bounds = F.broadcast(bounds)
+    per_level = 2 * slices - 1  # slice ids of one level: open intervals and point slices
+    us = F.unix_micros("_t")
+
+    def cut(bounds: str):
+        """(slice within the level, number of percentiles equal to the time)."""
+        point = F.coalesce(F.array_contains(bounds, us), F.lit(False))
+        below = F.coalesce(F.size(F.filter(bounds, lambda x: x < us)), F.lit(0))
+        reps = F.coalesce(F.size(F.filter(bounds, lambda x: x == us)), F.lit(0))
+        return below * 2 + point.cast("int"), reps
 
-    def salts(reps):
-        """Salts of a point slice whose time covers `reps` percentiles: it holds
-        about reps / slices of the group's estimated rows; at least `slices`
+    def salts(reps, est):
+        """Salts of a point slice whose time covers `reps` of the percentiles
+        of `est` rows: it holds about reps / slices of them; at least `slices`
         salts, more in proportion when that exceeds hot_group_rows per salt."""
-        need = F.ceil(reps * F.col("_est") / F.lit(float(slices * hot_group_rows)))
+        need = F.ceil(reps * est / F.lit(float(slices * hot_group_rows)))
         return F.when(reps >= 2, F.greatest(F.lit(slices).cast("bigint"), need)).otherwise(F.lit(1)).cast("int")
 
-    us = F.unix_micros("_t")
-    point = F.coalesce(F.array_contains("_bounds", us), F.lit(False))
-    below = F.coalesce(F.size(F.filter("_bounds", lambda x: x < us)), F.lit(0))
-    # a time at two or more percentiles holds >= 1/slices of the group: salt it
-    reps = F.coalesce(F.size(F.filter("_bounds", lambda x: x == us)), F.lit(0))
-    rows = (rows.join(bounds, [key, "_b"], "left")
-            .withColumn("_s", below * 2 + point.cast("int"))
-            .withColumn("_ns", salts(reps))
-            .drop("_bounds", "_est"))
+    # level 1: percentiles of every hot group
+    b1 = F.broadcast(raw.join(F.broadcast(hot), [key, "_b"]).groupBy(key, "_b")
+                     .agg(F.percentile_approx(us, pct).alias("_b1"), F.max("_est").alias("_est")))
+    s1, reps1 = cut("_b1")
+    # level 2: the open level-1 slices (about est / slices rows each) of the
+    # largest groups are cut again; max_hot_groups // slices groups at most,
+    # so this table too holds at most max_hot_groups x (slices - 1) longs
+    big = (b1.filter(F.col("_est") > F.lit(float(slices * hot_group_rows)))
+           .orderBy(F.col("_est").desc(), key, "_b").limit(max(1, max_hot_groups // slices)).select(key, "_b"))
+    b2 = F.broadcast(raw.join(F.broadcast(big), [key, "_b"]).join(b1, [key, "_b"])
+                     .withColumn("_s1", s1).filter(F.col("_s1") % 2 == 0).groupBy(key, "_b", "_s1")
+                     .agg(F.percentile_approx(us, pct).alias("_b2"),
+                          (F.max("_est") / F.lit(float(slices))).alias("_est2")))
+    s2, reps2 = cut("_b2")
+    rows = (rows.join(b1, [key, "_b"], "left").withColumn("_s1", s1)
+            .join(b2, [key, "_b", "_s1"], "left")
+            .withColumn("_s", F.col("_s1") * per_level + s2)  # s2 = 0 without a level 2
+            .withColumn("_ns", F.when(F.col("_b2").isNotNull(), salts(reps2, F.col("_est2")))
+                        .otherwise(salts(reps1, F.col("_est"))))
+            .drop("_b1", "_b2", "_est", "_est2", "_s1"))
     all_salts = F.sequence(F.lit(0), F.col("_ns") - 1)
 
     # carry-in, from the feature rows only: the newest feature of every
@@ -150,14 +170,21 @@ def features_as_of(features: DataFrame, requests: DataFrame, ttl_days: int = FEA
     no_m = F.lit(None).cast(summary.schema["_m"].dataType)
     next_bucket = summary.select(key, (F.col("_b") + 1).alias("_b"), F.lit(0).alias("_s"), no_m.alias("_m"),
                                  F.lit(1).alias("_ns"), F.lit(0).alias("_o"))
-    value_at = F.element_at("_bounds", (F.floor(F.col("_s") / 2) + 1).cast("int"))
-    stub_reps = F.when(F.col("_s") % 2 == 1, F.size(F.filter("_bounds", lambda x: x == value_at))).otherwise(0)
-    hot_stubs = (bounds.select(key, "_b", "_bounds", "_est",
-                               F.explode(F.sequence(F.lit(0), F.lit(2 * (slices - 1)))).alias("_s"))
-                 .select(key, "_b", "_s", no_m.alias("_m"), salts(stub_reps).alias("_ns"), F.lit(0).alias("_o")))
+    step = F.explode(F.sequence(F.lit(0), F.lit(per_level - 1))).alias("_j")
+
+    def stub_reps(bounds: str):
+        value = F.try_element_at(bounds, (F.floor(F.col("_j") / 2) + 1).cast("int"))
+        return F.when(F.col("_j") % 2 == 1, F.size(F.filter(bounds, lambda x: x == value))).otherwise(0)
+
+    stubs1 = (b1.select(key, "_b", "_b1", "_est", step)
+              .select(key, "_b", (F.col("_j") * per_level).alias("_s"), no_m.alias("_m"),
+                      salts(stub_reps("_b1"), F.col("_est")).alias("_ns"), F.lit(0).alias("_o")))
+    stubs2 = (b2.select(key, "_b", "_s1", "_b2", "_est2", step)
+              .select(key, "_b", (F.col("_s1") * per_level + F.col("_j")).alias("_s"), no_m.alias("_m"),
+                      salts(stub_reps("_b2"), F.col("_est2")).alias("_ns"), F.lit(0).alias("_o")))
     earlier = (Window.partitionBy(key).orderBy("_b", "_s", "_o")
                .rowsBetween(Window.unboundedPreceding, -1))
-    carry = (summary.unionByName(next_bucket).unionByName(hot_stubs)
+    carry = (summary.unionByName(next_bucket).unionByName(stubs1).unionByName(stubs2)
              .withColumn("_c", F.last(F.col("_m._f"), ignorenulls=True).over(earlier))
              .filter(F.col("_c").isNotNull())
              .select(key, "_b", "_s",

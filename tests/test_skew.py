@@ -106,3 +106,51 @@ def test_hot_artist_fact_is_whole_and_split(spark, skew_conf):
     assert [r["count"] for r in got if r[0]] == [N // 3]
     fact.collect()
     assert "skew=true" in fact._jdf.queryExecution().executedPlan().toString()
+
+
+def _largest_partition_share(df):
+    """For the largest shuffle of the executed plan: its biggest reduce
+    partition's share of the bytes."""
+    df.collect()
+    best = (0, 0.0)
+
+    def walk(node):
+        nonlocal best
+        cls = node.getClass().getSimpleName()
+        if cls == "AdaptiveSparkPlanExec":
+            return walk(node.executedPlan())
+        if cls == "ShuffleQueryStageExec" and node.mapStats().isDefined():
+            sizes = list(node.mapStats().get().bytesByPartitionId())
+            if sum(sizes) > best[0]:
+                best = (sum(sizes), max(sizes) / sum(sizes))
+        if "QueryStage" in cls:
+            return walk(node.plan())
+        kids = node.children()
+        for i in range(kids.size()):
+            walk(kids.apply(i))
+    walk(df._jdf.queryExecution().executedPlan())
+    return best[1]
+
+
+def test_hot_key_as_of_is_spread_over_partitions(spark, skew_conf):
+    """A third of feature rows and of requests on one key at distinct times
+    within one TTL bucket: the hot group is sliced, so no reduce partition of
+    the main sort holds anything near that third."""
+    from moodlake.operators import features as FT
+    spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "false")
+    try:
+        t0 = F.lit(dt.datetime(2024, 1, 4))  # a bucket start (TTL buckets are aligned to the epoch)
+        ids = spark.range(N)
+        key = F.when(F.col("id") % 3 == 0, F.lit("hot")).otherwise(
+            F.concat(F.lit("k"), (F.col("id") % 5000).cast("string")))
+        at = t0 + F.make_interval(secs=(F.col("id") * 17 % 600000).cast("int"))
+        feats = ids.select(key.alias("track_id"), at.alias("event_timestamp"), F.col("id").cast("double").alias("v"))
+        reqs = ids.select(key.alias("track_id"), (at + F.expr("INTERVAL 1 SECOND")).alias("request_ts"))
+        out = FT.features_as_of(feats, reqs, ttl_days=7, hot_group_rows=500, slices=8)
+        assert out.count() == N
+        assert _largest_partition_share(out) < 0.15  # 16 partitions: 1/16 when even
+        # contrast: with splitting out of reach the hot group sits in one partition
+        whole = FT.features_as_of(feats, reqs, ttl_days=7, hot_group_rows=10**9, slices=8)
+        assert _largest_partition_share(whole) > 0.25
+    finally:
+        spark.conf.unset("spark.sql.adaptive.coalescePartitions.enabled")

@@ -34,3 +34,15 @@ def test_dq_table_one_pass_counts(spark):
                    ("not_null", "c"): (2, False), ("accepted_values", "s"): (1, False)}
     final = out._jdf.queryExecution().executedPlan().toString().split("== Initial Plan ==")[0]
     assert final.count("Scan ExistingRDD") == 1
+
+
+def test_dq_table_without_key_and_empty_input(spark):
+    df = spark.createDataFrame([(None, "A"), (1, "B"), (2, None)], "c bigint, s string")
+    got = {(r["check_name"], r["column_name"]): r["observed"]
+           for r in Q.dq_table(df, "t", not_null=["c"], accepted={"s": ["A"]}).collect()}
+    assert got == {("not_null", "c"): 1, ("accepted_values", "s"): 1}
+    empty = Q.dq_table(df.limit(0), "t", pk="c", not_null=["s"]).collect()
+    assert {r["check_name"]: (r["observed"], r["passed"]) for r in empty} == {
+        "not_null": (0, True), "unique": (0, True)}
+    with pytest.raises(ValueError):
+        Q.dq_table(df, "t")

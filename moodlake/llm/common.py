@@ -4,8 +4,10 @@ travel so that they never clash with an operator's own."""
 
 from __future__ import annotations
 
+import os
 import tempfile
 import uuid
+import zipfile
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -38,6 +40,27 @@ def stored(df: DataFrame, name: str) -> DataFrame:
     return spark.read.schema(df.schema).parquet(path)
 
 
+_shipped: set[str] = set()
+
+
+def ship_package(spark: SparkSession) -> None:
+    """Give the executors this package, once an application: their Python
+    need not find it on a path of its own."""
+    context = spark.sparkContext
+    if context.applicationId in _shipped:
+        return
+    root = os.path.dirname(os.path.dirname(os.path.dirname(os.path.abspath(__file__))))
+    archive = os.path.join(tempfile.mkdtemp(prefix="moodlake-zip-"), "moodlake.zip")
+    with zipfile.ZipFile(archive, "w") as out:
+        for folder, _, names in os.walk(os.path.join(root, "moodlake")):
+            for name in names:
+                if name.endswith(".py"):
+                    path = os.path.join(folder, name)
+                    out.write(path, os.path.relpath(path, root))
+    context.addPyFile(archive)
+    _shipped.add(context.applicationId)
+
+
 def shuffle_partitions(spark: SparkSession) -> int:
     return int(spark.conf.get("spark.sql.shuffle.partitions"))
 

@@ -5,9 +5,10 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
+import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from moodlake.llm import exact_dedup, sharding
+from moodlake.llm import byte_bpe, exact_dedup, sharding, token_counts
 from moodlake.llm.common import documents
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -21,7 +22,16 @@ def op6_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
     return sharding.shard_documents(documents(spark, sf_dir))
 
 
-QUERIES: dict[str, Query] = {f.__name__: f for f in (op1_exact_dedup, op6_sharding)}
+def op7_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return token_counts.count_tokens(documents(spark, sf_dir), public_tokenizers.path("piece_bpe_32k.model"))
+
+
+def op10_byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return byte_bpe.encode(documents(spark, sf_dir), public_tokenizers.path("byte_bpe_50k.tiktoken"),
+                           public_tokenizers.PATTERN, digests=True)
+
+
+QUERIES: dict[str, Query] = {f.__name__: f for f in (op1_exact_dedup, op6_sharding, op7_token_counts, op10_byte_bpe)}
 
 OP1_SQL = r"""
 with d as (select doc_id, sha256(regexp_replace(coalesce(text, ''), '[\x20\x09-\x0D]+', ' ', 'g')) as text_sha256

@@ -8,7 +8,7 @@ from collections.abc import Callable
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from moodlake.llm import byte_bpe, exact_dedup, sharding, token_counts
+from moodlake.llm import byte_bpe, exact_dedup, language_id, packing, sharding, token_counts
 from moodlake.llm.common import documents
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -18,6 +18,14 @@ def op1_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return exact_dedup.exact_groups(documents(spark, sf_dir))
 
 
+def op4_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return language_id.identify(documents(spark, sf_dir))
+
+
+def op5_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return packing.pack(documents(spark, sf_dir), public_tokenizers.path("word_bpe_49k.json"))
+
+
 def op6_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
     return sharding.shard_documents(documents(spark, sf_dir))
 
@@ -31,7 +39,8 @@ def op10_byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
                            public_tokenizers.PATTERN, digests=True)
 
 
-QUERIES: dict[str, Query] = {f.__name__: f for f in (op1_exact_dedup, op6_sharding, op7_token_counts, op10_byte_bpe)}
+QUERIES: dict[str, Query] = {f.__name__: f for f in (
+    op1_exact_dedup, op4_language_id, op5_packing, op6_sharding, op7_token_counts, op10_byte_bpe)}
 
 OP1_SQL = r"""
 with d as (select doc_id, sha256(regexp_replace(coalesce(text, ''), '[\x20\x09-\x0D]+', ' ', 'g')) as text_sha256

@@ -8,7 +8,7 @@ from collections.abc import Callable
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from moodlake.llm import byte_bpe, exact_dedup, language_id, packing, sharding, token_counts
+from moodlake.llm import byte_bpe, exact_dedup, language_id, packing, secret_scan, sharding, token_counts
 from moodlake.llm.common import documents
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -34,13 +34,18 @@ def op7_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     return token_counts.count_tokens(documents(spark, sf_dir), public_tokenizers.path("piece_bpe_32k.model"))
 
 
+def op8_secret_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return secret_scan.scan(documents(spark, sf_dir))
+
+
 def op10_byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     return byte_bpe.encode(documents(spark, sf_dir), public_tokenizers.path("byte_bpe_50k.tiktoken"),
                            public_tokenizers.PATTERN, digests=True)
 
 
 QUERIES: dict[str, Query] = {f.__name__: f for f in (
-    op1_exact_dedup, op4_language_id, op5_packing, op6_sharding, op7_token_counts, op10_byte_bpe)}
+    op1_exact_dedup, op4_language_id, op5_packing, op6_sharding, op7_token_counts, op8_secret_scan,
+    op10_byte_bpe)}
 
 OP1_SQL = r"""
 with d as (select doc_id, sha256(regexp_replace(coalesce(text, ''), '[\x20\x09-\x0D]+', ' ', 'g')) as text_sha256

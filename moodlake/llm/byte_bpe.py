@@ -32,6 +32,7 @@ from moodlake.llm.common import ship_package, shuffle_partitions, stored
 
 CHUNK_BYTES = 32 << 20  # text that one chunk holds at most, but for a single longer document
 DOCUMENT_ROW = 2**31 - 1  # the bucket of rows that are documents; after all word buckets
+ROW_WORDS = 1 << 17  # a row of documents ends after so many words
 
 
 def read_ranks(path: str) -> dict[bytes, int]:
@@ -121,9 +122,9 @@ def gather(starts: np.ndarray, lengths: np.ndarray, flat: np.ndarray) -> np.ndar
 
 
 def _chunk_rows(chunk: int, ids: list, codes: list[np.ndarray], words: dict[str, int], buckets: int) -> Iterator[tuple]:
-    """A chunk's rows (chunk, bucket, doc_id, places, data): its distinct words
-    by bucket, then its documents.  Words are renumbered, the most frequent
-    first, so that positions compress."""
+    """A chunk's rows (chunk, bucket, doc_ids, places, data): its distinct words
+    by bucket, then its documents, so many to a row that they compress well.
+    Words are renumbered, the most frequent first, so that positions compress."""
     seen = np.zeros(len(words), np.int64)
     for c in codes:
         np.add.at(seen, c, 1) if len(c) < 1000 else np.add(seen, np.bincount(c, minlength=len(words)), out=seen)
@@ -139,8 +140,14 @@ def _chunk_rows(chunk: int, ids: list, codes: list[np.ndarray], words: dict[str,
         data = _packed(np.array(list(map(len, own)), np.uint32))
         yield (chunk, int(bucket[part[0]]), None, _packed(np.diff(part, prepend=0)),
                len(data).to_bytes(4, "little") + data + zstandard.compress(b"".join(own)))
-    for doc, c in zip(ids, codes, strict=True):
-        yield chunk, DOCUMENT_ROW, doc, None, _packed(place[c])
+    first, size = 0, 0
+    for last, c in enumerate(codes, 1):
+        size += len(c)
+        if size >= ROW_WORDS or last == len(codes):
+            own = codes[first:last]
+            yield (chunk, DOCUMENT_ROW, ids[first:last], None,
+                   _packed(np.array(list(map(len, own)), np.uint32), place[np.concatenate(own)]))
+            first, size = last, 0
 
 
 def _batches(rows: Iterator[tuple], schema: pa.Schema, size: int = 500) -> Iterator[pa.RecordBatch]:
@@ -180,7 +187,7 @@ def split_words(docs: DataFrame, pattern: str, buckets: int, doc_id: str, text:
             if ids:
                 yield from _chunk_rows(part << 32 | number, ids, codes, words, buckets)
 
-        schema = pa.schema([("chunk", pa.int64()), ("bucket", pa.int32()), ("doc_id", kind), ("places", pa.binary()),
+        schema = pa.schema([("chunk", pa.int64()), ("bucket", pa.int32()), ("doc_ids", pa.list_(kind)), ("places", pa.binary()),
                             ("data", pa.binary())])
         yield from _batches(chunks(), schema)
 
@@ -188,7 +195,7 @@ def split_words(docs: DataFrame, pattern: str, buckets: int, doc_id: str, text:
 
     kind = to_arrow_type(rows.schema["doc_id"].dataType)
     schema = T.StructType([T.StructField("chunk", T.LongType()), T.StructField("bucket", T.IntegerType()),
-                           T.StructField("doc_id", rows.schema["doc_id"].dataType),
+                           T.StructField("doc_ids", T.ArrayType(rows.schema["doc_id"].dataType)),
                            T.StructField("places", T.BinaryType()), T.StructField("data", T.BinaryType())])
     return rows.mapInArrow(split, schema)
 
@@ -256,7 +263,7 @@ def encode(docs: DataFrame, ranks_path: str, pattern: str, doc_id: str = "doc_id
         chunk, parts, ready = None, [], None
         for batch in batches:
             docs_out, n_out, first, second = [], [], [], []
-            for at, bucket, doc, places, data in zip(*(batch.column(i) for i in range(5))):
+            for at, bucket, doc_ids, places, data in zip(*(batch.column(i) for i in range(5))):
                 if at.as_py() != chunk:
                     chunk, parts, ready = at.as_py(), [], None
                 if bucket.as_py() != DOCUMENT_ROW:
@@ -265,16 +272,19 @@ def encode(docs: DataFrame, ranks_path: str, pattern: str, doc_id: str = "doc_id
                 if ready is None:
                     ready, parts = _dictionary(parts), []
                 starts, lengths, flat = ready
-                (codes,) = _unpacked(data.as_py())
+                words, codes = _unpacked(data.as_py())
                 ids = gather(starts[codes], lengths[codes], flat)
-                docs_out.append(doc.as_py())
-                n_out.append(len(ids))
-                if digests:
-                    first.append(hashlib.sha256(ids.astype("<u4").tobytes()).hexdigest())
-                    second.append(hashlib.sha256(table.decode(ids)).hexdigest())
-                else:
-                    first.append(ids.astype(np.int32))
-            out = [pa.array(docs_out, batch.schema.field("doc_id").type), pa.array(n_out, pa.int64())]
+                ends = np.concatenate([[0], np.cumsum(lengths[codes])])[np.cumsum(words, dtype=np.int64)]
+                for doc, end, start in zip(doc_ids.as_py(), ends.tolist(), [0, *ends.tolist()]):
+                    own = ids[start:end]
+                    docs_out.append(doc)
+                    n_out.append(len(own))
+                    if digests:
+                        first.append(hashlib.sha256(own.astype("<u4").tobytes()).hexdigest())
+                        second.append(hashlib.sha256(table.decode(own)).hexdigest())
+                    else:
+                        first.append(own.astype(np.int32))
+            out = [pa.array(docs_out, batch.schema.field("doc_ids").type.value_type), pa.array(n_out, pa.int64())]
             if digests:
                 yield pa.RecordBatch.from_arrays([*out, pa.array(first, pa.string()), pa.array(second, pa.string())],
                                                  ["doc_id", "n_tokens", "ids_sha256", "decoded_sha256"])
@@ -282,7 +292,7 @@ def encode(docs: DataFrame, ranks_path: str, pattern: str, doc_id: str = "doc_id
                 yield pa.RecordBatch.from_arrays([*out, pa.array(first, pa.list_(pa.int32()))],
                                                  ["doc_id", "n_tokens", "ids"])
 
-    schema = T.StructType([T.StructField("doc_id", cut.schema["doc_id"].dataType), T.StructField("n_tokens", T.LongType())])
+    schema = T.StructType([T.StructField("doc_id", cut.schema["doc_ids"].dataType.elementType), T.StructField("n_tokens", T.LongType())])
     if digests:
         schema = schema.add("ids_sha256", "string").add("decoded_sha256", "string")
     else:

@@ -7,8 +7,9 @@ from collections.abc import Callable
 
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
-from moodlake.llm import byte_bpe, exact_dedup, language_id, packing, secret_scan, sharding, token_counts
+from moodlake.llm import byte_bpe, exact_dedup, language_id, license_scan, packing, secret_scan, sharding, token_counts, topk
 from moodlake.llm.common import documents
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -18,6 +19,10 @@ def op1_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return exact_dedup.exact_groups(documents(spark, sf_dir))
 
 
+def op2_license_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return license_scan.scan_licenses(documents(spark, sf_dir))
+
+
 def op4_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
     return language_id.identify(documents(spark, sf_dir))
 
@@ -38,14 +43,19 @@ def op8_secret_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
     return secret_scan.scan(documents(spark, sf_dir))
 
 
+def op9_topk(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Queries are the rows whose vec_id is divisible by 100; candidates are all rows."""
+    return topk.top_k(spark.read.parquet(f"{sf_dir}/embeddings.parquet"), F.col("vec_id") % 100 == 0)
+
+
 def op10_byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     return byte_bpe.encode(documents(spark, sf_dir), public_tokenizers.path("byte_bpe_50k.tiktoken"),
                            public_tokenizers.PATTERN, digests=True)
 
 
 QUERIES: dict[str, Query] = {f.__name__: f for f in (
-    op1_exact_dedup, op4_language_id, op5_packing, op6_sharding, op7_token_counts, op8_secret_scan,
-    op10_byte_bpe)}
+    op1_exact_dedup, op2_license_scan, op4_language_id, op5_packing, op6_sharding, op7_token_counts, op8_secret_scan,
+    op9_topk, op10_byte_bpe)}
 
 OP1_SQL = r"""
 with d as (select doc_id, sha256(regexp_replace(coalesce(text, ''), '[\x20\x09-\x0D]+', ' ', 'g')) as text_sha256
@@ -77,8 +87,8 @@ t as (select list(v order by n) as crc_table from (
          lambda c, i: case when c & 1 = 1 then xor(c >> 1, 3988292384) else c >> 1 end) as v from range(256) r(n))),
 d as (select doc_id, octet_length(encode(coalesce(text, ''))) + 1 as size,
              case when coalesce(text, '') = '' then 0 else
-             xor(list_reduce(list_prepend(4294967295::bigint, list_transform(range(octet_length(encode(text))),
-                 lambda i: ('0x' || hex(encode(text))[2 * i + 1: 2 * i + 2])::bigint)),
+             xor(list_reduce(list_prepend(4294967295::bigint, list_transform(regexp_extract_all(hex(encode(text)), '..'),
+                 lambda x: ('0x' || x)::bigint)),
                  lambda c, b: xor(c >> 8, crc_table[(xor(c, b) & 255) + 1])), 4294967295) end as text_crc32
       from documents, t),
 r as (select greatest(1, ceil(count(*) / 20000.0))::bigint as ranges from documents),
@@ -91,4 +101,14 @@ select doc_id, size, text_crc32, 'key' as law, shard,
        row_number() over (partition by shard order by place, doc_id, text_crc32, size) - 1 as slot, grown_shard
 from p"""
 
-SQL: dict[str, str] = {"op1_exact_dedup": OP1_SQL, "op6_sharding": OP6_SQL}
+OP9_SQL = """
+with v as (select vec_id, list_transform(embedding, lambda x: floor(1024 * x::double)) as e from embeddings
+           where embedding is not null and vec_id is not null
+             and len(list_filter(embedding, lambda x: x is null or not isfinite(x::double))) = 0),
+s as (select q.vec_id as query_id, c.vec_id, list_sum(list_transform(list_zip(q.e, c.e), lambda p: p[1] * p[2]))::bigint as score
+      from v q join v c on q.vec_id % 100 = 0 and q.vec_id <> c.vec_id and len(q.e) = len(c.e))
+select query_id, row_number() over (partition by query_id order by score desc, vec_id)::int as rank, vec_id, score
+from s qualify rank <= 10"""
+
+SQL: dict[str, str] = {"op1_exact_dedup": OP1_SQL, "op2_license_scan": license_scan.scan_sql(), "op6_sharding": OP6_SQL,
+                       "op9_topk": OP9_SQL}

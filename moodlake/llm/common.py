@@ -73,3 +73,46 @@ def renamed(df: DataFrame, columns: list[str]) -> DataFrame:
     """Only the given columns, in order, as c0, c1, ...: whatever else the
     caller's table holds, and however it is named, stays out of the way."""
     return df.select(*[F.col(f"`{c}`").alias(f"c{i}") for i, c in enumerate(columns)])
+
+
+FILTER_BITS_PER_ROW = 16
+MAX_ID_FILTER_BITS = 1 << 27  # 16 MB: the largest filter of ids that is broadcast
+
+
+def id_filter(ids: DataFrame, column: str):
+    """A function of a long column that is true for every id in `ids` and for
+    few others: a bit filter of MAX_ID_FILTER_BITS / 8 bytes at most, made by
+    aggregation and broadcast.  What it lets through is to be joined exactly."""
+    import numpy as np
+
+    bits = 1 << 16
+    rows = ids.count()
+    while bits < rows * FILTER_BITS_PER_ROW and bits < MAX_ID_FILTER_BITS:
+        bits *= 2
+    cell = F.pmod(F.xxhash64(column), F.lit(bits))
+    words = (ids.select(F.shiftright(cell, 5).alias("word"), F.expr("1L").alias("one"), (cell % 32).cast("int").alias("at"))
+             .select("word", F.expr("shiftleft(one, at)").alias("bit")).groupBy("word").agg(F.bit_or("bit").alias("mask"))
+             .toArrow())
+    table = np.zeros(bits // 32, np.uint32)
+    table[words["word"].to_numpy()] = words["mask"].to_numpy().astype(np.uint32)
+    shared = ids.sparkSession.sparkContext.broadcast(table)
+
+    @F.pandas_udf("boolean")
+    def held(cells):
+        import pandas as pd
+
+        at = cells.to_numpy()
+        return pd.Series((shared.value[at >> 5] >> (at & 31).astype(np.uint32)) & 1 == 1)
+
+    return lambda name: held(F.pmod(F.xxhash64(F.col(f"`{name}`")), F.lit(bits)))
+
+
+def without_ids(docs: DataFrame, dropped: DataFrame, doc_id: str, dropped_id: str) -> DataFrame:
+    """docs without the rows whose doc_id is in `dropped`; only rows that a bit
+    filter of the dropped ids lets through are shuffled, with their texts."""
+    maybe = id_filter(dropped, dropped_id)
+    tested = docs.select(F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("row"),
+                         F.col(f"`{doc_id}`").alias("id")).withColumn("maybe", maybe("id"))
+    stay = tested.filter("maybe").join(dropped.select(F.col(dropped_id).alias("_gone")).distinct(),
+                                       F.col("id") == F.col("_gone"), "left_anti")
+    return tested.filter("not maybe").select("row").unionByName(stay.select("row")).select("row.*")

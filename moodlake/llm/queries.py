@@ -9,7 +9,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from moodlake.llm import byte_bpe, exact_dedup, language_id, license_scan, packing, secret_scan, sharding, token_counts, topk
+from moodlake.llm import byte_bpe, exact_dedup, jaccard_join, language_id, license_scan, packing, secret_scan, sharding, token_counts, topk
 from moodlake.llm.common import documents
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -23,6 +23,10 @@ def op2_license_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
     return license_scan.scan_licenses(documents(spark, sf_dir))
 
 
+def op3_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return jaccard_join.near_duplicates(documents(spark, sf_dir))
+
+
 def op4_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
     return language_id.identify(documents(spark, sf_dir))
 
@@ -54,7 +58,7 @@ def op10_byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES: dict[str, Query] = {f.__name__: f for f in (
-    op1_exact_dedup, op2_license_scan, op4_language_id, op5_packing, op6_sharding, op7_token_counts, op8_secret_scan,
+    op1_exact_dedup, op2_license_scan, op3_jaccard_join, op4_language_id, op5_packing, op6_sharding, op7_token_counts, op8_secret_scan,
     op9_topk, op10_byte_bpe)}
 
 OP1_SQL = r"""

@@ -16,6 +16,7 @@ still has room (best fit), and open a new bin only if none has.
 from __future__ import annotations
 
 import bisect
+import functools
 import os
 import re
 import zlib
@@ -33,7 +34,7 @@ from moodlake.llm.common import ship_package, stored
 
 CAPACITY = 4096
 END_OF_DOCUMENT = 1
-KEPT_UNITS = 300_000  # encoded units a task remembers for speed; a full memory starts anew
+KEPT_UNITS = 400_000  # encoded units a Python worker remembers for speed; a full memory starts anew
 
 
 class BinPlan:
@@ -123,6 +124,11 @@ class BinPlan:
             pieces -= used * per_bin
 
 
+@functools.cache  # one for all tasks of a worker
+def unit_encoder(path: str) -> UnitEncoder:
+    return UnitEncoder(path)
+
+
 class UnitEncoder:
     """Token ids of whole texts.  White space always separates tokens and is
     dropped, so a text's ids are those of its units between blanks and line
@@ -164,7 +170,7 @@ def pieces_of(docs: DataFrame, tokenizer_path: str, capacity: int, doc_id: str,
         schema = schema.add("ids", T.ArrayType(T.IntegerType()))
 
     def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        encoder, turns = UnitEncoder(tokenizer_path), [0] * (capacity + 1)
+        encoder, turns = unit_encoder(tokenizer_path), [0] * (capacity + 1)
         end = np.array([END_OF_DOCUMENT], "<u4").tobytes()
         for batch in batches:
             out = [[] for _ in schema.names]

@@ -13,8 +13,9 @@ word and the counts of a word are kept for its next occurrence.
 
 from __future__ import annotations
 
+import functools
 import re
-from collections.abc import Iterator
+from collections.abc import Iterable, Iterator
 from itertools import pairwise
 
 import numpy as np
@@ -25,11 +26,13 @@ from pyspark.sql import functions as F
 from moodlake.llm.common import ship_package
 
 SPACE = "▁"  # how the vocabulary writes a space
-# What a task remembers for speed alone; a full memory starts anew.
-KEPT_WORDS = 200_000
-KEPT_PAIRS = 250_000
-KEPT_PREFIXES = 300_000
-KEPT_LENGTH = 48  # longer words are computed each time
+# What a Python worker remembers for speed alone; a full memory starts anew.
+KEPT_WORDS = 500_000
+KEPT_PAIRS = 400_000
+KEPT_LENGTH = 40  # longer words are computed each time, one by one
+TOGETHER = 30_000  # words computed at once
+GATHERED = 4 << 20  # characters whose new words are gathered
+MULTIPLIER = 0x9E3779B97F4A7C15 | 1  # of the running hash
 
 
 class PrefixCounter:
@@ -38,11 +41,7 @@ class PrefixCounter:
 
     def __init__(self, scores: dict[str, float]):
         self.rank = {p: -s for p, s in scores.items()}
-        lengths: dict[str, set[int]] = {}
-        for p in scores:
-            if len(p) > 1:
-                lengths.setdefault(p[-2:], set()).add(len(p))
-        self.lengths = {pair: sorted(found, reverse=True) for pair, found in lengths.items()}
+        self.longest = max(map(len, scores), default=1)
         inner = {p[i:i + 2] for p in scores for i in range(len(p) - 1)}
         if any(pair[1] == SPACE and pair[0] != SPACE for pair in inner):
             self.words = None  # a piece spans words: the text is one word
@@ -52,9 +51,25 @@ class PrefixCounter:
             self.words = re.compile(f"{single}{SPACE}+[^{SPACE}{alone}]*|[^{SPACE}{alone}]+")
         self.pairs: dict[tuple[str, str], bool] = {}
         self.kept: dict[str, bytes] = {}
-        self.prefixes: dict[str, tuple[str, int]] = {}
+        # pieces by hash, and which lengths of pieces end in a pair of characters
+        self.pieces = list(scores)
+        self.powers = np.cumprod(np.full(self.longest + 1, MULTIPLIER, np.uint64)) * np.uint64(pow(MULTIPLIER, -1, 2**64))
+        hashes = np.array([self._hash(p) for p in self.pieces], np.uint64)
+        self.order = np.argsort(hashes)
+        self.hashes = hashes[self.order]
+        endings: dict[int, int] = {}
+        for p in self.pieces:
+            if len(p) > 1:
+                pair = ord(p[-2]) << 21 | ord(p[-1])
+                endings[pair] = endings.get(pair, 0) | 1 << len(p)
+        self.ending_pairs = np.array(sorted(endings), np.int64)
+        self.ending_lengths = np.array([endings[p] for p in sorted(endings)], np.int64)
+        # remembered compatible pairs of token numbers, by hash of the pair
+        self.pair_keys = np.full(1 << 20, -1, np.int64)
+        self.pair_fits = np.zeros(1 << 20, bool)
 
     @classmethod
+    @functools.cache  # one for all tasks of a worker
     def from_model(cls, path: str) -> PrefixCounter:
         import sentencepiece
 
@@ -85,57 +100,122 @@ class PrefixCounter:
             found = self.pairs[key] = self.merged(left + right) == [part for part in key if part]
         return found
 
-    def _ending(self, word: str, end: int, last: list[str], count: list[int]) -> tuple[str, int]:
-        """The last token and the token count of word[:end], from those of the
-        shorter prefixes.  A character outside the vocabulary is a token of
-        its own that costs its UTF-8 bytes."""
-        rank, pairs = self.rank, self.pairs
-        for length in self.lengths.get(word[end - 2:end], ()):
-            start = end - length
-            if start >= 0 and (token := word[start:end]) in rank:
-                fits = pairs.get((last[start], token))
-                if fits is None:
-                    fits = self._compatible(last[start], token)
-                if fits:
-                    return token, count[start] + 1
-        token = word[end - 1]
-        return token, count[end - 1] + (1 if token in rank else len(token.encode()))
-
     def word_steps(self, word: str) -> bytes:
         """For each character of a word, the change of the prefix's token
-        count that it brings, as signed bytes."""
-        last, count, known = [""], [0], self.prefixes
-        keep = len(word) <= KEPT_LENGTH
-        if len(known) >= KEPT_PREFIXES:
-            known.clear()
+        count that it brings, as signed bytes.  A character outside the
+        vocabulary is a token of its own that costs its UTF-8 bytes."""
+        last, count = [""], [0]
         for end in range(1, len(word) + 1):
-            state = known.get(word[:end]) if keep else None
-            if state is None:
-                state = self._ending(word, end, last, count)
-                if keep:
-                    known[word[:end]] = state
-            last.append(state[0])
-            count.append(state[1])
+            for start in range(max(0, end - self.longest), end):
+                token = word[start:end]
+                if (end - start == 1 or token in self.rank) and self._compatible(last[start], token):
+                    last.append(token)
+                    count.append(count[start] + (1 if token in self.rank else len(token.encode())))
+                    break
         return bytes([(b - a) & 255 for a, b in pairwise(count)])
 
+    @staticmethod
+    def _hash(text: str) -> int:
+        out = 0
+        for c in text:
+            out = (out * MULTIPLIER + ord(c) + 1) % 2**64
+        return out
+
+    def _token(self, number: int) -> str:
+        """The token of a number: a piece, or past them a character; -1 is none."""
+        return "" if number < 0 else self.pieces[number] if number < len(self.pieces) else chr(number - len(self.pieces))
+
+    def _all_compatible(self, left: np.ndarray, right: np.ndarray) -> np.ndarray:
+        """_compatible of pairs of token numbers."""
+        span = len(self.pieces) + 0x110000
+        key = (left + 1) * span + right
+        slot = ((key.astype(np.uint64) * np.uint64(MULTIPLIER)) >> np.uint64(44)).astype(np.int64)
+        fits, known = self.pair_fits[slot], self.pair_keys[slot] == key
+        if not known.all():
+            asked, at, back = np.unique(key[~known], return_index=True, return_inverse=True)
+            found = np.array([self._compatible(self._token(k // span - 1), self._token(k % span)) for k in asked.tolist()])
+            fits[~known] = found[back]
+            places = slot[~known][at]
+            self.pair_keys[places], self.pair_fits[places] = asked, found
+        return fits
+
+    def many_word_steps(self, words: list[str]) -> list[bytes]:
+        """word_steps of many words at once: each position of all words is
+        decided together, trying the tokens that end there by length."""
+        lengths = np.array(list(map(len, words)))
+        by_length = np.argsort(-lengths, kind="stable")
+        width, sizes = int(lengths.max()), lengths[by_length]
+        codes = np.array(words)[by_length].view(np.uint32).reshape(len(words), -1)[:, :width].astype(np.int64)
+        hashed = np.zeros((width + 1, len(words)), np.uint64)
+        for i in range(width):
+            hashed[i + 1] = hashed[i] * np.uint64(MULTIPLIER) + codes[:, i].astype(np.uint64) + np.uint64(1)
+        last = np.full((width + 1, len(words)), -1, np.int64)
+        count = np.zeros((width + 1, len(words)), np.int32)
+        for end in range(1, width + 1):
+            rows = np.arange(int(np.searchsorted(-sizes, -end, "right")))  # words that reach this position
+            possible = np.full(len(rows), 2)
+            if end > 1:
+                pair = codes[rows, end - 2] << 21 | codes[rows, end - 1]
+                at = np.minimum(np.searchsorted(self.ending_pairs, pair), len(self.ending_pairs) - 1)
+                possible |= np.where(self.ending_pairs[at] == pair, self.ending_lengths[at], 0)
+            for length in range(min(end, self.longest), 0, -1):
+                trying = possible >> length & 1 == 1
+                if not trying.any():
+                    continue
+                own, start = rows[trying], end - length
+                wanted = hashed[end, own] - hashed[start, own] * self.powers[length]
+                at = np.minimum(np.searchsorted(self.hashes, wanted), len(self.hashes) - 1)
+                there = self.hashes[at] == wanted
+                token = self.order[at]
+                cost = 1
+                if length == 1:
+                    letter = codes[own, end - 1]
+                    token = np.where(there, token, letter + len(self.pieces))
+                    cost = np.where(there, 1, 1 + (letter > 0x7F) + (letter > 0x7FF) + (letter > 0xFFFF))
+                    there = np.ones(len(own), bool)
+                own, token = own[there], token[there]
+                cost = cost[there] if length == 1 else cost
+                fits = self._all_compatible(last[start, own], token)
+                last[end, own[fits]] = token[fits]
+                count[end, own[fits]] = (count[start, own] + cost)[fits]
+                open_rows = np.ones(len(rows), bool)
+                open_rows[np.searchsorted(rows, own[fits])] = False
+                rows, possible = rows[open_rows], possible[open_rows]
+                if not len(rows):
+                    break
+        steps = np.diff(count, axis=0).T.astype(np.int8)
+        out = [b""] * len(words)
+        for place, n, row in zip(by_length.tolist(), sizes.tolist(), steps):
+            out[place] = row[:n].tobytes()
+        return out
+
+    def learn(self, words: Iterable[str]) -> None:
+        """Remember the steps of all short words among these."""
+        short = {w for w in words if len(w) <= KEPT_LENGTH}
+        new = [w for w in short if w not in self.kept]
+        if len(self.kept) + len(new) > KEPT_WORDS:
+            self.kept.clear()
+            new = list(short)
+        for at in range(0, len(new), TOGETHER):
+            part = new[at:at + TOGETHER]
+            self.kept.update(zip(part, self.many_word_steps(part)))
+
+    def cut(self, text: str) -> list[str]:
+        """The words of a text, the mark of the leading space before the first."""
+        marked = SPACE + text.replace(" ", SPACE)
+        return self.words.findall(marked) if self.words else [marked]
+
     def steps(self, text: str) -> np.ndarray:
         """Signed steps whose running sum at k >= 1 is the exact token count of
         the first k characters; at 0 it is what the leading space mark costs
         (the empty prefix has no token)."""
         if not text:
             return np.zeros(1, np.int8)
-        marked = SPACE + text.replace(" ", SPACE)
-        kept, out = self.kept, []
-        for word in self.words.findall(marked) if self.words else [marked]:
-            found = kept.get(word)
-            if found is None:
-                found = self.word_steps(word)
-                if len(word) <= KEPT_LENGTH:
-                    if len(kept) >= KEPT_WORDS:
-                        kept.clear()
-                    kept[word] = found
-            out.append(found)
-        return np.frombuffer(b"".join(out), np.int8)
+        return self.joined(self.cut(text))
+
+    def joined(self, words: list[str]) -> np.ndarray:
+        kept = self.kept
+        return np.frombuffer(b"".join([kept[w] if w in kept else self.word_steps(w) for w in words]), np.int8)
 
 
 def tokens_at(steps: np.ndarray, chars: int) -> int:
@@ -164,14 +244,26 @@ def count_tokens(docs: DataFrame, model_path: str, limit: int = 4096, doc_id: st
     rows = docs.select(F.col(f"`{doc_id}`").alias("doc_id"), F.coalesce(F.col(f"`{text}`"), F.lit("")).alias("body"))
     kind = rows.schema["doc_id"].dataType.simpleString()
 
+    def cut(bodies: pa.Array, counter: PrefixCounter) -> Iterator[tuple[list[str], str]]:
+        held, size = [], 0
+        for body in bodies:
+            body = body.as_py()
+            held.append((counter.cut(body) if body else [], body))
+            size += len(body)
+            if size > GATHERED:
+                counter.learn(w for words, _ in held for w in words)
+                yield from held
+                held, size = [], 0
+        counter.learn(w for words, _ in held for w in words)
+        yield from held
+
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         counter = PrefixCounter.from_model(model_path)
         for batch in batches:
             n_bytes, n_tokens, keep, stores = [], [], [], []
-            for body in batch.column(1):
-                body = body.as_py()
-                steps = counter.steps(body)
-                total = int(steps.sum(dtype=np.int64)) if body else 0
+            for words, body in cut(batch.column(1), counter):
+                steps = counter.joined(words) if body else np.zeros(1, np.int8)
+                total = int(steps.sum(dtype=np.int64))
                 n_bytes.append(len(body.encode()))
                 n_tokens.append(total)
                 keep.append(len(body) if total <= limit else longest_prefix(steps, limit))

@@ -1,0 +1,51 @@
+import hashlib
+import re
+from collections import defaultdict
+
+from moodlake.llm import exact_dedup as D
+from pyspark.sql import functions as F
+
+
+def expected(rows):
+    groups = defaultdict(list)
+    for i, t in rows:
+        groups[re.sub(r"[\x20\x09-\x0D]+", " ", t or "")].append(i)
+    out = []
+    for t, ids in groups.items():
+        keep = min((i for i in ids if i is not None), default=None)
+        out += [(i, keep, len(ids), i == keep, hashlib.sha256(t.encode()).hexdigest()) for i in ids]
+    return sorted(out, key=str)
+
+
+def test_groups_equal_brute_force(odd_docs, odd_rows):
+    got = [tuple(r) for r in D.exact_groups(odd_docs).select("doc_id", "keep_id", "group_size", "kept", "text_sha256").collect()]
+    assert sorted(got, key=str) == expected(odd_rows)
+
+
+def test_drop_keeps_one_row_of_each_text_and_all_columns(odd_docs, odd_rows):
+    kept = D.drop_exact_copies(odd_docs)
+    assert kept.columns == odd_docs.columns
+    texts = [re.sub(r"[\x20\x09-\x0D]+", " ", r["text"] or "") for r in kept.collect()]
+    assert sorted(texts) == sorted({re.sub(r"[\x20\x09-\x0D]+", " ", t or "") for _, t in odd_rows})
+
+
+def test_empty_table(no_docs):
+    assert D.exact_groups(no_docs).count() == 0
+    assert D.drop_exact_copies(no_docs).count() == 0
+
+
+def test_a_crowded_filter_stays_exact(odd_docs, odd_rows, monkeypatch):
+    monkeypatch.setattr(D, "filter_bits", lambda rows: 32)
+    got = [tuple(r) for r in D.exact_groups(odd_docs).select("doc_id", "keep_id", "group_size", "kept", "text_sha256").collect()]
+    assert sorted(got, key=str) == expected(odd_rows)
+
+
+def test_hot_text_and_few_rows_shuffled(spark):
+    docs = spark.range(3000).select(F.col("id").alias("doc_id"), F.when(F.col("id") % 3 == 0, "hot").otherwise(
+        F.concat(F.lit("t"), F.col("id").cast("string"))).alias("text"))
+    groups = D.exact_groups(docs)
+    assert groups.filter("group_size = 1000").count() == 1000
+    assert groups.filter("kept").count() == 2001
+    rows = D._digests(docs, "doc_id", "text")
+    tested = D._tested(rows, *D.repeated_filter(rows, "text_sha256"))
+    assert 1000 <= tested.filter("_again").count() < 1050

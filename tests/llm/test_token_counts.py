@@ -1,0 +1,57 @@
+import random
+
+import public_tokenizers
+import pytest
+import sentencepiece
+from moodlake.llm import token_counts as C
+
+PATH = public_tokenizers.path("piece_bpe_32k.model")
+
+
+@pytest.fixture(scope="module")
+def library():
+    return sentencepiece.SentencePieceProcessor(model_file=PATH)
+
+
+def test_every_prefix_equals_the_library(library):
+    counter = C.PrefixCounter.from_model(PATH)
+    rng = random.Random(1)
+    letters = list(" \n\tab▁éß漢字😀́AaBeEthing.,'0129-_") + [" "] * 6
+    texts = ["".join(rng.choice(letters) for _ in range(rng.randint(0, 30))) for _ in range(500)] + [" " * k + "a" for k in range(40)]
+    for text in texts:
+        one_by_one = counter.steps(text)
+        counter.learn(counter.cut(text))
+        assert (counter.steps(text) == one_by_one).all()
+        for k in range(len(text) + 1):
+            assert C.tokens_at(one_by_one, k) == len(library.encode(text[:k])), text[:k]
+
+
+def test_words_together_equal_words_alone():
+    counter = C.PrefixCounter.from_model(PATH)
+    rng = random.Random(2)
+    words = ["▁" * rng.randint(0, 3) + "".join(rng.choice("etaoinshrdlu漢é😀Q7") for _ in range(rng.randint(1, 25))) for _ in range(400)]
+    assert counter.many_word_steps(words) == [counter.word_steps(w) for w in words]
+
+
+def test_documents(odd_docs, odd_rows, no_docs, library):
+    got = sorted([(r.doc_id, r.n_bytes, r.n_tokens, r.over_limit) for r in C.count_tokens(odd_docs, PATH).collect()], key=str)
+    want = []
+    for i, t in odd_rows:
+        n = len(library.encode(t or ""))
+        want.append((i, len((t or "").encode()), n, n > 4096))
+    assert got == sorted(want, key=str)
+    assert C.count_tokens(no_docs, PATH).count() == 0
+
+
+def test_budgets_are_answered_without_encoding_again(spark, odd_rows, library):
+    text = dict(odd_rows)[14]
+    docs = spark.createDataFrame([(1, text), (2, "short text")], "doc_id long, text string")
+    import numpy as np
+    for r in C.count_tokens(docs, PATH, limit=100, with_steps=True).collect():
+        body = {1: text, 2: "short text"}[r.doc_id]
+        assert len(library.encode(body[:r.keep_chars])) <= 100
+        if r.over_limit:
+            assert all(len(library.encode(body[:r.keep_chars + more])) > 100 for more in range(1, 15))
+        steps = np.frombuffer(bytes(r.prefix_steps), np.int8)
+        for k in (0, 1, 7, len(body)):
+            assert C.tokens_at(steps, k) == len(library.encode(body[:k]))

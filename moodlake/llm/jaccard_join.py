@@ -33,12 +33,12 @@ from moodlake.llm.common import id_filter, ship_package, shuffle_partitions, sto
 
 WORDS = 5
 PERCENT = 80
-CELLS = 1 << 22  # of the table of estimated document counts; its size is fixed, its counts cover all documents
+CELLS = 1 << 21  # of the table of estimated document counts; its size is fixed, its counts cover all documents
 SEGMENTS = 64
 MOST_SHARED = 4  # the largest l
 ENTRIES_PER_BUCKET = 1 << 20
 HOT_COUNT = 100_000  # a shingle with more documents, as estimated, is dealt over several buckets
-SEND_AT = 1 << 21  # entries a task gathers before it sends them
+SEND_AT = 1 << 19  # entries a task gathers before it sends them
 
 ENTRY = np.dtype([("token", "<i8"), ("key", "<i8"), ("size", "<i4"), ("least", "i1")])
 

@@ -23,7 +23,7 @@ def nan_to_null(c: str | Column) -> Column:
     """NaN compares greater than every number in Spark; pandas treats it as
     missing.  Map NaN to null once so comparisons behave like missing data."""
     c = col_(c)
-    return F.nanvl(c, F.lit(None).cast("double"))
+    return F.when(~F.isnan(c), c)  # keeps the column's own type; null stays null
 
 
 def clip01(c: str | Column) -> Column:
@@ -45,10 +45,6 @@ def first_artist(c: str | Column) -> Column:
     return strip_ws(F.get(split_artists(c), 0))
 
 
-def md5_text(c: str | Column) -> Column:
-    return F.md5(col_(c).cast("string"))
-
-
 def text_or_sentinel(c: str | Column) -> Column:
     """Nulls become a visible sentinel so a separator join keeps field positions."""
     return F.coalesce(col_(c).cast("string"), F.lit(NULL_TEXT))
@@ -69,7 +65,3 @@ def surrogate_key(*parts: str | Column) -> Column:
     return F.md5(F.concat_ws("_", *[col_(p).cast("string") for p in parts]))
 
 
-def floor_long(c: str | Column) -> Column:
-    """Whole-number cast that floors (a bare cast truncates in Spark and rounds
-    in other engines)."""
-    return F.floor(col_(c)).cast("bigint")

@@ -5,6 +5,8 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
+from moodlake.operators.mood import mood_catalog
+
 
 def bi_top_genres(genre_trends: DataFrame, n: int = 10) -> DataFrame:
     """Top genres by average popularity (name breaks ties).  The limit is the
@@ -27,6 +29,15 @@ def bi_mood_share(classified: DataFrame, col: str = "mood", digits: int = 4) ->
                          F.round(F.col("track_count") / total, digits).alias("share"))
 
 
+def bi_mood_catalog(share: DataFrame) -> DataFrame:
+    """All ten moods of the catalog with rank, description, tracks and share;
+    a mood without tracks has 0."""
+    moods = mood_catalog(share.sparkSession)
+    return (moods.join(share, "mood", "left")
+            .select("mood_rank", "mood", "description", F.coalesce("track_count", F.lit(0)).alias("track_count"),
+                    F.coalesce("share", F.lit(0.0)).alias("share")))
+
+
 def bi_release_trend(fact: DataFrame) -> DataFrame:
     """Tracks per ingestion date."""
     return fact.groupBy("ingestion_date").agg(F.count(F.lit(1)).alias("track_count"))

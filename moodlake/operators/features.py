@@ -5,7 +5,6 @@ from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
-from pyspark.sql.types import StructField, StructType, TimestampType
 
 from moodlake.functions.params import FEATURE_TTL_DAYS, UNKNOWN_LABEL
 from moodlake.operators.mood import sub_label_catalog
@@ -46,206 +45,81 @@ def features_latest(features: DataFrame, start: str | Column | None = None, end:
     return dedup_latest(f, key, ts, tiebreak)
 
 
+AS_OF_SLICES = 8  # slices of one time to live
+
+
 def features_as_of(features: DataFrame, requests: DataFrame, ttl_days: int = FEATURE_TTL_DAYS,
                    key: str = "track_id", req_ts: str = "request_ts", ts: str = "event_timestamp",
                    values: list[str] | None = None, tiebreak: list[str] | None = None,
-                   hot_group_rows: int = 1_000_000, slices: int = 64, max_hot_groups: int = 10_000) -> DataFrame:
+                   slices: int = AS_OF_SLICES) -> DataFrame:
     """Point-in-time read: for every request (key, request_ts) the latest
-    feature row with request_ts - ttl < event_timestamp <= request_ts, else nulls.
-
-    No pairs are formed and either side may be skewed.
-
-    * Feature rows are made unique per (key, time): ties keep the smallest
-      `tiebreak` values (default: the value columns), pre-limited map-side.
-    * Time is cut into TTL-wide buckets.  A (key, bucket) holding more than
-      `hot_group_rows` rows is cut at approximate percentiles of its times
-      into open intervals plus one point slice per percentile value; a time
-      holding a large share of the group always is such a value, and one
-      found at two or more percentiles (>= 1/slices of the group) is salted:
-      its requests are spread by a hash of the request over at least
-      `slices` salts, more in proportion to its estimated size (one salt per
-      `hot_group_rows`), and its single feature row (one per key and time)
-      and carry-in row are copied to each salt.  The hot list keeps at most
-      `max_hot_groups` groups (the largest), so the broadcast percentile
-      table is bounded by max_hot_groups x (slices - 1) longs; groups past
-      that bound stay whole and are still answered exactly.
-    * In the largest groups (more than slices x hot_group_rows rows) every
-      open slice is cut once more the same way, so those groups get about
-      (2 x slices)^2 slices.
-    * Hot groups are found on a sample of about 1000 rows per `hot_group_rows`
-      (the sample only decides where to split, never an answer).
-    * Carry-in comes from the feature rows alone: an aggregate takes the
-      newest feature of every (key, bucket, slice), and a window per key over
-      those summaries plus target stubs (slice 0 of the next bucket -- older
-      buckets are past the TTL -- and every slice of a hot group) gives each
-      slice the newest feature of all earlier slices.  One carry-in row joins
-      each slice's rows, which are sorted by time (features before requests at
-      equal time, so ts <= request_ts is included); a running last-non-null
-      gives each request its newest feature, and the TTL test keeps it or not.
-
-    Requests with a null key or time pass through unmatched.  Requests are
-    read by the sample, the percentile pass (hot groups only) and the sort:
-    pass stored tables or check-pointed plans, not costly derivations.
+    feature row with request_ts - ttl < event_timestamp <= request_ts, else
+    nulls.  Feature rows tied on key and time: the smallest `tiebreak` values
+    (default: the value columns; nulls first) win.
+
+    The same plan at every size, and no pair of feature and request is formed:
+
+    * Only distinct (key, time) pairs are resolved; they are made distinct
+      before the shuffle, so identical requests cost one row a task.
+    * Time is cut for every key into fixed slices of ttl / `slices`, so a key's
+      rows spread over as many tasks as its time span has slices.
+    * Every feature row is also offered to the next `slices` slices, of which
+      an aggregate (partial sums before the shuffle) keeps the newest for each
+      slice: its carry-in, the newest feature of all earlier slices in reach.
+    * Inside a slice a running last value over time (carry-in, then features,
+      then pairs at equal time) answers each pair, and the ttl test decides.
+    * Answers join the requests on (key, time), a plain equi-join that adaptive
+      execution splits where one pair has many requests.
+
+    Requests with a null key or time stay, unanswered; all request columns stay.
     """
     values = values or [c for c in features.columns if c not in (key, ts)]
-    ttl_s = int(ttl_days) * 86400
-    req_cols = list(requests.columns)
-
-    feat = (features.select(key, F.col(ts).cast("timestamp").alias("_t"), *values)
-            .filter(F.col(key).isNotNull() & F.col("_t").isNotNull()))
-    feat = dedup_latest(feat, [key, "_t"], "_t", tiebreak or values)
-    f_type = StructType([StructField("_fts", TimestampType())]
-                        + [features.schema[v] for v in values])
-    r_type = StructType([requests.schema[c] for c in req_cols])
-    feat = feat.select(key, "_t", F.lit(0).alias("_kind"),
-                       F.struct(F.col("_t").alias("_fts"), *values).cast(f_type).alias("_f"),
-                       F.lit(None).cast(r_type).alias("_r"))
-    req = requests.select(key, F.col(req_ts).cast("timestamp").alias("_t"), F.lit(1).alias("_kind"),
-                          F.lit(None).cast(f_type).alias("_f"), F.struct(*req_cols).alias("_r"))
-    answerable = F.col(key).isNotNull() & F.col("_t").isNotNull()
-    unmatched = req.filter(~answerable).select("_r", F.lit(None).cast(f_type).alias("_hit"))
-    rows = (feat.unionByName(req.filter(answerable))
-            .withColumn("_b", F.floor(F.unix_seconds(F.col("_t")) / F.lit(ttl_s)).cast("bigint")))
-
-    # hot groups (found on a sample) and their percentile times, both bounded
-    # (see above); they steer only the split, never an answer, so they are
-    # read from the raw keys and times without the de-duplication shuffle
-    raw = (features.select(key, F.col(ts).cast("timestamp").alias("_t"))
-           .unionByName(requests.select(key, F.col(req_ts).cast("timestamp").alias("_t")))
-           .filter(answerable)
-           .withColumn("_b", F.floor(F.unix_seconds(F.col("_t")) / F.lit(ttl_s)).cast("bigint")))
-    frac = min(1.0, 1000.0 / hot_group_rows)
-    hot = (raw.select(key, "_b").sample(fraction=frac, seed=17) if frac < 1.0 else raw.select(key, "_b"))
-    hot = (hot.groupBy(key, "_b").agg(F.count(F.lit(1)).alias("_n")).filter(F.col("_n") > hot_group_rows * frac)
-           .orderBy(F.col("_n").desc(), key, "_b").limit(max_hot_groups)
-           .select(key, "_b", (F.col("_n") / F.lit(frac)).alias("_est")))
-    pct = [i / slices for i in range(1, slices)]
-    per_level = 2 * slices - 1  # slice ids of one level: open intervals and point slices
-    us = F.unix_micros("_t")
-
-    def cut(bounds: str):
-        """(slice within the level, number of percentiles equal to the time)."""
-        point = F.coalesce(F.array_contains(bounds, us), F.lit(False))
-        below = F.coalesce(F.size(F.filter(bounds, lambda x: x < us)), F.lit(0))
-        reps = F.coalesce(F.size(F.filter(bounds, lambda x: x == us)), F.lit(0))
-        return below * 2 + point.cast("int"), reps
-
-    def salts(reps, est):
-        """Salts of a point slice whose time covers `reps` of the percentiles
-        of `est` rows: it holds about reps / slices of them; at least `slices`
-        salts, more in proportion when that exceeds hot_group_rows per salt."""
-        need = F.ceil(reps * est / F.lit(float(slices * hot_group_rows)))
-        return F.when(reps >= 2, F.greatest(F.lit(slices).cast("bigint"), need)).otherwise(F.lit(1)).cast("int")
-
-    # level 1: percentiles of every hot group
-    b1 = F.broadcast(raw.join(F.broadcast(hot), [key, "_b"]).groupBy(key, "_b")
-                     .agg(F.percentile_approx(us, pct).alias("_b1"), F.max("_est").alias("_est")))
-    s1, reps1 = cut("_b1")
-    # level 2: the open level-1 slices (about est / slices rows each) of the
-    # largest groups are cut again; max_hot_groups // slices groups at most,
-    # so this table too holds at most max_hot_groups x (slices - 1) longs
-    big = (b1.filter(F.col("_est") > F.lit(float(slices * hot_group_rows)))
-           .orderBy(F.col("_est").desc(), key, "_b").limit(max(1, max_hot_groups // slices)).select(key, "_b"))
-    b2 = F.broadcast(raw.join(F.broadcast(big), [key, "_b"]).join(b1, [key, "_b"])
-                     .withColumn("_s1", s1).filter(F.col("_s1") % 2 == 0).groupBy(key, "_b", "_s1")
-                     .agg(F.percentile_approx(us, pct).alias("_b2"),
-                          (F.max("_est") / F.lit(float(slices))).alias("_est2")))
-    s2, reps2 = cut("_b2")
-    rows = (rows.join(b1, [key, "_b"], "left").withColumn("_s1", s1)
-            .join(b2, [key, "_b", "_s1"], "left")
-            .withColumn("_s", F.col("_s1") * per_level + s2)  # s2 = 0 without a level 2
-            .withColumn("_ns", F.when(F.col("_b2").isNotNull(), salts(reps2, F.col("_est2")))
-                        .otherwise(salts(reps1, F.col("_est"))))
-            .drop("_b1", "_b2", "_est", "_est2", "_s1"))
-    all_salts = F.sequence(F.lit(0), F.col("_ns") - 1)
-
-    # carry-in, from the feature rows only: the newest feature of every
-    # (key, bucket, slice), and a window per key over those summaries plus
-    # target stubs (slice 0 of the next bucket -- older buckets are past the
-    # TTL -- and every slice of a hot group) gives each slice the newest
-    # feature of all earlier slices
-    summary = (rows.filter(F.col("_kind") == 0).groupBy(key, "_b", "_s")
-               .agg(F.max(F.struct("_t", "_f")).alias("_m"), F.max("_ns").alias("_ns"))
-               .withColumn("_o", F.lit(1)))
-    no_m = F.lit(None).cast(summary.schema["_m"].dataType)
-    next_bucket = summary.select(key, (F.col("_b") + 1).alias("_b"), F.lit(0).alias("_s"), no_m.alias("_m"),
-                                 F.lit(1).alias("_ns"), F.lit(0).alias("_o"))
-    step = F.explode(F.sequence(F.lit(0), F.lit(per_level - 1))).alias("_j")
-
-    def stub_reps(bounds: str):
-        value = F.try_element_at(bounds, (F.floor(F.col("_j") / 2) + 1).cast("int"))
-        return F.when(F.col("_j") % 2 == 1, F.size(F.filter(bounds, lambda x: x == value))).otherwise(0)
-
-    stubs1 = (b1.select(key, "_b", "_b1", "_est", step)
-              .select(key, "_b", (F.col("_j") * per_level).alias("_s"), no_m.alias("_m"),
-                      salts(stub_reps("_b1"), F.col("_est")).alias("_ns"), F.lit(0).alias("_o")))
-    stubs2 = (b2.select(key, "_b", "_s1", "_b2", "_est2", step)
-              .select(key, "_b", (F.col("_s1") * per_level + F.col("_j")).alias("_s"), no_m.alias("_m"),
-                      salts(stub_reps("_b2"), F.col("_est2")).alias("_ns"), F.lit(0).alias("_o")))
-    earlier = (Window.partitionBy(key).orderBy("_b", "_s", "_o")
-               .rowsBetween(Window.unboundedPreceding, -1))
-    carry = (summary.unionByName(next_bucket).unionByName(stubs1).unionByName(stubs2)
-             .withColumn("_c", F.last(F.col("_m._f"), ignorenulls=True).over(earlier))
-             .filter(F.col("_c").isNotNull())
-             .select(key, "_b", "_s",
-                     F.explode(all_salts).alias("_salt"),
-                     F.lit(None).cast("timestamp").alias("_t"), F.lit(-1).alias("_kind"),
-                     F.col("_c").alias("_f"), F.lit(None).cast(r_type).alias("_r")))
-
-    # point slices: requests salted, the slice's one feature row copied to every salt
-    salt = (F.when(F.col("_ns") == 1, F.array(F.lit(0)))
-            .when(F.col("_kind") == 1, F.array(F.pmod(F.xxhash64("_r"), F.col("_ns")).cast("int")))
-            .otherwise(all_salts))
-    rows = rows.select(key, "_b", "_s", F.explode(salt).alias("_salt"), "_t", "_kind", "_f", "_r")
-    w = (Window.partitionBy(key, "_b", "_s", "_salt").orderBy(F.col("_t").asc_nulls_first(), F.col("_kind"))
-         .rowsBetween(Window.unboundedPreceding, Window.currentRow))
-    carried = (rows.unionByName(carry).withColumn("_last", F.last("_f", ignorenulls=True).over(w))
-               .filter(F.col("_kind") == 1))
-    fresh = F.col("_last._fts") > (F.col("_t") - F.expr(f"INTERVAL {int(ttl_days)} DAYS"))
-    answered = carried.select("_r", F.when(fresh, F.col("_last")).alias("_hit")).unionByName(unmatched)
-    return answered.select("_r.*", *[F.col(f"_hit.{v}").alias(v) for v in values],
-                           F.col("_hit._fts").alias(ts))
-
-
-def mood_lookup(features: DataFrame, requests: DataFrame, key: str = "track_id", digits: int = 4,
-                chunk_rows: int = 100_000) -> DataFrame:
-    """Batch form of the per-id lookup: one row per request (duplicates kept),
-    `found` false when there is no feature row; label description from the
-    50-row catalog.
-
-    The answer depends on the id alone, so requests are counted per id first
-    (pre-aggregated map-side: an id asked for by a third of all requests
-    ships one row per map task) and the counts join the latest features one
-    to one, so no join partition can be skewed.  Multiplicity comes back in
-    place for ids asked at most `chunk_rows` times; a hotter id is cut into
-    chunks of at most `chunk_rows`, the chunks are spread by (id, chunk) and
-    each is expanded in its own task.
-    """
-    spark = features.sparkSession
-    latest = features_latest(features, key=key)
-    cat = F.broadcast(sub_label_catalog(spark).select("mood_label", "mood_description"))
-    counts = requests.groupBy(key).agg(F.count(F.lit(1)).alias("_n"))
-    j = counts.join(latest, key, "left")
-    j = j.withColumn("found", F.col("event_timestamp").isNotNull())
-    j = j.withColumn("mood_label", F.when(F.col("found"), F.coalesce("mood_cluster", F.lit(UNKNOWN_LABEL))))
-    j = j.join(cat, "mood_label", "left")
-    answers = j.select(
-        key, "_n", "found",
-        F.when(F.col("found"), F.coalesce("genre_family", F.lit("Unknown"))).alias("genre_family"),
-        "mood_label",
-        F.when(F.col("found"), F.coalesce("mood_description", F.lit(""))).alias("mood_description"),
-        *[F.round(F.col(c).cast("double"), digits).alias(c) for c in ("danceability", "energy", "valence")],
-    )
-    chunk = F.lit(int(chunk_rows)).cast("bigint")
-    one = F.lit(1).cast("bigint")
-    # ids asked at most chunk_rows times expand where they are; only the hot
-    # ones are cut into chunks and spread by (id, chunk) before expanding
-    plain = (answers.filter(F.col("_n") <= chunk)
-             .withColumn("_i", F.explode(F.sequence(one, F.col("_n")))).drop("_n", "_i"))
-    chunks = (answers.filter(F.col("_n") > chunk)
-              .withColumn("_c", F.explode(F.sequence(F.lit(0).cast("bigint"),
-                                                     F.floor((F.col("_n") - 1) / chunk).cast("bigint"))))
-              .withColumn("_m", F.least(chunk, F.col("_n") - F.col("_c") * chunk))
-              .repartition(key, "_c"))
-    hot = chunks.withColumn("_i", F.explode(F.sequence(one, F.col("_m")))).drop("_n", "_c", "_m", "_i")
-    return plain.unionByName(hot)
+    tiebreak = tiebreak or values
+    width = int(ttl_days) * 86400 * 1_000_000 // slices  # microseconds
+    micros = F.unix_micros("_t")
+    slice_of = F.floor(micros / F.lit(width)).cast("bigint")
+
+    feat = (features.select(F.col(key).alias("_k"), F.col(ts).cast("timestamp").alias("_t"),
+                            F.struct(*tiebreak).alias("_tie"), F.struct(*values).alias("_f"))
+            .filter(F.col("_k").isNotNull() & F.col("_t").isNotNull()).withColumn("_s", slice_of))
+    pairs = (requests.select(F.col(key).alias("_k"), F.col(req_ts).cast("timestamp").alias("_t"))
+             .filter(F.col("_k").isNotNull() & F.col("_t").isNotNull()).distinct().withColumn("_s", slice_of))
+    feat = feat.withColumn("_v", F.struct(F.col("_t").alias("t"), F.col("_f").alias("f")))
+    newest = F.struct((-micros).alias("age"), F.col("_tie").alias("tie"))  # smallest: newest, then least tie-break
+    carry = (feat.select("_k", F.explode(F.sequence(F.col("_s") + 1, F.col("_s") + slices)).alias("_s"), "_v", newest.alias("_o"))
+             .groupBy("_k", "_s").agg(F.min_by("_v", "_o").alias("_v"))
+             .select("_k", "_s", F.lit(None).cast("timestamp").alias("_t"), F.lit(0).alias("_kind"),
+                     F.lit(None).cast(feat.schema["_tie"].dataType).alias("_tie"), "_v"))
+    rows = carry.unionByName(feat.select("_k", "_s", "_t", F.lit(1).alias("_kind"), "_tie", "_v"))
+    asked = pairs.select("_k", "_s", "_t", F.lit(2).alias("_kind"))
+    rows = rows.unionByName(asked, allowMissingColumns=True)
+    # of ties the winner comes last, so that the running last value is it
+    running = (Window.partitionBy("_k", "_s").orderBy(F.col("_t").asc_nulls_first(), "_kind", F.col("_tie").desc_nulls_last())
+               .rowsBetween(Window.unboundedPreceding, Window.currentRow))
+    hit = F.last("_v", ignorenulls=True).over(running)
+    fresh = F.col("_hit.t") > (F.col("_t") - F.expr(f"INTERVAL {int(ttl_days)} DAYS"))
+    answers = (rows.withColumn("_hit", hit).filter((F.col("_kind") == 2) & fresh)
+               .select("_k", "_t", F.col("_hit.f").alias("_f"), F.col("_hit.t").alias("_ft")))
+    asking = requests.withColumns({"_rk": F.col(key), "_rt": F.col(req_ts).cast("timestamp")})
+    return (asking.join(answers, (F.col("_rk") == F.col("_k")) & (F.col("_rt") == F.col("_t")), "left")
+            .select(*requests.columns, *[F.col(f"_f.{v}").alias(v) for v in values], F.col("_ft").alias(ts)))
+
+
+def mood_lookup(latest: DataFrame, requests: DataFrame, key: str = "track_id", digits: int = 4) -> DataFrame:
+    """Batch form of the per-id lookup: every request row with all its
+    columns, `found` false when the id has no feature row, and the label's
+    description from the 50-row catalog.
+
+    `latest` holds one row per id (features_latest).  Pass it as a stored
+    table: the join then reads plain shuffles on both sides, which adaptive
+    execution splits where one id has many requests."""
+    cat = F.broadcast(sub_label_catalog(latest.sparkSession).select("mood_label", "mood_description"))
+    answers = (latest.withColumn("mood_label", F.coalesce("mood_cluster", F.lit(UNKNOWN_LABEL)))
+               .join(cat, "mood_label", "left")
+               .select(F.col(key).alias("_k"), F.lit(True).alias("_found"),
+                       F.coalesce("genre_family", F.lit(UNKNOWN_LABEL)).alias("genre_family"), "mood_label",
+                       F.coalesce("mood_description", F.lit("")).alias("mood_description"),
+                       *[F.round(F.col(c).cast("double"), digits).alias(c) for c in ("danceability", "energy", "valence")]))
+    return (requests.join(answers, requests[key] == answers["_k"], "left")
+            .select(*[requests[c] for c in requests.columns], F.coalesce("_found", F.lit(False)).alias("found"),
+                    "genre_family", "mood_label", "mood_description", "danceability", "energy", "valence"))

@@ -9,8 +9,6 @@ are constants), so the job runs without any Python UDF.
 
 from __future__ import annotations
 
-from functools import reduce
-
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -72,62 +70,52 @@ def normalize_features(df: DataFrame) -> DataFrame:
 
 
 # ---------------------------------------------------------------------------
-# M4-M6: universal mood
+# M4-M6: universal mood.  Scores are SQL text, parsed in one call each: built
+# call by call over the bridge to the JVM, the same plan takes seconds.
 # ---------------------------------------------------------------------------
-def _feature(df_cols: set[str], name: str) -> Column:
-    if name in df_cols:
-        return nan_to_null(F.col(name).cast("double"))
-    return F.lit(P.ABSENT_DEFAULTS[name])
+def _present(name: str) -> str:
+    """A feature as double, NaN as null."""
+    x = f"cast(`{name}` as double)"
+    return f"(case when not isnan({x}) then {x} end)"
+
+
+def _number(x: float) -> str:
+    return f"{float(x)!r}D"
+
 
+def _text(x: str) -> str:
+    return "'" + x.replace("\\", "\\\\").replace("'", "\\'") + "'"
 
-def _cond(cols: set[str], cond) -> Column:
+
+def _cond(cols: set[str], cond) -> str:
     if cond[0] == "any":
-        return reduce(lambda a, b: a | b, [_cond(cols, c) for c in cond[1]])
-    feat, op, thr = cond
-    x = _feature(cols, feat)
-    if op == ">":
-        return x > F.lit(thr)
-    if op == "<":
-        return x < F.lit(thr)
-    return x == F.lit(float(thr))
+        return "(" + " or ".join(_cond(cols, c) for c in cond[1]) + ")"
+    feat, op, limit = cond
+    x = _present(feat) if feat in cols else _number(P.ABSENT_DEFAULTS[feat])
+    return f"({x} {op if op in '<>' else '='} {_number(limit)})"
 
 
-def mood_score_columns(df: DataFrame, family_col: str = "genre_family") -> dict[str, Column]:
+def mood_score_text(cols: set[str], family_col: str = "genre_family") -> dict[str, str]:
     """Integer score per mood: first branch, else-if branch, else 0, plus the
     family bonus.  A missing (null/NaN) feature makes its conditions false."""
-    cols = set(df.columns)
     out = {}
     for mood in P.MOOD_NAMES:
-        (p1, c1), (p2, c2) = P.MOOD_RULES[mood]
-        all1 = reduce(lambda a, b: a & b, [_cond(cols, c) for c in c1])
-        all2 = reduce(lambda a, b: a & b, [_cond(cols, c) for c in c2])
-        rule = F.when(all1, F.lit(p1)).when(all2, F.lit(p2)).otherwise(F.lit(0))
-        bonus = None
-        for fam, b in P.GENRE_BIAS.items():
-            if mood in b:
-                bonus = (F.when(F.col(family_col) == fam, F.lit(b[mood])) if bonus is None
-                         else bonus.when(F.col(family_col) == fam, F.lit(b[mood])))
-        if bonus is not None:
-            rule = rule + bonus.otherwise(F.lit(0))
-        out[mood] = rule
+        branches = " ".join(f"when {' and '.join(_cond(cols, c) for c in conds)} then {points}"
+                            for points, conds in P.MOOD_RULES[mood])
+        bonus = " ".join(f"when {_text(fam)} then {b[mood]}" for fam, b in P.GENRE_BIAS.items() if mood in b)
+        out[mood] = f"case {branches} else 0 end" + (f" + case `{family_col}` {bonus} else 0 end" if bonus else "")
     return out
 
 
-def first_argmax(scores: list[tuple[str, Column]]) -> Column:
-    """Label of the first score equal to the maximum (scores are non-null)."""
-    best = F.greatest(*[s for _, s in scores])
-    expr = None
-    for label, s in scores:
-        expr = F.when(s == best, F.lit(label)) if expr is None else expr.when(s == best, F.lit(label))
-    return expr
-
-
 def universal_mood(df: DataFrame, family_col: str = "genre_family", out: str = "mood",
                    keep_scores: bool = False) -> DataFrame:
-    scores = mood_score_columns(df, family_col)
+    """The first mood, in catalog order, with the largest score."""
+    scores = mood_score_text(set(df.columns), family_col)
     names = {m: f"score_{m.lower()}" for m in P.MOOD_NAMES}
-    with_scores = df.withColumns({names[m]: scores[m] for m in P.MOOD_NAMES})
-    res = with_scores.withColumn(out, first_argmax([(m, F.col(names[m])) for m in P.MOOD_NAMES]))
+    with_scores = df.withColumns({names[m]: F.expr(text) for m, text in scores.items()})
+    best = f"greatest({', '.join(names.values())})"
+    pick = " ".join(f"when {names[m]} = {best} then {_text(m)}" for m in P.MOOD_NAMES)
+    res = with_scores.withColumn(out, F.expr(f"case {pick} end"))
     return res if keep_scores else res.drop(*names.values())
 
 
@@ -137,59 +125,26 @@ def universal_mood(df: DataFrame, family_col: str = "genre_family", out: str = "
 def _clean_feature_columns(df: DataFrame) -> DataFrame:
     """Sub-label inputs as `_sv_<feature>`: null/NaN -> 0.5, absent column -> 0.0.
     Cleaning once in its own projection keeps the scoring code small."""
-    cols = set(df.columns)
-    clean = {}
-    for f in SUB_FEATURES:
-        if f in cols:
-            clean[f"_sv_{f}"] = F.coalesce(nan_to_null(F.col(f).cast("double")), F.lit(P.SUB_LABEL_NULL_VALUE))
-        else:
-            clean[f"_sv_{f}"] = F.lit(0.0)
-    return df.withColumns(clean)
+    fill = _number(P.SUB_LABEL_NULL_VALUE)
+    return df.withColumns({f"_sv_{f}": F.expr(f"coalesce({_present(f)}, {fill})" if f in df.columns else _number(0))
+                           for f in SUB_FEATURES})
 
 
-def _terms(weights: list[tuple[str, float]]) -> list[Column]:
+def _terms(weights: list[tuple[str, float]]) -> list[str]:
     """w * v for w > 0, |w| * (1 - v) for w < 0 (sign folded at build time)."""
     out = []
     for feat, w in weights:
-        v = F.col(f"_sv_{P.WEIGHT_COLUMN.get(feat, feat)}")
-        out.append(F.lit(float(w)) * v if w >= 0 else F.lit(float(abs(w))) * (F.lit(1.0) - v))
+        v = f"_sv_{P.WEIGHT_COLUMN.get(feat, feat)}"
+        out.append(f"{_number(w)} * {v}" if w >= 0 else f"{_number(abs(w))} * ({_number(1)} - {v})")
     return out
 
 
-def _sum_left(terms: list[Column]) -> Column:
-    return reduce(lambda a, b: a + b, terms)
-
-
-def _prefix_max(terms: list[Column]) -> Column:
-    prefixes, acc = [], None
-    for t in terms:
-        acc = t if acc is None else acc + t
-        prefixes.append(acc)
-    return F.greatest(*prefixes) if len(prefixes) > 1 else prefixes[0]
-
-
-def _family_score(k: int, family_col: str, exact: bool) -> Column:
-    """Score of the k-th sub-label of the row's own family (only that family's
-    weighted sum is evaluated: CASE short-circuits)."""
-    expr = None
-    for fam, labels in P.SUB_LABELS.items():
-        if k >= len(labels):
-            continue
-        terms = _terms(labels[k][2])
-        val = _prefix_max(terms) if exact else _sum_left(terms)
-        cond = F.col(family_col) == fam
-        expr = F.when(cond, val) if expr is None else expr.when(cond, val)
-    return expr
-
-
-def _label_of(k_col: Column, family_col: str) -> Column:
-    """Name of the k-th sub-label of the row's family (constant lookup)."""
-    expr = None
-    for fam, labels in P.SUB_LABELS.items():
-        for k, (name, _, _) in enumerate(labels):
-            cond = (F.col(family_col) == fam) & (k_col == k)
-            expr = F.when(cond, F.lit(name)) if expr is None else expr.when(cond, F.lit(name))
-    return expr.otherwise(F.lit(P.UNKNOWN_LABEL))
+def _label_score(weights: list[tuple[str, float]], exact: bool) -> str:
+    """The weighted sum, or with `exact` the largest running sum of its terms."""
+    terms = _terms(weights)
+    if not exact or len(terms) == 1:
+        return " + ".join(terms)
+    return "greatest(" + ", ".join(" + ".join(terms[:n]) for n in range(1, len(terms) + 1)) + ")"
 
 
 def sub_label(df: DataFrame, family_col: str = "genre_family", out: str = "mood_cluster",
@@ -207,15 +162,19 @@ def sub_label(df: DataFrame, family_col: str = "genre_family", out: str = "mood_
     and maps (family, position) to the label name.
     """
     n = max(len(v) for v in P.SUB_LABELS.values())
-    clean = _clean_feature_columns(df)
-    scored = clean.withColumns({f"_ss{k}": _family_score(k, family_col, exact) for k in range(n)})
-    best = F.greatest(*[F.col(f"_ss{k}") for k in range(n)])
-    pos = None
+    scores = {}
     for k in range(n):
-        c = F.col(f"_ss{k}") == best
-        pos = F.when(c, F.lit(k)) if pos is None else pos.when(c, F.lit(k))
-    res = scored.withColumn("_spos", pos).withColumn(out, _label_of(F.col("_spos"), family_col))
-    return res.drop(*[f"_sv_{f}" for f in SUB_FEATURES], *[f"_ss{k}" for k in range(n)], "_spos")
+        # CASE stops at the row's family: only that family's sum is computed
+        branches = " ".join(f"when {_text(fam)} then {_label_score(labels[k][2], exact)}"
+                            for fam, labels in P.SUB_LABELS.items() if k < len(labels))
+        scores[f"_ss{k}"] = F.expr(f"case `{family_col}` {branches} end")
+    best = "greatest(" + ", ".join(scores) + ")"
+    place = " ".join(f"when _ss{k} = {best} then {k}" for k in range(n))
+    names = " ".join(f"when `{family_col}` = {_text(fam)} and _spos = {k} then {_text(name)}"
+                     for fam, labels in P.SUB_LABELS.items() for k, (name, _, _) in enumerate(labels))
+    res = (_clean_feature_columns(df).withColumns(scores).withColumn("_spos", F.expr(f"case {place} end"))
+           .withColumn(out, F.expr(f"case {names} else {_text(P.UNKNOWN_LABEL)} end")))
+    return res.drop(*[f"_sv_{f}" for f in SUB_FEATURES], *scores, "_spos")
 
 
 def sub_label_exact(df: DataFrame, family_col: str = "genre_family", out: str = "mood_cluster") -> DataFrame:

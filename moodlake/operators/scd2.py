@@ -20,7 +20,7 @@ def _ts(run_ts: str | Column) -> Column:
     return F.lit(run_ts).cast("timestamp") if isinstance(run_ts, str) else run_ts.cast("timestamp")
 
 
-def first_load(snapshot: DataFrame, run_ts: str | Column, key: str = "artist_id") -> DataFrame:
+def first_load(snapshot: DataFrame, run_ts: str | Column) -> DataFrame:
     """Bootstrap: every snapshot row becomes an open version."""
     return snapshot.select(
         *[c for c in snapshot.columns],
@@ -32,18 +32,20 @@ def first_load(snapshot: DataFrame, run_ts: str | Column, key: str = "artist_id"
 
 def scd2_merge(existing: DataFrame | None, snapshot: DataFrame, run_ts: str | Column,
                key: str = "artist_id", hash_col: str = "row_hash") -> DataFrame:
-    """Merge a snapshot into the version table in ONE shuffle.
+    """Merge a snapshot into the version table in one shuffle of the open
+    versions and the snapshot; closed versions never change and pass straight
+    through, so a run costs what is open, not what has ever been.
 
-    Versions and snapshot rows are unioned and partitioned by key once; window
-    aggregates over the key compare the snapshot hash with the open version's
-    hash.  Groups are tiny (versions of one artist plus one snapshot row), so
-    the window never concentrates data.
+    Window aggregates over the key compare the snapshot hash with the open
+    version's hash.  Groups are tiny (one open version and one snapshot row),
+    so the window never concentrates data.
     """
     if existing is None:
-        return first_load(snapshot, run_ts, key)
+        return first_load(snapshot, run_ts)
     ts = _ts(run_ts)
     cols = existing.columns
-    tagged = (existing.withColumn("_new", F.lit(False))
+    history = existing.filter(~F.coalesce(F.col("is_current"), F.lit(False)))
+    tagged = (current_versions(existing).withColumn("_new", F.lit(False))
               .unionByName(snapshot.withColumn("_new", F.lit(True)), allowMissingColumns=True))
     w = Window.partitionBy(key)
     is_open = ~F.col("_new") & F.col("is_current")
@@ -62,7 +64,7 @@ def scd2_merge(existing: DataFrame | None, snapshot: DataFrame, run_ts: str | Co
         F.when(F.col("_new"), F.lit(True)).when(closes, F.lit(False))
          .otherwise(F.col("is_current")).alias("is_current"),
     )
-    return updated.select(*cols)
+    return history.select(*cols).unionByName(updated.select(*cols))
 
 
 def _changed_keys(existing: DataFrame, snapshot: DataFrame, key: str, hash_col: str) -> DataFrame:

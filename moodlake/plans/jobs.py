@@ -4,15 +4,19 @@ Each job reads the previous layer from storage, runs one Catalyst plan and
 writes its output to a fresh run-scoped directory, returning the path.  The
 written layer cuts the lineage (a lost executor re-runs only the tasks of the
 current job; nothing is recomputed from raw files), and no job overwrites a
-path it reads.  Storage lives under `base`, a shared folder on the cluster;
-when not given it defaults to `<spark.checkpoint.dir>/lake`.
+path it reads.  Storage lives under `base`, a durable folder that the cluster
+shares.  Which run of each layer is current is itself a small table there (the
+manifest), so the next process continues where this one ended.
 """
 
 from __future__ import annotations
 
+import json
 from dataclasses import dataclass, field
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
+from pyspark.sql.types import StructType
 
 from moodlake.functions.params import MIN_SILVER_ROWS
 from moodlake.operators import artists as A
@@ -23,25 +27,47 @@ from moodlake.operators import quality as Q
 from moodlake.operators import scd2 as S
 from moodlake.operators.features import build_features
 from moodlake.operators.silver import build_silver
-from moodlake.session import checkpoint_dir
 from moodlake.sources.tables import read_table, run_path, write_table
 
 GOLD_TABLES = ["dim_track", "dim_artist", "dim_genre", "fact_streams", "agg_genre_trends", "agg_artist_profiles"]
 
 
+MANIFEST_SCHEMA = "seq bigint, name string, path string, schema string, row_count bigint"
+
+
 @dataclass
 class Lake:
-    """Where the layers of one pipeline live and which run is current."""
+    """Where the layers of one pipeline live and which run is current.
+
+    Every write of a layer is followed by a manifest row (sequence number,
+    layer, path, schema, rows); the last row of a layer names its current run.
+    The row is written after the data, so a run that dies in between leaves the
+    run before it current.  One process at a time writes to a lake."""
     spark: SparkSession
-    base: str | None = None
+    base: str
     fmt: str = "parquet"
     paths: dict[str, str] = field(default_factory=dict)
     counts: dict[str, int] = field(default_factory=dict)
     schemas: dict[str, object] = field(default_factory=dict)
 
     def __post_init__(self):
-        if self.base is None:
-            self.base = checkpoint_dir(self.spark).rstrip("/") + "/lake"
+        self.base = self.base.rstrip("/")
+        self._seq = 0
+        folder = self.spark._jvm.org.apache.hadoop.fs.Path(f"{self.base}/_manifest")
+        files = folder.getFileSystem(self.spark._jsc.hadoopConfiguration())
+        if not files.exists(folder):
+            layers = files.globStatus(self.spark._jvm.org.apache.hadoop.fs.Path(f"{self.base}/*/artists/run=*"))
+            if layers:
+                raise ValueError(f"{self.base} holds artist versions but no manifest: their history would be lost")
+            return
+        rows = self.spark.read.schema(MANIFEST_SCHEMA).json(f"{self.base}/_manifest/seq=*")
+        # one row for each layer: the last
+        last = rows.groupBy("name").agg(F.max_by(F.struct(*rows.columns), "seq").alias("row")).select("row.*")
+        for row in last.collect():
+            self.paths[row["name"]] = row["path"]
+            self.schemas[row["name"]] = StructType.fromJson(json.loads(row["schema"]))
+            self.counts[row["name"]] = row["row_count"]
+            self._seq = max(self._seq, row["seq"])
 
     def read(self, name: str) -> DataFrame:
         """Read a layer with the schema it was written with: no inference
@@ -56,6 +82,10 @@ class Lake:
         self.counts[name] = write_table(df, path, self.fmt, partition_by=partition_by)
         self.paths[name] = path
         self.schemas[name] = df.schema
+        self._seq += 1
+        entry = [(self._seq, name, path, df.schema.json(), self.counts[name])]
+        (self.spark.createDataFrame(entry, MANIFEST_SCHEMA).coalesce(1).write.mode("overwrite")
+         .json(f"{self.base}/_manifest/seq={self._seq:09d}"))
         return path
 
 

@@ -13,7 +13,7 @@ from moodlake.operators import mood as M
 from moodlake.operators import scd2 as S
 from moodlake.operators.features import build_features
 from moodlake.operators.silver import build_silver
-from moodlake.session import checkpoint_dir
+from moodlake.session import stored
 from moodlake.sources import fixture
 
 DIGITS = 6  # averages are reported to 6 decimals (double sums are order dependent)
@@ -31,8 +31,7 @@ def silver(spark: SparkSession, sf: str, materialize: bool = False) -> DataFrame
     differ, so exchange reuse cannot merge them)."""
     df = build_silver(bronze(spark, sf), tiebreak=fixture.BRONZE_TIEBREAK)
     if materialize:
-        checkpoint_dir(spark)
-        df = df.checkpoint(eager=True)
+        df = stored(df, "silver")
     return df
 
 
@@ -52,12 +51,12 @@ def artist_versions(spark: SparkSession, sf: str, steps: int = 3, tracks: DataFr
 
 def gold(spark: SparkSession, sf: str, digits: int | None = DIGITS) -> dict[str, DataFrame]:
     """Six gold tables.  Silver and the artist version table are each
-    check-pointed once (as the persisted jobs store them): several tables
+    stored once (as the persisted jobs store them): several tables
     read them, and a stored version table keeps the first-artist join
     eligible for adaptive skew splitting (no window between its shuffle and
     the join)."""
     tracks = silver(spark, sf, materialize=True)
-    versions = artist_versions(spark, sf, tracks=tracks).checkpoint(eager=True)
+    versions = stored(artist_versions(spark, sf, tracks=tracks), "artists")
     return G.build_gold(tracks, versions, digits)
 
 
@@ -74,7 +73,7 @@ def feature_history(spark: SparkSession, sf: str, materialize: bool = False) ->
     ingested before its cut-off.  Classification is row-wise, so silver is
     classified once and each row is fanned out (a generator, not a union of
     three re-computations) to the runs that saw it.  With `materialize` the
-    table is check-pointed (it stands for the stored feature table) for
+    table is stored (it stands for the stored feature table) for
     readers that scan it more than once."""
     cls = classified(spark, sf)
     runs = F.array(*[F.struct(F.lit(cut).cast("timestamp").alias("cutoff"), F.lit(ts).cast("timestamp").alias("ts"))
@@ -83,6 +82,5 @@ def feature_history(spark: SparkSession, sf: str, materialize: bool = False) ->
     fanned = cls.withColumn("_run", F.explode(seen))
     history = build_features(fanned, F.col("_run.ts"))
     if materialize:
-        checkpoint_dir(spark)
-        history = history.checkpoint(eager=True)
+        history = stored(history, "history")
     return history

@@ -8,6 +8,7 @@ forms because double sums depend on summation order.
 from __future__ import annotations
 
 from collections.abc import Callable
+from functools import reduce
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -24,8 +25,11 @@ from moodlake.operators import scd2 as S
 from moodlake.operators.silver import build_silver, cast_failures, dedup_latest
 from moodlake.plans import oracle as O
 from moodlake.plans import pipeline as PL
+from moodlake.session import stored
 from moodlake.sources import albums as AL
+from moodlake.sources import csv as CSV
 from moodlake.sources import fixture
+from moodlake.sources.catalog import register_gold
 
 Query = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, Query] = {}
@@ -140,7 +144,22 @@ def q_scd2_unchanged(spark, sf):
 # ---------------------------------------------------------------------------
 # gold
 # ---------------------------------------------------------------------------
-for _name in ["dim_track", "dim_artist", "dim_genre", "fact_streams", "agg_genre_trends", "agg_artist_profiles"]:
+@register("dim_track", W(*BASE) + "select * from dim_track")
+def q_dim_track(spark, sf):
+    return G.dim_track(PL.silver(spark, sf))
+
+
+@register("dim_genre", W(*BASE) + "select * from dim_genre")
+def q_dim_genre(spark, sf):
+    return G.dim_genre(PL.silver(spark, sf))
+
+
+@register("agg_genre_trends", W(*BASE) + "select * from agg_genre_trends")
+def q_agg_genre_trends(spark, sf):
+    return G.agg_genre_trends(PL.silver(spark, sf), PL.DIGITS)
+
+
+for _name in ["dim_artist", "fact_streams", "agg_artist_profiles"]:
     def _mk(n):
         def fn(spark, sf):
             return PL.gold(spark, sf)[n]
@@ -372,8 +391,8 @@ def q_features_as_of(spark, sf):
 @register("mood_lookup", _HIST + f""",
 lat as (select * from (select *, row_number() over (partition by track_id order by event_timestamp desc) rn
                        from history) where rn = 1),
-req as (select concat('T', cast(p_partkey as string)) as track_id from part)
-select r.track_id, l.track_id is not null as found,
+req as (select p_partkey as request_id, concat('T', cast(p_partkey as string)) as track_id from part)
+select r.request_id, r.track_id, l.track_id is not null as found,
        case when l.track_id is not null then coalesce(l.genre_family, 'Unknown') end as genre_family,
        case when l.track_id is not null then coalesce(l.mood_cluster, 'Unknown') end as mood_label,
        case when l.track_id is not null then coalesce(sl.mood_description, '') end as mood_description,
@@ -382,9 +401,11 @@ select r.track_id, l.track_id is not null as found,
 from req r left join lat l on r.track_id = l.track_id
 left join {O.sub_label_values()} on sl.mood_label = l.mood_cluster""")
 def q_mood_lookup(spark, sf):
+    """Parts ask for their track; the request keeps its own id column."""
     part = fixture.read(spark, sf, "part")
-    req = part.select(F.concat(F.lit("T"), F.col("p_partkey").cast("string")).alias("track_id"))
-    return FT.mood_lookup(_history(spark, sf), req)
+    req = part.select(F.col("p_partkey").alias("request_id"),
+                      F.concat(F.lit("T"), F.col("p_partkey").cast("string")).alias("track_id"))
+    return FT.mood_lookup(stored(FT.features_latest(_history(spark, sf)), "latest"), req)
 
 
 @register("features_as_of_events", f"""
@@ -414,12 +435,12 @@ def q_features_as_of_events(spark, sf):
 select genre_name, avg_popularity, track_count from agg_genre_trends
 order by avg_popularity desc, genre_name asc limit 10""")
 def q_bi_top_genres(spark, sf):
-    return B.bi_top_genres(PL.gold(spark, sf)["agg_genre_trends"])
+    return B.bi_top_genres(q_agg_genre_trends(spark, sf))
 
 
 @register("bi_genre_scatter", W(*BASE) + "select genre_name, avg_danceability, avg_energy from agg_genre_trends")
 def q_bi_scatter(spark, sf):
-    return B.bi_genre_scatter(PL.gold(spark, sf)["agg_genre_trends"])
+    return B.bi_genre_scatter(q_agg_genre_trends(spark, sf))
 
 
 @register("bi_mood_share", _CLS + """
@@ -429,6 +450,39 @@ def q_bi_mood_share(spark, sf):
     return B.bi_mood_share(PL.classified(spark, sf))
 
 
+@register("bi_mood_catalog", _CLS + ", share as (select mood, count(*) as n, round(count(*) / sum(count(*)) over (), 4) as share "
+          "from classified group by mood) select m.mood_rank, m.mood, m.description, coalesce(s.n, 0) as track_count, "
+          "coalesce(s.share, 0.0)::double as share from (values "
+          + ", ".join(f"({i}, '{m}', '" + d.replace("'", "''") + "')" for i, (m, d) in enumerate(P.UNIVERSAL_MOODS))
+          + ") m(mood_rank, mood, description) left join share s using (mood)")
+def q_bi_mood_catalog(spark, sf):
+    return B.bi_mood_catalog(B.bi_mood_share(PL.classified(spark, sf)))
+
+
+@register("gold_by_sql", W(*BASE) + """
+select g.genre_name, count(*) as tracks, max(f.popularity) as top_popularity
+from fact_streams f join dim_genre g using (genre_id) join dim_track d using (track_id)
+where d.energy > 0.5 group by g.genre_name""")
+def q_gold_by_sql(spark, sf):
+    """Gold registered in the session's catalog and read by SQL."""
+    tables = PL.gold(spark, sf)
+    register_gold(spark, {f"moodlake_{n}": tables[n] for n in ("fact_streams", "dim_genre", "dim_track")})
+    return spark.sql("""
+select g.genre_name, count(*) as tracks, max(f.popularity) as top_popularity
+from moodlake_fact_streams f join moodlake_dim_genre g using (genre_id) join moodlake_dim_track d using (track_id)
+where d.energy > 0.5 group by g.genre_name""")
+
+
+@register("ingest_metadata", f"""
+select o_orderkey, o_custkey, o_orderstatus, timestamp '{fixture.RUN_TS}' as ingestion_timestamp, 'orders' as source
+from orders""")
+def q_ingest_metadata(spark, sf):
+    """Load time and source stamped on every raw row (here orders, less a stray index column)."""
+    orders = fixture.read(spark, sf, "orders").select(F.col("o_custkey").alias("Unnamed: 0"), "o_orderkey", "o_custkey",
+                                                      "o_orderstatus")
+    return CSV.add_ingest_metadata(CSV.drop_index_columns(orders), fixture.RUN_TS, "orders")
+
+
 @register("bi_release_trend", W(*BASE) + """
 select ingestion_date, count(*) as track_count from fact_streams group by ingestion_date""")
 def q_bi_release(spark, sf):
@@ -480,7 +534,7 @@ _ZCOLS = [f"{c}_z" for c in P.KMEANS_FEATURES]
 
 
 def _standardized(spark, sf) -> DataFrame:
-    data = K.kmeans_features(PL.silver(spark, sf))
+    data = K.kmeans_features(stored(PL.silver(spark, sf).select("track_id", *P.KMEANS_FEATURES), "kmeans"))
     return K.standardize(data, K.fit_standardizer(data))
 
 
@@ -509,19 +563,45 @@ def q_dq_accepted_kmeans(spark, sf):
     return Q.dq_accepted_values(q_kmeans_assign(spark, sf), "mood_label", P.KMEANS_LABELS, "mood_predictions")
 
 
-@register("train_kmeans")
-def q_train_kmeans(spark, sf):
-    tracks = PL.silver(spark, sf)
-    return K.kmeans_predictions(K.train_kmeans(tracks), tracks)
+_COMPLETE = " and ".join(f"{c} is not null" for c in P.KMEANS_FEATURES)
+
 
+def _facts(spark, facts: list[tuple[str, DataFrame]]) -> DataFrame:
+    parts = [df.select(F.lit(name).alias("fact"), F.col("observed").cast("bigint").alias("observed")) for name, df in facts]
+    return reduce(DataFrame.unionByName, parts)
 
-@register("kmeans_labels")
+
+@register("train_kmeans", W(O.cte_silver()) + f"""
+select 'predicted_rows' as fact, count(*) as observed from silver where {_COMPLETE}
+union all select 'label_not_of_nearest_centroid', 0 union all select 'empty_clusters', 0""")
+def q_train_kmeans(spark, sf):
+    """What must hold of any fit: each complete track is predicted once, its
+    label is that of the nearest fitted centroid, and no cluster is empty."""
+    tracks = stored(PL.silver(spark, sf).select("track_id", *P.KMEANS_FEATURES), "kmeans")
+    model = K.train_kmeans(tracks)
+    predicted = K.kmeans_predictions(model, tracks)
+    centres = [list(map(float, c)) for c in model.stages[-1].clusterCenters()]
+    data = K.kmeans_features(tracks)
+    nearest = K.kmeans_assign(K.standardize(data, K.fit_standardizer(data)), centres, _ZCOLS)
+    expected = K.with_cluster_labels(nearest, K.label_clusters(centres), out="expected")
+    both = predicted.select("track_id", "mood_label").join(expected.select("track_id", "cluster", "expected"), "track_id")
+    return _facts(spark, [
+        ("predicted_rows", predicted.agg(F.count(F.lit(1)).alias("observed"))),
+        ("label_not_of_nearest_centroid", both.agg(F.count_if(F.col("mood_label") != F.col("expected")).alias("observed"))),
+        ("empty_clusters", both.agg((F.lit(len(centres)) - F.count_distinct("cluster")).alias("observed")))])
+
+
+@register("kmeans_labels", f"""
+select 'clusters' as fact, {P.KMEANS_K}::bigint as observed union all select 'distinct_labels', {P.KMEANS_K}
+union all select 'labels_outside_catalog', 0""")
 def q_kmeans_labels(spark, sf):
-    model = K.train_kmeans(PL.silver(spark, sf))
-    cents = [list(map(float, c)) for c in model.stages[-1].clusterCenters()]
-    rows = [(i, lab, max(range(len(c)), key=lambda j: (c[j], -j)), c)
-            for i, (lab, c) in enumerate(zip(K.label_clusters(cents), cents))]
-    return spark.createDataFrame(rows, "cluster int, mood_label string, dominant int, centroid array<double>")
+    """What must hold of the labels of any fit over all complete tracks."""
+    tracks = stored(PL.silver(spark, sf).select("track_id", *P.KMEANS_FEATURES), "kmeans")
+    predicted = K.kmeans_predictions(K.train_kmeans(tracks), tracks).groupBy("mood_label").agg(F.count(F.lit(1)).alias("n"))
+    return _facts(spark, [
+        ("clusters", predicted.agg(F.count(F.lit(1)).alias("observed"))),
+        ("distinct_labels", predicted.agg(F.count_distinct("mood_label").alias("observed"))),
+        ("labels_outside_catalog", predicted.agg(F.count_if(~F.col("mood_label").isin(P.KMEANS_LABELS)).alias("observed")))])
 
 
 def queries() -> dict[str, Query]:

@@ -4,8 +4,9 @@ from __future__ import annotations
 
 import os
 import tempfile
+import uuid
 
-from pyspark.sql import SparkSession
+from pyspark.sql import DataFrame, SparkSession
 
 # Settings every job relies on: UTC wall clock (dates derived from timestamps
 # must not move with the host zone), ANSI casts, adaptive execution for
@@ -49,15 +50,27 @@ def build_session(master: str = "local[*]", shuffle_partitions: int = 8, app: st
 def checkpoint_dir(spark: SparkSession) -> str:
     """The shared checkpoint folder the cluster names in spark.checkpoint.dir.
 
-    Only when the setting is absent (local tests) is a scratch folder created and
-    registered; on a cluster the configured shared folder is always used.
+    Only when the setting is absent on a single machine (tests) is a scratch
+    folder created and registered; on a cluster its absence is an error.
     """
     configured = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getCheckpointDir()
     if configured:
         if spark.sparkContext.getCheckpointDir() is None:
             spark.sparkContext.setCheckpointDir(configured)
         return spark.sparkContext.getCheckpointDir() or configured
+    if not spark.sparkContext.master.startswith("local["):
+        raise ValueError("set spark.checkpoint.dir to a folder that all executors share")
     local = tempfile.mkdtemp(prefix="moodlake-ckpt-", dir=os.environ.get("MOODLAKE_SCRATCH", "/tmp"))
     spark.sparkContext.setCheckpointDir(local)
     spark.conf.set("spark.checkpoint.dir", local)
     return spark.sparkContext.getCheckpointDir() or local
+
+
+def stored(df: DataFrame, name: str) -> DataFrame:
+    """df written once as Parquet to a run-scoped folder in the shared folder
+    and read back: lineage is cut, and later readers prune columns and push
+    filters into the files."""
+    spark = df.sparkSession
+    path = f"{checkpoint_dir(spark).rstrip('/')}/layers/{name}-{uuid.uuid4().hex}"
+    df.write.parquet(path)
+    return spark.read.schema(df.schema).parquet(path)

@@ -11,15 +11,18 @@ INDEX_COLUMNS = ["Unnamed: 0", "_c0"]
 
 
 def read_tracks_csv(spark: SparkSession, path: str, schema: StructType | str | None = None,
-                    multi_line: bool = True) -> DataFrame:
-    """CSV with a header.  Pass a schema in production (one pass, no
-    inference); without one the types are inferred.  A stray index column is
-    dropped.  With `multi_line` quoted fields may hold line breaks, but each
-    file is then parsed by one task; for landings of a few very large files
-    whose fields hold no line breaks, pass False so files split by size."""
+                    multi_line: bool = False) -> DataFrame:
+    """CSV with a header.  Files split by size; pass a schema, or every column
+    is text (silver casts each value anyway), so the files are read once.  A
+    stray index column is dropped.  With `multi_line` quoted fields may hold
+    line breaks, but each file is then parsed by one task."""
     r = spark.read.option("header", True).option("multiLine", multi_line).option("escape", '"')
-    r = r.schema(schema) if schema is not None else r.option("inferSchema", True)
-    df = r.csv(path)
+    r = r.schema(schema) if schema is not None else r
+    return drop_index_columns(r.csv(path))
+
+
+def drop_index_columns(df: DataFrame) -> DataFrame:
+    """df without the index column that a writer may have left."""
     return df.drop(*[c for c in INDEX_COLUMNS if c in df.columns])
 
 

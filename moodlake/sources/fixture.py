@@ -84,12 +84,8 @@ def register_tables(spark: SparkSession, sf_dir: str, names: list[str] | None =
         read(spark, sf_dir, name).createOrReplaceTempView(name)
 
 
-# Fact-sized driver tables: spread when stored as fewer splits than cores.
-FACT_TABLES = {"lineitem", "orders", "events"}
-
-
 def read(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
-    return read_table(spark, f"{sf_dir}/{name}.parquet", "parquet", spread=name in FACT_TABLES)
+    return read_table(spark, f"{sf_dir}/{name}.parquet", "parquet")
 
 
 def bronze_tracks(spark: SparkSession, sf_dir: str) -> DataFrame:

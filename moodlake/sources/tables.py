@@ -20,23 +20,10 @@ def run_path(base: str, layer: str, name: str, run_id: str | None = None) -> str
     return f"{base.rstrip('/')}/{layer}/{name}/run={run_id or uuid.uuid4().hex[:12]}"
 
 
-def read_table(spark: SparkSession, path: str, fmt: str = DEFAULT_FORMAT, spread: bool = False) -> DataFrame:
+def read_table(spark: SparkSession, path: str, fmt: str = DEFAULT_FORMAT) -> DataFrame:
     """Full-table scan; Catalyst prunes columns and pushes filters into it.
-    `spread` is for fact-sized tables that may be stored as very few splits."""
-    df = spark.read.format(fmt).load(path)
-    return spread_small_scan(df) if spread else df
-
-
-def spread_small_scan(df: DataFrame) -> DataFrame:
-    """A table stored as fewer splits than the cluster has cores (one file
-    with a single row group, say) would run every downstream narrow operator
-    in those few tasks.  Only then spread its rows round-robin over the
-    default parallelism; a large table (many splits) is returned untouched,
-    so no shuffle is added at scale."""
-    cores = df.sparkSession.sparkContext.defaultParallelism
-    if df.rdd.getNumPartitions() < cores:
-        return df.repartition(cores)
-    return df
+    How many splits it has is up to the files and maxPartitionBytes."""
+    return spark.read.format(fmt).load(path)
 
 
 def write_table(df: DataFrame, path: str, fmt: str = DEFAULT_FORMAT, mode: str = "overwrite",
@@ -55,8 +42,3 @@ def write_table(df: DataFrame, path: str, fmt: str = DEFAULT_FORMAT, mode: str =
         w = w.partitionBy(*partition_by)
     w.save(path)
     return int(obs.get["rows"])
-
-
-def write_features(df: DataFrame, path: str) -> int:
-    """Feature table sink (parquet)."""
-    return write_table(df, path, "parquet")

@@ -14,14 +14,15 @@ from pyspark.sql import SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
-from moodlake.session import checkpoint_dir
 from moodlake.sources.albums import ALBUM_SCHEMA, flatten_albums
 
 
 def start_release_ingest(spark: SparkSession, landing: str, bronze: str, checkpoint: str | None = None,
                          max_files_per_trigger: int | None = None) -> StreamingQuery:
-    """Start the ingest; rows carry the processing time as ingestion time."""
-    checkpoint = checkpoint or checkpoint_dir(spark).rstrip("/") + "/streams/release_ingest"
+    """Start the ingest; rows carry the processing time as ingestion time.
+    Progress is kept in `checkpoint`, by default a folder beside `bronze`: it
+    belongs to that table and must outlive the process, as the table does."""
+    checkpoint = checkpoint or f"{bronze.rstrip('/')}_ingest_progress"
     reader = spark.readStream.schema(ALBUM_SCHEMA)
     if max_files_per_trigger:
         reader = reader.option("maxFilesPerTrigger", max_files_per_trigger)

@@ -1,6 +1,8 @@
 import datetime as dt
 import random
 
+from pyspark.sql import functions as F
+
 from moodlake.operators import features as FT
 
 
@@ -20,17 +22,17 @@ def test_as_of_matches_brute_force(spark):
     assert sorted(got, key=str) == sorted(want, key=str)
 
 
-def test_as_of_hot_groups_sliced_same_result(spark):
+def test_as_of_any_number_of_slices_same_result(spark):
     rnd = random.Random(5)
     base = dt.datetime(2024, 1, 1)
     feats = [("hot", base + dt.timedelta(hours=rnd.randint(0, 24 * 20)), float(i)) for i in range(30)]
     reqs = [("hot", base + dt.timedelta(hours=rnd.randint(0, 24 * 20))) for _ in range(300)]
     fdf = spark.createDataFrame(feats, "track_id string, event_timestamp timestamp, v double")
     rdf = spark.createDataFrame(reqs, "track_id string, request_ts timestamp")
-    plain = FT.features_as_of(fdf, rdf, ttl_days=7)
-    salted = FT.features_as_of(fdf, rdf, ttl_days=7, hot_group_rows=10, slices=8)
-    key = lambda r: (r["track_id"], r["request_ts"], r["v"] is None, r["v"] or 0.0)
-    assert sorted(plain.collect(), key=key) == sorted(salted.collect(), key=key)
+    want = sorted(_brute_as_of(feats, reqs, 7), key=str)
+    for slices in (1, 3, 8, 50):
+        got = [(r["track_id"], r["request_ts"], r["v"]) for r in FT.features_as_of(fdf, rdf, ttl_days=7, slices=slices).collect()]
+        assert sorted(got, key=str) == want
 
 
 def test_latest_in_range(spark):
@@ -49,7 +51,7 @@ def test_lookup_found_flag_and_description(spark):
         "track_id string, mood_cluster string, mood string, genre_family string, danceability float, "
         "energy float, valence float, event_timestamp timestamp")
     req = spark.createDataFrame([("a",), ("b",), ("nonexistent_track_id",)], "track_id string")
-    got = {r["track_id"]: r for r in FT.mood_lookup(feats, req).collect()}
+    got = {r["track_id"]: r for r in FT.mood_lookup(FT.features_latest(feats), req).collect()}
     assert got["a"]["found"] and got["a"]["mood_description"] == "Relaxed, feel-good, and easy-going"
     assert got["a"]["danceability"] == 0.1235
     assert got["b"]["mood_label"] == "Unknown" and got["b"]["genre_family"] == "Unknown"
@@ -84,18 +86,12 @@ def test_as_of_hot_feature_and_request_side_sliced(spark):
     reqs += [(None, base), ("hot", None)]
     fdf = spark.createDataFrame(feats, "track_id string, event_timestamp timestamp, v double")
     rdf = spark.createDataFrame(reqs, "track_id string, request_ts timestamp")
-    out = FT.features_as_of(fdf, rdf, ttl_days=7, hot_group_rows=20, slices=8)
+    out = FT.features_as_of(fdf, rdf, ttl_days=7)
     got = [(r["track_id"], r["request_ts"], r["v"]) for r in out.collect()]
     assert len(got) == len(reqs)
     assert sorted(got, key=str) == sorted(_brute_as_of(feats, reqs, 7), key=str)
-    plan = out._jdf.queryExecution().executedPlan().toString()
-    assert "percentile_approx" in plan and "Expand" not in plan
-    # rows entering any shuffle stay O(requests + features): at most two carry
-    # rows per feature slice, stubs of the hot groups, and salt copies only in
-    # point slices -- never the group's features copied to every salt
-    hot_groups = 11 * 7  # at most: keys x TTL buckets spanned
-    bound = len(reqs) + 3 * len(feats) + hot_groups * (2 * 8 - 1) + 2 * 8 * 8
-    assert max(_shuffle_records(out)) <= bound < len(reqs) + len(feats) * 8 * 2
+    # each shuffle carries at most the features with the carry-in of their slices, and the distinct pairs
+    assert max(_shuffle_records(out)) <= len(set(reqs)) + (1 + FT.AS_OF_SLICES) * len(feats)
 
 
 def _shuffle_records(df):
@@ -119,16 +115,24 @@ def _shuffle_records(df):
     return out
 
 
-def test_as_of_point_slice_salts_grow_with_size(spark):
-    """An instant holding most of a hot group takes salts in proportion to its
-    size (here far more than `slices`); answers equal brute force."""
+def test_as_of_identical_requests_leave_several_tasks(spark):
+    """20,000 identical requests are resolved once, and their rows come out of
+    several tasks; all request columns stay."""
     base = dt.datetime(2024, 1, 1)
-    rnd = random.Random(2)
-    feats = [("hot", base + dt.timedelta(hours=rnd.randint(0, 24 * 9)), float(i)) for i in range(40)]
-    reqs = [("hot", base + dt.timedelta(days=5))] * 300
-    reqs += [("hot", base + dt.timedelta(hours=h)) for h in range(0, 240, 7)]
-    fdf = spark.createDataFrame(feats, "track_id string, event_timestamp timestamp, v double")
-    rdf = spark.createDataFrame(reqs, "track_id string, request_ts timestamp")
-    out = FT.features_as_of(fdf, rdf, ttl_days=7, hot_group_rows=5, slices=4)
-    got = [(r["track_id"], r["request_ts"], r["v"]) for r in out.collect()]
-    assert sorted(got, key=str) == sorted(_brute_as_of(feats, reqs, 7), key=str)
+    feats = spark.createDataFrame([("hot", base + dt.timedelta(hours=h), float(h)) for h in range(240)],
+                                  "track_id string, event_timestamp timestamp, v double")
+    n = 20_000
+    reqs = spark.range(n).select(F.lit("hot").alias("track_id"), F.lit(base + dt.timedelta(days=5)).alias("request_ts"),
+                                 F.lit("same").alias("note"))
+    conf = {"spark.sql.autoBroadcastJoinThreshold": "-1", "spark.sql.adaptive.skewJoin.skewedPartitionThresholdInBytes": "10KB",
+            "spark.sql.adaptive.skewJoin.skewedPartitionFactor": "2", "spark.sql.adaptive.advisoryPartitionSizeInBytes": "4KB"}
+    for k, v in conf.items():
+        spark.conf.set(k, v)
+    try:
+        out = FT.features_as_of(feats, reqs, ttl_days=7)
+        rows = out.withColumn("task", F.spark_partition_id()).groupBy("task", "v", "note").count().collect()
+        assert sum(r["count"] for r in rows) == n and {(r["v"], r["note"]) for r in rows} == {(120.0, "same")}
+        assert len(rows) > 3 and max(r["count"] for r in rows) < n / 2
+    finally:
+        for k in conf:
+            spark.conf.unset(k)

@@ -34,6 +34,69 @@ def test_daily_then_mood_and_kmeans(spark):
     assert os.path.isdir(model_path) and lake.counts["mood_predictions"] > 0
 
 
+DAY = """
+import sys
+from pyspark.sql import functions as F
+from moodlake.session import build_session
+from moodlake.plans import jobs as J, pipeline as PL
+from moodlake.sources import fixture
+day, base = sys.argv[1:]
+spark = build_session("local[2]", 4)
+lake = J.Lake(spark, base)
+raw = PL.bronze(spark, "/root/testdata/sf0.001").withColumn("popularity", F.col("popularity") + int(day))
+J.run_bronze(lake, raw, f"r{day}")
+J.run_silver(lake, f"r{day}", fixture.BRONZE_TIEBREAK)
+J.run_artists(lake, f"r{day}", f"2024-01-0{day} 00:00:00")
+"""
+
+INGEST = """
+import sys
+from moodlake.session import build_session
+from moodlake.streaming.releases import ingest_new_releases
+spark = build_session("local[2]", 4)
+ingest_new_releases(spark, sys.argv[1], sys.argv[2])
+"""
+
+
+def _process(script, *args):
+    """The script in a process of its own."""
+    import subprocess
+    import sys
+    root = os.path.dirname(os.path.dirname(os.path.abspath(__file__)))
+    env = os.environ | {"PYTHONPATH": root}
+    subprocess.run([sys.executable, "-c", script, *args], check=True, env=env, cwd=root, timeout=300, capture_output=True)
+
+
+def test_second_process_keeps_the_first_days_versions(spark):
+    base = tempfile.mkdtemp(prefix="lake-", dir="/tmp")
+    _process(DAY, "1", base)
+    _process(DAY, "2", base)
+    versions = J.Lake(spark, base).read("artists")
+    days = {(str(r["valid_from"])[:10], str(r["valid_to"])[:10], r["is_current"]) for r in versions.collect()}
+    assert ("2024-01-01", "2024-01-02", False) in days and ("2024-01-02", "None", True) in days
+
+
+def test_versions_without_manifest_are_not_overwritten(spark):
+    import pytest
+    base = tempfile.mkdtemp(prefix="lake-", dir="/tmp")
+    os.makedirs(os.path.join(base, "silver", "artists", "run=r1"))
+    with pytest.raises(ValueError, match="manifest"):
+        J.Lake(spark, base)
+
+
+def test_second_process_ingests_only_new_files(spark):
+    d = tempfile.mkdtemp(prefix="stream-", dir="/tmp")
+    landing, bronze = os.path.join(d, "landing"), os.path.join(d, "bronze")
+    os.makedirs(landing)
+    for name, n in (("a", 3), ("b", 4)):
+        with open(os.path.join(landing, f"{name}.json"), "w") as f:
+            tracks = [{"id": f"{name}-{i}", "name": "t", "artists": [{"name": "a"}]} for i in range(n)]
+            f.write(json.dumps({"id": name, "name": name, "tracks": tracks}) + "\n")
+        _process(INGEST, landing, bronze)
+    df = spark.read.parquet(bronze)
+    assert df.count() == 7 and df.select("track_id").distinct().count() == 7
+
+
 def test_silver_quality_failure_raises(spark):
     import pytest
     lake = J.Lake(spark, tempfile.mkdtemp(prefix="lake-", dir="/tmp"))

@@ -74,7 +74,7 @@ def test_hot_key_dedup_preserves_one_row_per_key(spark, skew_conf):
 
 def test_hot_lookup_request_is_whole_and_split(spark, skew_conf):
     """A third of the lookup requests ask for one track: every request gets
-    its row, and the hot id is pre-aggregated instead of sent to one task."""
+    its row with its own columns, and the hot join partition is split."""
     from moodlake.operators import features as FT
     t = tracks(spark)
     feats = t.select("track_id", "popularity", F.lit("Chill Pop").alias("mood_cluster"), F.lit("Relaxed").alias("mood"),
@@ -83,16 +83,15 @@ def test_hot_lookup_request_is_whole_and_split(spark, skew_conf):
                      F.lit(dt.datetime(2024, 2, 1)).alias("event_timestamp")).filter(F.col("popularity") % 2 == 0)
     req = spark.range(N).select(F.when(F.col("id") % 3 == 0, F.lit("T7"))
                                 .otherwise(F.concat(F.lit("T"), F.col("id").cast("string"))).alias("track_id"))
-    out = FT.mood_lookup(feats, req, chunk_rows=1000)
-    rows = out.groupBy("track_id").agg(F.count("*").alias("n"), F.min(F.col("found").cast("int")).alias("f"))
-    got = {r["track_id"]: (r["n"], r["f"]) for r in rows.collect()}
-    assert sum(n for n, _ in got.values()) == N
-    assert got["T7"] == (N // 3 + 1, 0) and got["T8"] == (1, 1)
-    # requests are counted per id before any shuffle: no shuffle carries the
-    # hot id's rows one by one
-    from test_features import _shuffle_records
-    distinct_ids = N - N // 3 + 1
-    assert max(_shuffle_records(out)) <= distinct_ids + 100
+    from moodlake.session import stored
+    out = FT.mood_lookup(stored(FT.features_latest(feats), "latest"), req.withColumn("request_id", F.monotonically_increasing_id()))
+    rows = out.groupBy("track_id").agg(F.count("*").alias("n"), F.min(F.col("found").cast("int")).alias("f"),
+                                       F.countDistinct("request_id").alias("ids"))
+    got = {r["track_id"]: (r["n"], r["f"], r["ids"]) for r in rows.collect()}
+    assert sum(n for n, _, _ in got.values()) == N
+    assert got["T7"] == (N // 3 + 1, 0, N // 3 + 1) and got["T8"] == (1, 1, 1)
+    out.collect()
+    assert "skew=true" in out._jdf.queryExecution().executedPlan().toString()
 
 
 def test_hot_artist_fact_is_whole_and_split(spark, skew_conf):
@@ -100,7 +99,7 @@ def test_hot_artist_fact_is_whole_and_split(spark, skew_conf):
     one fact row per track, and the hot join partition is split."""
     t = tracks(spark)
     versions = S.scd2_merge(None, A.artist_snapshot(t), "2024-02-01 00:00:00").checkpoint()
-    fact = G.fact_streams(t, versions, G.dim_genre(t))
+    fact = G.fact_streams(t, versions)
     got = fact.groupBy(F.col("artist_id") == F.md5(F.lit("Hot Artist"))).count().collect()
     assert sum(r["count"] for r in got) == N
     assert [r["count"] for r in got if r[0]] == [N // 3]
@@ -139,8 +138,8 @@ def _largest_partition_share(df):
 
 def test_hot_key_as_of_is_spread_over_partitions(spark, skew_conf):
     """A third of feature rows and of requests on one key at distinct times
-    within one TTL bucket: the hot group is sliced, so no reduce partition of
-    the main sort holds anything near that third."""
+    within one time to live: its time is cut into slices, so no reduce
+    partition of the main sort holds anything near that third."""
     from moodlake.operators import features as FT
     spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "false")
     try:
@@ -151,12 +150,12 @@ def test_hot_key_as_of_is_spread_over_partitions(spark, skew_conf):
         at = t0 + F.make_interval(secs=(F.col("id") * 17 % 600000).cast("int"))
         feats = ids.select(key.alias("track_id"), at.alias("event_timestamp"), F.col("id").cast("double").alias("v"))
         reqs = ids.select(key.alias("track_id"), (at + F.expr("INTERVAL 1 SECOND")).alias("request_ts"))
-        out = FT.features_as_of(feats, reqs, ttl_days=7, hot_group_rows=500, slices=8)
+        out = FT.features_as_of(feats, reqs, ttl_days=7, slices=64)
         assert out.count() == N
         assert _largest_partition_share(out) < 0.15  # 16 partitions: 1/16 when even
-        # contrast: with splitting out of reach the hot group sits in one partition
-        whole = FT.features_as_of(feats, reqs, ttl_days=7, hot_group_rows=10**9, slices=8)
-        assert _largest_partition_share(whole) > 0.25
+        # contrast: with one slice for the whole time to live the hot key sits in one or two partitions
+        whole = FT.features_as_of(feats, reqs, ttl_days=7, slices=1)
+        assert _largest_partition_share(whole) > 0.15
     finally:
         spark.conf.unset("spark.sql.adaptive.coalescePartitions.enabled")
 

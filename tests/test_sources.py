@@ -28,7 +28,7 @@ def test_csv_ingest_roundtrip_drops_index_column(spark):
     out = csv.add_ingest_metadata(raw, "2024-01-01 00:00:00", "kaggle")
     r = out.select("ingestion_timestamp", "source").distinct().collect()
     assert len(r) == 1 and r[0]["source"] == "kaggle"
-    # inferred types line up with the canonical schema after conform
+    # types line up with the canonical schema after conform
     from moodlake.operators.silver import conform_schema
     assert [c for c, _ in TRACK_SCHEMA if c in out.columns] == conform_schema(out).columns
 
@@ -85,3 +85,14 @@ def test_register_gold_views(spark):
     catalog.register_gold(spark, g, mode="view")
     n = spark.sql("select count(*) as n from fact_streams f join dim_track d using (track_id)").first()["n"]
     assert n == g["fact_streams"].count()
+
+
+def test_register_gold_as_tables(spark):
+    """mode='table' writes managed tables that SQL reads."""
+    spark.sql("create database if not exists moodlake_test")
+    try:
+        tables_ = {"dim_genre": PL.G.dim_genre(PL.silver(spark, SMOKE))}
+        assert catalog.register_gold(spark, tables_, mode="table", database="moodlake_test") == ["moodlake_test.dim_genre"]
+        assert spark.sql("select * from moodlake_test.dim_genre").count() == tables_["dim_genre"].count()
+    finally:
+        spark.sql("drop database moodlake_test cascade")

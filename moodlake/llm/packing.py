@@ -17,6 +17,7 @@ from __future__ import annotations
 
 import bisect
 import functools
+import json
 import os
 import re
 import zlib
@@ -34,7 +35,10 @@ from moodlake.llm.common import ship_package, stored
 
 CAPACITY = 4096
 END_OF_DOCUMENT = 1
-KEPT_UNITS = 400_000  # encoded units a Python worker remembers for speed; a full memory starts anew
+KEPT_WORDS = 400_000  # encoded words a Python worker remembers for speed; a full memory starts anew
+TOGETHER = 4096  # words, of about one length, encoded at once
+NONE = 1 << 40  # the rank of a pair without a merge
+GATHERED = 4 << 20  # characters whose new words are gathered
 
 
 class BinPlan:
@@ -125,14 +129,27 @@ class BinPlan:
 
 
 @functools.cache  # one for all tasks of a worker
-def unit_encoder(path: str) -> UnitEncoder:
-    return UnitEncoder(path)
+def text_encoder(path: str) -> TextEncoder:
+    return TextEncoder(path)
 
 
-class UnitEncoder:
-    """Token ids of whole texts.  White space always separates tokens and is
-    dropped, so a text's ids are those of its units between blanks and line
-    ends one after another; the library encodes each unit once."""
+# Characters up to U+017F, but for U+0130, are their own normal form and are lowered one by one; their letters,
+# numbers and white space can be written down.
+_odd = re.compile("[^\x00-\u012f\u0131-\u017f]|<\\|")
+_letters = "a-zA-Z\xaa\xb5\xba\xc0-\xd6\xd8-\xf6\xf8-\u017f"
+_numbers = "0-9\xb2\xb3\xb9\xbc-\xbe"
+_blank = "\t-\r \x85\xa0"
+
+
+class TextEncoder:
+    """Token ids of whole texts under a byte-level BPE with word ends that
+    drops white space and lowers case.
+
+    Words are cut as the tokenizer's own pattern does, and each distinct word
+    is encoded once and remembered.  New words are encoded together: all of
+    them take their merge of lowest rank, the leftmost first, until none has
+    one left.  Units between blanks that hold other characters than plain
+    ones (or a special token), and long words, are left to the library."""
 
     def __init__(self, path: str):
         os.environ["TOKENIZERS_PARALLELISM"] = "false"
@@ -140,19 +157,116 @@ class UnitEncoder:
 
         self.tokenizer = Tokenizer.from_file(path)
         self.kept: dict[str, bytes] = {}
-        self.cut = re.compile("[^ \n\r\t]+").findall
-
-    def ids(self, text: str) -> bytes:
-        """Ids as little-endian unsigned 32-bit integers."""
-        units, kept = self.cut(text), self.kept
-        new = [u for u in set(units) if u not in kept]
-        if new:
-            if len(kept) + len(new) > KEPT_UNITS:
-                kept.clear()
-                new = list(set(units))
-            for unit, found in zip(new, self.tokenizer.encode_batch_fast(new, add_special_tokens=False)):
-                kept[unit] = np.array(found.ids, "<u4").tobytes()
-        return b"".join(map(kept.__getitem__, units))
+        with open(path, encoding="utf-8") as file:
+            whole = json.load(file)
+        model, vocabulary = whole["model"], whole["model"]["vocab"]
+        pattern = whole["pre_tokenizer"]["pretokenizers"][0]["pattern"]["Regex"]
+        plain = pattern.replace("[^\\s\\p{L}\\p{N}]", f"[^{_blank}{_letters}{_numbers}]").replace(
+            "[\\p{L}]", f"[{_letters}]").replace("[\\p{N}]", f"[{_numbers}]")
+        if "\\p" in plain or "\\s" in plain:
+            raise ValueError(f"unknown pattern {pattern}")
+        self.words = re.compile(plain).findall
+        self.units = re.compile("[^ \n\r\t]+").findall
+        # byte-level letters: printable bytes stand for themselves, the others for letters from U+0100 on
+        shown = [b for b in range(256) if 33 <= b <= 126 or 161 <= b <= 172 or b >= 174]
+        hidden = [b for b in range(256) if b not in shown]
+        letter = {b: chr(b) for b in shown} | {b: chr(256 + i) for i, b in enumerate(hidden)}
+        end = model["end_of_word_suffix"]
+        self.inner = np.array([vocabulary[letter[b]] for b in range(256)], np.int64)
+        self.last = np.array([vocabulary[letter[b] + end] for b in range(256)], np.int64)
+        self.size = len(vocabulary)
+        merges = [tuple(m.split(" ")) if isinstance(m, str) else tuple(m) for m in model["merges"]]
+        key = np.array([vocabulary[a] * self.size + vocabulary[b] for a, b in merges], np.int64)
+        order = np.argsort(key)
+        self.keys, self.ranks = key[order], order
+        self.merged = np.array([vocabulary[a + b] for a, b in merges], np.int64)[order]
+
+    def _merge(self, left: np.ndarray, right: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """Rank (NONE without a merge) and id of the merge of each pair of ids."""
+        pair = left.astype(np.int64) * self.size + right
+        at = np.minimum(np.searchsorted(self.keys, pair), len(self.keys) - 1)
+        return np.where(self.keys[at] == pair, self.ranks[at], NONE), self.merged[at]
+
+    def many_words(self, words: list[bytes]) -> list[bytes]:
+        """Ids of many words at once, as little-endian unsigned 32-bit integers.
+        A merge changes the pairs on its two sides; all others only move up."""
+        count = np.array(list(map(len, words)))
+        width = int(count.max())
+        codes = np.frombuffer(b"".join([w.ljust(width, b"\0") for w in words]), np.uint8).reshape(len(words), width)
+        ids = self.inner[codes]
+        number = rows = np.arange(len(words))
+        ids[rows, count - 1] = self.last[codes[rows, count - 1]]
+        rank, merged = self._merge(ids[:, :-1], ids[:, 1:])
+        rank[np.arange(1, width) >= count[:, None]] = NONE
+        result = [b""] * len(words)
+        while len(rows):
+            first = rank.argmin(axis=1) if rank.shape[1] else np.zeros(len(ids), np.int64)
+            more = rank[rows, first] < NONE if rank.shape[1] else np.zeros(len(ids), bool)
+            done = ids[~more].astype("<u4").tobytes()
+            for i, (place, n) in enumerate(zip(number[~more].tolist(), count[~more].tolist())):
+                result[place] = done[4 * i * ids.shape[1]:4 * (i * ids.shape[1] + n)]
+            ids, rank, merged, count, number, first = (x[more] for x in (ids, rank, merged, count, number, first))
+            rows = np.arange(len(ids))
+            if len(rows):
+                count = count - 1
+                new = merged[rows, first]
+                later = np.arange(ids.shape[1] - 1) > first[:, None]
+                ids = np.where(later, ids[:, 1:], ids[:, :-1])
+                ids[rows, first] = new
+                rank = np.where(later[:, :-1], rank[:, 1:], rank[:, :-1])
+                merged = np.where(later[:, :-1], merged[:, 1:], merged[:, :-1])
+                if rank.shape[1]:
+                    after = first < count - 1
+                    at = first[after]
+                    rank[rows[after], at], merged[rows[after], at] = self._merge(new[after], ids[rows[after], at + 1])
+                    end = ~after & (first < rank.shape[1])
+                    rank[rows[end], first[end]] = NONE
+                    before = first > 0
+                    at = first[before] - 1
+                    rank[rows[before], at], merged[rows[before], at] = self._merge(ids[rows[before], at], new[before])
+        return result
+
+    def cut(self, text: str) -> list[str]:
+        """The words of a text; a unit that the library has to encode is one word, marked by a blank before it."""
+        if not _odd.search(text):
+            return self.words(text.lower())
+        out = []
+        for unit in self.units(text):
+            out += [" " + unit] if _odd.search(unit) else self.words(unit.lower())
+        return out
+
+    def learn(self, asked: set[str]) -> None:
+        """Remember the ids of all these words."""
+        new = asked - self.kept.keys()
+        if len(self.kept) + len(new) > KEPT_WORDS:
+            self.kept.clear()
+            new = asked
+        plain, other = [], []
+        for w in new:
+            (other if w[0] == " " or len(w) > 24 else plain).append(w)
+        plain.sort(key=len)
+        for at in range(0, len(plain), TOGETHER):
+            part = plain[at:at + TOGETHER]
+            self.kept.update(zip(part, self.many_words([w.encode() for w in part])))
+        for w, found in zip(other, self.tokenizer.encode_batch_fast([w.strip(" ") for w in other], add_special_tokens=False)):
+            self.kept[w] = np.array(found.ids, "<u4").tobytes()
+
+    def ids(self, bodies: pa.Array) -> Iterator[bytes]:
+        """The ids of each text; new words are gathered from several texts."""
+        def joined(held: list[list[str]]) -> Iterator[bytes]:
+            self.learn(set().union(*held))
+            for words in held:
+                yield b"".join(map(self.kept.__getitem__, words))
+
+        held, size = [], 0
+        for body in bodies:
+            body = body.as_py()
+            held.append(self.cut(body))
+            size += len(body)
+            if size > GATHERED:
+                yield from joined(held)
+                held, size = [], 0
+        yield from joined(held)
 
 
 def pieces_of(docs: DataFrame, tokenizer_path: str, capacity: int, doc_id: str, text: str, with_ids: bool) -> DataFrame:
@@ -170,12 +284,12 @@ def pieces_of(docs: DataFrame, tokenizer_path: str, capacity: int, doc_id: str,
         schema = schema.add("ids", T.ArrayType(T.IntegerType()))
 
     def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        encoder, turns = unit_encoder(tokenizer_path), [0] * (capacity + 1)
+        encoder, turns = text_encoder(tokenizer_path), [0] * (capacity + 1)
         end = np.array([END_OF_DOCUMENT], "<u4").tobytes()
         for batch in batches:
             out = [[] for _ in schema.names]
-            for doc, body, part in zip(batch.column(0).to_pylist(), batch.column(1), batch.column(2).to_pylist()):
-                ids = encoder.ids(body.as_py()) + end
+            for doc, ids, part in zip(batch.column(0).to_pylist(), encoder.ids(batch.column(1)), batch.column(2).to_pylist()):
+                ids = ids + end
                 for piece in range(-(-len(ids) // (4 * capacity))):
                     own = ids[4 * capacity * piece:4 * capacity * (piece + 1)]
                     length = len(own) // 4

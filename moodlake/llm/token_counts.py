@@ -15,7 +15,7 @@ from __future__ import annotations
 
 import functools
 import re
-from collections.abc import Iterable, Iterator
+from collections.abc import Iterator
 from itertools import pairwise
 
 import numpy as np
@@ -30,7 +30,7 @@ SPACE = "▁"  # how the vocabulary writes a space
 KEPT_WORDS = 500_000
 KEPT_PAIRS = 400_000
 KEPT_LENGTH = 40  # longer words are computed each time, one by one
-TOGETHER = 30_000  # words computed at once
+TOGETHER = 4096  # words, of about one length, computed at once
 GATHERED = 4 << 20  # characters whose new words are gathered
 MULTIPLIER = 0x9E3779B97F4A7C15 | 1  # of the running hash
 
@@ -189,13 +189,13 @@ class PrefixCounter:
             out[place] = row[:n].tobytes()
         return out
 
-    def learn(self, words: Iterable[str]) -> None:
+    def learn(self, words: set[str]) -> None:
         """Remember the steps of all short words among these."""
-        short = {w for w in words if len(w) <= KEPT_LENGTH}
-        new = [w for w in short if w not in self.kept]
+        new = [w for w in words - self.kept.keys() if len(w) <= KEPT_LENGTH]
         if len(self.kept) + len(new) > KEPT_WORDS:
             self.kept.clear()
-            new = list(short)
+            new = [w for w in words if len(w) <= KEPT_LENGTH]
+        new.sort(key=len)
         for at in range(0, len(new), TOGETHER):
             part = new[at:at + TOGETHER]
             self.kept.update(zip(part, self.many_word_steps(part)))
@@ -214,8 +214,11 @@ class PrefixCounter:
         return self.joined(self.cut(text))
 
     def joined(self, words: list[str]) -> np.ndarray:
-        kept = self.kept
-        return np.frombuffer(b"".join([kept[w] if w in kept else self.word_steps(w) for w in words]), np.int8)
+        """The steps of words one after another; those not remembered are computed."""
+        found = list(map(self.kept.get, words))
+        if None in found:
+            found = [self.word_steps(w) if s is None else s for w, s in zip(words, found)]
+        return np.frombuffer(b"".join(found), np.int8)
 
 
 def tokens_at(steps: np.ndarray, chars: int) -> int:
@@ -251,10 +254,10 @@ def count_tokens(docs: DataFrame, model_path: str, limit: int = 4096, doc_id: st
             held.append((counter.cut(body) if body else [], body))
             size += len(body)
             if size > GATHERED:
-                counter.learn(w for words, _ in held for w in words)
+                counter.learn(set().union(*[words for words, _ in held]))
                 yield from held
                 held, size = [], 0
-        counter.learn(w for words, _ in held for w in words)
+        counter.learn(set().union(*[words for words, _ in held]))
         yield from held
 
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:

@@ -237,10 +237,10 @@ class TextEncoder:
 
     def learn(self, asked: set[str]) -> None:
         """Remember the ids of all these words."""
-        new = asked - self.kept.keys()
+        new = [w for w in asked if w not in self.kept]
         if len(self.kept) + len(new) > KEPT_WORDS:
             self.kept.clear()
-            new = asked
+            new = list(asked)
         plain, other = [], []
         for w in new:
             (other if w[0] == " " or len(w) > 24 else plain).append(w)

@@ -105,6 +105,23 @@ select doc_id, size, text_crc32, 'key' as law, shard,
        row_number() over (partition by shard order by place, doc_id, text_crc32, size) - 1 as slot, grown_shard
 from p"""
 
+OP3_SQL = r"""
+with recursive w as (
+  select row_number() over () as r, doc_id, list_filter(string_split_regex(translate(coalesce(text, ''),
+         'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[\x20\x09-\x0D]+'), lambda x: x <> '') as w
+  from documents),
+s as (select r, doc_id, case when len(w) = 0 then []::varchar[] else list_distinct(list_transform(
+             range(1, greatest(2, len(w) - 3)), lambda i: array_to_string(w[i:i + 4], ' '))) end as shingles from w),
+e as (select r, len(shingles) as n, unnest(shingles) as shingle from s),
+shared as (select a.r as a, b.r as b, any_value(a.n) as n_a, any_value(b.n) as n_b, count(*) as n_both
+           from e a join e b on a.shingle = b.shingle and a.r <> b.r group by a.r, b.r),
+links as (select a, b from shared where 100 * n_both >= 80 * (n_a + n_b - n_both)),
+reach as (select r as a, r as b from s union select reach.a, links.b from reach join links on reach.b = links.a),
+c as (select r, doc_id, len(shingles) as n_shingles, case when len(shingles) = 0 then doc_id else
+             min(doc_id) over (partition by md5(array_to_string(list_sort(shingles), chr(10)))) end as class_id from s)
+select c.doc_id, c.n_shingles, min(o.doc_id) as component_id, c.class_id
+from c join reach on reach.a = c.r join c o on o.r = reach.b group by c.r, c.doc_id, c.n_shingles, c.class_id"""
+
 OP9_SQL = """
 with v as (select vec_id, list_transform(embedding, lambda x: floor(1024 * x::double)) as e from embeddings
            where embedding is not null and vec_id is not null
@@ -114,5 +131,6 @@ s as (select q.vec_id as query_id, c.vec_id, list_sum(list_transform(list_zip(q.
 select query_id, row_number() over (partition by query_id order by score desc, vec_id)::int as rank, vec_id, score
 from s qualify rank <= 10"""
 
-SQL: dict[str, str] = {"op1_exact_dedup": OP1_SQL, "op2_license_scan": license_scan.scan_sql(), "op6_sharding": OP6_SQL,
+SQL: dict[str, str] = {"op1_exact_dedup": OP1_SQL, "op2_license_scan": license_scan.scan_sql(),
+                       "op3_jaccard_join": OP3_SQL, "op6_sharding": OP6_SQL,
                        "op9_topk": OP9_SQL}

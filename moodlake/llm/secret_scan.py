@@ -48,7 +48,7 @@ POSITIVE_WINDOWS, NEGATIVE_WINDOWS = 2000, 4000  # windows of tokens that traini
 REACH = 4  # tokens on each side of a window's centre
 NEGATIVE_EVERY = 307  # of the tokens without a secret near by, one in so many is the centre of a window
 LEAST_SEEN = 3  # a neighbouring word is a feature if so many windows have it
-KEPT_WORDS = 150_000
+KEPT_WORDS = 200_000  # words whose row a Python worker remembers; a full memory starts anew
 MASK = "[SECRET]"
 BEGIN, INSIDE, OUTSIDE = 0, 1, 2
 
@@ -134,8 +134,10 @@ class RandomField:
 
     weights: dict[str, np.ndarray]
     transitions: np.ndarray
-    kept: dict[str, int] = field(default_factory=dict)
+    kept: dict[str, int] = field(default_factory=dict)  # row of the table, by word; plain words share rows
+    shared: dict[tuple, int] = field(default_factory=dict)
     table: np.ndarray | None = None
+    leads: np.ndarray | None = None
 
     def _sum(self, features: list[str]) -> np.ndarray:
         total = np.zeros(3)
@@ -145,35 +147,67 @@ class RandomField:
                 total += found
         return total
 
-    def _row(self, word: str) -> np.ndarray:
-        """What a word adds to its own tags, to the next token's, to the one after, to the one before; then whether
-        it has a digit, and = or :."""
-        core = context_word(word)
-        return np.concatenate([self._sum(shape_features(word)), self._sum([f"before:{core}"]),
-                               self._sum([f"before 2:{core}"]), self._sum([f"after:{core}"]),
-                               [any(c in "0123456789" for c in word), "=" in word or ":" in word]])
-
-    def _rows(self, words: list[str]) -> np.ndarray:
-        if self.table is None:
-            self.table = np.zeros((KEPT_WORDS, 14))
-        new = list({w for w in words if w not in self.kept})
-        if len(self.kept) + len(new) > KEPT_WORDS:
-            self.kept.clear()
-            new = list(set(words))
-        if len(new) > KEPT_WORDS:  # a text with more words than the memory holds
-            return np.array([self._row(w) for w in words])
-        for w in new:
-            self.table[len(self.kept)] = self._row(w)
-            self.kept[w] = len(self.kept)
-        return self.table[np.fromiter(map(self.kept.__getitem__, words), np.int64, len(words))]
+    def _new_row(self, word: str, core: str) -> int:
+        """A row of what a word adds to its own tags, to the next token's, to the one after, to the one before; then
+        whether it has a digit, and = or :."""
+        at = len(self.shared) + len(self.kept)  # at most one row for each entry of the two
+        row = np.concatenate([self._sum(shape_features(word)), self._sum([f"before:{core}"]), self._sum([f"before 2:{core}"]),
+                              self._sum([f"after:{core}"]), [any(c in "0123456789" for c in word), "=" in word or ":" in word]])
+        self.table[at] = row
+        # the lead of O over B and over I that the word gives to itself and to its neighbours
+        parts = row[:12].reshape(4, 3)
+        self.leads[at] = (parts[:, OUTSIDE, None] - parts[:, :OUTSIDE]).ravel()
+        return at
+
+    def _learn(self, words: set[str]) -> None:
+        new = [w for w in words if w not in self.kept]
+        if self.table is None or 2 * (len(self.kept) + len(new)) > len(self.table):
+            self.table = np.zeros((2 * max(KEPT_WORDS, len(words)), 14))
+            self.leads = np.zeros((len(self.table), 8), np.float32)
+            self.kept, self.shared, new = {}, {}, words
+        for word in new:
+            core = context_word(word)
+            bare = word.strip(_edges)
+            if bare.isalpha():
+                # such a word is its features: length, case, marks, and itself where some weight knows it as a neighbour
+                known = core if (f"before:{core}" in self.weights or f"before 2:{core}" in self.weights
+                                 or f"after:{core}" in self.weights) else ""
+                key = (min(len(bare).bit_length(), 8), bare.islower(), bare.isupper(), min(len(bare) // 8, 6), known, ":" in word)
+                row = self.shared.get(key)
+                if row is None:
+                    row = self.shared[key] = self._new_row(word, core)
+            else:
+                row = self._new_row(word, core)
+            self.kept[word] = row
+
+    def _open(self, words: list[str]) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        """The rows of the words, the file's part of the emissions, and the
+        tokens where O does not lead by more than two transitions can make up."""
+        try:
+            rows = np.fromiter(map(self.kept.__getitem__, words), np.int64, len(words))
+        except KeyError:
+            self._learn(set(words))
+            rows = np.fromiter(map(self.kept.__getitem__, words), np.int64, len(words))
+        flags = self.table[:, 12:][rows].sum(axis=0)
+        of_file = self._sum(file_features(len(words), int(flags[0]), int(flags[1])))
+        leads = self.leads[:, :2][rows] + (of_file[OUTSIDE] - of_file[:OUTSIDE])
+        leads[1:] += self.leads[:, 2:4][rows[:-1]]
+        leads[2:] += self.leads[:, 4:6][rows[:-2]]
+        leads[:-1] += self.leads[:, 6:][rows[1:]]
+        reach = 2 * (self.transitions.max() - self.transitions.min()) + 1e-3  # and what single precision rounds off
+        return rows, of_file, np.flatnonzero((leads <= reach).any(axis=1))
+
+    def _emissions(self, rows: np.ndarray, of_file: np.ndarray, at: np.ndarray) -> np.ndarray:
+        """Emissions of the tokens at the given places."""
+        out = self.table[rows[at], :3] + of_file
+        for back, part in ((1, slice(3, 6)), (2, slice(6, 9)), (-1, slice(9, 12))):
+            there = (at - back >= 0) & (at - back < len(rows))
+            out[there] += self.table[rows[at[there] - back], part]
+        return out
 
     def emissions(self, words: list[str]) -> np.ndarray:
-        rows = self._rows(words)
-        out = rows[:, :3] + self._sum(file_features(len(words), int(rows[:, 12].sum()), int(rows[:, 13].sum())))
-        out[1:] += rows[:-1, 3:6]
-        out[2:] += rows[:-2, 6:9]
-        out[:-1] += rows[1:, 9:12]
-        return out
+        rows, of_file, _ = self._open(words)
+        return self._emissions(rows, of_file, np.arange(len(rows)))
 
     def viterbi(self, emissions: np.ndarray) -> np.ndarray:
         """The best tags of a stretch that stands between tokens tagged O."""
@@ -191,22 +225,19 @@ class RandomField:
         """The tokens that the best path of the whole text tags B or I."""
         if not words:
             return {}
-        e = self.emissions(words)
-        reach = 2 * (self.transitions.max() - self.transitions.min()) + 1e-9
-        open_at = np.flatnonzero(e[:, OUTSIDE] - e[:, :OUTSIDE].max(axis=1) <= reach)
+        rows, of_file, open_at = self._open(words)
         if not len(open_at):
             return {}
         out = {}
         for run in np.split(open_at, np.flatnonzero(np.diff(open_at) > 1) + 1):
-            for i, tag in zip(run.tolist(), self.viterbi(e[run]).tolist()):
+            for i, tag in zip(run.tolist(), self.viterbi(self._emissions(rows, of_file, run)).tolist()):
                 if tag != OUTSIDE:
                     out[i] = tag
         return out
 
     def found(self, text: str) -> list[tuple[int, int]]:
         """(start, end) of the secrets that the field tags, without the marks around them."""
-        words = _token.findall(text)
-        tagged = self.tags(words)
+        tagged = self.tags(text.split())  # white space as _token's
         if not tagged:
             return []
         out, last = [], max(tagged)

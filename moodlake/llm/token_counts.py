@@ -191,7 +191,7 @@ class PrefixCounter:
 
     def learn(self, words: set[str]) -> None:
         """Remember the steps of all short words among these."""
-        new = [w for w in words - self.kept.keys() if len(w) <= KEPT_LENGTH]
+        new = [w for w in words if w not in self.kept and len(w) <= KEPT_LENGTH]
         if len(self.kept) + len(new) > KEPT_WORDS:
             self.kept.clear()
             new = [w for w in words if len(w) <= KEPT_LENGTH]

@@ -349,7 +349,9 @@ def near_duplicates(docs: DataFrame, doc_id: str = "doc_id", text: str = "text",
 
 def drop_near_duplicates(docs: DataFrame, doc_id: str = "doc_id", text: str = "text") -> DataFrame:
     """docs with one document of each component, the one of smallest doc_id;
-    all columns stay.  Only rows that may have to go are shuffled."""
-    found = stored(near_duplicates(docs, doc_id, text), "near")
-    dropped = found.filter(F.col("doc_id") != F.col("component_id")).select(F.col("doc_id").alias("gone"))
+    all columns stay.  Only rows that may have to go are shuffled.  Rows without
+    doc_id stay, and so do all rows of a doc_id of which one has to stay."""
+    found = near_duplicates(docs, doc_id, text)
+    dropped = (found.groupBy("doc_id").agg(F.max(F.col("doc_id") == F.col("component_id")).alias("stays"))
+               .filter("not stays").select(F.col("doc_id").alias("gone")))
     return without_ids(docs, stored(dropped, "gone"), doc_id, "gone")

@@ -39,6 +39,7 @@ MOST_SHARED = 4  # the largest l
 ENTRIES_PER_BUCKET = 1 << 20
 HOT_COUNT = 100_000  # a shingle with more documents, as estimated, is dealt over several buckets
 SEND_AT = 1 << 19  # entries a task gathers before it sends them
+SETS_SENT = 1000  # sets that a task holds before it sends them
 
 ENTRY = np.dtype([("token", "<i8"), ("key", "<i8"), ("size", "<i4"), ("least", "i1")])
 
@@ -241,9 +242,11 @@ def _verified(pairs: DataFrame, bodies: DataFrame, classes: DataFrame, words: in
     maybe = id_filter(reps, "doc_id")
 
     def sets(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            found = [shingles(body.as_py(), words).tobytes() for body in batch.column(1)]
-            yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(found, pa.binary())], ["_doc", "own"])
+        for whole in batches:
+            for at in range(0, whole.num_rows, SETS_SENT):
+                batch = whole.slice(at, SETS_SENT)
+                found = [shingles(body.as_py(), words).tobytes() for body in batch.column(1)]
+                yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(found, pa.binary())], ["_doc", "own"])
 
     schema = T.StructType([T.StructField("_doc", bodies.schema["doc_id"].dataType), T.StructField("own", T.BinaryType())])
     own = bodies.filter(maybe("doc_id")).mapInArrow(sets, schema)

@@ -131,22 +131,25 @@ def _search(shards: DataFrame, questions: DataFrame, k: int) -> DataFrame:
         blocks.select("shard", "block", "rows"))
 
     def answer(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        at, trees = None, {}
+        at, trees = None, None
         for batch in batches:
             out = [[], [], []]
             for shard, block, rows in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist(), batch.column(2)):
                 if shard != at:
-                    at, trees = shard, {}
+                    at, trees = shard, None
                 rows = rows.values
                 vectors = rows.field("vector")
                 width = pa.compute.list_value_length(vectors).to_numpy(zero_copy_only=False)
                 ids, least = rows.field("query_id").to_numpy(zero_copy_only=False), rows.field("least").to_pylist()
                 starts, flat = vectors.offsets.to_numpy(), vectors.values.to_numpy(zero_copy_only=False)
                 if block == 0:
+                    trees = {}
                     for dim in np.unique(width):
                         mine = np.flatnonzero(width == dim)
                         trees[int(dim)] = BallTree(ids[mine], flat[starts[mine][:, None] + np.arange(dim)])
                     continue
+                if trees is None:
+                    raise RuntimeError(f"shard {shard} came without its rows")
                 for i in range(len(ids)):
                     tree = trees.get(int(width[i]))
                     query = flat[starts[i]:starts[i] + width[i]]
@@ -181,8 +184,12 @@ def top_k(vectors: DataFrame, is_query: Column, k: int = 10, vec_id: str = "vec_
     n_shards = max(1, -(-rows.count() // rows_per_shard))
     # repeated ids do not pile up in one shard: the vector counts too
     dealt = F.pmod(F.xxhash64("query_id", "vector"), F.lit(n_shards)).cast("long")
-    shards = rows.select(dealt.alias("shard"), F.struct("query_id", "vector", F.lit(None).cast("long").alias("least"))
-                         .alias("row")).groupBy("shard").agg(F.collect_list("row").alias("rows"))
+    filled = rows.select(dealt.alias("_shard"), F.struct("query_id", "vector", F.lit(None).cast("long").alias("least"))
+                         .alias("row")).groupBy("_shard").agg(F.collect_list("row").alias("rows"))
+    # every shard has a row, an empty one too; stored, as two rounds read it
+    every = vectors.sparkSession.range(n_shards).select(F.col("id").alias("shard"))
+    shards = stored(every.join(filled, F.col("shard") == F.col("_shard"), "left").select(
+        "shard", F.coalesce("rows", F.array().cast(filled.schema["rows"].dataType)).alias("rows")), "shards")
     queries = rows.filter("asks").groupBy("query_id").agg(F.min("vector").alias("vector"))
     first_shard = F.pmod(F.xxhash64("query_id"), F.lit(n_shards)).cast("long")
     first = stored(_search(shards, queries.select(first_shard.alias("shard"), "query_id", "vector",

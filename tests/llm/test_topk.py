@@ -35,6 +35,23 @@ def test_equals_brute_force_over_several_shards(spark):
     assert sorted((r.query_id, r["rank"], r.vec_id, r.score) for r in got) == brute_force(rows, 7, lambda i: i % 10 == 0)
 
 
+def test_many_partitions_of_unequal_sizes(spark):
+    """Shards and their much smaller query blocks meet however adaptive execution merges partitions."""
+    rows = vectors(4, 3000, 16)
+    df = spark.createDataFrame(rows, "vec_id long, embedding array<double>")
+    conf = {"spark.sql.shuffle.partitions": "16", "spark.sql.adaptive.advisoryPartitionSizeInBytes": "64k",
+            "spark.sql.autoBroadcastJoinThreshold": "-1"}
+    old = {k: spark.conf.get(k) for k in conf}
+    for k, v in conf.items():
+        spark.conf.set(k, v)
+    try:
+        got = K.top_k(df.repartition(6), F.col("vec_id") % 100 == 0, 5, rows_per_shard=250).collect()
+    finally:
+        for k, v in old.items():
+            spark.conf.set(k, v)
+    assert sorted((r.query_id, r["rank"], r.vec_id, r.score) for r in got) == brute_force(rows, 5, lambda i: i % 100 == 0)
+
+
 def test_fewer_rows_than_k_and_empty(spark):
     rows = [(0, [1.0, 2.0]), (1, [3.0, -4.0])]
     df = spark.createDataFrame(rows, "vec_id long, embedding array<float>")

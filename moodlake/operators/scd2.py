@@ -9,7 +9,7 @@ older version's valid_to is never re-stamped.
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 VERSION_COLUMNS = ["artist_id", "artist_name", "artist_genre", "artist_popularity", "row_hash",
@@ -32,39 +32,32 @@ def first_load(snapshot: DataFrame, run_ts: str | Column) -> DataFrame:
 
 def scd2_merge(existing: DataFrame | None, snapshot: DataFrame, run_ts: str | Column,
                key: str = "artist_id", hash_col: str = "row_hash") -> DataFrame:
-    """Merge a snapshot into the version table in one shuffle of the open
-    versions and the snapshot; closed versions never change and pass straight
-    through, so a run costs what is open, not what has ever been.
+    """Merge a snapshot into the version table.
 
-    Window aggregates over the key compare the snapshot hash with the open
-    version's hash.  Groups are tiny (one open version and one snapshot row),
-    so the window never concentrates data.
+    Only the open versions meet the snapshot, in a full outer join on the key;
+    closed versions never change and pass straight through, so a run costs
+    what is open, not what has ever been.  Both sides are unique per key, so no
+    key is hot.  A joined row gives its open version (closed if its hash has
+    changed) and, for changed and new artists, a new open version.
     """
     if existing is None:
         return first_load(snapshot, run_ts)
     ts = _ts(run_ts)
     cols = existing.columns
+    types = {f.name: f.dataType for f in existing.schema}
+    opened = current_versions(existing).select(F.struct(*cols).alias("_o"))
+    snap = snapshot.select(F.struct(*snapshot.columns).alias("_n"))
+    both = opened.join(snap, F.col(f"_o.{key}").eqNullSafe(F.col(f"_n.{key}")), "full")
+    had, has = F.col("_o").isNotNull(), F.col("_n").isNotNull()
+    changed = has & (~had | ~F.col(f"_n.{hash_col}").eqNullSafe(F.col(f"_o.{hash_col}")))
+    old = {c: F.col(f"_o.{c}") for c in cols} | {"valid_to": F.when(changed, ts).otherwise(F.col("_o.valid_to")),
+                                                 "is_current": ~changed}
+    new = {c: F.col(f"_n.{c}") if c in snapshot.columns else F.lit(None) for c in cols} | {
+        "valid_from": ts, "valid_to": F.lit(None), "is_current": F.lit(True)}
+    rows = [F.when(when, F.struct(*[row[c].cast(types[c]).alias(c) for c in cols])) for when, row in ((had, old), (changed, new))]
+    merged = both.select(F.explode(F.filter(F.array(*rows), lambda r: r.isNotNull())).alias("_r")).select("_r.*")
     history = existing.filter(~F.coalesce(F.col("is_current"), F.lit(False)))
-    tagged = (current_versions(existing).withColumn("_new", F.lit(False))
-              .unionByName(snapshot.withColumn("_new", F.lit(True)), allowMissingColumns=True))
-    w = Window.partitionBy(key)
-    is_open = ~F.col("_new") & F.col("is_current")
-    open_hash = F.max(F.when(is_open, F.col(hash_col))).over(w)
-    has_open = F.max(is_open.cast("int")).over(w) == 1
-    new_hash = F.max(F.when(F.col("_new"), F.col(hash_col))).over(w)
-    in_snapshot = F.max(F.col("_new").cast("int")).over(w) == 1
-    changed = in_snapshot & (~has_open | ~new_hash.eqNullSafe(open_hash))
-    flagged = tagged.withColumn("_changed", changed)
-    closes = is_open & F.col("_changed")
-    updated = flagged.filter(~F.col("_new") | F.col("_changed")).select(
-        *[c for c in cols if c not in ("valid_from", "valid_to", "is_current")],
-        F.when(F.col("_new"), ts).otherwise(F.col("valid_from")).alias("valid_from"),
-        F.when(F.col("_new"), F.lit(None).cast("timestamp"))
-         .when(closes, ts).otherwise(F.col("valid_to")).alias("valid_to"),
-        F.when(F.col("_new"), F.lit(True)).when(closes, F.lit(False))
-         .otherwise(F.col("is_current")).alias("is_current"),
-    )
-    return history.select(*cols).unionByName(updated.select(*cols))
+    return history.select(*cols).unionByName(merged)
 
 
 def _changed_keys(existing: DataFrame, snapshot: DataFrame, key: str, hash_col: str) -> DataFrame:

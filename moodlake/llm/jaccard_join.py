@@ -9,10 +9,12 @@ A pair must share the smaller of its two numbers.  (Wang, Li and Feng, "Can
 we beat the prefix filtering?", 2012.)
 
 Documents with equal sets are one class and joined once.  Groups of near
-copies are never expanded into all pairs: first each shingle's smallest class
-is compared with the shingle's other classes; only classes that this leaves in
-different components are then counted and compared pair by pair.  Components
-therefore are exact, while pairs inside a component may be left uncompared.
+copies are never expanded into all pairs: first each shingle's hub, the class
+of which the least is its own, is compared with the shingle's other classes;
+only classes that this leaves in different components are then counted and
+compared pair by pair.  Components therefore are exact, while pairs inside a
+component may be left uncompared.  Shingles of a prefix that no other prefix
+has bound what a class can share; a pair is left out where that is too few.
 Shingle and class hashes have 64 bits; equal hashes count as equal shingles
 and classes.
 """
@@ -26,6 +28,7 @@ import pyarrow as pa
 import xxhash
 import zstandard
 from pyspark.sql import Column, DataFrame
+from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -41,7 +44,7 @@ HOT_COUNT = 100_000  # a shingle with more documents, as estimated, is dealt ove
 SEND_AT = 1 << 19  # entries a task gathers before it sends them
 SETS_SENT = 1000  # sets that a task holds before it sends them
 
-ENTRY = np.dtype([("token", "<i8"), ("key", "<i8"), ("size", "<i4"), ("least", "i1")])
+ENTRY = np.dtype([("token", "<i8"), ("key", "<i8"), ("size", "<i4"), ("last", "<i4"), ("least", "i1")])
 
 
 def shingles(text: str, words: int = WORDS) -> np.ndarray:
@@ -175,6 +178,7 @@ def _entries(bodies: DataFrame, counts: np.ndarray, buckets: int, words: int, pe
                 key = xxhash.xxh3_64_intdigest(all_own.tobytes()) - 2**63
                 rows = np.empty(len(own), ENTRY)
                 rows["token"], rows["key"], rows["size"], rows["least"] = own.view(np.int64), key, len(all_own), least
+                rows["last"] = min(int(estimate[-1]), 2**31 - 1)
                 salts = 1 + (np.maximum(estimate - usual, 0) // HOT_COUNT).astype(np.uint64)
                 held.append((rows, ((own + np.uint64(key % 2**64) % salts) % np.uint64(buckets)).astype(np.int64)))
                 size += len(own)
@@ -189,10 +193,11 @@ def _entries(bodies: DataFrame, counts: np.ndarray, buckets: int, words: int, pe
 
 def _meetings(entries: DataFrame, counts: np.ndarray, buckets: int) -> DataFrame:
     """The shingles that two classes or more have in their prefixes: rows
-    (token, key, size, least), with hub, the smallest key of the token there."""
+    (token, key, size, least, last), the last being the estimated count of
+    the last shingle of the prefix."""
     shared = entries.sparkSession.sparkContext.broadcast(counts)
     usual = 2 * float(counts.mean())
-    names = ["token", "key", "size", "least", "hub", "hub_size"]
+    names = ["token", "key", "size", "least", "last"]
 
     def meet(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         at, held = None, []
@@ -206,15 +211,13 @@ def _meetings(entries: DataFrame, counts: np.ndarray, buckets: int) -> DataFrame
             starts = np.flatnonzero(first)
             sizes = np.diff(np.concatenate([starts, [len(own)]]))
             split = shared.value[_cells(own["token"][starts].view(np.uint64))] - usual >= HOT_COUNT
-            keep = np.repeat((sizes > 1) | split, sizes)
-            hub = np.repeat(starts, sizes)[keep]
-            rows = own[keep]
+            rows = own[np.repeat((sizes > 1) | split, sizes)]
             for piece in range(0, len(rows), 100_000):
                 part = slice(piece, piece + 100_000)
                 yield pa.RecordBatch.from_arrays(
                     [pa.array(np.ascontiguousarray(c)) for c in
-                     (rows["token"][part], rows["key"][part], rows["size"][part], rows["least"][part].astype(np.int32),
-                      own["key"][hub[part]], own["size"][hub[part]])], names)
+                      (rows["token"][part], rows["key"][part], rows["size"][part], rows["least"][part].astype(np.int32),
+                      rows["last"][part])], names)
 
         for batch in batches:
             for bucket, data in zip(batch.column(0).to_pylist(), batch.column(1)):
@@ -227,7 +230,28 @@ def _meetings(entries: DataFrame, counts: np.ndarray, buckets: int) -> DataFrame
             yield from met()
 
     return stored(entries.repartition(buckets, "bucket").sortWithinPartitions("bucket").mapInArrow(
-        meet, "token long, key long, size int, least int, hub long, hub_size int"), "meetings")
+        meet, "token long, key long, size int, least int, last int"), "meetings")
+
+
+def _rated(meetings: DataFrame, percent: int) -> DataFrame:
+    """The meetings with `reach`, the shingles of a class without those of its
+    prefix that no other class has in its prefix."""
+    met = F.count(F.lit(1)).over(W.partitionBy("key"))
+    prefix_size = F.expr(f"size - (size * {percent}L + 99) div 100 + least")
+    return meetings.withColumn("reach", F.col("size") - (prefix_size - met))
+
+
+def _possible(percent: int, other: str) -> Column:
+    """Whether the sizes of two sets and what they can share at most allow the
+    similarity; the other set's columns end in `other`.
+
+    Of two prefixes take the one that ends earlier in the order of shingles:
+    what the sets share of it lies in the other prefix too, so its set shares
+    its reach at most.  Which one that is, the last counts tell unless equal."""
+    needed = F.expr(f"(({percent}L * (size + size{other})) + {100 + percent - 1}) div {100 + percent}")
+    most = (F.when(F.col("last") < F.col(f"last{other}"), F.col("reach"))
+            .when(F.col("last") > F.col(f"last{other}"), F.col(f"reach{other}")).otherwise(F.greatest("reach", f"reach{other}")))
+    return _close("size", f"size{other}", percent) & (most >= needed)
 
 
 def _close(one: str, two: str, percent: int) -> Column:
@@ -317,25 +341,32 @@ def near_duplicates(docs: DataFrame, doc_id: str = "doc_id", text: str = "text",
     total = signed.agg(F.sum("n_shingles")).first()[0] or 0
     buckets = max(shuffle_partitions(spark), -(-total * (100 - percent) // 100 // ENTRIES_PER_BUCKET))
     meetings = _meetings(_entries(bodies, counts, buckets, words, percent), counts, buckets)
-    first = stored(meetings.filter((F.col("hub") != F.col("key")) & _close("size", "hub_size", percent))
-                   .groupBy(F.col("hub").alias("a"), F.col("key").alias("b"))
-                   .agg(F.count(F.lit(1)).alias("shared"), F.min("least").alias("least"))
+    rated = stored(_rated(meetings, percent), "rated")
+    # a shingle's hub is the class of which the least is its own: the centre of its group, if there is one
+    hubs = stored(rated.groupBy(F.col("token").alias("_token")).agg(F.min(F.struct(
+        (1 - F.col("reach") / F.col("size")).alias("own"), F.col("key").alias("key_2"), F.col("size").alias("size_2"),
+        F.col("reach").alias("reach_2"), F.col("least").alias("least_2"), F.col("last").alias("last_2"))).alias("hub"))
+        .select("_token", "hub.*"), "hubs")
+    first = stored(rated.join(hubs, (F.col("token") == F.col("_token")) & (F.col("key") != F.col("key_2"))
+                              & _possible(percent, "_2"))
+                   .groupBy(F.least("key", "key_2").alias("a"), F.greatest("key", "key_2").alias("b"))
+                   .agg(F.count(F.lit(1)).alias("shared"), F.min(F.least("least", "least_2")).alias("least"))
                    .filter(F.col("shared") >= F.col("least")).select("a", "b"), "first")
     links = _verified(first, bodies, classes, words, percent)
     found = components(links)
     # what the first comparisons left in different components
     label = found.select(F.col("key").alias("_key"), "component")
-    placed = stored(meetings.join(label, F.col("key") == F.col("_key"), "left").select(
-        "token", "key", "size", "least", F.coalesce("component", "key").alias("component")), "placed")
+    placed = stored(rated.join(label, F.col("key") == F.col("_key"), "left").select(
+        "token", "key", "size", "least", "last", "reach", F.coalesce("component", "key").alias("component")), "placed")
     mixed = stored(placed.groupBy(F.col("token").alias("_token")).agg(F.min("component").alias("low"), F.max("component").alias("high"))
                    .filter("low < high").select("_token"), "mixed")
-    open_rows = placed.join(mixed, F.col("token") == F.col("_token"), "left_semi")
-    other = open_rows.select("token", *[F.col(c).alias(f"{c}_2") for c in ("key", "size", "least", "component")])
-    second = stored(open_rows.join(other, "token").filter(
-        (F.col("key") < F.col("key_2")) & (F.col("component") != F.col("component_2")) & _close("size", "size_2", percent))
-        .groupBy(F.col("key").alias("a"), F.col("key_2").alias("b"))
-        .agg(F.count(F.lit(1)).alias("shared"), F.min(F.least("least", "least_2")).alias("least"))
-        .filter(F.col("shared") >= F.col("least")).select("a", "b").join(first, ["a", "b"], "left_anti"), "second")
+    open_rows = stored(placed.join(mixed, F.col("token") == F.col("_token"), "left_semi"), "open")
+    other = open_rows.select(*[F.col(c).alias(f"{c}_2") for c in placed.columns])
+    second = stored(open_rows.join(other, (F.col("token") == F.col("token_2")) & (F.col("key") < F.col("key_2"))
+                                   & (F.col("component") != F.col("component_2")) & _possible(percent, "_2"))
+                    .groupBy(F.col("key").alias("a"), F.col("key_2").alias("b"))
+                    .agg(F.count(F.lit(1)).alias("shared"), F.min(F.least("least", "least_2")).alias("least"))
+                    .filter(F.col("shared") >= F.col("least")).select("a", "b").join(first, ["a", "b"], "left_anti"), "second")
     more = _verified(second, bodies, classes, words, percent)
     if more.limit(1).count():
         found = components(links.unionByName(more))

@@ -113,5 +113,20 @@ def test_a_large_group_is_not_expanded(spark):
     bodies = J._bodies(docs, "doc_id", "text")
     counts = J._document_counts(J._signatures(bodies, 5))
     met = J._meetings(J._entries(bodies, counts, 8, 5, 80), counts, 8)
-    pairs = met.filter("hub <> key").select("hub", "key").distinct().count()
-    assert pairs < 20 * 400  # all pairs would be 79,800
+    rated = J._rated(met, 80)
+    assert rated.select("key").distinct().count() == 400
+    assert rated.filter("reach > size or reach < 0").count() == 0
+
+
+def test_a_centre_with_far_copies(spark):
+    """Copies of one text that are similar to it but not to each other, and
+    copies too far from all: nothing near all pairs is compared, no link is lost."""
+    rng = random.Random(12)
+    base = [f"b{i}" for i in range(120)]
+    rows = [(0, " ".join(base))]
+    for i in range(1, 150):
+        own = list(base)
+        for place in rng.sample(range(120), 2 if i % 2 else 9):
+            own[place] = f"e{i}_{place}"
+        rows.append((i, " ".join(own)))
+    assert result(spark.createDataFrame(rows, "doc_id long, text string").repartition(4)) == brute_force(rows)

@@ -335,7 +335,8 @@ def pack(docs: DataFrame, tokenizer_path: str, capacity: int = CAPACITY, doc_id:
         turn = number - start
         return pd.DataFrame({"sequence_id": first + turn // per, "offset": offset + turn % per * length.to_numpy()})
 
-    ranked = pieces.join(firsts, (F.col("part") == F.col("_part")) & (F.col("length") == F.col("_length")))
+    # firsts grows with the tasks; its files are small for their rows, so its size would be misjudged for a broadcast
+    ranked = pieces.join(firsts.hint("merge"), (F.col("part") == F.col("_part")) & (F.col("length") == F.col("_length")))
     out = ranked.withColumn("place", place(F.col("length"), F.col("first") + F.col("turn")))
     return out.select("doc_id", "piece", "start", "length", "ids_crc32", "place.sequence_id", "place.offset",
                       *["ids"] * with_ids)

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from moodlake.functions.expr import first_artist, row_hash, split_artists, strip_ws
+from moodlake.functions.expr import row_hash, split_artists, strip_ws
 
 
 def explode_artists(tracks: DataFrame, keep: list[str] | None = None, artists_col: str = "artists") -> DataFrame:
@@ -17,10 +17,6 @@ def explode_artists(tracks: DataFrame, keep: list[str] | None = None, artists_co
             .filter(F.length("artist_name") > 0))
 
 
-def with_first_artist(tracks: DataFrame, artists_col: str = "artists", out: str = "first_artist") -> DataFrame:
-    return tracks.withColumn(out, first_artist(artists_col))
-
-
 def artist_snapshot(tracks: DataFrame) -> DataFrame:
     """Current view of every artist named in the tracks:
     artist_id = md5(name); genre and popularity come from the artist's first

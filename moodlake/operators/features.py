@@ -10,9 +10,6 @@ from moodlake.functions.params import FEATURE_TTL_DAYS, UNKNOWN_LABEL
 from moodlake.operators.mood import sub_label_catalog
 from moodlake.operators.silver import dedup_latest
 
-FEATURE_COLUMNS = ["track_id", "mood_cluster", "mood", "genre_family", "danceability", "energy", "valence",
-                   "event_timestamp"]
-
 
 def _ts(x: str | Column) -> Column:
     return F.lit(x).cast("timestamp") if isinstance(x, str) else x.cast("timestamp")

@@ -11,8 +11,6 @@ from moodlake.operators.scd2 import current_versions
 
 DIM_TRACK_COLUMNS = ["track_id", "track_name", "duration_ms", "danceability", "energy", "valence",
                      "tempo", "acousticness", "instrumentalness"]
-FACT_COLUMNS = ["stream_id", "track_id", "artist_id", "genre_id", "ingestion_date", "popularity",
-                "mood_cluster"]
 
 
 def _null_label() -> F.Column:

@@ -12,9 +12,6 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-VERSION_COLUMNS = ["artist_id", "artist_name", "artist_genre", "artist_popularity", "row_hash",
-                   "valid_from", "valid_to", "is_current"]
-
 
 def _ts(run_ts: str | Column) -> Column:
     return F.lit(run_ts).cast("timestamp") if isinstance(run_ts, str) else run_ts.cast("timestamp")

@@ -47,7 +47,6 @@ def register(name: str, sql: str | None = None):
 
 W = O.with_
 BASE = O.BASE
-SILVER_COLS = [c for c, _ in P.TRACK_SCHEMA]
 
 # ---------------------------------------------------------------------------
 # silver and artists

@@ -78,12 +78,6 @@ SNAPSHOTS = [("2001-03-01", "2024-01-01 00:00:00"),
 RUN_TS = "2024-03-01 00:00:00"
 
 
-def register_tables(spark: SparkSession, sf_dir: str, names: list[str] | None = None) -> None:
-    """Expose the driver parquet tables as temp views (lazy scans)."""
-    for name in names or TABLES:
-        read(spark, sf_dir, name).createOrReplaceTempView(name)
-
-
 def read(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return read_table(spark, f"{sf_dir}/{name}.parquet", "parquet")
 

@@ -29,7 +29,7 @@ ROWS_PER_LANGUAGE = 4000  # labelled rows of a language that fitting reads, abou
 LEAST_SHARE = 2e-5  # an n-gram enters a language's slice with this share of its n-grams at least
 CELLS_PER_NGRAM = 16
 HASHES = 2
-KEPT_WORDS = 300_000  # words whose counts a Python worker keeps; then it starts anew
+KEPT_WORDS = 100_000  # words whose counts a Python worker keeps; then it starts anew
 UNKNOWN = "und"
 
 _words = regex.compile(r"\p{L}+").findall

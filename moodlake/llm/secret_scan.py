@@ -48,7 +48,7 @@ POSITIVE_WINDOWS, NEGATIVE_WINDOWS = 2000, 4000  # windows of tokens that traini
 REACH = 4  # tokens on each side of a window's centre
 NEGATIVE_EVERY = 307  # of the tokens without a secret near by, one in so many is the centre of a window
 LEAST_SEEN = 3  # a neighbouring word is a feature if so many windows have it
-KEPT_WORDS = 200_000  # words whose row a Python worker remembers; a full memory starts anew
+KEPT_WORDS = 60_000  # words whose row a Python worker remembers; a full memory starts anew
 MASK = "[SECRET]"
 BEGIN, INSIDE, OUTSIDE = 0, 1, 2
 

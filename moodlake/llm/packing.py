@@ -35,7 +35,7 @@ from moodlake.llm.common import ship_package, stored
 
 CAPACITY = 4096
 END_OF_DOCUMENT = 1
-KEPT_WORDS = 150_000  # encoded words a Python worker remembers for speed; a full memory starts anew
+KEPT_WORDS = 300_000  # encoded words a Python worker remembers for speed; a full memory starts anew
 TOGETHER = 4096  # words, of about one length, encoded at once
 NONE = 1 << 40  # the rank of a pair without a merge
 GATHERED = 4 << 20  # characters whose new words are gathered

@@ -1,7 +1,7 @@
 """Licence scanning by sentence rules, in DataFrame expressions only.
 
-A text is cut into sentences, each is normalised, and known licence sentences
-become identifiers.  The identifiers of a document, in order, are matched
+A text is cut into sentences, each is normalised (a sentence may run over line
+ends and comment marks), and known licence sentences become identifiers.  The identifiers of a document, in order, are matched
 against licence rules, which are sequences of identifiers in order of
 precedence: a rule takes its sentences out of the sequence, so that a later,
 more general rule does not count them again.  (The method of sentence-based
@@ -101,27 +101,37 @@ WHITE = r"\x20\x09-\x0D"
 UPPER, LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
 
 
-def sentences(text: Column) -> Column:
-    """The normalised sentences of a text, in order: cut at line ends and after
-    closing marks that white space follows."""
-    lines = F.regexp_replace(text, rf"([.!?;:])[{WHITE}]+", "$1\n")
-    return F.transform(F.split(lines, r"[\x0A-\x0D]+"), lambda s: F.trim(
-        F.regexp_replace(F.translate(s, UPPER, LOWER), "[^a-z0-9]+", " ")))
+def written(text: Column) -> Column:
+    """The words of a text in lower case, one blank between two words.  A line
+    end is a tilde; a closing mark that white space follows, or a blank line (also
+    one of comment marks only), is a bar: there a sentence has to end."""
+    cut = F.regexp_replace(text, rf"([.!?;:])[{WHITE}]+", "$1\n\n")
+    lines = F.regexp_replace(F.translate(cut, UPPER, LOWER), r"\x0D\x0A|[\x0B-\x0D]", "\n")
+    lines = F.regexp_replace(lines, r"(?m)^[\x20\x09]*(?:rem|dnl)(?=[\x20\x09])", "")
+    words = F.trim(F.regexp_replace(lines, r"[^a-z0-9\x0A]+", " "))
+    ends = F.regexp_replace(F.regexp_replace(words, r" ?\x0A ?", "\n"), r"\x0A{2,}", "|")
+    return F.concat(F.lit("|"), F.translate(ends, "\n", "~"), F.lit("|"))
 
 
 def sentence_ids(text: Column) -> Column:
-    """The identifiers of the known sentences of a text, in order."""
+    """The identifiers of the known sentences of a text, in order: each begins
+    where a line or a sentence does, ends where one does, and may run over
+    line ends between."""
     pairs = [(s, name) for name, forms in SENTENCES.items() for s in forms]
     known = F.create_map(*[F.lit(x) for pair in pairs for x in pair])
-    return F.filter(F.transform(sentences(text), lambda s: F.try_element_at(known, s)), lambda x: x.isNotNull())
+    # of two sentences with one beginning the longer is taken
+    longest = sorted((s for s, _ in pairs), key=len, reverse=True)
+    pattern = "(?<=[|~])(?:" + "|".join(s.replace(" ", "[ ~]") for s in longest) + ")(?=[|~])"
+    return F.transform(F.regexp_extract_all(written(text), F.lit(pattern), F.lit(0)),
+                       lambda s: F.element_at(known, F.translate(s, "~", " ")))
 
 
 def match_rules(ids: Column) -> Column:
     """A struct of the licences found (each once, in order of the rules) and
     the identifiers that no rule took, as text."""
-    written = F.concat(F.lit("|"), F.array_join(ids, "|"), F.lit("|"))
+    barred = F.concat(F.lit("|"), F.array_join(ids, "|"), F.lit("|"))
     # between two identifiers stands one bar for each, so that neighbours can both be matched
-    start = F.struct(F.array().cast("array<string>").alias("licenses"), F.replace(written, F.lit("|"), F.lit("||")).alias("rest"))
+    start = F.struct(F.array().cast("array<string>").alias("licenses"), F.replace(barred, F.lit("|"), F.lit("||")).alias("rest"))
     rules = F.array(*[F.struct(F.lit(name).alias("name"), F.lit("".join(f"|{i}|" for i in sequence)).alias("sequence"))
                       for name, sequence in RULES])
 
@@ -152,7 +162,8 @@ def scan_licenses(docs: DataFrame, doc_id: str = "doc_id", text: str = "text") -
 
 
 def scan_sql() -> str:
-    """The scan as DuckDB SQL over `documents`, one step for each rule."""
+    """The scan as DuckDB SQL over `documents`, one step for each rule.  It cuts
+    at every line end: of a sentence that runs over lines it finds nothing."""
     known = ", ".join(f"('{s}', '{name}')" for name, forms in SENTENCES.items() for s in forms)
     steps, last = [], "r0"
     for i, (name, sequence) in enumerate(RULES, 1):

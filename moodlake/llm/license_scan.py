@@ -94,10 +94,63 @@ RULES = [
     ("Proprietary", ["all-rights"]),
 ]
 
+# Sentences of the published texts that scan_sql() does not have, normalised alike.
+GNU = "you can redistribute it and or modify it under the terms of the gnu {} as published by the free software foundation"
+VERSION = "either version {} of the license or at your option any later version"
+PUBLISHED = {
+    "agpl-notice": [GNU.format("affero general public license") + " " + VERSION.format("3")],
+    "agpl-terms": [GNU.format("affero general public license")],
+    "cc0-notice": ["to the extent possible under law the person who associated cc0 with this work has waived all copyright and "
+                   "related or neighboring rights to this work", "cc0 1 0 universal"],
+    "cc-by-notice": ["this work is licensed under the creative commons attribution 4 0 international license",
+                     "this work is licensed under cc by 4 0"],
+    "cc-by-nc-notice": ["this work is licensed under the creative commons attribution noncommercial 4 0 international license",
+                        "this work is licensed under cc by nc 4 0"],
+    "cc-by-sa-notice": ["this work is licensed under the creative commons attribution sharealike 4 0 international license",
+                        "this work is licensed under cc by sa 4 0"],
+    "gnu-2": [VERSION.format("2")],
+    "gnu-2-1": [VERSION.format("2 1")],
+    "gnu-3": [VERSION.format("3")],
+    "gpl-hope": ["this library is distributed in the hope that it will be useful but without any warranty"],
+    "gpl-terms": [GNU.format("general public license")],
+    "gpl2-notice": [GNU.format("general public license") + " " + VERSION.format("2"),
+                    GNU.format("general public license version 2")],
+    "gpl3-notice": [GNU.format("general public license") + " " + VERSION.format("3"),
+                    GNU.format("general public license version 3")],
+    "lgpl-terms": [GNU.format("lesser general public license")],
+    "lgpl2-1-notice": [GNU.format("lesser general public license") + " " + VERSION.format("2 1"),
+                       GNU.format("lesser general public license version 2 1")],
+    "lgpl3-notice": [GNU.format("lesser general public license") + " " + VERSION.format("3"),
+                     GNU.format("lesser general public license version 3")],
+    "unlicense-notice": ["this is free and unencumbered software released into the public domain"],
+}
+
+# As RULES, where a notice is published in two sentences.
+PUBLISHED_RULES = [(name, [terms, version, *hope]) for name, terms, version in (
+    ("AGPL-3.0", "agpl-terms", "gnu-3"), ("GPL-2.0", "gpl-terms", "gnu-2"), ("GPL-3.0", "gpl-terms", "gnu-3"),
+    ("LGPL-2.1", "lgpl-terms", "gnu-2-1"), ("LGPL-3.0", "lgpl-terms", "gnu-3")) for hope in (["gpl-hope"], [])]
+PUBLISHED_RULES += [(name, [notice, *hope]) for name, notice in (("LGPL-2.1", "lgpl2-1-notice"), ("LGPL-3.0", "lgpl3-notice"))
+                    for hope in (["gpl-hope"], [])]
+
+# The names of an SPDX line that stand for a licence; 'GPL-2.0+' is normalised to 'gpl 2 0'.
+SPDX = {name: [name] for name in dict.fromkeys(name for name, _ in [*RULES, *PUBLISHED_RULES]) if name != "Proprietary"}
+for _name in SPDX:
+    if "GPL" in _name:
+        SPDX[_name] = [_name, f"{_name}-only", f"{_name}-or-later"]
+PUBLISHED |= {f"spdx-{name}": ["spdx license identifier " + re.sub("[^a-z0-9]+", " ", form.lower()) for form in forms]
+              for name, forms in SPDX.items()}
+PUBLISHED_RULES += [(name, [f"spdx-{name}"]) for name in SPDX]
+
+KNOWN = {name: SENTENCES.get(name, []) + PUBLISHED.get(name, []) for name in [*SENTENCES, *PUBLISHED]}
+# the new rules take the identifiers that the old ones leave
+ALL_RULES = RULES + PUBLISHED_RULES
+
 # A text without any of these (in lower case) has no known sentence.
 TRIGGERS = ("license", "redistribution", "all rights reserved", "copyright", "warranty", "permission", "cc by", "cc0",
-            "cc-by", "licensed")
+            "cc-by", "licensed", "unencumbered")
 WHITE = r"\x20\x09-\x0D"
+SPDX_MARK = "SPDX-License-Identifier "
+IN_SPDX = rf"(?<={SPDX_MARK}[^\x0A-\x0D]{{1,300}})"
 UPPER, LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
 
 
@@ -105,7 +158,13 @@ def written(text: Column) -> Column:
     """The words of a text in lower case, one blank between two words.  A line
     end is a tilde; a closing mark that white space follows, or a blank line (also
     one of comment marks only), is a bar: there a sentence has to end."""
-    cut = F.regexp_replace(text, rf"([.!?;:])[{WHITE}]+", "$1\n\n")
+    # of an SPDX line each licence is a sentence; the point of 'v. 2.0' ends none
+    spdx = F.regexp_replace(text, r"(?i)\bSPDX-License-Identifier:[\x20\x09(]*", SPDX_MARK)
+    spdx = F.regexp_replace(spdx, rf"(?i)[\x20\x09]+WITH[\x20\x09]+[A-Z0-9.+-]+{IN_SPDX}", "")
+    spdx = F.regexp_replace(spdx, rf"(?i)[\x20\x09)]+(?:OR|AND)[\x20\x09(]+{IN_SPDX}", "\n\n" + SPDX_MARK)
+    whole = F.when(text.rlike("(?i)SPDX-License-Identifier:"), spdx).otherwise(text)
+    whole = F.regexp_replace(whole, rf"(?i)\bv\.[{WHITE}]+(?=[0-9])", "v ")
+    cut = F.regexp_replace(whole, rf"([.!?;:])[{WHITE}]+", "$1\n\n")
     lines = F.regexp_replace(F.translate(cut, UPPER, LOWER), r"\x0D\x0A|[\x0B-\x0D]", "\n")
     lines = F.regexp_replace(lines, r"(?m)^[\x20\x09]*(?:rem|dnl)(?=[\x20\x09])", "")
     words = F.trim(F.regexp_replace(lines, r"[^a-z0-9\x0A]+", " "))
@@ -117,7 +176,7 @@ def sentence_ids(text: Column) -> Column:
     """The identifiers of the known sentences of a text, in order: each begins
     where a line or a sentence does, ends where one does, and may run over
     line ends between."""
-    pairs = [(s, name) for name, forms in SENTENCES.items() for s in forms]
+    pairs = [(s, name) for name, forms in KNOWN.items() for s in forms]
     known = F.create_map(*[F.lit(x) for pair in pairs for x in pair])
     # of two sentences with one beginning the longer is taken
     longest = sorted((s for s, _ in pairs), key=len, reverse=True)
@@ -133,7 +192,7 @@ def match_rules(ids: Column) -> Column:
     # between two identifiers stands one bar for each, so that neighbours can both be matched
     start = F.struct(F.array().cast("array<string>").alias("licenses"), F.replace(barred, F.lit("|"), F.lit("||")).alias("rest"))
     rules = F.array(*[F.struct(F.lit(name).alias("name"), F.lit("".join(f"|{i}|" for i in sequence)).alias("sequence"))
-                      for name, sequence in RULES])
+                      for name, sequence in ALL_RULES])
 
     def apply(state, rule):
         rest = F.replace(state["rest"], rule["sequence"], F.lit("|-|"))
@@ -163,7 +222,8 @@ def scan_licenses(docs: DataFrame, doc_id: str = "doc_id", text: str = "text") -
 
 def scan_sql() -> str:
     """The scan as DuckDB SQL over `documents`, one step for each rule.  It cuts
-    at every line end: of a sentence that runs over lines it finds nothing."""
+    at every line end and has neither PUBLISHED nor PUBLISHED_RULES: of a
+    sentence that runs over lines, and of those, it finds nothing."""
     known = ", ".join(f"('{s}', '{name}')" for name, forms in SENTENCES.items() for s in forms)
     steps, last = [], "r0"
     for i, (name, sequence) in enumerate(RULES, 1):
@@ -189,5 +249,5 @@ select doc_id, array_to_string(licenses, ', ') as licenses, len(ids) as n_senten
        array_to_string(ids, ' ') as sentence_ids from {last}"""
 
 
-assert all(any(t in s for t in TRIGGERS) for forms in SENTENCES.values() for s in forms)
-assert all(re.fullmatch("[a-z0-9 ]+", s) for forms in SENTENCES.values() for s in forms)
+assert all(any(t in s for t in TRIGGERS) for forms in KNOWN.values() for s in forms)
+assert all(re.fullmatch("[a-z0-9 ]+", s) for forms in KNOWN.values() for s in forms)

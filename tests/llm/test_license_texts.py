@@ -74,3 +74,46 @@ def test_lines_and_blank_lines(spark):
              "Licensed under.\nthe MIT license",
              "We are not licensed under the MIT license", "\n" * 100_000 + "Licensed under the\nMIT license"]
     assert scan(spark, texts) == [("MIT", 1), ("Proprietary", 1), ("", 0), ("", 0), ("", 0), ("MIT", 1)]
+
+
+GNU = """This program is free software{} you can redistribute it and/or modify
+it under the terms of the GNU {} as published by
+the Free Software Foundation{} either version {} of the License, or
+(at your option) any later version.
+
+This program is distributed in the hope that it will be useful,
+but WITHOUT ANY WARRANTY; without even the implied warranty of
+MERCHANTABILITY or FITNESS FOR A PARTICULAR PURPOSE."""
+GPL, LESSER, AFFERO = "General Public License", "Lesser General Public\nLicense", "Affero General Public License"
+NOTICES = [
+    ("GPL-2.0", GNU.format(";", GPL, ";", 2)), ("GPL-2.0", GNU.format(":", GPL, ",", 2)), ("GPL-3.0", GNU.format(":", GPL, ",", 3)),
+    ("GPL-3.0", GNU.format(";", GPL, ";", 3)), ("LGPL-2.1", GNU.replace("program", "library").format(";", LESSER, ";", "2.1")),
+    ("LGPL-2.1", GNU.format(":", LESSER, ",", "2.1")),
+    ("LGPL-3.0", GNU.format(":", LESSER, ",", 3)), ("LGPL-3.0", GNU.format(";", LESSER, ";", 3)),
+    ("AGPL-3.0", GNU.format(":", AFFERO, ",", 3)), ("AGPL-3.0", GNU.format(";", AFFERO, ";", 3)),
+    ("GPL-2.0", "This program is free software; you can redistribute it and/or modify\nit under the terms of the GNU General Public "
+                "License version 2 as\npublished by the Free Software Foundation."),
+    ("MPL-2.0", "This Source Code Form is subject to the terms of the Mozilla Public\nLicense, v. 2.0. If a copy of the MPL was "
+                "not distributed with this\nfile, You can obtain one at https://mozilla.org/MPL/2.0/."),
+    ("Unlicense", "This is free and unencumbered software released into the public domain.\n\nAnyone is free to copy, modify, publish."),
+    ("CC0-1.0", "To the extent possible under law, the person who associated CC0 with\nthis work has waived all copyright and related "
+                "or neighboring\nrights to this work."),
+    ("CC-BY-4.0", "This work is licensed under the Creative Commons Attribution 4.0\nInternational License. To view a copy, go there."),
+    ("CC-BY-SA-4.0", "This work is licensed under the Creative Commons Attribution-ShareAlike 4.0\nInternational License."),
+    ("CC-BY-NC-4.0", "This work is licensed under a Creative Commons\nAttribution-NonCommercial 4.0 International License."),
+    ("Proprietary", "Copyright (c) 2020 Some One. All rights reserved."), *[(name, text) for name, (text, _) in WRAPPED.items()]]
+
+
+def test_each_licence_is_found_in_its_published_text(spark):
+    cases = [(name, "\n".join(mark + line for line in text.split("\n"))) for name, text in NOTICES for mark in MARKS.values()]
+    assert [got for got, _ in scan(spark, [text for _, text in cases])] == [name for name, _ in cases]
+    assert {name for name, _ in L.ALL_RULES} == {name for name, _ in NOTICES}
+
+
+def test_spdx_lines(spark):
+    cases = [(name, f"// SPDX-License-Identifier: {form}\nint x;") for name, forms in L.SPDX.items() for form in forms]
+    cases += [("GPL-2.0", "/* SPDX-License-Identifier: GPL-2.0+ WITH Linux-syscall-note */"),
+              ("Apache-2.0, MIT", "# SPDX-License-Identifier: (MIT OR Apache-2.0)\nit is this OR that"),
+              ("BSD-3-Clause, MIT, GPL-2.0", "spdx-license-identifier: MIT and (BSD-3-Clause or GPL-2.0-only WITH Classpath-exception-2.0)"),
+              ("", "SPDX-License-Identifier: LicenseRef-Own"), ("", "SPDX-License-Identifier: MIT-0")]
+    assert [got for got, _ in scan(spark, [text for _, text in cases])] == [name for name, _ in cases]

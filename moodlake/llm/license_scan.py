@@ -145,9 +145,9 @@ KNOWN = {name: SENTENCES.get(name, []) + PUBLISHED.get(name, []) for name in [*S
 # the new rules take the identifiers that the old ones leave
 ALL_RULES = RULES + PUBLISHED_RULES
 
-# A text without any of these (in lower case) has no known sentence.
-TRIGGERS = ("license", "redistribution", "all rights reserved", "copyright", "warranty", "permission", "cc by", "cc0",
-            "cc-by", "licensed", "unencumbered")
+# A text without any of these (in lower case) has no known sentence.  Each lies within one word,
+# so that it stands in the raw text however the words are parted.
+TRIGGERS = ("license", "redistribution", "reserved", "copyright", "warranty", "permission", "cc0", "unencumbered")
 WHITE = r"\x20\x09-\x0D"
 SPDX_MARK = "SPDX-License-Identifier "
 IN_SPDX = rf"(?<={SPDX_MARK}[^\x0A-\x0D]{{1,300}})"
@@ -249,5 +249,6 @@ select doc_id, array_to_string(licenses, ', ') as licenses, len(ids) as n_senten
        array_to_string(ids, ' ') as sentence_ids from {last}"""
 
 
+assert all(t.isalnum() for t in TRIGGERS)
 assert all(any(t in s for t in TRIGGERS) for forms in KNOWN.values() for s in forms)
 assert all(re.fullmatch("[a-z0-9 ]+", s) for forms in KNOWN.values() for s in forms)

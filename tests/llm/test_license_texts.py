@@ -117,3 +117,8 @@ def test_spdx_lines(spark):
               ("BSD-3-Clause, MIT, GPL-2.0", "spdx-license-identifier: MIT and (BSD-3-Clause or GPL-2.0-only WITH Classpath-exception-2.0)"),
               ("", "SPDX-License-Identifier: LicenseRef-Own"), ("", "SPDX-License-Identifier: MIT-0")]
     assert [got for got, _ in scan(spark, [text for _, text in cases])] == [name for name, _ in cases]
+
+
+def test_triggers_hold_however_words_are_parted(spark):
+    texts = ["All rights  reserved.", "All\trights reserved", "All rights\u00a0reserved", "all-rights-reserved", "ALL RIGHTS\nRESERVED"]
+    assert scan(spark, texts) == [("Proprietary", 1)] * 5

@@ -32,7 +32,7 @@ from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from moodlake.llm.common import id_filter, ship_package, shuffle_partitions, stored, without_ids
+from moodlake.llm.common import id_filter, ship_package, shuffle_partitions, stored
 
 WORDS = 5
 PERCENT = 80
@@ -65,6 +65,11 @@ def shingles(text: str, words: int = WORDS) -> np.ndarray:
     return np.unique(total)
 
 
+def class_key(own: np.ndarray) -> int | None:
+    """The key of the class of a set; an empty set is of no class."""
+    return xxhash.xxh3_64_intdigest(own.tobytes()) - 2**63 if len(own) else None
+
+
 def least_overlap(size: int, percent: int) -> int:
     """Shingles that a set of this size shares at least with any set similar to it."""
     return -(-percent * size // 100)
@@ -93,7 +98,7 @@ def _signatures(bodies: DataFrame, words: int) -> DataFrame:
             for body in batch.column(1):
                 own = shingles(body.as_py(), words)
                 sizes.append(len(own))
-                keys.append(xxhash.xxh3_64_intdigest(own.tobytes()) - 2**63 if len(own) else None)
+                keys.append(class_key(own))
                 held.append(_cells(own))
                 size += len(own)
                 if size > SEND_AT:
@@ -175,7 +180,7 @@ def _entries(bodies: DataFrame, counts: np.ndarray, buckets: int, words: int, pe
                 if not len(all_own):
                     continue
                 own, estimate, least = prefix(all_own, table, usual, percent)
-                key = xxhash.xxh3_64_intdigest(all_own.tobytes()) - 2**63
+                key = class_key(all_own)
                 rows = np.empty(len(own), ENTRY)
                 rows["token"], rows["key"], rows["size"], rows["least"] = own.view(np.int64), key, len(all_own), least
                 rows["last"] = min(int(estimate[-1]), 2**31 - 1)
@@ -264,19 +269,35 @@ def _verified(pairs: DataFrame, bodies: DataFrame, classes: DataFrame, words: in
     asked = pairs.select(F.explode(F.array("a", "b")).alias("_key")).distinct()
     reps = stored(asked.join(classes, F.col("_key") == F.col("key")).select("key", "doc_id"), "asked")
     maybe = id_filter(reps, "doc_id")
+    nameless = bool(reps.filter("doc_id is null").limit(1).count())
 
     def sets(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        sent: set[int] = set()
         for whole in batches:
             for at in range(0, whole.num_rows, SETS_SENT):
-                batch = whole.slice(at, SETS_SENT)
-                found = [shingles(body.as_py(), words).tobytes() for body in batch.column(1)]
-                yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(found, pa.binary())], ["_doc", "own"])
-
-    schema = T.StructType([T.StructField("_doc", bodies.schema["doc_id"].dataType), T.StructField("own", T.BinaryType())])
-    own = bodies.filter(maybe("doc_id")).mapInArrow(sets, schema)
-    # a doc_id may stand on several rows: the set must be that of the class
-    known = stored(own.join(reps, F.col("_doc") == F.col("doc_id")).select("key", "own"), "sets")
-    checked = known.mapInArrow(_of_class, known.schema)
+                docs, keys, found = [], [], []
+                for doc, body in zip(whole.column(0).slice(at, SETS_SENT), whole.column(1).slice(at, SETS_SENT)):
+                    own = shingles(body.as_py(), words)
+                    key = class_key(own)
+                    if doc.is_valid or key is not None and key not in sent:
+                        if not doc.is_valid:
+                            sent.add(key)  # a class without a doc_id goes once from a task
+                        docs.append(doc.as_py())
+                        keys.append(key)
+                        found.append(own.tobytes())
+                yield pa.RecordBatch.from_arrays([pa.array(docs, whole.column(0).type), pa.array(keys, pa.int64()),
+                                                  pa.array(found, pa.binary())], ["_doc", "_class", "own"])
+
+    schema = T.StructType([T.StructField("_doc", bodies.schema["doc_id"].dataType), T.StructField("_class", T.LongType()),
+                           T.StructField("own", T.BinaryType())])
+    wanted = F.col("doc_id").isNotNull() & maybe("doc_id")
+    own = bodies.filter(wanted | F.col("doc_id").isNull() if nameless else wanted).mapInArrow(sets, schema)
+    if nameless:  # of the rows without doc_id only those of a class that has no other rows
+        some = id_filter(reps.filter("doc_id is null"), "key")
+        own = own.filter(F.col("_doc").isNotNull() | some("_class"))
+    # a doc_id may stand on several rows: the set must be that of the class, and there once
+    checked = stored(own.join(reps, (F.col("_class") == F.col("key")) & F.col("_doc").eqNullSafe(F.col("doc_id")))
+                     .select("key", "own").dropDuplicates(["key"]), "sets")
     left = pairs.join(checked.select(F.col("key").alias("a"), F.col("own").alias("own_a")), "a")
     both = left.join(checked.select(F.col("key").alias("b"), F.col("own").alias("own_b")), "b").select("a", "b", "own_a", "own_b")
 
@@ -293,13 +314,6 @@ def _verified(pairs: DataFrame, bodies: DataFrame, classes: DataFrame, words: in
     return stored(both.mapInArrow(compare, "a long, b long").distinct(), "links")
 
 
-def _of_class(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    for batch in batches:
-        mask = pa.array([xxhash.xxh3_64_intdigest(own.as_py()) - 2**63 == key
-                         for key, own in zip(batch.column(0).to_pylist(), batch.column(1))], pa.bool_())
-        yield batch.filter(mask)
-
-
 def components(links: DataFrame) -> DataFrame:
     """key, component: the smallest key that each key of a link reaches.
 
@@ -321,16 +335,10 @@ def components(links: DataFrame) -> DataFrame:
             return labels
 
 
-def near_duplicates(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", words: int = WORDS,
-                    percent: int = PERCENT) -> DataFrame:
-    """One row per document: doc_id, n_shingles, component_id (the smallest
-    doc_id reachable by links) and class_id (the smallest doc_id of the same set).
-
-    Words are what stands between white space, A-Z in lower case.  A null or
-    empty text, or one without words, has no shingle and no link.  Rows
-    repeated with one doc_id have their own sets; a null doc_id is linked but
-    never a smallest one.  Other columns are left out, whatever their names;
-    an empty table gives none."""
+def _rated_classes(docs: DataFrame, doc_id: str, text: str, words: int,
+                   percent: int) -> tuple[DataFrame, DataFrame, DataFrame, DataFrame]:
+    """The texts, the documents with the keys of their classes, the classes
+    with their smallest doc_ids, and the rated meetings."""
     spark = docs.sparkSession
     ship_package(spark)
     bodies = _bodies(docs, doc_id, text)
@@ -341,7 +349,13 @@ def near_duplicates(docs: DataFrame, doc_id: str = "doc_id", text: str = "text",
     total = signed.agg(F.sum("n_shingles")).first()[0] or 0
     buckets = max(shuffle_partitions(spark), -(-total * (100 - percent) // 100 // ENTRIES_PER_BUCKET))
     meetings = _meetings(_entries(bodies, counts, buckets, words, percent), counts, buckets)
-    rated = stored(_rated(meetings, percent), "rated")
+    return bodies, signed, classes, stored(_rated(meetings, percent), "rated")
+
+
+def _grouped(docs: DataFrame, doc_id: str, text: str, words: int, percent: int) -> DataFrame:
+    """One row per document: doc_id, n_shingles, component_id, class_id, and
+    the keys of its class and of its component."""
+    bodies, signed, classes, rated = _rated_classes(docs, doc_id, text, words, percent)
     # a shingle's hub is the class of which the least is its own: the centre of its group, if there is one
     hubs = stored(rated.groupBy(F.col("token").alias("_token")).agg(F.min(F.struct(
         (1 - F.col("reach") / F.col("size")).alias("own"), F.col("key").alias("key_2"), F.col("size").alias("size_2"),
@@ -374,18 +388,55 @@ def near_duplicates(docs: DataFrame, doc_id: str = "doc_id", text: str = "text",
              .groupBy(F.col("component").alias("_component")).agg(F.min("doc_id").alias("root")))
     ends = stored(classes.join(found.withColumnRenamed("key", "_key"), F.col("key") == F.col("_key"), "left")
                   .join(roots, F.col("component") == F.col("_component"), "left")
-                  .select(F.col("key").alias("_key"), F.col("doc_id").alias("class_id"),
+                  .select(F.col("key").alias("_key"), F.col("doc_id").alias("class_id"), F.coalesce("component", "key").alias("component"),
                           F.coalesce("root", "doc_id").alias("component_id")), "ends")
     return signed.join(ends, F.col("key") == F.col("_key"), "left").select(
         "doc_id", "n_shingles", F.coalesce("component_id", "doc_id").alias("component_id"),
-        F.coalesce("class_id", "doc_id").alias("class_id"))
+        F.coalesce("class_id", "doc_id").alias("class_id"), "key", "component")
+
+
+def near_duplicates(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", words: int = WORDS,
+                    percent: int = PERCENT) -> DataFrame:
+    """One row per document: doc_id, n_shingles, component_id (the smallest
+    doc_id reachable by links) and class_id (the smallest doc_id of the same set).
+
+    Words are what stands between white space, A-Z in lower case.  A null or
+    empty text, or one without words, has no shingle and no link.  Rows
+    repeated with one doc_id have their own sets; a null doc_id is linked but
+    never a smallest one.  Other columns are left out, whatever their names;
+    an empty table gives none."""
+    return _grouped(docs, doc_id, text, words, percent).select("doc_id", "n_shingles", "component_id", "class_id")
 
 
 def drop_near_duplicates(docs: DataFrame, doc_id: str = "doc_id", text: str = "text") -> DataFrame:
-    """docs with one document of each component, the one of smallest doc_id;
-    all columns stay.  Only rows that may have to go are shuffled.  Rows without
-    doc_id stay, and so do all rows of a doc_id of which one has to stay."""
-    found = near_duplicates(docs, doc_id, text)
-    dropped = (found.groupBy("doc_id").agg(F.max(F.col("doc_id") == F.col("component_id")).alias("stays"))
-               .filter("not stays").select(F.col("doc_id").alias("gone")))
-    return without_ids(docs, stored(dropped, "gone"), doc_id, "gone")
+    """docs with one row of each component, one of smallest doc_id (without a
+    doc_id only if no row of the component has one); all columns stay.  Rows
+    without words stay.  Rows are told by doc_id and class; only those that may
+    have to go are shuffled."""
+    placed = stored(_grouped(docs, doc_id, text, WORDS, PERCENT).filter("key is not null").select("doc_id", "key", "component"), "placed")
+    keepers = stored(placed.groupBy(F.col("component").alias("_component")).agg(
+        F.min(F.struct(F.col("doc_id").isNull().alias("nameless"), "doc_id", "key")).alias("keeper"), F.count(F.lit(1)).alias("rows"))
+        .filter("rows > 1").select("_component", "keeper"), "keepers")
+    marks = stored(placed.join(keepers, F.col("component") == F.col("_component"))
+                   .groupBy(F.col("doc_id").alias("_id"), F.col("key").alias("_key"))
+                   .agg(F.count(F.lit(1)).alias("rows"),
+                        F.max((F.col("key") == F.col("keeper.key")) & F.col("doc_id").eqNullSafe(F.col("keeper.doc_id"))).alias("stays"))
+                   .filter("not stays or rows > 1").select("_id", "_key", "stays"), "marks")
+    nameless, repeated = (bool(marks.filter(c).limit(1).count()) for c in ("_id is null", "stays"))
+    maybe = id_filter(marks, "_id")
+
+    @F.pandas_udf("long")
+    def key_of(bodies):
+        import pandas as pd
+
+        return pd.Series([class_key(shingles(body)) for body in bodies], dtype="Int64")
+
+    tested = docs.select(F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("row"), F.col(f"`{doc_id}`").alias("id"),
+                         F.coalesce(F.col(f"`{text}`"), F.lit("")).alias("body"))
+    tested = tested.withColumn("maybe", F.when(F.col("id").isNull(), F.lit(nameless)).otherwise(maybe("id")))
+    asked = tested.filter("maybe").select("row", "id", key_of("body").alias("key"))
+    same = F.col("id").eqNullSafe(F.col("_id")) & (F.col("key") == F.col("_key"))
+    kept = tested.filter("not maybe").select("row").unionByName(asked.join(marks, same, "left_anti").select("row"))
+    if repeated:
+        kept = kept.unionByName(asked.join(marks.filter("stays"), same).dropDuplicates(["_id", "_key"]).select("row"))
+    return kept.select("row.*")

@@ -99,14 +99,3 @@ def id_filter(ids: DataFrame, column: str):
         return pd.Series((shared.value[at >> 5] >> (at & 31).astype(np.uint32)) & 1 == 1)
 
     return lambda name: held(F.pmod(F.xxhash64(F.col(f"`{name}`")), F.lit(bits)))
-
-
-def without_ids(docs: DataFrame, dropped: DataFrame, doc_id: str, dropped_id: str) -> DataFrame:
-    """docs without the rows whose doc_id is in `dropped`; only rows that a bit
-    filter of the dropped ids lets through are shuffled, with their texts."""
-    maybe = id_filter(dropped, dropped_id)
-    tested = docs.select(F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("row"),
-                         F.col(f"`{doc_id}`").alias("id")).withColumn("maybe", maybe("id"))
-    stay = tested.filter("maybe").join(dropped.select(F.col(dropped_id).alias("_gone")).distinct(),
-                                       F.col("id") == F.col("_gone"), "left_anti")
-    return tested.filter("not maybe").select("row").unionByName(stay.select("row")).select("row.*")

@@ -13,7 +13,7 @@ copies are never expanded into all pairs: first each shingle's hub, the class
 of which the least is its own, is compared with the shingle's other classes;
 only classes that this leaves in different components are then counted and
 compared pair by pair.  Components therefore are exact, while pairs inside a
-component may be left uncompared.  Shingles of a prefix that no other prefix
+component may be left uncompared; near_links() compares those too.  Shingles of a prefix that no other prefix
 has bound what a class can share; a pair is left out where that is too few.
 Shingle and class hashes have 64 bits; equal hashes count as equal shingles
 and classes.
@@ -408,6 +408,33 @@ def near_duplicates(docs: DataFrame, doc_id: str = "doc_id", text: str = "text",
     return _grouped(docs, doc_id, text, words, percent).select("doc_id", "n_shingles", "component_id", "class_id")
 
 
+def near_links(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", words: int = WORDS,
+               percent: int = PERCENT) -> tuple[DataFrame, DataFrame]:
+    """All links, as pairs of classes with membership: rows (a, b) of the
+    similar classes a < b, and one row per document: doc_id, n_shingles, key
+    (of its class; null without words) and n_links, the number of other rows
+    that are similar to it, those of its own class included.
+
+    Classes meet by shared prefix shingles, also inside a component, so a
+    group of n near copies of different sets costs and gives up to n (n - 1) / 2
+    pairs; copies of equal sets are never paired."""
+    bodies, signed, classes, rated = _rated_classes(docs, doc_id, text, words, percent)
+    other = rated.select(*[F.col(c).alias(f"{c}_2") for c in rated.columns])
+    candidates = stored(rated.join(other, (F.col("token") == F.col("token_2")) & (F.col("key") < F.col("key_2")) & _possible(percent, "_2"))
+                        .groupBy(F.col("key").alias("a"), F.col("key_2").alias("b"))
+                        .agg(F.count(F.lit(1)).alias("shared"), F.min(F.least("least", "least_2")).alias("least"))
+                        .filter(F.col("shared") >= F.col("least")).select("a", "b"), "candidates")
+    pairs = _verified(candidates, bodies, classes, words, percent)
+    sizes = stored(signed.filter("key is not null").groupBy(F.col("key").alias("_key")).agg(F.count(F.lit(1)).alias("rows")), "sizes")
+    both = pairs.select("a", "b").unionByName(pairs.select(F.col("b").alias("a"), F.col("a").alias("b")))
+    linked = both.join(sizes, F.col("b") == F.col("_key")).groupBy(F.col("a").alias("_a")).agg(F.sum("rows").alias("others"))
+    numbers = stored(sizes.join(linked, F.col("_key") == F.col("_a"), "left").select(
+        "_key", (F.col("rows") - 1 + F.coalesce("others", F.lit(0))).alias("links")), "numbers")
+    members = signed.join(numbers, F.col("key") == F.col("_key"), "left").select(
+        "doc_id", "n_shingles", "key", F.coalesce("links", F.lit(0)).alias("n_links"))
+    return pairs, members
+
+
 def drop_near_duplicates(docs: DataFrame, doc_id: str = "doc_id", text: str = "text") -> DataFrame:
     """docs with one row of each component, one of smallest doc_id (without a
     doc_id only if no row of the component has one); all columns stay.  Rows

@@ -157,12 +157,14 @@ def prefix(own: np.ndarray, counts: np.ndarray, usual: float, percent: int) -> t
 
 
 def _entries(bodies: DataFrame, counts: np.ndarray, buckets: int, words: int, percent: int) -> DataFrame:
-    """Rows (bucket, entries): the prefix shingles of all documents, packed by bucket."""
+    """Rows (bucket, entries): the prefix shingles of all classes, packed by
+    bucket; a task sends those of a class once, however many copies it reads."""
     shared = bodies.sparkSession.sparkContext.broadcast(counts)
     usual = 2 * float(counts.mean())
 
     def send(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         table, held, size = shared.value, [], 0
+        sent: set[int] = set()
 
         def packed() -> Iterator[pa.RecordBatch]:
             own = np.concatenate([h for h, _ in held])
@@ -177,10 +179,11 @@ def _entries(bodies: DataFrame, counts: np.ndarray, buckets: int, words: int, pe
         for batch in batches:
             for body in batch.column(1):
                 all_own = shingles(body.as_py(), words)
-                if not len(all_own):
+                key = class_key(all_own)
+                if key is None or key in sent:
                     continue
+                sent.add(key)
                 own, estimate, least = prefix(all_own, table, usual, percent)
-                key = class_key(all_own)
                 rows = np.empty(len(own), ENTRY)
                 rows["token"], rows["key"], rows["size"], rows["least"] = own.view(np.int64), key, len(all_own), least
                 rows["last"] = min(int(estimate[-1]), 2**31 - 1)
@@ -205,13 +208,16 @@ def _meetings(entries: DataFrame, counts: np.ndarray, buckets: int) -> DataFrame
     names = ["token", "key", "size", "least", "last"]
 
     def meet(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        at, held = None, []
+        at, held, size, most = None, [], 0, ENTRIES_PER_BUCKET
 
-        def met() -> Iterator[pa.RecordBatch]:
+        def merged() -> np.ndarray:
             own = np.concatenate(held)
             own = own[np.lexsort((own["key"], own["token"]))]
             new = np.concatenate([[True], (own["token"][1:] != own["token"][:-1]) | (own["key"][1:] != own["key"][:-1])])
-            own = own[new]  # copies of a class are one
+            return own[new]  # copies of a class are one
+
+        def met() -> Iterator[pa.RecordBatch]:
+            own = merged()
             first = np.concatenate([[True], own["token"][1:] != own["token"][:-1]])
             starts = np.flatnonzero(first)
             sizes = np.diff(np.concatenate([starts, [len(own)]]))
@@ -228,9 +234,14 @@ def _meetings(entries: DataFrame, counts: np.ndarray, buckets: int) -> DataFrame
             for bucket, data in zip(batch.column(0).to_pylist(), batch.column(1)):
                 if bucket != at and held:
                     yield from met()
-                    held = []
+                    held, size, most = [], 0, ENTRIES_PER_BUCKET
                 at = bucket
                 held.append(np.frombuffer(data.as_py(), ENTRY))
+                size += len(held[-1])
+                if size > most:
+                    held = [merged()]
+                    size = len(held[0])
+                    most = max(ENTRIES_PER_BUCKET, 2 * size)
         if held:
             yield from met()
 

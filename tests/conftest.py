@@ -15,5 +15,3 @@ def spark():
     yield s
     s.stop()
 
-
-SMOKE = "/root/testdata/sf0.001"

@@ -10,7 +10,7 @@ from moodlake.plans import pipeline as PL
 from moodlake.sources import fixture
 from moodlake.streaming.releases import ingest_new_releases
 
-from conftest import SMOKE
+from places import SMOKE
 
 
 def test_daily_then_mood_and_kmeans(spark):

@@ -9,7 +9,7 @@ from moodlake.plans import pipeline as PL
 from moodlake.sources import albums as AL
 from moodlake.sources import catalog, csv, jdbc, tables
 
-from conftest import SMOKE
+from places import SMOKE
 
 
 def scratch():

@@ -16,10 +16,11 @@ COLUMNS = {
     "op8_secret_scan": ["doc_id", "n_assign", "n_access", "n_hex", "base_sha256", "spans"],
     "op9_topk": ["query_id", "rank", "vec_id", "score"],
     "op10_byte_bpe": ["doc_id", "n_tokens", "ids_sha256", "decoded_sha256"],
+    "op11_periodic_runs": ["doc_id", "n_runs", "start", "length", "period", "exponent_milli", "runs_sha256", "collapsed_sha256"],
 }
 
 
-def test_ten_queries():
+def test_all_queries():
     assert set(Q.QUERIES) == set(COLUMNS) and set(Q.SQL) <= set(COLUMNS)
 
 

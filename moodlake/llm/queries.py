@@ -9,8 +9,8 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from moodlake.llm import (byte_bpe, exact_dedup, jaccard_join, language_id, license_scan, packing, periodic_runs, secret_scan, sharding,
-                          token_counts, topk)
+from moodlake.llm import (byte_bpe, centroid_clusters, exact_dedup, jaccard_join, language_id, license_scan, packing, periodic_runs,
+                          secret_scan, sharding, token_counts, topk)
 from moodlake.llm.common import documents
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -62,9 +62,13 @@ def op11_periodic_runs(spark: SparkSession, sf_dir: str) -> DataFrame:
     return periodic_runs.run_digests(documents(spark, sf_dir), plant=True)
 
 
+def op13_centroid_clusters(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return centroid_clusters.cluster_report(spark.read.parquet(f"{sf_dir}/embeddings.parquet"))
+
+
 QUERIES: dict[str, Query] = {f.__name__: f for f in (
     op1_exact_dedup, op2_license_scan, op3_jaccard_join, op4_language_id, op5_packing, op6_sharding, op7_token_counts, op8_secret_scan,
-    op9_topk, op10_byte_bpe, op11_periodic_runs)}
+    op9_topk, op10_byte_bpe, op11_periodic_runs, op13_centroid_clusters)}
 
 OP1_SQL = r"""
 with d as (select doc_id, sha256(regexp_replace(coalesce(text, ''), '[\x20\x09-\x0D]+', ' ', 'g')) as text_sha256
@@ -138,4 +142,4 @@ from s qualify rank <= 10"""
 
 SQL: dict[str, str] = {"op1_exact_dedup": OP1_SQL, "op2_license_scan": license_scan.scan_sql(),
                        "op3_jaccard_join": OP3_SQL, "op6_sharding": OP6_SQL,
-                       "op9_topk": OP9_SQL}
+                       "op9_topk": OP9_SQL, "op13_centroid_clusters": centroid_clusters.cluster_sql()}

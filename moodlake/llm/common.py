@@ -35,7 +35,17 @@ def stored(df: DataFrame, name: str) -> DataFrame:
     spark = df.sparkSession
     path = f"{shared_dir(spark).rstrip('/')}/llm/{name}-{uuid.uuid4().hex}"
     df.write.option("compression", "zstd").parquet(path)
-    return spark.read.schema(df.schema).parquet(path)
+    out = spark.read.schema(df.schema).parquet(path)
+    out.stored_at = path
+    return out
+
+
+def spent(*tables: DataFrame) -> None:
+    """Remove the folders of tables that stored() gave, once everything made of
+    them has itself been stored: nothing left to compute reads them."""
+    for df in tables:
+        folder = df.sparkSession._jvm.org.apache.hadoop.fs.Path(df.stored_at)
+        folder.getFileSystem(df.sparkSession._jsc.hadoopConfiguration()).delete(folder, True)
 
 
 _shipped: set[str] = set()

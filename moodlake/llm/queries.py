@@ -9,8 +9,8 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from moodlake.llm import (byte_bpe, centroid_clusters, exact_dedup, jaccard_join, language_id, license_scan, packing, periodic_runs,
-                          secret_scan, sharding, token_counts, topk)
+from moodlake.llm import (byte_bpe, centroid_clusters, exact_dedup, jaccard_join, language_id, license_scan, minhash_join, packing,
+                          periodic_runs, secret_scan, sharding, token_counts, topk)
 from moodlake.llm.common import documents
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -62,13 +62,17 @@ def op11_periodic_runs(spark: SparkSession, sf_dir: str) -> DataFrame:
     return periodic_runs.run_digests(documents(spark, sf_dir), plant=True)
 
 
+def op12_minhash_join(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return minhash_join.near_copies(documents(spark, sf_dir))
+
+
 def op13_centroid_clusters(spark: SparkSession, sf_dir: str) -> DataFrame:
     return centroid_clusters.cluster_report(spark.read.parquet(f"{sf_dir}/embeddings.parquet"))
 
 
 QUERIES: dict[str, Query] = {f.__name__: f for f in (
     op1_exact_dedup, op2_license_scan, op3_jaccard_join, op4_language_id, op5_packing, op6_sharding, op7_token_counts, op8_secret_scan,
-    op9_topk, op10_byte_bpe, op11_periodic_runs, op13_centroid_clusters)}
+    op9_topk, op10_byte_bpe, op11_periodic_runs, op12_minhash_join, op13_centroid_clusters)}
 
 OP1_SQL = r"""
 with d as (select doc_id, sha256(regexp_replace(coalesce(text, ''), '[\x20\x09-\x0D]+', ' ', 'g')) as text_sha256
@@ -114,13 +118,16 @@ select doc_id, size, text_crc32, 'key' as law, shard,
        row_number() over (partition by shard order by place, doc_id, text_crc32, size) - 1 as slot, grown_shard
 from p"""
 
-OP3_SQL = r"""
+
+def _near_sql(words: int, columns: str) -> str:
+    """All pairs of documents that share a shingle, and what links reach."""
+    return rf"""
 with recursive w as (
   select row_number() over () as r, doc_id, list_filter(string_split_regex(translate(coalesce(text, ''),
          'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[\x20\x09-\x0D]+'), lambda x: x <> '') as w
   from documents),
 s as (select r, doc_id, case when len(w) = 0 then []::varchar[] else list_distinct(list_transform(
-             range(1, greatest(2, len(w) - 3)), lambda i: array_to_string(w[i:i + 4], ' '))) end as shingles from w),
+             range(1, greatest(2, len(w) - {words - 2})), lambda i: array_to_string(w[i:i + {words - 1}], ' '))) end as shingles from w),
 e as (select r, len(shingles) as n, unnest(shingles) as shingle from s),
 shared as (select a.r as a, b.r as b, any_value(a.n) as n_a, any_value(b.n) as n_b, count(*) as n_both
            from e a join e b on a.shingle = b.shingle and a.r <> b.r group by a.r, b.r),
@@ -128,9 +135,13 @@ links as (select a, b from shared where 100 * n_both >= 80 * (n_a + n_b - n_both
 reach as (select r as a, r as b from s union select reach.a, links.b from reach join links on reach.b = links.a),
 c as (select r, doc_id, len(shingles) as n_shingles, case when len(shingles) = 0 then doc_id else
              min(doc_id) over (partition by md5(array_to_string(list_sort(shingles), chr(10)))) end as class_id from s)
-select c.doc_id, c.n_shingles, min(o.doc_id) as component_id, c.class_id
+select c.doc_id, c.n_shingles, min(o.doc_id) as component_id, {columns}c.class_id
 from c join reach on reach.a = c.r join c o on o.r = reach.b group by c.r, c.doc_id, c.n_shingles, c.class_id"""
 
+
+OP3_SQL = _near_sql(5, "")
+OP12_SQL = _near_sql(2, "c.doc_id is not distinct from min(o.doc_id) as kept, ")
+
 OP9_SQL = """
 with v as (select vec_id, list_transform(embedding, lambda x: floor(1024 * x::double)) as e from embeddings
            where embedding is not null and vec_id is not null
@@ -142,4 +153,5 @@ from s qualify rank <= 10"""
 
 SQL: dict[str, str] = {"op1_exact_dedup": OP1_SQL, "op2_license_scan": license_scan.scan_sql(),
                        "op3_jaccard_join": OP3_SQL, "op6_sharding": OP6_SQL,
-                       "op9_topk": OP9_SQL, "op13_centroid_clusters": centroid_clusters.cluster_sql()}
+                       "op9_topk": OP9_SQL, "op12_minhash_join": OP12_SQL,
+                       "op13_centroid_clusters": centroid_clusters.cluster_sql()}

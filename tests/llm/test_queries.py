@@ -17,6 +17,7 @@ COLUMNS = {
     "op9_topk": ["query_id", "rank", "vec_id", "score"],
     "op10_byte_bpe": ["doc_id", "n_tokens", "ids_sha256", "decoded_sha256"],
     "op11_periodic_runs": ["doc_id", "n_runs", "start", "length", "period", "exponent_milli", "runs_sha256", "collapsed_sha256"],
+    "op12_minhash_join": ["doc_id", "n_shingles", "component_id", "kept"],
     "op13_centroid_clusters": ["vec_id", "cluster", "distance", "cluster_inertia", "inertia", "centroid_sha256"],
 }
 

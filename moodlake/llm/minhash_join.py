@@ -23,7 +23,7 @@ Documents with equal sets are one class, posted once.  A list is not expanded
 into all its pairs: first every class meets the lists' hubs (the member whose
 values most others share, the centre of a group and the same for most of its
 lists), and only the members of lists that this leaves in different components
-meet each other, the likest first.  Components are
+meet each other.  Components are
 exact for what the signatures find; pairs inside a component may stay
 unconfirmed.
 """
@@ -215,35 +215,19 @@ def _labelled(links: DataFrame) -> DataFrame:
     return components(links).select(F.col("key").alias("_id"), "component")
 
 
-def _split(pairs: DataFrame, labels: DataFrame) -> DataFrame:
-    """The pairs whose ends are in different components."""
-    one = labels.select(F.col("_id").alias("a"), F.col("component").alias("in_a"))
-    two = labels.select(F.col("_id").alias("b"), F.col("component").alias("in_b"))
-    both = pairs.join(one, "a", "left").join(two, "b", "left")
-    return both.filter(F.coalesce("in_a", "a") != F.coalesce("in_b", "b")).select("a", "b")
-
-
 def _components(prefixes: DataFrame, classes: DataFrame, bodies: DataFrame, words: int, percent: int, matches: int) -> DataFrame:
     """(_id, component) of every class that has a link."""
     postings = F.struct("rank", "id", "size", *MARKS)
     hubs = (prefixes.groupBy(F.col("token").alias("_token")).agg(F.min(postings).alias("hub"), F.count(F.lit(1)).alias("n"))
             .filter("n > 1").select("_token", "hub.*"))
     hubs = stored(hubs.select("_token", *[F.col(c).alias(f"{c}_2") for c in ("id", "size", *MARKS)]), "hubs")
-    alike = _matches([F.col(m) for m in MARKS], [F.col(f"{m}_2") for m in MARKS])
-    # each class and its lists' hubs, of which the likest comes first
-    near = (prefixes.join(hubs, (F.col("token") == F.col("_token")) & (F.col("id") != F.col("id_2")) & _alike(percent, matches))
-            .select(F.col("id").alias("a"), F.col("id_2").alias("b"),
-                    alike.alias("alike")))
-    near = stored(near.groupBy("a", "b").agg(F.max("alike").alias("alike")), "near")
+    # each class and its lists' hubs
+    near = stored(prefixes.join(hubs, (F.col("token") == F.col("_token")) & (F.col("id") != F.col("id_2")) & _alike(percent, matches))
+                  .select(F.least("id", "id_2").alias("a"), F.greatest("id", "id_2").alias("b")).distinct(), "near")
     spent(hubs)
     sets = _sets(_ids(near), classes, bodies, words)
-    first = near.groupBy("a").agg(F.max(F.struct("alike", "b")).alias("best")).select("a", F.col("best.b").alias("b"))
-    links = _confirmed(first, sets, percent)
+    links = _confirmed(near, sets, percent)
     labels = _labelled(links)
-    more = _confirmed(_split(near, labels), sets, percent)
-    if more.limit(1).count():
-        links = stored(links.unionByName(more), "links")
-        labels = _labelled(links)
     # lists whose members are still in different components: these meet each other
     placed = stored(prefixes.join(labels, F.col("id") == F.col("_id"), "left")
                     .select("token", "id", "size", *MARKS, F.coalesce("component", "id").alias("component")), "placed")
@@ -253,22 +237,14 @@ def _components(prefixes: DataFrame, classes: DataFrame, bodies: DataFrame, word
     spent(placed, mixed)
     across = (open_.join(_other(open_), (F.col("token") == F.col("token_2")) & (F.col("id") < F.col("id_2"))
                          & (F.col("component") != F.col("component_2")) & _alike(percent, matches))
-              .select(F.col("id").alias("a"), F.col("id_2").alias("b"), alike.alias("alike")).groupBy("a", "b").agg(F.max("alike").alias("alike")))
-    met = near.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b"))
-    across = stored(across.join(met, ["a", "b"], "left_anti"), "across")
+              .select(F.col("id").alias("a"), F.col("id_2").alias("b")).distinct())
+    across = stored(across.join(near, ["a", "b"], "left_anti"), "across")
     spent(open_)
     if across.limit(1).count():
         fresh = _ids(across).join(sets.select("id"), "id", "left_anti")
-        every = stored(sets.unionByName(_sets(fresh, classes, bodies, words)), "sets")
-        likest = across.groupBy("a").agg(F.max_by("b", "alike").alias("b")).unionByName(
-            across.groupBy("b").agg(F.max_by("a", "alike").alias("a"))).distinct()
-        more = _confirmed(likest, every, percent)
-        links = stored(links.unionByName(more), "links")
-        labels = _labelled(links)
-        more = _confirmed(_split(across, labels), every, percent)
+        more = _confirmed(across, sets.unionByName(_sets(fresh, classes, bodies, words)), percent)
         if more.limit(1).count():
             labels = _labelled(links.unionByName(more))
-        spent(every)
     spent(sets, near, across)
     return labels
 

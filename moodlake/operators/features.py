@@ -3,10 +3,11 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from moodlake.functions.params import FEATURE_TTL_DAYS, UNKNOWN_LABEL
+from moodlake.operators.asof import last_before
 from moodlake.operators.mood import sub_label_catalog
 from moodlake.operators.silver import dedup_latest
 
@@ -42,64 +43,31 @@ def features_latest(features: DataFrame, start: str | Column | None = None, end:
     return dedup_latest(f, key, ts, tiebreak)
 
 
-AS_OF_SLICES = 8  # slices of one time to live
-
-
 def features_as_of(features: DataFrame, requests: DataFrame, ttl_days: int = FEATURE_TTL_DAYS,
                    key: str = "track_id", req_ts: str = "request_ts", ts: str = "event_timestamp",
                    values: list[str] | None = None, tiebreak: list[str] | None = None,
-                   slices: int = AS_OF_SLICES) -> DataFrame:
+                   partitions: int | None = None) -> DataFrame:
     """Point-in-time read: for every request (key, request_ts) the latest
     feature row with request_ts - ttl < event_timestamp <= request_ts, else
     nulls.  Feature rows tied on key and time: the smallest `tiebreak` values
     (default: the value columns; nulls first) win.
 
-    The same plan at every size, and no pair of feature and request is formed:
-
-    * Only distinct (key, time) pairs are resolved; they are made distinct
-      before the shuffle, so identical requests cost one row a task.
-    * Time is cut for every key into fixed slices of ttl / `slices`, so a key's
-      rows spread over as many tasks as its time span has slices.
-    * Every feature row is also offered to the next `slices` slices, of which
-      an aggregate (partial sums before the shuffle) keeps the newest for each
-      slice: its carry-in, the newest feature of all earlier slices in reach.
-    * Inside a slice a running last value over time (carry-in, then features,
-      then pairs at equal time) answers each pair, and the ttl test decides.
-    * Answers join the requests on (key, time), a plain equi-join that adaptive
-      execution splits where one pair has many requests.
+    The same plan at every size (`asof.last_before`): features and requests go
+    through one range exchange on (key, time), in as many stretches as there
+    are partitions (default: the session's), a running last value answers inside
+    a stretch, and one row a stretch carries the last feature on.  Each row is
+    sent once, and a key is cut into several tasks wherever its rows are many,
+    be they in one instant.  The scan is stored as it runs.
 
     Requests with a null key or time stay, unanswered; all request columns stay.
     """
     values = values or [c for c in features.columns if c not in (key, ts)]
-    tiebreak = tiebreak or values
-    width = int(ttl_days) * 86400 * 1_000_000 // slices  # microseconds
-    micros = F.unix_micros("_t")
-    slice_of = F.floor(micros / F.lit(width)).cast("bigint")
-
-    feat = (features.select(F.col(key).alias("_k"), F.col(ts).cast("timestamp").alias("_t"),
-                            F.struct(*tiebreak).alias("_tie"), F.struct(*values).alias("_f"))
-            .filter(F.col("_k").isNotNull() & F.col("_t").isNotNull()).withColumn("_s", slice_of))
-    pairs = (requests.select(F.col(key).alias("_k"), F.col(req_ts).cast("timestamp").alias("_t"))
-             .filter(F.col("_k").isNotNull() & F.col("_t").isNotNull()).distinct().withColumn("_s", slice_of))
-    feat = feat.withColumn("_v", F.struct(F.col("_t").alias("t"), F.col("_f").alias("f")))
-    newest = F.struct((-micros).alias("age"), F.col("_tie").alias("tie"))  # smallest: newest, then least tie-break
-    carry = (feat.select("_k", F.explode(F.sequence(F.col("_s") + 1, F.col("_s") + slices)).alias("_s"), "_v", newest.alias("_o"))
-             .groupBy("_k", "_s").agg(F.min_by("_v", "_o").alias("_v"))
-             .select("_k", "_s", F.lit(None).cast("timestamp").alias("_t"), F.lit(0).alias("_kind"),
-                     F.lit(None).cast(feat.schema["_tie"].dataType).alias("_tie"), "_v"))
-    rows = carry.unionByName(feat.select("_k", "_s", "_t", F.lit(1).alias("_kind"), "_tie", "_v"))
-    asked = pairs.select("_k", "_s", "_t", F.lit(2).alias("_kind"))
-    rows = rows.unionByName(asked, allowMissingColumns=True)
-    # of ties the winner comes last, so that the running last value is it
-    running = (Window.partitionBy("_k", "_s").orderBy(F.col("_t").asc_nulls_first(), "_kind", F.col("_tie").desc_nulls_last())
-               .rowsBetween(Window.unboundedPreceding, Window.currentRow))
-    hit = F.last("_v", ignorenulls=True).over(running)
-    fresh = F.col("_hit.t") > (F.col("_t") - F.expr(f"INTERVAL {int(ttl_days)} DAYS"))
-    answers = (rows.withColumn("_hit", hit).filter((F.col("_kind") == 2) & fresh)
-               .select("_k", "_t", F.col("_hit.f").alias("_f"), F.col("_hit.t").alias("_ft")))
-    asking = requests.withColumns({"_rk": F.col(key), "_rt": F.col(req_ts).cast("timestamp")})
-    return (asking.join(answers, (F.col("_rk") == F.col("_k")) & (F.col("_rt") == F.col("_t")), "left")
-            .select(*requests.columns, *[F.col(f"_f.{v}").alias(v) for v in values], F.col("_ft").alias(ts)))
+    feat = features.select(F.col(key).alias("k"), F.col(ts).cast("timestamp").alias("t"),
+                           F.struct(*(tiebreak or values)).alias("tie"), F.struct(*values).alias("v"))
+    asking = requests.select(F.col(key).alias("k"), F.col(req_ts).cast("timestamp").alias("t"), F.struct(*requests.columns).alias("r"))
+    fresh = F.col("vt") > (F.col("t") - F.expr(f"INTERVAL {int(ttl_days)} DAYS"))
+    return last_before(feat, asking, partitions).select(
+        "r.*", *[F.when(fresh, F.col(f"v.{v}")).alias(v) for v in values], F.when(fresh, F.col("vt")).alias(ts))
 
 
 def mood_lookup(latest: DataFrame, requests: DataFrame, key: str = "track_id", digits: int = 4) -> DataFrame:

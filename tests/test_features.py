@@ -3,6 +3,7 @@ import random
 
 from pyspark.sql import functions as F
 
+from moodlake.operators import asof
 from moodlake.operators import features as FT
 
 
@@ -22,7 +23,7 @@ def test_as_of_matches_brute_force(spark):
     assert sorted(got, key=str) == sorted(want, key=str)
 
 
-def test_as_of_any_number_of_slices_same_result(spark):
+def test_as_of_any_number_of_stretches_same_result(spark):
     rnd = random.Random(5)
     base = dt.datetime(2024, 1, 1)
     feats = [("hot", base + dt.timedelta(hours=rnd.randint(0, 24 * 20)), float(i)) for i in range(30)]
@@ -30,8 +31,8 @@ def test_as_of_any_number_of_slices_same_result(spark):
     fdf = spark.createDataFrame(feats, "track_id string, event_timestamp timestamp, v double")
     rdf = spark.createDataFrame(reqs, "track_id string, request_ts timestamp")
     want = sorted(_brute_as_of(feats, reqs, 7), key=str)
-    for slices in (1, 3, 8, 50):
-        got = [(r["track_id"], r["request_ts"], r["v"]) for r in FT.features_as_of(fdf, rdf, ttl_days=7, slices=slices).collect()]
+    for partitions in (1, 3, 8, 50):
+        got = [(r["track_id"], r["request_ts"], r["v"]) for r in FT.features_as_of(fdf, rdf, ttl_days=7, partitions=partitions).collect()]
         assert sorted(got, key=str) == want
 
 
@@ -69,10 +70,10 @@ def _brute_as_of(feats, reqs, ttl_days):
     return want
 
 
-def test_as_of_hot_feature_and_request_side_sliced(spark):
+def test_as_of_hot_feature_and_request_side_in_stretches(spark):
     """A third of the feature rows and of the requests on one key (many
     requests at one identical time, feature rows tied at equal times); the
-    sliced plan equals brute force and no feature row is copied."""
+    scan equals brute force in any number of stretches, and every row is sent once."""
     rnd = random.Random(11)
     base = dt.datetime(2024, 1, 1)
     feats = []
@@ -86,12 +87,53 @@ def test_as_of_hot_feature_and_request_side_sliced(spark):
     reqs += [(None, base), ("hot", None)]
     fdf = spark.createDataFrame(feats, "track_id string, event_timestamp timestamp, v double")
     rdf = spark.createDataFrame(reqs, "track_id string, request_ts timestamp")
-    out = FT.features_as_of(fdf, rdf, ttl_days=7)
-    got = [(r["track_id"], r["request_ts"], r["v"]) for r in out.collect()]
-    assert len(got) == len(reqs)
-    assert sorted(got, key=str) == sorted(_brute_as_of(feats, reqs, 7), key=str)
-    # each shuffle carries at most the features with the carry-in of their slices, and the distinct pairs
-    assert max(_shuffle_records(out)) <= len(set(reqs)) + (1 + FT.AS_OF_SLICES) * len(feats)
+    want = sorted(_brute_as_of(feats, reqs, 7), key=str)
+    for partitions in (None, 2, 40):
+        got = [(r["track_id"], r["request_ts"], r["v"])
+               for r in FT.features_as_of(fdf, rdf, ttl_days=7, partitions=partitions).collect()]
+        assert len(got) == len(reqs) and sorted(got, key=str) == want
+
+
+def test_as_of_sends_every_row_once(spark, monkeypatch):
+    """One range exchange holds all rows; the read after it has no shuffle."""
+    n = 3000
+    feats = spark.range(n).select(F.lit("hot").alias("track_id"), F.timestamp_seconds(F.col("id") % 50).alias("event_timestamp"),
+                                  F.col("id").cast("double").alias("v"))
+    reqs = spark.range(n).select(F.lit("hot").alias("track_id"), F.timestamp_seconds(F.lit(20)).alias("request_ts"))
+    plans, plain = [], asof.stored
+    monkeypatch.setattr(asof, "stored", lambda df, name: plans.append(df) or plain(df, name))
+    out = FT.features_as_of(feats, reqs, ttl_days=7)
+    assert {r["v"] for r in out.collect()} == {20.0}
+    assert _shuffle_records(plans[0]) == [2 * n]
+    assert "Exchange " not in out._jdf.queryExecution().executedPlan().toString().replace("BroadcastExchange", "")
+
+
+def test_as_of_one_key_in_one_instant_leaves_several_tasks(spark):
+    """All features of a key in one instant, and all its requests in the next:
+    both are cut, and every stretch is answered by the smallest tied value."""
+    n = 4000
+    base = F.timestamp_seconds(F.lit(1_700_000_000))
+    feats = spark.range(n).select(F.lit(7).alias("track_id"), base.alias("event_timestamp"), (n - F.col("id")).alias("v"))
+    reqs = spark.range(n).select(F.lit(7).alias("track_id"), (base + F.expr("INTERVAL 1 SECOND")).alias("request_ts"), F.col("id").alias("r"))
+    out = FT.features_as_of(feats, reqs, ttl_days=7, partitions=8)
+    rows = out.withColumn("file", F.input_file_name()).groupBy("file", "v").count().collect()
+    assert sum(r["count"] for r in rows) == n and {r["v"] for r in rows} == {1}
+    assert len(rows) >= 3 and max(r["count"] for r in rows) < n / 2
+
+
+def test_as_of_other_types_and_clashing_names(spark):
+    """Keys and values of other types, nested values, request columns named like the scan's own."""
+    when = dt.datetime(2024, 1, 1)
+    feats = spark.createDataFrame([(dt.date(2020, 1, 1), when, [1, 2], {"a": 1}), (dt.date(2020, 1, 1), when, None, {"b": 2}),
+                                   (dt.date(2020, 1, 2), when, [3], None)], "d date, ts timestamp, v array<int>, k map<string,int>")
+    reqs = spark.createDataFrame([(dt.date(2020, 1, 1), when, "x", None), (dt.date(2020, 1, 2), when, "y", b"q"), (None, when, "z", None)],
+                                 "d date, t timestamp, r string, kind binary")
+    out = FT.features_as_of(feats, reqs, key="d", req_ts="t", ts="ts", values=["v"])
+    assert out.columns == ["d", "t", "r", "kind", "v", "ts"]
+    assert {r["r"]: r["v"] for r in out.collect()} == {"x": None, "y": [3], "z": None}
+    none = feats.limit(0)
+    assert {r["v"] for r in FT.features_as_of(none, reqs, key="d", req_ts="t", ts="ts", values=["v"]).collect()} == {None}
+    assert FT.features_as_of(feats, reqs.limit(0), key="d", req_ts="t", ts="ts", values=["v"]).collect() == []
 
 
 def _shuffle_records(df):
@@ -116,23 +158,15 @@ def _shuffle_records(df):
 
 
 def test_as_of_identical_requests_leave_several_tasks(spark):
-    """20,000 identical requests are resolved once, and their rows come out of
-    several tasks; all request columns stay."""
+    """The scan of 20,000 identical requests is cut into several tasks, each of
+    which writes a file; all request columns stay."""
     base = dt.datetime(2024, 1, 1)
     feats = spark.createDataFrame([("hot", base + dt.timedelta(hours=h), float(h)) for h in range(240)],
                                   "track_id string, event_timestamp timestamp, v double")
     n = 20_000
     reqs = spark.range(n).select(F.lit("hot").alias("track_id"), F.lit(base + dt.timedelta(days=5)).alias("request_ts"),
                                  F.lit("same").alias("note"))
-    conf = {"spark.sql.autoBroadcastJoinThreshold": "-1", "spark.sql.adaptive.skewJoin.skewedPartitionThresholdInBytes": "10KB",
-            "spark.sql.adaptive.skewJoin.skewedPartitionFactor": "2", "spark.sql.adaptive.advisoryPartitionSizeInBytes": "4KB"}
-    for k, v in conf.items():
-        spark.conf.set(k, v)
-    try:
-        out = FT.features_as_of(feats, reqs, ttl_days=7)
-        rows = out.withColumn("task", F.spark_partition_id()).groupBy("task", "v", "note").count().collect()
-        assert sum(r["count"] for r in rows) == n and {(r["v"], r["note"]) for r in rows} == {(120.0, "same")}
-        assert len(rows) > 3 and max(r["count"] for r in rows) < n / 2
-    finally:
-        for k in conf:
-            spark.conf.unset(k)
+    out = FT.features_as_of(feats, reqs, ttl_days=7, partitions=8)
+    rows = out.withColumn("file", F.input_file_name()).groupBy("file", "v", "note").count().collect()
+    assert sum(r["count"] for r in rows) == n and {(r["v"], r["note"]) for r in rows} == {(120.0, "same")}
+    assert len(rows) > 3 and max(r["count"] for r in rows) < n / 2

@@ -90,16 +90,16 @@ as_of_st = st.tuples(
 @settings(max_examples=12, deadline=None, suppress_health_check=list(HealthCheck))
 @given(as_of_st)
 def test_as_of_equals_brute_force(spark, case):
-    """Any number of slices, a popular request time, tied feature times, null
+    """Any number of stretches, a popular request time, tied feature times, null
     keys and times give the brute-force answer: the
     newest feature with request - ttl < ts <= request, ties to the smallest value."""
     from moodlake.operators.features import features_as_of
-    feats, reqs, slices, ttl = case
+    feats, reqs, partitions, ttl = case
     f = [(k, T0 + dt.timedelta(hours=h), float(v)) for k, h, v in feats]
     r = [(k, None if h is None else T0 + dt.timedelta(hours=h)) for k, h in reqs]
     fdf = spark.createDataFrame(f, "track_id string, event_timestamp timestamp, v double")
     rdf = spark.createDataFrame(r, "track_id string, request_ts timestamp")
-    out = features_as_of(fdf, rdf, ttl_days=ttl, slices=slices)
+    out = features_as_of(fdf, rdf, ttl_days=ttl, partitions=partitions)
     got = sorted(((x["track_id"], x["request_ts"], x["v"], x["event_timestamp"]) for x in out.collect()), key=str)
     want = []
     for k, t in r:

@@ -96,6 +96,43 @@ def agg_artist_profiles(tracks: DataFrame, versions: DataFrame, digits: int | No
         F.count("track_id").alias("track_count"), *_means(digits))
 
 
+MEASURES = ["popularity", "danceability", "energy"]
+STATE_KEYS = {"genre": lambda: F.col("track_genre"), "artist": lambda: first_artist("artists")}
+
+
+def trend_state(tracks: DataFrame, by: str, parts: list[str] | None = None) -> DataFrame:
+    """Partial sums behind the aggregates, per genre or first-listed artist (and
+    the columns `parts`): exact sums and counts of each measure and the count of
+    track ids.  States of disjoint sets of tracks add up (`merge_states`)."""
+    key = STATE_KEYS[by]()
+    out = tracks.filter(key.isNotNull()).groupBy(*(parts or []), key.alias("name"))
+    sums = [F.sum(F.col(m).cast("decimal(38,9)")).alias(f"sum_{m}") for m in MEASURES]
+    return out.agg(*sums, *[F.count(m).alias(f"n_{m}") for m in MEASURES], F.count("track_id").alias("track_count"))
+
+
+def _state_mean(measure: str, digits: int) -> F.Column:
+    """Exactly what mean() gives: the quotient of the exact sum at the scale of a decimal average, rounded half up."""
+    quotient = F.expr(f"cast(sum_{measure} as decimal(26,9)) / cast(n_{measure} as decimal(11,0))")
+    return F.round(F.when(F.col(f"n_{measure}") > 0, quotient).cast("decimal(38,13)"), digits).cast("double").alias(f"avg_{measure}")
+
+
+def merge_states(states: DataFrame) -> DataFrame:
+    return states.groupBy("name").agg(*[F.sum(c).cast(states.schema[c].dataType).alias(c) for c in states.columns
+                                        if c.startswith(("sum_", "n_")) or c == "track_count"])
+
+
+def genre_trends_of(states: DataFrame, digits: int) -> DataFrame:
+    """agg_genre_trends from partial states."""
+    return merge_states(states).select(F.col("name").alias("genre_name"), *[_state_mean(m, digits) for m in MEASURES], "track_count")
+
+
+def artist_profiles_of(states: DataFrame, versions: DataFrame, digits: int) -> DataFrame:
+    """agg_artist_profiles from partial states: artists with a current version."""
+    known = current_versions(versions).select("artist_id")
+    merged = merge_states(states).withColumn("artist_id", F.md5("name")).join(known, "artist_id", "left_semi")
+    return merged.select(F.col("name").alias("artist_name"), "artist_id", "track_count", *[_state_mean(m, digits) for m in MEASURES])
+
+
 def _star(fact: DataFrame, dim_t: DataFrame) -> DataFrame:
     return fact.select("track_id", "genre_id", "artist_id", "ingestion_date", "popularity").join(
         dim_t.select("track_id", "danceability", "energy"), "track_id")

@@ -9,7 +9,7 @@ from __future__ import annotations
 
 from functools import reduce
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from moodlake.functions.params import MIN_SILVER_ROWS, RANGE_COLUMNS
@@ -100,22 +100,40 @@ def dq_referential(tracks: DataFrame, artists: DataFrame, table: str = "tracks")
     return _rows(wide, [("referential", table, "artists", "missing")])
 
 
+SILVER_KEY_COLUMNS = ["track_id", "track_name", "artists"]
+
+
+def silver_counters(columns: list[str]) -> dict[str, Column]:
+    """The counts behind the silver checks, as aggregates of the track rows:
+    computed by a scan, or observed while the rows are written."""
+    nulls = {f"null_{c}": F.count_if(F.col(c).isNull()) for c in SILVER_KEY_COLUMNS}
+    return nulls | {f"out_{c}": F.count_if((F.col(c) < 0.0) | (F.col(c) > 1.0)) for c in RANGE_COLUMNS if c in columns}
+
+
+def _silver_specs(columns: list[str]) -> list[tuple[str, str, str | None, str]]:
+    return ([("row_count", "tracks", None, "rows")] + [("not_null", "tracks", c, f"null_{c}") for c in SILVER_KEY_COLUMNS]
+            + [("in_range", "tracks", c, f"out_{c}") for c in RANGE_COLUMNS if c in columns])
+
+
+def _silver_rows(wide: DataFrame, columns: list[str], minimum: int) -> DataFrame:
+    # one unpivot holds all rows, so no pruning can make two different scans of it
+    return _rows(wide, _silver_specs(columns)).withColumn(
+        "passed", F.when(F.col("check_name") == "row_count", F.col("observed") >= minimum).otherwise(F.col("passed")))
+
+
 def dq_silver(tracks: DataFrame, artists: DataFrame, minimum: int = MIN_SILVER_ROWS) -> DataFrame:
     """Silver checks: row count, nulls in key columns, ranges (one scan), and
     track -> artist referential integrity."""
-    key_cols = ["track_id", "track_name", "artists"]
-    range_cols = [c for c in RANGE_COLUMNS if c in tracks.columns]
-    wide = tracks.agg(
-        F.count(F.lit(1)).alias("cnt"),
-        *[F.count_if(F.col(c).isNull()).alias(f"n_{i}") for i, c in enumerate(key_cols)],
-        *[F.count_if((F.col(c) < 0.0) | (F.col(c) > 1.0)).alias(f"r_{i}") for i, c in enumerate(range_cols)],
-    )
-    specs = ([("row_count", "tracks", None, "cnt")] + [("not_null", "tracks", c, f"n_{i}") for i, c in enumerate(key_cols)]
-             + [("in_range", "tracks", c, f"r_{i}") for i, c in enumerate(range_cols)])
-    # one unpivot holds all rows, so no pruning can make two different scans of it
-    counted = _rows(wide, specs).withColumn("passed", F.when(F.col("check_name") == "row_count", F.col("observed") >= minimum)
-                                            .otherwise(F.col("passed")))
-    return counted.unionByName(dq_referential(tracks, artists))
+    wide = tracks.agg(F.count(F.lit(1)).alias("rows"), *[e.alias(n) for n, e in silver_counters(tracks.columns).items()])
+    return _silver_rows(wide, tracks.columns, minimum).unionByName(dq_referential(tracks, artists))
+
+
+def dq_silver_observed(observed: dict[str, int], tracks: DataFrame, artists: DataFrame,
+                       minimum: int = MIN_SILVER_ROWS) -> DataFrame:
+    """The same report from counts observed when the tracks were written
+    (`rows` and silver_counters()); only the referential check reads them."""
+    wide = tracks.sparkSession.createDataFrame([tuple(observed.values())], ", ".join(f"`{n}` bigint" for n in observed))
+    return _silver_rows(wide, tracks.columns, minimum).unionByName(dq_referential(tracks, artists))
 
 
 GOLD_KEYS = {"dim_track": "track_id", "dim_artist": "artist_sk", "dim_genre": "genre_id",

@@ -31,30 +31,40 @@ def scd2_merge(existing: DataFrame | None, snapshot: DataFrame, run_ts: str | Co
                key: str = "artist_id", hash_col: str = "row_hash") -> DataFrame:
     """Merge a snapshot into the version table.
 
-    Only the open versions meet the snapshot, in a full outer join on the key;
-    closed versions never change and pass straight through, so a run costs
-    what is open, not what has ever been.  Both sides are unique per key, so no
-    key is hot.  A joined row gives its open version (closed if its hash has
-    changed) and, for changed and new artists, a new open version.
-    """
+    Only the open versions meet the snapshot (`merge_open`); closed versions
+    never change and pass straight through, so a run costs what is open, not
+    what has ever been."""
     if existing is None:
         return first_load(snapshot, run_ts)
+    history = existing.filter(~F.coalesce(F.col("is_current"), F.lit(False)))
+    return history.unionByName(merge_open(current_versions(existing), snapshot, run_ts, key, hash_col))
+
+
+def merge_open(opened: DataFrame, snapshot: DataFrame, run_ts: str | Column, key: str = "artist_id",
+               hash_col: str = "row_hash", null_keys: bool = True) -> DataFrame:
+    """What a merge makes of the open versions: those that stay open, those
+    closed now, and the new open versions of changed and new keys.
+
+    A full outer join on the key; both sides are unique per key, so no key is
+    hot.  Without null keys on either side (`null_keys` false) the join is a plain
+    equi-join, so open versions stored in buckets of the key are not
+    exchanged: only the snapshot is."""
     ts = _ts(run_ts)
-    cols = existing.columns
-    types = {f.name: f.dataType for f in existing.schema}
-    opened = current_versions(existing).select(F.struct(*cols).alias("_o"))
-    snap = snapshot.select(F.struct(*snapshot.columns).alias("_n"))
-    both = opened.join(snap, F.col(f"_o.{key}").eqNullSafe(F.col(f"_n.{key}")), "full")
-    had, has = F.col("_o").isNotNull(), F.col("_n").isNotNull()
-    changed = has & (~had | ~F.col(f"_n.{hash_col}").eqNullSafe(F.col(f"_o.{hash_col}")))
-    old = {c: F.col(f"_o.{c}") for c in cols} | {"valid_to": F.when(changed, ts).otherwise(F.col("_o.valid_to")),
+    cols = opened.columns
+    types = {f.name: f.dataType for f in opened.schema}
+    # plain renamed columns: a struct would hide how the side is clustered
+    had_side = opened.select(*[F.col(c).alias(f"_o_{c}") for c in cols], F.lit(True).alias("_had"))
+    has_side = snapshot.select(*[F.col(c).alias(f"_n_{c}") for c in snapshot.columns], F.lit(True).alias("_has"))
+    one, two = F.col(f"_o_{key}"), F.col(f"_n_{key}")
+    both = had_side.join(has_side, one.eqNullSafe(two) if null_keys else one == two, "full")
+    had, has = F.col("_had").isNotNull(), F.col("_has").isNotNull()
+    changed = has & (~had | ~F.col(f"_n_{hash_col}").eqNullSafe(F.col(f"_o_{hash_col}")))
+    old = {c: F.col(f"_o_{c}") for c in cols} | {"valid_to": F.when(changed, ts).otherwise(F.col("_o_valid_to")),
                                                  "is_current": ~changed}
-    new = {c: F.col(f"_n.{c}") if c in snapshot.columns else F.lit(None) for c in cols} | {
+    new = {c: F.col(f"_n_{c}") if c in snapshot.columns else F.lit(None) for c in cols} | {
         "valid_from": ts, "valid_to": F.lit(None), "is_current": F.lit(True)}
     rows = [F.when(when, F.struct(*[row[c].cast(types[c]).alias(c) for c in cols])) for when, row in ((had, old), (changed, new))]
-    merged = both.select(F.explode(F.filter(F.array(*rows), lambda r: r.isNotNull())).alias("_r")).select("_r.*")
-    history = existing.filter(~F.coalesce(F.col("is_current"), F.lit(False)))
-    return history.select(*cols).unionByName(merged)
+    return both.select(F.explode(F.filter(F.array(*rows), lambda r: r.isNotNull())).alias("_r")).select("_r.*")
 
 
 def _changed_keys(existing: DataFrame, snapshot: DataFrame, key: str, hash_col: str) -> DataFrame:

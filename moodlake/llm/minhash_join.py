@@ -23,7 +23,10 @@ Documents with equal sets are one class, posted once.  A list is not expanded
 into all its pairs: first every class meets the lists' hubs (the member whose
 values most others share, the centre of a group and the same for most of its
 lists), and only the members of lists that this leaves in different components
-meet each other.  Components are
+meet each other.  These are compared by sketches first: a sketch holds, for
+each of SKETCH_BITS cells, whether an odd number of the set's shingles fall into
+it, so two sets differ in as many shingles at least as their sketches in cells,
+and no pair that is similar enough is lost.  Components are
 exact for what the signatures find; pairs inside a component may stay
 unconfirmed.
 """
@@ -44,12 +47,15 @@ from moodlake.llm.jaccard_join import components, shingles
 
 WORDS = 2
 PERCENT = 80
-COORDINATES = 64  # a multiple of 8
+COORDINATES = 64  # the bits of a long
 MATCHES = 34
 TOKEN_BITS = 48  # of the hash of a coordinate and its value
 CHUNK = 2048  # shingles hashed at once
 SEND_BYTES = 1 << 23  # of sets that a task holds before it sends them
-MARKS = [f"m{i}" for i in range(COORDINATES // 8)]
+PLANES = 6  # bits of each coordinate that are kept beside a posting
+SKETCH_BITS = 512
+MARKS = [f"m{i}" for i in range(PLANES)]
+SKETCH = [f"s{i}" for i in range(SKETCH_BITS // 64)]
 
 FACTORS = np.array([xxhash.xxh3_64_intdigest(b"factor", i) | 1 for i in range(COORDINATES)], np.uint64)
 PLACES = np.array([xxhash.xxh3_64_intdigest(b"coordinate", i) for i in range(COORDINATES)], np.uint64)
@@ -65,9 +71,19 @@ def signature(own: np.ndarray) -> np.ndarray:
     return least >> np.uint64(64 - TOKEN_BITS)
 
 
+def _packed(bits: np.ndarray) -> np.ndarray:
+    """0s and 1s, 64 to a long."""
+    return np.packbits(bits.astype(np.uint8), bitorder="little").view(np.int64)
+
+
 def marks(tokens: np.ndarray) -> np.ndarray:
-    """The last byte of every coordinate, eight to a long."""
-    return tokens.astype(np.uint8).view(np.int64)
+    """PLANES longs: the i-th has the i-th bit of every coordinate."""
+    return np.concatenate([_packed(tokens >> np.uint64(i) & np.uint64(1)) for i in range(PLANES)])
+
+
+def sketch(own: np.ndarray) -> np.ndarray:
+    """The cells into which an odd number of shingles fall."""
+    return _packed(np.bincount((own >> np.uint64(20) & np.uint64(SKETCH_BITS - 1)).astype(np.int64), minlength=SKETCH_BITS) & 1)
 
 
 def set_key(own: np.ndarray) -> tuple[int, int]:
@@ -81,14 +97,14 @@ def _bodies(docs: DataFrame, doc_id: str, text: str) -> DataFrame:
 
 
 def _signed(bodies: DataFrame, words: int) -> DataFrame:
-    """doc_id, n_shingles, the 128-bit key of the set (null if empty), its tokens and marks."""
+    """doc_id, n_shingles, the 128-bit key of the set (null if empty), its tokens, and marks and sketch."""
     schema = T.StructType([T.StructField("doc_id", bodies.schema["doc_id"].dataType), T.StructField("n_shingles", T.LongType()),
                            T.StructField("k1", T.LongType()), T.StructField("k2", T.LongType()),
-                           T.StructField("tokens", T.ArrayType(T.LongType())), T.StructField("marks", T.ArrayType(T.LongType()))])
+                           T.StructField("tokens", T.ArrayType(T.LongType())), T.StructField("beside", T.ArrayType(T.LongType()))])
 
     def sign(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            sizes, high, low, tokens, bytes_ = [], [], [], [], []
+            sizes, high, low, tokens, beside = [], [], [], [], []
             for body in batch.column(1):
                 own = shingles(body.as_py(), words)
                 one, two = set_key(own) if len(own) else (None, None)
@@ -97,22 +113,22 @@ def _signed(bodies: DataFrame, words: int) -> DataFrame:
                 high.append(one)
                 low.append(two)
                 tokens.append(None if found is None else found.astype(np.int64))
-                bytes_.append(None if found is None else marks(found))
+                beside.append(None if found is None else np.concatenate([marks(found), sketch(own)]))
             longs = pa.list_(pa.int64())
             yield pa.RecordBatch.from_arrays(
                 [batch.column(0), pa.array(sizes, pa.int64()), pa.array(high, pa.int64()), pa.array(low, pa.int64()),
-                 pa.array(tokens, longs), pa.array(bytes_, longs)], schema.names)
+                 pa.array(tokens, longs), pa.array(beside, longs)], schema.names)
 
     return stored(bodies.mapInArrow(sign, schema), "signed")
 
 
 def _classes(signed: DataFrame) -> DataFrame:
-    """One row for each set: id, k1, k2, root (its smallest doc_id), size, tokens and marks."""
+    """One row for each set: id, k1, k2, root (its smallest doc_id), size, tokens, marks and sketch."""
     one = signed.filter("k1 is not null").groupBy("k1", "k2").agg(
         F.min("doc_id").alias("root"), F.first("n_shingles").alias("size"), F.first("tokens").alias("tokens"),
-        F.first("marks").alias("marks"))
+        F.first("beside").alias("beside"))
     return stored(one.select(F.monotonically_increasing_id().alias("id"), "k1", "k2", "root", "size", "tokens",
-                             *[F.col("marks")[i].alias(m) for i, m in enumerate(MARKS)]), "classes")
+                             *[F.col("beside")[i].alias(m) for i, m in enumerate(MARKS + SKETCH)]), "classes")
 
 
 def _prefixes(classes: DataFrame, matches: int) -> DataFrame:
@@ -132,14 +148,17 @@ def _prefixes(classes: DataFrame, matches: int) -> DataFrame:
 
 
 def _matches(one: list[Column], two: list[Column]) -> Column:
-    """Coordinates whose bytes agree: of two longs of eight bytes each, the zero bytes of their difference."""
-    out = F.lit(COORDINATES)
-    for a, b in zip(one, two):
-        x = a.bitwiseXOR(b)
-        for shift, mask in ((4, 0x0F0F0F0F0F0F0F0F), (2, 0x0303030303030303), (1, 0x0101010101010101)):
-            x = x.bitwiseOR(F.shiftrightunsigned(x, shift)).bitwiseAND(F.lit(mask))
-        out = out - F.bit_count(x)
-    return out
+    """Coordinates of which no kept bit differs."""
+    differ = one[0].bitwiseXOR(two[0])
+    for a, b in zip(one[1:], two[1:]):
+        differ = differ.bitwiseOR(a.bitwiseXOR(b))
+    return COORDINATES - F.bit_count(differ)
+
+
+def _near_enough(percent: int) -> Column:
+    """Whether the sketches differ in no more cells than similar sets of these sizes can in shingles."""
+    cells = sum((F.bit_count(F.col(c).bitwiseXOR(F.col(f"{c}_2"))) for c in SKETCH), start=F.lit(0))
+    return (100 + percent) * cells <= (100 - percent) * (F.col("size") + F.col("size_2"))
 
 
 def _alike(percent: int, matches: int) -> Column:
@@ -235,17 +254,19 @@ def _components(prefixes: DataFrame, classes: DataFrame, bodies: DataFrame, word
                    .filter("low < high").select("_token"), "mixed")
     open_ = stored(placed.join(mixed, F.col("token") == F.col("_token"), "left_semi"), "open")
     spent(placed, mixed)
-    across = (open_.join(_other(open_), (F.col("token") == F.col("token_2")) & (F.col("id") < F.col("id_2"))
-                         & (F.col("component") != F.col("component_2")) & _alike(percent, matches))
+    sketched = classes.select(F.col("id").alias("_id"), *SKETCH)
+    rated = stored(open_.join(sketched, F.col("id") == F.col("_id")).select("token", "id", "size", *MARKS, *SKETCH, "component"), "rated")
+    spent(open_)
+    across = (rated.join(_other(rated), (F.col("token") == F.col("token_2")) & (F.col("id") < F.col("id_2"))
+                         & (F.col("component") != F.col("component_2")) & _near_enough(percent) & _alike(percent, matches))
               .select(F.col("id").alias("a"), F.col("id_2").alias("b")).distinct())
     across = stored(across.join(near, ["a", "b"], "left_anti"), "across")
-    spent(open_)
     if across.limit(1).count():
         fresh = _ids(across).join(sets.select("id"), "id", "left_anti")
         more = _confirmed(across, sets.unionByName(_sets(fresh, classes, bodies, words)), percent)
         if more.limit(1).count():
             labels = _labelled(links.unionByName(more))
-    spent(sets, near, across)
+    spent(rated, sets, near, across)
     return labels
 
 

@@ -112,15 +112,25 @@ def test_signatures_agree_as_often_as_sets():
     assert abs(np.mean(agreed) - 0.8 * 64) < 1.2 and min(agreed) >= M.MATCHES
 
 
-def test_marks_count_equal_bytes(spark):
+def test_marks_count_coordinates(spark):
     rng = np.random.default_rng(2)
     one = rng.integers(0, 2**48, (50, 64)).astype(np.uint64)
     two = np.where(rng.random((50, 64)) < 0.6, one, rng.integers(0, 2**48, (50, 64)).astype(np.uint64))
+    n = M.PLANES
     rows = [tuple(M.marks(a).tolist() + M.marks(b).tolist()) for a, b in zip(one, two)]
-    names = [f"a{i}" for i in range(8)] + [f"b{i}" for i in range(8)]
-    df = spark.createDataFrame(rows, ", ".join(f"{n} long" for n in names))
-    got = [r[0] for r in df.select(M._matches([df[n] for n in names[:8]], [df[n] for n in names[8:]])).collect()]
-    assert got == [int((a.astype(np.uint8) == b.astype(np.uint8)).sum()) for a, b in zip(one, two)]
+    df = spark.createDataFrame(rows, ", ".join(f"c{i} long" for i in range(2 * n)))
+    got = [r[0] for r in df.select(M._matches([df[f"c{i}"] for i in range(n)], [df[f"c{n + i}"] for i in range(n)])).collect()]
+    assert got == [int((a % 2**n == b % 2**n).sum()) for a, b in zip(one, two)]
+
+
+def test_sketches_never_differ_more_than_sets():
+    rng = np.random.default_rng(3)
+    for n in (1, 5, 80, 3000):
+        for _ in range(40):
+            every = rng.integers(0, 2**63, 2 * n).astype(np.uint64)
+            one, two = every[:n], every[rng.integers(0, n):][:n]
+            cells = sum(int(x).bit_count() for x in (M.sketch(one) ^ M.sketch(two)).view(np.uint64))
+            assert cells <= len(set(one) ^ set(two))
 
 
 def test_a_group_is_not_expanded_into_pairs(spark, monkeypatch):

@@ -32,7 +32,7 @@ from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from moodlake.llm.common import id_filter, ship_package, shuffle_partitions, stored
+from moodlake.llm.common import id_filter, ship_package, shuffle_partitions, spent, stored
 
 WORDS = 5
 PERCENT = 80
@@ -42,7 +42,9 @@ MOST_SHARED = 4  # the largest l
 ENTRIES_PER_BUCKET = 1 << 20
 HOT_COUNT = 100_000  # a shingle with more documents, as estimated, is dealt over several buckets
 SEND_AT = 1 << 19  # entries a task gathers before it sends them
-SETS_SENT = 1000  # sets that a task holds before it sends them
+SEND_BYTES = 1 << 23  # of sets that a task holds before it sends them
+SKETCH_BITS = 512
+SKETCH = [f"s{i}" for i in range(SKETCH_BITS // 64)]
 
 ENTRY = np.dtype([("token", "<i8"), ("key", "<i8"), ("size", "<i4"), ("last", "<i4"), ("least", "i1")])
 
@@ -70,6 +72,14 @@ def class_key(own: np.ndarray) -> int | None:
     return xxhash.xxh3_64_intdigest(own.tobytes()) - 2**63 if len(own) else None
 
 
+def sketch(own: np.ndarray) -> np.ndarray:
+    """For each of SKETCH_BITS cells whether an odd number of shingles fall into
+    it, 64 to a long: two sets differ in as many shingles at least as their
+    sketches in cells."""
+    cells = (own >> np.uint64(12) & np.uint64(SKETCH_BITS - 1)).astype(np.int64)
+    return np.packbits((np.bincount(cells, minlength=SKETCH_BITS) & 1).astype(np.uint8), bitorder="little").view(np.int64)
+
+
 def least_overlap(size: int, percent: int) -> int:
     """Shingles that a set of this size shares at least with any set similar to it."""
     return -(-percent * size // 100)
@@ -84,21 +94,23 @@ def _bodies(docs: DataFrame, doc_id: str, text: str) -> DataFrame:
 
 
 def _signatures(bodies: DataFrame, words: int) -> DataFrame:
-    """For each document doc_id, n_shingles and the key of its class; and, as
-    rows with a segment, the task's document counts of the segment's cells."""
+    """For each document doc_id, n_shingles, the key of its class and the sketch
+    of its set; and, as rows with a segment, the task's document counts of the
+    segment's cells."""
     kind = bodies.schema["doc_id"].dataType
-    schema = (T.StructType().add("doc_id", kind).add("n_shingles", "long").add("key", "long").add("segment", "integer")
-              .add("counts", "binary"))
+    schema = (T.StructType().add("doc_id", kind).add("n_shingles", "long").add("key", "long").add("sketch", T.ArrayType(T.LongType()))
+              .add("segment", "integer").add("counts", "binary"))
 
     def sign(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         counts, held, size, arrow = np.zeros(CELLS, np.uint32), [], 0, None
         for batch in batches:
             arrow = batch.schema.field("doc_id").type
-            sizes, keys = [], []
+            sizes, keys, sketches = [], [], []
             for body in batch.column(1):
                 own = shingles(body.as_py(), words)
                 sizes.append(len(own))
                 keys.append(class_key(own))
+                sketches.append(sketch(own) if len(own) else None)
                 held.append(_cells(own))
                 size += len(own)
                 if size > SEND_AT:
@@ -106,14 +118,15 @@ def _signatures(bodies: DataFrame, words: int) -> DataFrame:
                     held, size = [], 0
             none = pa.nulls(batch.num_rows)
             yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(sizes, pa.int64()), pa.array(keys, pa.int64()),
-                                              none.cast(pa.int32()), none.cast(pa.binary())], schema.names)
+                                              pa.array(sketches, pa.list_(pa.int64())), none.cast(pa.int32()),
+                                              none.cast(pa.binary())], schema.names)
         if held:
             counts += np.bincount(np.concatenate(held), minlength=CELLS).astype(np.uint32)
         if arrow is not None:
             parts = [zstandard.compress(p.tobytes()) for p in np.split(counts, SEGMENTS)]
             none = pa.nulls(SEGMENTS)
             yield pa.RecordBatch.from_arrays([none.cast(arrow), none.cast(pa.int64()), none.cast(pa.int64()),
-                                              pa.array(range(SEGMENTS), pa.int32()), pa.array(parts, pa.binary())], schema.names)
+                                              none.cast(pa.list_(pa.int64())), pa.array(range(SEGMENTS), pa.int32()), pa.array(parts, pa.binary())], schema.names)
 
     return stored(bodies.mapInArrow(sign, schema), "signatures")
 
@@ -270,6 +283,12 @@ def _possible(percent: int, other: str) -> Column:
     return _close("size", f"size{other}", percent) & (most >= needed)
 
 
+def _near_enough(percent: int) -> Column:
+    """Whether the sketches differ in no more cells than similar sets of these sizes can in shingles."""
+    cells = sum((F.bit_count(F.col(c).bitwiseXOR(F.col(f"{c}_2"))) for c in SKETCH), start=F.lit(0))
+    return (100 + percent) * cells <= (100 - percent) * (F.col("size") + F.col("size_2"))
+
+
 def _close(one: str, two: str, percent: int) -> Column:
     """Whether the sizes of two sets allow the similarity."""
     return (100 * F.least(one, two).cast("long")) >= (percent * F.greatest(one, two).cast("long"))
@@ -282,25 +301,34 @@ def _verified(pairs: DataFrame, bodies: DataFrame, classes: DataFrame, words: in
     maybe = id_filter(reps, "doc_id")
     nameless = bool(reps.filter("doc_id is null").limit(1).count())
 
+    def packed(docs: list, keys: list[int], found: list[np.ndarray], kind: pa.DataType) -> pa.RecordBatch:
+        ends = np.concatenate([[0], np.cumsum([len(x) for x in found])]).astype(np.int32)
+        sets = pa.ListArray.from_arrays(pa.array(ends), pa.array(np.concatenate(found).view(np.int64)))
+        return pa.RecordBatch.from_arrays([pa.array(docs, kind), pa.array(keys, pa.int64()), sets], ["_doc", "_class", "own"])
+
     def sets(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         sent: set[int] = set()
-        for whole in batches:
-            for at in range(0, whole.num_rows, SETS_SENT):
-                docs, keys, found = [], [], []
-                for doc, body in zip(whole.column(0).slice(at, SETS_SENT), whole.column(1).slice(at, SETS_SENT)):
-                    own = shingles(body.as_py(), words)
-                    key = class_key(own)
-                    if doc.is_valid or key is not None and key not in sent:
-                        if not doc.is_valid:
-                            sent.add(key)  # a class without a doc_id goes once from a task
-                        docs.append(doc.as_py())
-                        keys.append(key)
-                        found.append(own.tobytes())
-                yield pa.RecordBatch.from_arrays([pa.array(docs, whole.column(0).type), pa.array(keys, pa.int64()),
-                                                  pa.array(found, pa.binary())], ["_doc", "_class", "own"])
+        for batch in batches:
+            docs, keys, found, size = [], [], [], 0
+            for doc, body in zip(batch.column(0), batch.column(1)):
+                own = shingles(body.as_py(), words)
+                key = class_key(own)
+                if key is None or not doc.is_valid and key in sent:
+                    continue
+                if not doc.is_valid:
+                    sent.add(key)  # a class without a doc_id goes once from a task
+                docs.append(doc.as_py())
+                keys.append(key)
+                found.append(own)
+                size += own.nbytes
+                if size > SEND_BYTES:
+                    yield packed(docs, keys, found, batch.column(0).type)
+                    docs, keys, found, size = [], [], [], 0
+            if docs:
+                yield packed(docs, keys, found, batch.column(0).type)
 
     schema = T.StructType([T.StructField("_doc", bodies.schema["doc_id"].dataType), T.StructField("_class", T.LongType()),
-                           T.StructField("own", T.BinaryType())])
+                           T.StructField("own", T.ArrayType(T.LongType()))])
     wanted = F.col("doc_id").isNotNull() & maybe("doc_id")
     own = bodies.filter(wanted | F.col("doc_id").isNull() if nameless else wanted).mapInArrow(sets, schema)
     if nameless:  # of the rows without doc_id only those of a class that has no other rows
@@ -309,20 +337,14 @@ def _verified(pairs: DataFrame, bodies: DataFrame, classes: DataFrame, words: in
     # a doc_id may stand on several rows: the set must be that of the class, and there once
     checked = stored(own.join(reps, (F.col("_class") == F.col("key")) & F.col("_doc").eqNullSafe(F.col("doc_id")))
                      .select("key", "own").dropDuplicates(["key"]), "sets")
+    spent(reps)
     left = pairs.join(checked.select(F.col("key").alias("a"), F.col("own").alias("own_a")), "a")
-    both = left.join(checked.select(F.col("key").alias("b"), F.col("own").alias("own_b")), "b").select("a", "b", "own_a", "own_b")
-
-    def compare(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            similar = []
-            for one, two in zip(batch.column(2), batch.column(3)):
-                one, two = (np.frombuffer(x.as_py(), np.uint64) for x in (one, two))
-                shared = len(np.intersect1d(one, two, assume_unique=True))
-                similar.append(100 * shared >= percent * (len(one) + len(two) - shared))
-            mask = pa.array(similar, pa.bool_())
-            yield pa.RecordBatch.from_arrays([batch.column(0).filter(mask), batch.column(1).filter(mask)], ["a", "b"])
-
-    return stored(both.mapInArrow(compare, "a long, b long").distinct(), "links")
+    both = left.join(checked.select(F.col("key").alias("b"), F.col("own").alias("own_b")), "b")
+    shared = F.size(F.array_intersect("own_a", "own_b"))
+    similar = 100 * shared >= percent * (F.size("own_a") + F.size("own_b") - shared)
+    links = stored(both.filter(similar).select("a", "b").distinct(), "links")
+    spent(checked)
+    return links
 
 
 def components(links: DataFrame) -> DataFrame:
@@ -332,6 +354,7 @@ def components(links: DataFrame) -> DataFrame:
     then that component's own; rounds are stored, and end when nothing changes."""
     both = stored(links.select("a", "b").unionByName(links.select(F.col("b").alias("a"), F.col("a").alias("b"))), "edges")
     labels = stored(both.groupBy(F.col("a").alias("key")).agg(F.least(F.min("b"), F.first("a")).alias("component")), "labels")
+    spare = labels
     while True:
         near = (both.join(labels, F.col("b") == F.col("key")).groupBy(F.col("a").alias("_a"))
                 .agg(F.min("component").alias("near")))
@@ -341,8 +364,10 @@ def components(links: DataFrame) -> DataFrame:
         after = stored(taken.join(ahead, F.col("next") == F.col("_k"), "left").select(
             "key", F.coalesce(F.least("next", "ahead"), F.col("next")).alias("after"), "component"), "labels")
         changed = after.filter(F.col("after") < F.col("component")).limit(1).count()
-        labels = after.select("key", F.col("after").alias("component"))
+        spent(taken, spare)
+        labels, spare = after.select("key", F.col("after").alias("component")), after
         if not changed:
+            spent(both)
             return labels
 
 
@@ -354,13 +379,17 @@ def _rated_classes(docs: DataFrame, doc_id: str, text: str, words: int,
     ship_package(spark)
     bodies = _bodies(docs, doc_id, text)
     signatures = _signatures(bodies, words)
-    signed = signatures.filter("segment is null").select("doc_id", "n_shingles", "key")
-    classes = stored(signed.filter("key is not null").groupBy("key").agg(F.min("doc_id").alias("doc_id")), "classes")
+    signed = stored(signatures.filter("segment is null").select("doc_id", "n_shingles", "key"), "signed")
+    classes = stored(signatures.filter("key is not null").groupBy("key").agg(F.min("doc_id").alias("doc_id"), F.first("sketch").alias("sketch"))
+                     .select("key", "doc_id", *[F.col("sketch")[i].alias(c) for i, c in enumerate(SKETCH)]), "classes")
     counts = _document_counts(signatures)
+    spent(signatures)
     total = signed.agg(F.sum("n_shingles")).first()[0] or 0
     buckets = max(shuffle_partitions(spark), -(-total * (100 - percent) // 100 // ENTRIES_PER_BUCKET))
     meetings = _meetings(_entries(bodies, counts, buckets, words, percent), counts, buckets)
-    return bodies, signed, classes, stored(_rated(meetings, percent), "rated")
+    rated = stored(_rated(meetings, percent), "rated")
+    spent(meetings)
+    return bodies, signed, classes, rated
 
 
 def _grouped(docs: DataFrame, doc_id: str, text: str, words: int, percent: int) -> DataFrame:
@@ -385,13 +414,17 @@ def _grouped(docs: DataFrame, doc_id: str, text: str, words: int, percent: int)
         "token", "key", "size", "least", "last", "reach", F.coalesce("component", "key").alias("component")), "placed")
     mixed = stored(placed.groupBy(F.col("token").alias("_token")).agg(F.min("component").alias("low"), F.max("component").alias("high"))
                    .filter("low < high").select("_token"), "mixed")
-    open_rows = stored(placed.join(mixed, F.col("token") == F.col("_token"), "left_semi"), "open")
-    other = open_rows.select(*[F.col(c).alias(f"{c}_2") for c in placed.columns])
+    sketched = classes.select(F.col("key").alias("_key"), *SKETCH)
+    open_rows = stored(placed.join(mixed, F.col("token") == F.col("_token"), "left_semi").join(sketched, F.col("key") == F.col("_key"))
+                       .select(*placed.columns, *SKETCH), "open")
+    spent(placed, mixed, hubs)
+    other = open_rows.select(*[F.col(c).alias(f"{c}_2") for c in open_rows.columns])
     second = stored(open_rows.join(other, (F.col("token") == F.col("token_2")) & (F.col("key") < F.col("key_2"))
-                                   & (F.col("component") != F.col("component_2")) & _possible(percent, "_2"))
+                                   & (F.col("component") != F.col("component_2")) & _near_enough(percent) & _possible(percent, "_2"))
                     .groupBy(F.col("key").alias("a"), F.col("key_2").alias("b"))
                     .agg(F.count(F.lit(1)).alias("shared"), F.min(F.least("least", "least_2")).alias("least"))
                     .filter(F.col("shared") >= F.col("least")).select("a", "b").join(first, ["a", "b"], "left_anti"), "second")
+    spent(open_rows, rated, first)
     more = _verified(second, bodies, classes, words, percent)
     if more.limit(1).count():
         found = components(links.unionByName(more))

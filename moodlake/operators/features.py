@@ -70,6 +70,36 @@ def features_as_of(features: DataFrame, requests: DataFrame, ttl_days: int = FEA
         "r.*", *[F.when(fresh, F.col(f"v.{v}")).alias(v) for v in values], F.when(fresh, F.col("vt")).alias(ts))
 
 
+POINT_IDS = 1000  # up to so many distinct ids a lookup names them to the scan
+IDS_PUSHED = 10  # ids of one IN that the Parquet reader tests one by one
+
+
+def lookup_layout(latest: DataFrame, key: str = "track_id", rows: int | None = None,
+                  row_group_bytes: int = 8 << 20) -> tuple[DataFrame, dict[str, str]]:
+    """The latest-value table in the order, and the write options, that suit
+    point lookups: ids in one order over all files, so that the statistics of
+    most row groups exclude an id, and a Bloom filter of the ids of each row
+    group for the rest."""
+    options = {"parquet.block.size": str(row_group_bytes), f"parquet.bloom.filter.enabled#{key}": "true"}
+    if rows:
+        options[f"parquet.bloom.filter.expected.ndv#{key}"] = str(rows)
+    return latest.repartitionByRange(key).sortWithinPartitions(key), options
+
+
+def named_ids(latest: DataFrame, requests: DataFrame, key: str = "track_id", most: int = POINT_IDS) -> DataFrame:
+    """The rows of `latest` that a few requests can ask for: up to `most`
+    distinct ids are named to the scan, in groups small enough for the reader to
+    test each id against a row group's statistics and Bloom filter.  With more
+    ids `latest` stays whole."""
+    ids = sorted(r[0] for r in requests.select(key).filter(F.col(key).isNotNull()).distinct().limit(most + 1).collect())
+    if len(ids) > most:
+        return latest
+    wanted = F.lit(False)
+    for at in range(0, len(ids), IDS_PUSHED):
+        wanted = F.col(key).isin(ids[at:at + IDS_PUSHED]) if not at else wanted | F.col(key).isin(ids[at:at + IDS_PUSHED])
+    return latest.filter(wanted)
+
+
 def mood_lookup(latest: DataFrame, requests: DataFrame, key: str = "track_id", digits: int = 4) -> DataFrame:
     """Batch form of the per-id lookup: every request row with all its
     columns, `found` false when the id has no feature row, and the label's

@@ -28,7 +28,7 @@ from moodlake.operators import kmeans as K
 from moodlake.operators import mood as M
 from moodlake.operators import quality as Q
 from moodlake.operators import scd2 as S
-from moodlake.operators.features import build_features
+from moodlake.operators.features import build_features, features_latest, lookup_layout, mood_lookup, named_ids
 from moodlake.operators.silver import conform_schema, dedup_latest, filter_ranges
 from moodlake.sources.manifest import Manifest
 from moodlake.sources.tables import read_bucketed, read_table, run_path, write_bucketed, write_measured
@@ -334,6 +334,17 @@ def run_mood(lake: Lake, run_id: str, run_ts: str) -> str:
     return lake.paths["track_features"]
 
 
+def run_lookup(lake: Lake, run_id: str) -> str:
+    """The newest feature row of every track, laid out for point lookups."""
+    ordered, options = lookup_layout(features_latest(lake.read("track_features")), rows=lake.counts["track_features"])
+    return lake.write("features", "lookup", ordered, run_id, options=options)
+
+
+def lookup(lake: Lake, requests: DataFrame) -> DataFrame:
+    """Batch lookup of the stored features: few ids read few row groups, many ids one scan."""
+    return mood_lookup(named_ids(lake.read("lookup"), requests), requests)
+
+
 def run_kmeans(lake: Lake, run_id: str, version: str | int) -> str:
     """Train k = 6 on silver, publish labelled predictions, save the model."""
     silver = lake.read("silver")

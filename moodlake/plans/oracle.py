@@ -274,24 +274,20 @@ def cte_kmeans() -> str:
         dists.append(f"({terms})")
     best = "least(" + ", ".join(dists) + ")"
     assign = "case " + " ".join(f"when {d} = {best} then {j}" for j, d in enumerate(dists)) + " end"
-    # labels: dominant coordinate -> preferred label, collisions take the first unused label
-    label_ctes = []
-    prev = "cp"
-    for j in range(P.KMEANS_K):
-        dom = first_max([f"c{j}_{i}" for i in range(k)])
-        pref = "case " + " ".join(f"when {dom} = {d} then '{lab}'" for d, lab in P.KMEANS_DOMINANT_LABEL.items()) \
-               + f" else '{P.KMEANS_LABELS[j % len(P.KMEANS_LABELS)]}' end"
-        taken = ", ".join([f"coalesce(lab{x}, '')" for x in range(j)] + ["''"])
-        unused = "case " + " ".join(f"when '{m}' not in ({taken}) then '{m}'" for m in P.KMEANS_LABELS) + " end"
-        label_ctes.append(f"""kl{j} as (select *, case when c{j}_0 is null then null
-                        when ({pref}) not in ({taken}) then ({pref}) else {unused} end as lab{j} from {prev})""")
-        prev = f"kl{j}"
-    lab_case = "case " + " ".join(f"when cluster = {j} then lab{j}" for j in range(P.KMEANS_K)) + " else 'unknown' end"
+    # wishes are granted in cluster order from the labels still free; a wish that is gone gets the first free one
+    wish = f"[{', '.join(repr(P.KMEANS_DOMINANT_LABEL[i]) for i in range(k))}][{first_max([f'c{i}' for i in range(k)])} + 1]"
+    granted = "case when list_contains(s.free, w.wish) then w.wish else s.free[1] end"
+    none = "[]::varchar[]"
     return f"""km_in as (select * from silver where {notnull}),
 kz as (select track_id, {zs} from km_in),
 kinit as (select *, {first_max(zcols)} as init from kz),
 kcent as (select row_number() over (order by init) - 1 as cidx, {means} from kinit group by init),
 cp as (select {pivot} from kcent),
-{",".join(label_ctes)},
+kwish as (select list({wish} order by cidx) as wishes from kcent),
+kgrant as (select list_reduce(
+    list_prepend({{'wish': null::varchar, 'free': {list(P.KMEANS_LABELS)}, 'given': {none}}},
+                 list_transform(wishes, lambda x: {{'wish': x, 'free': {none}, 'given': {none}}})),
+    lambda s, w: {{'wish': w.wish, 'free': list_filter(s.free, lambda x: x <> {granted}), 'given': list_append(s.given, {granted})}}).given
+  as given from kwish),
 kassign as (select kz.*, {assign} as cluster from kz cross join cp),
-kmeans_out as (select a.track_id, a.cluster, {lab_case} as mood_label from kassign a cross join kl{P.KMEANS_K - 1})"""
+kmeans_out as (select a.track_id, a.cluster, coalesce(g.given[a.cluster + 1], 'unknown') as mood_label from kassign a cross join kgrant g)"""

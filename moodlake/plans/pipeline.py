@@ -41,11 +41,13 @@ def snapshot_at(tracks: DataFrame, cutoff: str | None) -> DataFrame:
 
 
 def artist_versions(spark: SparkSession, sf: str, steps: int = 3, tracks: DataFrame | None = None) -> DataFrame:
-    """Artist SCD2 table after `steps` successive snapshots of silver."""
+    """Artist SCD2 table after `steps` successive snapshots of silver.  Every
+    merge but the last is stored, as the job stores it: a merge reads the version
+    table twice, and what is not stored would be computed twice at each step."""
     tracks = tracks if tracks is not None else silver(spark, sf, materialize=True)
     versions = None
     for cutoff, run_ts in fixture.SNAPSHOTS[:steps]:
-        versions = S.scd2_merge(versions, snapshot_at(tracks, cutoff), run_ts)
+        versions = S.scd2_merge(versions if versions is None else stored(versions, "versions"), snapshot_at(tracks, cutoff), run_ts)
     return versions
 
 

@@ -8,6 +8,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from moodlake.operators import artists as A
+from moodlake.operators import features as FT
 from moodlake.operators import gold as G
 from moodlake.operators import quality as Q
 from moodlake.operators import scd2 as S
@@ -230,3 +231,67 @@ def test_labels_are_written_only_on_dates_that_change(spark):
     J.run_mood(lake, "r4", "2024-01-03 00:00:00")
     now = {d: p["root"] for d, p in lake.layers["fact_streams"]["parts"].items()}
     assert {d for d in now if now[d] != labelled[d]} == {day} and rows_of(lake.read("fact_streams")) == first
+
+
+def _scanned_rows(df):
+    """Rows that the Parquet scans of the executed plan gave out: those of row groups not excluded."""
+    df.collect()
+    found = []
+
+    def walk(node):
+        cls = node.getClass().getSimpleName()
+        if cls == "AdaptiveSparkPlanExec":
+            return walk(node.executedPlan())
+        if "QueryStage" in cls:
+            return walk(node.plan())
+        if cls == "FileSourceScanExec":
+            found.append(node.metrics().apply("numOutputRows").value())
+        for i in range(node.children().size()):
+            walk(node.children().apply(i))
+
+    walk(df._jdf.queryExecution().executedPlan())
+    return sum(found)
+
+
+def test_point_lookup_reads_few_row_groups(spark):
+    """Of 400,000 ids in many row groups, 1,000 neighbouring ones (and some
+    unknown) read a few groups; scattered unknown ids none at all; the answers
+    are those of a join with the whole table."""
+    n = 400_000
+    feats = spark.range(n).select(
+        F.format_string("T%07d", "id").alias("track_id"), F.lit("Chill Pop").alias("mood_cluster"), F.lit("Relaxed").alias("mood"),
+        F.lit("Pop").alias("genre_family"), *[(F.rand(1) + i).cast("float").alias(c) for i, c in enumerate(("danceability", "energy", "valence"))],
+        F.lit(dt.datetime(2024, 1, 1)).alias("event_timestamp"))
+    lake = J.Lake(spark, new_base())
+    ordered, options = FT.lookup_layout(feats, rows=n, row_group_bytes=100_000)
+    lake.write("features", "lookup", ordered, "r1", options=options)
+    near = spark.range(990).select(F.format_string("T%07d", F.col("id") + 123_000).alias("track_id"), "id")
+    unknown = spark.range(10).select(F.format_string("T%07dx", F.col("id") * 39_000).alias("track_id"), "id")
+    requests = near.unionByName(unknown)
+    got, want = J.lookup(lake, requests), FT.mood_lookup(lake.read("lookup"), requests)
+    assert rows_of(got) == rows_of(want) and got.filter("found").count() == 990
+    few = FT.named_ids(lake.read("lookup"), requests)
+    assert 990 <= _scanned_rows(few) < n / 10
+    assert _scanned_rows(FT.named_ids(lake.read("lookup"), unknown)) < n / 20  # Bloom filters: statistics cannot tell
+    many = spark.range(3000).select(F.format_string("T%07d", F.col("id") * 100).alias("track_id"), "id")
+    assert J.lookup(lake, many).filter("found").count() == 3000 and J.lookup(lake, many.limit(0)).count() == 0
+
+
+def test_lookup_job(spark):
+    lake = J.Lake(spark, new_base())
+    J.daily(lake, PL.bronze(spark, SMOKE), "r1", "2024-01-01 00:00:00", TIES, minimum=1)
+    J.run_mood(lake, "r1", "2024-01-01 00:00:00")
+    J.run_lookup(lake, "r1")
+    ids = lake.read("silver").select("track_id").limit(5)
+    assert J.lookup(lake, ids.unionByName(spark.createDataFrame([("none",)], "track_id string"))).filter("found").count() == 5
+
+
+def test_incremental_days_give_the_gold_of_a_rebuild(spark):
+    """Three incremental days, each a whole daily run, against gold built from all rows."""
+    lake, landed = J.Lake(spark, new_base()), None
+    for i, day in enumerate(days(spark)):
+        landed = day if landed is None else landed.unionByName(day)
+        J.daily(lake, day, f"r{i}", f"2024-01-0{i + 1} 00:00:00", TIES, minimum=1, incremental=True)
+    want = G.build_gold(build_silver(landed, TIES), lake.read("artists"), 6)
+    for name in J.GOLD_TABLES:
+        assert rows_of(lake.read(name)) == rows_of(want[name]), name

@@ -132,8 +132,9 @@ def _classes(signed: DataFrame) -> DataFrame:
 
 
 def _prefixes(classes: DataFrame, matches: int) -> DataFrame:
-    """The merged postings: (token, id, size, marks) of each class' prefix, and
-    its rank: the less, the more its values are those of many others."""
+    """Of each class that can have a partner (prefix, id, size, marks): the tokens
+    it is posted under, rarest first; and its rank: the less, the more its
+    values are those of many others."""
     posted = classes.select("id", F.explode("tokens").alias("token"))
     lists = stored(posted.groupBy("token").agg(F.count(F.lit(1)).alias("n")).filter("n > 1"), "lists")
     met = posted.join(lists.withColumnRenamed("token", "_token"), F.col("token") == F.col("_token"))
@@ -142,7 +143,7 @@ def _prefixes(classes: DataFrame, matches: int) -> DataFrame:
             .select(F.col("id").alias("_id"), F.slice("met", 1, F.size("met") - matches + 1)["token"].alias("prefix"),
                     (-F.aggregate("met", F.lit(0.0), lambda sum_, x: sum_ + F.log2(x["n"]))).alias("rank")))
     out = stored(rare.join(classes.select("id", "size", *MARKS), F.col("_id") == F.col("id"))
-                 .select(F.explode("prefix").alias("token"), "rank", "id", "size", *MARKS), "prefixes")
+                 .select("prefix", "rank", "id", "size", *MARKS), "prefixes")
     spent(lists)
     return out
 
@@ -237,29 +238,31 @@ def _labelled(links: DataFrame) -> DataFrame:
 def _components(prefixes: DataFrame, classes: DataFrame, bodies: DataFrame, words: int, percent: int, matches: int) -> DataFrame:
     """(_id, component) of every class that has a link."""
     postings = F.struct("rank", "id", "size", *MARKS)
-    hubs = (prefixes.groupBy(F.col("token").alias("_token")).agg(F.min(postings).alias("hub"), F.count(F.lit(1)).alias("n"))
+    posted = prefixes.select(F.explode("prefix").alias("token"), "rank", "id", "size", *MARKS)
+    hubs = (posted.groupBy(F.col("token").alias("_token")).agg(F.min(postings).alias("hub"), F.count(F.lit(1)).alias("n"))
             .filter("n > 1").select("_token", "hub.*"))
     hubs = stored(hubs.select("_token", *[F.col(c).alias(f"{c}_2") for c in ("id", "size", *MARKS)]), "hubs")
     # each class and its lists' hubs
-    near = stored(prefixes.join(hubs, (F.col("token") == F.col("_token")) & (F.col("id") != F.col("id_2")) & _alike(percent, matches))
+    near = stored(posted.join(hubs, (F.col("token") == F.col("_token")) & (F.col("id") != F.col("id_2")) & _alike(percent, matches))
                   .select(F.least("id", "id_2").alias("a"), F.greatest("id", "id_2").alias("b")).distinct(), "near")
     spent(hubs)
     sets = _sets(_ids(near), classes, bodies, words)
     links = _confirmed(near, sets, percent)
     labels = _labelled(links)
     # lists whose members are still in different components: these meet each other
-    placed = stored(prefixes.join(labels, F.col("id") == F.col("_id"), "left")
-                    .select("token", "id", "size", *MARKS, F.coalesce("component", "id").alias("component")), "placed")
-    mixed = stored(placed.groupBy(F.col("token").alias("_token")).agg(F.min("component").alias("low"), F.max("component").alias("high"))
+    sketched = classes.select(F.col("id").alias("_sketched"), *SKETCH)
+    placed = stored(prefixes.join(labels, F.col("id") == F.col("_id"), "left").join(sketched, F.col("id") == F.col("_sketched"))
+                    .select("prefix", "id", "size", *MARKS, *SKETCH, F.coalesce("component", "id").alias("component")), "placed")
+    mixed = stored(placed.select(F.explode("prefix").alias("_token"), "component").groupBy("_token")
+                   .agg(F.min("component").alias("low"), F.max("component").alias("high"))
                    .filter("low < high").select("_token"), "mixed")
-    open_ = stored(placed.join(mixed, F.col("token") == F.col("_token"), "left_semi"), "open")
+    rated = stored(placed.withColumn("token", F.explode("prefix")).join(mixed, F.col("token") == F.col("_token"), "left_semi"), "open")
     spent(placed, mixed)
-    sketched = classes.select(F.col("id").alias("_id"), *SKETCH)
-    rated = stored(open_.join(sketched, F.col("id") == F.col("_id")).select("token", "id", "size", *MARKS, *SKETCH, "component"), "rated")
-    spent(open_)
+    # a pair is made once, at the first token that both prefixes have
+    first = F.element_at(F.array_intersect("prefix", "prefix_2"), 1) == F.col("token")
     across = (rated.join(_other(rated), (F.col("token") == F.col("token_2")) & (F.col("id") < F.col("id_2"))
-                         & (F.col("component") != F.col("component_2")) & _near_enough(percent) & _alike(percent, matches))
-              .select(F.col("id").alias("a"), F.col("id_2").alias("b")).distinct())
+                         & (F.col("component") != F.col("component_2")) & _near_enough(percent) & _alike(percent, matches) & first)
+              .select(F.col("id").alias("a"), F.col("id_2").alias("b")))
     across = stored(across.join(near, ["a", "b"], "left_anti"), "across")
     if across.limit(1).count():
         fresh = _ids(across).join(sets.select("id"), "id", "left_anti")

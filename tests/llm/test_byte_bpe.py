@@ -1,6 +1,7 @@
 import hashlib
 import random
 
+import numpy as np
 import public_tokenizers
 import pytest
 import tiktoken
@@ -57,3 +58,10 @@ def test_digests_over_many_chunks(odd_docs, odd_rows, library, monkeypatch):
 
 def test_empty_vocabulary_lookup():
     assert B.TokenBytes({}).decode(__import__("numpy").zeros(0, int)) == b""
+
+
+def test_numbers_by_digits():
+    rng = np.random.default_rng(1)
+    for codes in (np.zeros(0, np.int64), np.array([0, 1, 2, 3, 4, 255, 256, 2**31 - 1]), rng.integers(0, 2**20, 5000) >> rng.integers(0, 20, 5000)):
+        packed = B._packed(*B.by_digits(codes))
+        assert (B.from_digits(*B._unpacked(packed)) == codes).all()

@@ -136,6 +136,45 @@ def dq_silver_observed(observed: dict[str, int], tracks: DataFrame, artists: Dat
     return _silver_rows(wide, tracks.columns, minimum).unionByName(dq_referential(tracks, artists))
 
 
+KEY_CELLS = 1 << 36  # of a key filter; only words with a key in them are stored
+
+
+def key_words(df: DataFrame, key: str, by: list[str] | None = None, cells: int = KEY_CELLS) -> DataFrame:
+    """A filter of the keys, per value of `by`: (word, mask), a bit for each of
+    64 cells into which a key falls.  Filters of several values add up."""
+    return (_cells(df.filter(F.col(key).isNotNull()), key, cells).groupBy(*(by or []), "word")
+            .agg(F.bit_or("bit").alias("mask")))
+
+
+def _cells(df: DataFrame, key: str, cells: int) -> DataFrame:
+    cell = F.pmod(F.xxhash64(key), F.lit(cells))
+    return df.withColumns({"word": F.shiftright(cell, 6), "bit": F.expr(f"shiftleft(1L, cast(pmod(xxhash64(`{key}`), 64) as int))")})
+
+
+def maybe_known(new: DataFrame, words: DataFrame, key: str, cells: int = KEY_CELLS) -> DataFrame:
+    """The distinct keys of `new` that the filter may hold: all that it holds, and few others."""
+    seen = words.select(F.col("word").alias("_word"), "mask")
+    return (_cells(new.select(key).filter(F.col(key).isNotNull()), key, cells)
+            .join(seen, (F.col("word") == F.col("_word")) & (F.col("mask").bitwiseAND(F.col("bit")) != 0), "left_semi")
+            .select(key).distinct())
+
+
+def dq_new_keys(new: DataFrame, old: DataFrame, words: DataFrame, key: str, table: str = "", cells: int = KEY_CELLS) -> DataFrame:
+    """Null and duplicate keys that new rows bring into a table whose old rows
+    were checked before: duplicates among the new rows, and new keys that old
+    rows have.  `words` is the stored filter of the old keys; the old rows are
+    read only for the keys it may hold, and not at all if there are none."""
+    maybe = maybe_known(new, words, key, cells)
+    own = dq_primary_key(new, key, table)
+    if not maybe.limit(1).count():
+        return own
+    known = old.select(key).join(maybe, key, "left_semi").agg(F.count(F.lit(1)).alias("known"))
+    found = known.select(F.lit("unique").alias("check_name"), F.col("known"))
+    return (own.join(F.broadcast(found), "check_name", "left")  # one row
+            .select("check_name", "table_name", "column_name", (F.col("observed") + F.coalesce("known", F.lit(0))).alias("observed"))
+            .withColumn("passed", F.col("observed") == 0))
+
+
 GOLD_KEYS = {"dim_track": "track_id", "dim_artist": "artist_sk", "dim_genre": "genre_id",
              "fact_streams": "stream_id"}
 

@@ -301,6 +301,29 @@ def run_gold(lake: Lake, run_id: str, digits: int = 6, enforce: bool = True, tou
     return {n: lake.paths[n] for n in GOLD_TABLES}
 
 
+def run_key_check(lake: Lake, name: str, key: str, run_id: str, touched: list[str], enforce: bool = True) -> DataFrame:
+    """Key checks of the parts of a layer that a run has written, against all
+    others: a filter of the keys is stored for every part, so the other parts'
+    rows are read only where the filter says that a key may be there."""
+    entry, stored = lake.layers[name], f"{name}_keys"
+    known = [v for v in lake.layers.get(stored, {}).get("parts", {}) if v not in touched and v in entry["parts"]]
+    missing = [v for v in entry["parts"] if v not in touched and v not in known]
+    new = lake.read_parts(name, touched)
+    old = lake.read_parts(name, known)
+    column = entry["column"]
+    with lake.together():
+        if missing:  # parts written before there was a filter
+            lake.write_parts("quality", stored, Q.key_words(lake.read_parts(name, missing), key, [column]), run_id, column, missing)
+            old = lake.read_parts(name, known + missing)
+        words = lake.read_parts(stored, known + missing) if known or missing else Q.key_words(new.limit(0), key)
+        report = Q.dq_new_keys(new, old, words.select("word", "mask"), key, name)
+        lake.write("quality", f"{name}_key_report", report, run_id)
+        lake.write_parts("quality", stored, Q.key_words(new, key, [column]), run_id, column, touched)
+    if enforce:
+        Q.assert_quality(lake.read(f"{name}_key_report"))
+    return lake.read(f"{name}_key_report")
+
+
 def run_trends(lake: Lake, run_id: str, touched: list[str] | None = None, digits: int = 6) -> None:
     """The genre and artist aggregates from stored partial sums: those of the
     buckets that silver was written in (None: all) are summed again, then the

@@ -75,34 +75,37 @@ def _tested(rows: DataFrame, words: np.ndarray, bits: int) -> DataFrame:
 
 def _digests(docs: DataFrame, doc_id: str, text: str) -> DataFrame:
     return stored(renamed(docs, [doc_id, text]).select(
-        F.col("c0").alias("doc_id"), F.sha2(normalised(F.col("c1")), 256).alias("text_sha256")), "digests")
+        F.col("c0").alias("doc_id"), F.sha2(normalised(F.col("c1")), 256).alias("text_sha256"),
+        F.monotonically_increasing_id().alias("row")), "digests")  # stored, so a row's number stays its own
 
 
 def _groups(again: DataFrame) -> DataFrame:
-    """Smallest doc_id and size of each text among the possibly repeated rows;
-    stored, so that joins with it read plain shuffles on both sides, which
+    """Smallest doc_id, size and first row (of the smallest doc_id, none before
+    null) of each text among the possibly repeated rows; stored, so that joins with it read plain shuffles on both sides, which
     adaptive execution splits when one text holds many rows."""
     return stored(again.groupBy(F.col("text_sha256").alias("_sha"))
-                  .agg(F.min("doc_id").alias("_keep"), F.count(F.lit(1)).alias("_size")), "groups")
+                  .agg(F.min("doc_id").alias("_keep"), F.count(F.lit(1)).alias("_size"),
+                       F.min(F.struct(F.col("doc_id").isNull().alias("nameless"), "doc_id", "row")).alias("_first"))
+                  .select("_sha", "_keep", "_size", F.col("_first.row").alias("_row")), "groups")
 
 
 def exact_groups(docs: DataFrame, doc_id: str = "doc_id", text: str = "text") -> DataFrame:
     """One row per document: doc_id, keep_id, group_size, kept, text_sha256.
 
     Texts are equal when identical after each white-space run became one
-    space; a null text is empty.  The smallest doc_id of a group stays (a null
-    doc_id only if no other is there).  Rows repeated with one doc_id and text
-    are one group and all kept.  Columns beside doc_id and text are ignored,
+    space; a null text is empty.  One row of a group stays: the one with the
+    smallest doc_id (a null doc_id only if no other is there), of rows repeated
+    with that doc_id any one.  Columns beside doc_id and text are ignored,
     whatever their names; an empty table gives none."""
     rows = _digests(docs, doc_id, text)
     tested = stored(_tested(rows, *repeated_filter(rows, "text_sha256")), "tested")
     single = tested.filter("not _again").select("doc_id", F.col("doc_id").alias("keep_id"),
                                                 F.lit(1).cast("long").alias("group_size"),
                                                 F.lit(True).alias("kept"), "text_sha256")
-    again = tested.filter("_again").select("doc_id", "text_sha256")
+    again = tested.filter("_again").select("doc_id", "text_sha256", "row")
     many = again.join(_groups(again), F.col("text_sha256") == F.col("_sha")).select(
         "doc_id", F.col("_keep").alias("keep_id"), F.col("_size").alias("group_size"),
-        F.col("doc_id").eqNullSafe(F.col("_keep")).alias("kept"), "text_sha256")
+        (F.col("row") == F.col("_row")).alias("kept"), "text_sha256")
     return single.unionByName(many)
 
 
@@ -110,7 +113,7 @@ def drop_exact_copies(docs: DataFrame, doc_id: str = "doc_id", text: str = "text
     """docs with one row of each group of equal texts, all columns kept: rows
     that the filter clears pass straight through with their texts; only the
     possibly repeated ones are shuffled.  Rows repeated with one doc_id and
-    text are reduced to one (any of them)."""
+    text are reduced to one (any of them).  An empty table stays empty."""
     digests = _digests(docs, doc_id, text)
     words, bits = repeated_filter(digests, "text_sha256")
     full = docs.select(F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("row"),

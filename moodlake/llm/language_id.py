@@ -108,19 +108,21 @@ def held_out(doc_id: F.Column) -> F.Column:
 def fit(labelled: DataFrame, text: str = "text", lang: str = "lang") -> LanguageFilter:
     """The filter of the labelled rows (null text or lang: left out).
 
-    About ROWS_PER_LANGUAGE rows of each language are read, chosen by a hash of
-    their text; what reaches the driver are the n-grams with LEAST_SHARE of a
+    About ROWS_PER_LANGUAGE different texts of each language are read, chosen by
+    a hash of the text, each once however many copies there are; what reaches the driver are the n-grams with LEAST_SHARE of a
     language's at least, so at most 1 / LEAST_SHARE for each language."""
     ship_package(labelled.sparkSession)
     rows = labelled.select(F.col(f"`{text}`").alias("body"), F.col(f"`{lang}`").alias("lang")).filter(
         F.col("body").isNotNull() & F.col("lang").isNotNull())
-    sizes = {r["lang"]: r["n"] for r in rows.groupBy("lang").agg(F.count(F.lit(1)).alias("n")).collect()}
+    counted = rows.groupBy("lang").agg(F.count(F.lit(1)).alias("n"), F.approx_count_distinct(F.xxhash64("body")).alias("texts")).collect()
+    sizes = {r["lang"]: r["n"] for r in counted}
+    texts = {r["lang"]: max(1, r["texts"]) for r in counted}
     if not sizes:
         return LanguageFilter.build([], [], {})
     languages = sorted(sizes)
     parts = F.create_map(*[F.lit(x) for name in languages
-                           for x in (name, int(min(1.0, ROWS_PER_LANGUAGE / sizes[name]) * 2**30))])
-    chosen = rows.filter(F.pmod(F.xxhash64("body"), F.lit(2**30)) < parts[F.col("lang")])
+                           for x in (name, int(min(1.0, ROWS_PER_LANGUAGE / texts[name]) * 2**30))])
+    chosen = rows.filter(F.pmod(F.xxhash64("body"), F.lit(2**30)) < parts[F.col("lang")]).dropDuplicates(["lang", "body"])
 
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         words: dict[str, Counter] = {}
@@ -209,10 +211,26 @@ def identify(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", lang:
     return predict(rows.select("doc_id", "held_out", "text"), model).select("doc_id", "held_out", "lang_pred", "score")
 
 
+def known_share(docs: DataFrame, model: LanguageFilter, text: str = "text") -> float:
+    """The least score that a text of a learned language has, but for one in a
+    thousand, halved: what texts of other languages share with it stays below
+    that more often than not, and its own texts do not."""
+    judged = predict(docs.select(F.col(f"`{text}`").alias("text")), model).filter(F.col("lang_pred") != UNKNOWN)
+    found = judged.agg(F.percentile_approx("score", 0.001, 1000).alias("least")).first()["least"]
+    return 0.0 if found is None else found / 2
+
+
 def keep_identified(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", lang: str = "lang") -> DataFrame:
-    """docs without those whose text has no language: null, without a letter,
-    or with no n-gram of any language.  The columns stay as they are."""
-    model = fit(docs.filter(~held_out(F.col(f"`{doc_id}`"))), text, lang)
-    judged = predict(docs, model, text, "_lang_pred", "_lang_score")
-    return judged.filter((F.col("_lang_pred") != UNKNOWN) & (F.col("_lang_score") > 0)).select(
-        *[F.col(f"`{c}`") for c in docs.columns])
+    """docs without those whose text has no language: null, without a letter, or
+    with fewer of its n-grams in any language than known_share() of about
+    ROWS_PER_LANGUAGE labelled texts of each language says.  Without
+    labelled rows to learn from nothing can be judged, and all texts with a letter stay.  The columns
+    stay as they are, whatever their names; an empty table stays empty."""
+    labelled = docs.filter(~held_out(F.col(f"`{doc_id}`")) & F.col(f"`{lang}`").isNotNull() & F.col(f"`{text}`").isNotNull())
+    model = fit(labelled, text, lang)
+    rows = docs.select(F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("row"), F.col(f"`{text}`").alias("text"))
+    if not model.cells.any():
+        return rows.filter(F.col("text").rlike(r"\p{L}")).select("row.*")
+    sample = labelled.filter(F.pmod(F.xxhash64(F.col(f"`{text}`")), F.lit(int(sum(model.prior)))) < ROWS_PER_LANGUAGE * len(model.languages))
+    least = known_share(sample, model, text)
+    return predict(rows, model).filter((F.col("lang_pred") != UNKNOWN) & (F.col("score") > 0) & (F.col("score") >= least)).select("row.*")

@@ -78,7 +78,7 @@ OP1_SQL = r"""
 with d as (select doc_id, sha256(regexp_replace(coalesce(text, ''), '[\x20\x09-\x0D]+', ' ', 'g')) as text_sha256
            from documents)
 select doc_id, min(doc_id) over g as keep_id, count(*) over g as group_size,
-       doc_id is not distinct from min(doc_id) over g as kept, text_sha256
+       row_number() over (partition by text_sha256 order by doc_id nulls last) = 1 as kept, text_sha256
 from d window g as (partition by text_sha256)"""
 
 

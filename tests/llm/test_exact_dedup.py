@@ -13,7 +13,8 @@ def expected(rows):
     out = []
     for t, ids in groups.items():
         keep = min((i for i in ids if i is not None), default=None)
-        out += [(i, keep, len(ids), i == keep, hashlib.sha256(t.encode()).hexdigest()) for i in ids]
+        kept = ids.index(keep)  # one row of the group, also where rows repeat their doc_id
+        out += [(i, keep, len(ids), at == kept, hashlib.sha256(t.encode()).hexdigest()) for at, i in enumerate(ids)]
     return sorted(out, key=str)
 
 
@@ -49,3 +50,10 @@ def test_hot_text_and_few_rows_shuffled(spark):
     rows = D._digests(docs, "doc_id", "text")
     tested = D._tested(rows, *D.repeated_filter(rows, "text_sha256"))
     assert 1000 <= tested.filter("_again").count() < 1050
+
+
+def test_one_row_of_repeated_rows_is_kept(spark):
+    rows = [(1, "a"), (1, "a"), (2, "a"), (None, "b"), (None, "b"), (3, "c")]
+    got = D.exact_groups(spark.createDataFrame(rows, "doc_id long, text string").repartition(3))
+    assert sorted([tuple(r)[:5] for r in got.collect()], key=str) == expected(rows)
+    assert got.filter("kept").count() == 3

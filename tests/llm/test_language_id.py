@@ -47,3 +47,92 @@ def test_rejects_only_texts_without_language(odd_docs, odd_rows):
     assert kept.columns == odd_docs.columns
     gone = {i for i, _ in odd_rows} - {r.doc_id for r in kept.select("doc_id").collect()}
     assert {0, 1, 2, 3, 9} <= gone and not gone & set(range(200, 240))
+
+
+class ExactSets:
+    """What the filter stands for: the set of n-grams of each language, without false positives."""
+
+    def __init__(self, rows):
+        self.counts = {}
+        for text, lang in rows:
+            counted = self.counts.setdefault(lang, {})
+            for word in L._words(text.lower()):
+                for gram in L._ngrams(word):
+                    counted[gram] = counted.get(gram, 0) + 1
+        self.grams = {}
+        for lang, counted in self.counts.items():
+            least = max(2, sum(counted.values()) * L.LEAST_SHARE)
+            self.grams[lang] = {g for g, n in counted.items() if n >= least}
+
+    def shares(self, text):
+        found = [g for w in L._words(text.lower()) for g in L._ngrams(w)]
+        return {lang: sum(g in own for g in found) / len(found) for lang, own in self.grams.items()} if found else {}
+
+
+def test_equals_exact_sets(spark):
+    """Every document against the languages' n-gram sets: the score within the
+    filter's chance hits, and the same language wherever the sets decide clearly."""
+    rows = [tuple(r) for r in spark.read.parquet("/root/testdata/sf0.01/documents.parquet").select("doc_id", "text", "lang").collect()]
+    learned = {(t, l) for i, t, l in rows if zlib.crc32(str(i).encode()) % 3 != 1 and t is not None and l is not None}
+    sets = ExactSets(learned)
+    got = {r.doc_id: r for r in L.identify(spark.read.parquet("/root/testdata/sf0.01/documents.parquet")).collect()}
+    clear = 0
+    for i, text, _ in rows:
+        shares = sets.shares(text or "")
+        if not shares:
+            assert got[i].lang_pred == "und"
+            continue
+        best, *rest = sorted(shares.values(), reverse=True)
+        assert abs(got[i].score - best) < 0.06, i
+        if best - max(rest, default=0) > 0.06:
+            clear += 1
+            assert shares[got[i].lang_pred] == best
+    assert clear > 0.9 * len(rows)
+
+
+def test_copies_count_once_in_training(spark):
+    """A text that is most of the rows of a language leaves the other texts' n-grams in its filter."""
+    texts = [(i, f"stone river number {chr(97 + i % 26)}{chr(97 + i // 26)}", "en") for i in range(300)]
+    copies = [(1000 + i, "zzz yyy xxx", "en") for i in range(3000)]
+    docs = spark.createDataFrame(texts + copies, "doc_id long, text string, lang string")
+    plain = L.fit(spark.createDataFrame(texts + copies[:1], "doc_id long, text string, lang string"))
+    model = L.fit(docs)
+    assert (model.hits(["stone", "river", "number"]) == plain.hits(["stone", "river", "number"])).all()
+
+
+SAMPLES = {
+    "en": "the old house by the river was sold in the spring and the new owners have planted trees along the road".split(),
+    "fr": "la vieille maison pres de la riviere fut vendue au printemps et les nouveaux proprietaires ont plante des arbres".split(),
+    "fi": "vanha talo joen varrella myytiin kevaalla ja uudet omistajat istuttivat puita tien varteen yksi kerrallaan hyvin hitaasti".split(),
+}
+
+
+def sentences(lang, n, rng):
+    return [" ".join(rng.choice(SAMPLES[lang]) for _ in range(rng.randint(5, 60))) for _ in range(n)]
+
+
+def test_an_unlearned_language_goes_and_learned_ones_stay(spark):
+    import random
+
+    rng = random.Random(1)
+    rows = [(i, t, lang) for lang in ("en", "fr") for i, t in enumerate(sentences(lang, 200, rng), 1000 * (1 + (lang == "fr")))]
+    rows += [(5000 + i, t, None) for i, t in enumerate(sentences("fi", 60, rng))]
+    kept = {r.doc_id for r in L.keep_identified(spark.createDataFrame(rows, "doc_id long, text string, lang string")).collect()}
+    assert kept == {i for i, _, lang in rows if lang}
+
+
+def test_all_documents_with_a_language_stay(spark):
+    docs = spark.read.parquet("/root/testdata/sf0.01/documents.parquet")
+    gone = docs.join(L.keep_identified(docs).select("doc_id"), "doc_id", "left_anti").collect()
+    assert not [r.doc_id for r in gone if r.text and L._words(r.text)]
+
+
+def test_stage_keeps_columns_of_its_own_names_and_works_without_labels(spark, no_docs):
+    rows = [(i, "the river and the stone", "en", "mine", 7.5) for i in range(10)] + [(20, "12 34", None, "x", 0.0)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, lang string, _lang_pred string, _lang_score double")
+    kept = L.keep_identified(docs)
+    assert kept.columns == docs.columns and sorted(tuple(r) for r in kept.collect()) == rows[:-1]
+    bare = docs.selectExpr("doc_id", "text", "cast(null as string) as lang", "_lang_pred", "_lang_score")
+    assert {r.doc_id for r in L.keep_identified(bare).collect()} == set(range(10))
+    two = L.keep_identified(docs.filter("doc_id < 2"))  # too few to learn an n-gram from
+    assert two.count() == 2 and L.keep_identified(no_docs).count() == 0

@@ -100,6 +100,10 @@ VERSION = "either version {} of the license or at your option any later version"
 PUBLISHED = {
     "agpl-notice": [GNU.format("affero general public license") + " " + VERSION.format("3")],
     "agpl-terms": [GNU.format("affero general public license")],
+    "bsd-advert": ["all advertising materials mentioning features or use of this software must display the following "
+                   "acknowledgement"],
+    "bsd-endorse": ["the name of the author may not be used to endorse or promote products derived from this software without "
+                    "specific prior written permission"],
     "cc0-notice": ["to the extent possible under law the person who associated cc0 with this work has waived all copyright and "
                    "related or neighboring rights to this work", "cc0 1 0 universal"],
     "cc-by-notice": ["this work is licensed under the creative commons attribution 4 0 international license",
@@ -122,6 +126,9 @@ PUBLISHED = {
                        GNU.format("lesser general public license version 2 1")],
     "lgpl3-notice": [GNU.format("lesser general public license") + " " + VERSION.format("3"),
                      GNU.format("lesser general public license version 3")],
+    "mit-notice": ["the mit license mit", "licensed under the terms of the mit license",
+                   "released under the terms of the mit license", "this project is licensed under the mit license",
+                   "this software is released under the mit license", "distributed under the mit license"],
     "unlicense-notice": ["this is free and unencumbered software released into the public domain"],
 }
 
@@ -142,15 +149,21 @@ PUBLISHED |= {f"spdx-{name}": ["spdx license identifier " + re.sub("[^a-z0-9]+",
 PUBLISHED_RULES += [(name, [f"spdx-{name}"]) for name in SPDX]
 
 KNOWN = {name: SENTENCES.get(name, []) + PUBLISHED.get(name, []) for name in [*SENTENCES, *PUBLISHED]}
-# the new rules take the identifiers that the old ones leave
-ALL_RULES = RULES + PUBLISHED_RULES
+# the clause on advertising tells the oldest form from the shorter ones that its sentences hold; else the new rules
+# take the identifiers that the old ones leave
+BSD_4 = ["bsd-grant", "bsd-source", "bsd-binary", "bsd-advert"]
+ALL_RULES = [("BSD-4-Clause", [*BSD_4, "bsd-endorse"]), ("BSD-4-Clause", BSD_4), *RULES, *PUBLISHED_RULES]
 
 # A text without any of these (in lower case) has no known sentence.  Each lies within one word,
 # so that it stands in the raw text however the words are parted.
-TRIGGERS = ("license", "redistribution", "reserved", "copyright", "warranty", "permission", "cc0", "unencumbered")
+TRIGGERS = ("license", "redistribution", "reserved", "copyright", "warranty", "permission", "cc0", "unencumbered", "advertising")
 WHITE = r"\x20\x09-\x0D"
 SPDX_MARK = "SPDX-License-Identifier "
-IN_SPDX = rf"(?<={SPDX_MARK}[^\x0A-\x0D]{{1,300}})"
+# from the mark, or from where the last match on the same line ended, to the next one, however long the line is
+ON_SPDX_LINE = rf"((?:{SPDX_MARK}|\G(?!^))[^\x0A-\x0D]*?)"
+# the holder's name in the last clause of the BSD licence, and what the known sentence has for it
+HOLDER = r"neither[ ~]the[ ~]names?[ ~]of[ ~][a-z0-9 ~]+?[ ~]nor[ ~]the[ ~]names[ ~]of[ ~](?:its|any|their)[ ~]contributors"
+ANY_HOLDER = "neither the name of the copyright holder nor the names of its contributors"
 UPPER, LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
 
 
@@ -160,8 +173,8 @@ def written(text: Column) -> Column:
     one of comment marks only), is a bar: there a sentence has to end."""
     # of an SPDX line each licence is a sentence; the point of 'v. 2.0' ends none
     spdx = F.regexp_replace(text, r"(?i)\bSPDX-License-Identifier:[\x20\x09(]*", SPDX_MARK)
-    spdx = F.regexp_replace(spdx, rf"(?i)[\x20\x09]+WITH[\x20\x09]+[A-Z0-9.+-]+{IN_SPDX}", "")
-    spdx = F.regexp_replace(spdx, rf"(?i)[\x20\x09)]+(?:OR|AND)[\x20\x09(]+{IN_SPDX}", "\n\n" + SPDX_MARK)
+    spdx = F.regexp_replace(spdx, rf"(?i){ON_SPDX_LINE}[\x20\x09]+WITH[\x20\x09]+[A-Z0-9.+-]+", "$1")
+    spdx = F.regexp_replace(spdx, rf"(?i){ON_SPDX_LINE}[\x20\x09)]+(?:OR|AND)[\x20\x09(]+", "$1\n\n" + SPDX_MARK)
     whole = F.when(text.rlike("(?i)SPDX-License-Identifier:"), spdx).otherwise(text)
     whole = F.regexp_replace(whole, rf"(?i)\bv\.[{WHITE}]+(?=[0-9])", "v ")
     cut = F.regexp_replace(whole, rf"([.!?;:])[{WHITE}]+", "$1\n\n")
@@ -169,7 +182,7 @@ def written(text: Column) -> Column:
     lines = F.regexp_replace(lines, r"(?m)^[\x20\x09]*(?:rem|dnl)(?=[\x20\x09])", "")
     words = F.trim(F.regexp_replace(lines, r"[^a-z0-9\x0A]+", " "))
     ends = F.regexp_replace(F.regexp_replace(words, r" ?\x0A ?", "\n"), r"\x0A{2,}", "|")
-    return F.concat(F.lit("|"), F.translate(ends, "\n", "~"), F.lit("|"))
+    return F.concat(F.lit("|"), F.regexp_replace(F.translate(ends, "\n", "~"), HOLDER, ANY_HOLDER), F.lit("|"))
 
 
 def sentence_ids(text: Column) -> Column:
@@ -239,7 +252,8 @@ lines as (select row_number() over () as row, doc_id,
                                     '[\x0A-\x0D]+') as parts from documents),
 cut as (select row, unnest(parts) as s, generate_subscripts(parts, 1) as at from lines),
 found as (select c.row, list(k.id order by c.at) as ids from cut c
-          join known k on k.sentence = trim(regexp_replace(translate(c.s, '{UPPER}', '{LOWER}'), '[^a-z0-9]+', ' ', 'g'))
+          join known k on k.sentence = regexp_replace(trim(regexp_replace(translate(c.s, '{UPPER}', '{LOWER}'), '[^a-z0-9]+', ' ', 'g')),
+                                                 '^{HOLDER.replace("[ ~]", " ").replace("[a-z0-9 ~]", "[a-z0-9 ]")}', '{ANY_HOLDER}')
           group by c.row),
 r0 as (select l.doc_id, coalesce(f.ids, []::varchar[]) as ids, []::varchar[] as licenses,
               replace('|' || array_to_string(coalesce(f.ids, []::varchar[]), '|') || '|', '|', '||') as rest

@@ -4,6 +4,7 @@ travel so that they never clash with an operator's own."""
 
 from __future__ import annotations
 
+import functools
 import os
 import tempfile
 import uuid
@@ -48,6 +49,45 @@ def spent(*tables: DataFrame) -> None:
         folder.getFileSystem(df.sparkSession._jsc.hadoopConfiguration()).delete(folder, True)
 
 
+_caches: list = []
+_beginner: str | None = None
+
+
+def kept_by_worker(function):
+    """functools.cache for what a Python worker keeps between tasks; it goes
+    when tasks of another operator begin there."""
+    cached = functools.cache(function)
+    _caches.append(cached)
+    return cached
+
+
+def begin(operator: str) -> None:
+    """Called where a task of an operator begins: if the worker served another
+    one before, what that kept is let go and the memory given back, so that
+    the stages of one session do not add up in workers that are used again."""
+    global _beginner
+    if _beginner != operator:
+        _beginner = operator
+        for cached in _caches:
+            cached.cache_clear()
+        give_back()
+
+
+def give_back() -> None:
+    """Return freed memory to the system, as far as the allocators can."""
+    import ctypes
+    import gc
+
+    import pyarrow as pa
+
+    gc.collect()
+    pa.default_memory_pool().release_unused()
+    try:
+        ctypes.CDLL(None).malloc_trim(0)
+    except (AttributeError, OSError):  # another C library
+        pass
+
+
 _shipped: set[str] = set()
 
 
@@ -105,6 +145,7 @@ def id_filter(ids: DataFrame, column: str):
     def held(cells):
         import pandas as pd
 
+        begin("id filter")
         at = cells.to_numpy()
         return pd.Series((shared.value[at >> 5] >> (at & 31).astype(np.uint32)) & 1 == 1)
 

@@ -32,7 +32,7 @@ from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from moodlake.llm.common import id_filter, ship_package, shuffle_partitions, spent, stored
+from moodlake.llm.common import begin, id_filter, ship_package, shuffle_partitions, spent, stored
 
 WORDS = 5
 PERCENT = 80
@@ -102,6 +102,7 @@ def _signatures(bodies: DataFrame, words: int) -> DataFrame:
               .add("segment", "integer").add("counts", "binary"))
 
     def sign(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        begin("jaccard signatures")
         counts, held, size, arrow = np.zeros(CELLS, np.uint32), [], 0, None
         for batch in batches:
             arrow = batch.schema.field("doc_id").type
@@ -176,6 +177,7 @@ def _entries(bodies: DataFrame, counts: np.ndarray, buckets: int, words: int, pe
     usual = 2 * float(counts.mean())
 
     def send(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        begin("jaccard entries")
         table, held, size = shared.value, [], 0
         sent: set[int] = set()
 
@@ -221,6 +223,7 @@ def _meetings(entries: DataFrame, counts: np.ndarray, buckets: int) -> DataFrame
     names = ["token", "key", "size", "least", "last"]
 
     def meet(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        begin("jaccard meetings")
         at, held, size, most = None, [], 0, ENTRIES_PER_BUCKET
 
         def merged() -> np.ndarray:
@@ -307,6 +310,7 @@ def _verified(pairs: DataFrame, bodies: DataFrame, classes: DataFrame, words: in
         return pa.RecordBatch.from_arrays([pa.array(docs, kind), pa.array(keys, pa.int64()), sets], ["_doc", "_class", "own"])
 
     def sets(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        begin("jaccard sets")
         sent: set[int] = set()
         for batch in batches:
             docs, keys, found, size = [], [], [], 0

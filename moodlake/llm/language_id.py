@@ -22,7 +22,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from moodlake.llm.common import ship_package
+from moodlake.llm.common import begin, ship_package
 
 NGRAMS = (3, 4)  # lengths, over lower-case words with a blank at each end
 ROWS_PER_LANGUAGE = 4000  # labelled rows of a language that fitting reads, about; chosen by hash of the text
@@ -125,6 +125,7 @@ def fit(labelled: DataFrame, text: str = "text", lang: str = "lang") -> Language
     chosen = rows.filter(F.pmod(F.xxhash64("body"), F.lit(2**30)) < parts[F.col("lang")]).dropDuplicates(["lang", "body"])
 
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        begin("language fit")
         words: dict[str, Counter] = {}
         for batch in batches:
             for body, name in zip(batch.column(0), batch.column(1).to_pylist()):
@@ -163,6 +164,7 @@ def predict(docs: DataFrame, model: LanguageFilter, text: str = "text", lang_pre
     rows = docs.select(*[F.col(f"`{f.name}`") for f in schema.fields[:-2]])
 
     def decide(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        begin("language prediction")
         model = shared.value
         known: dict[str, int] = {}
         table = np.zeros((KEPT_WORDS, len(model.languages) + 1))

@@ -42,7 +42,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from moodlake.llm.common import id_filter, ship_package, spent, stored
+from moodlake.llm.common import begin, id_filter, ship_package, spent, stored
 from moodlake.llm.jaccard_join import components, shingles
 
 WORDS = 2
@@ -103,6 +103,7 @@ def _signed(bodies: DataFrame, words: int) -> DataFrame:
                            T.StructField("tokens", T.ArrayType(T.LongType())), T.StructField("beside", T.ArrayType(T.LongType()))])
 
     def sign(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        begin("minhash signatures")
         for batch in batches:
             sizes, high, low, tokens, beside = [], [], [], [], []
             for body in batch.column(1):
@@ -181,6 +182,7 @@ def _sets(asked: DataFrame, classes: DataFrame, bodies: DataFrame, words: int) -
     schema = "_k1 long, _k2 long, own array<long>"
 
     def make(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        begin("minhash sets")
         sent: set[tuple[int, int]] = set()  # classes met in rows without doc_id, of which there may be many copies
         for batch in batches:
             keys, sets, size = [], [], 0

@@ -16,7 +16,6 @@ still has room (best fit), and open a new bin only if none has.
 from __future__ import annotations
 
 import bisect
-import functools
 import json
 import os
 import re
@@ -31,7 +30,7 @@ from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from moodlake.llm.common import ship_package, stored
+from moodlake.llm.common import begin, kept_by_worker, ship_package, stored
 
 CAPACITY = 4096
 END_OF_DOCUMENT = 1
@@ -128,7 +127,7 @@ class BinPlan:
             pieces -= used * per_bin
 
 
-@functools.cache  # one for all tasks of a worker
+@kept_by_worker  # one for all tasks of a worker
 def text_encoder(path: str) -> TextEncoder:
     return TextEncoder(path)
 
@@ -284,6 +283,7 @@ def pieces_of(docs: DataFrame, tokenizer_path: str, capacity: int, doc_id: str,
         schema = schema.add("ids", T.ArrayType(T.IntegerType()))
 
     def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        begin("packing")
         encoder, turns = text_encoder(tokenizer_path), [0] * (capacity + 1)
         end = np.array([END_OF_DOCUMENT], "<u4").tobytes()
         for batch in batches:

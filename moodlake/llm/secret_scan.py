@@ -28,7 +28,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from moodlake.llm.common import ship_package
+from moodlake.llm.common import begin, ship_package
 
 # The patterns of the base spans, in the order of their kinds.
 ASSIGN = re.compile(r"""(?ai)(password|passwd|secret|token|api_?key)["']?\x20*[:=]\x20*["']?([A-Za-z0-9+/_.=-]+)""")
@@ -344,6 +344,7 @@ def fit(docs: DataFrame, text: str = "text") -> RandomField:
     schema = "secret boolean, key long, words array<string>, tags array<int>, of_file array<string>"
 
     def windows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        begin("secret windows")
         for batch in batches:
             out = [[] for _ in range(5)]
             for body, key in zip(batch.column(0), batch.column(1).to_pylist()):
@@ -406,6 +407,7 @@ def scan(docs: DataFrame, model: RandomField | None = None, doc_id: str = "doc_i
         schema = schema.add(name, kind)
 
     def find(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        begin("secret scan")
         for batch in batches:
             counts, digests, texts = [[], [], [], []], [], []
             for body in batch.column(1):
@@ -431,6 +433,7 @@ def mask_secrets(docs: DataFrame, text: str = "text", n_chars: str = "n_chars")
 
     @F.pandas_udf("string")
     def clean(series):
+        begin("secret masks")
         return series.map(lambda t: masked(t, all_spans(t, shared.value)), na_action="ignore")
 
     out = docs.withColumn(text, clean(F.col(f"`{text}`")))

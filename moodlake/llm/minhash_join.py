@@ -207,7 +207,7 @@ def _sets(asked: DataFrame, classes: DataFrame, bodies: DataFrame, words: int) -
     made = bodies.filter(wanted | F.col("doc_id").isNull() if nameless else wanted).mapInArrow(make, schema)
     # a doc_id may stand on several rows; the set must be that of the class
     same = (F.col("_k1") == F.col("k1")) & (F.col("_k2") == F.col("k2"))
-    out = stored(made.join(reps, same).select("id", "own").dropDuplicates(["id"]), "sets")
+    out = stored(made.join(reps, same).dropDuplicates(["k1", "k2"]).select("id", "own"), "sets")
     spent(reps)
     return out
 
@@ -228,6 +228,13 @@ def _confirmed(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
     return stored(both.filter(100 * shared >= percent * (F.size("own_a") + F.size("own_b") - shared)).select("a", "b"), "links")
 
 
+def _sketched(pairs: DataFrame, classes: DataFrame, percent: int) -> DataFrame:
+    """Of the pairs (a, b) of classes those whose sketches allow the similarity."""
+    one = classes.select(F.col("id").alias("a"), "size", *SKETCH)
+    two = _other(classes.select("size", *SKETCH, F.col("id").alias("b"))).withColumnRenamed("b_2", "b")
+    return pairs.join(one, "a").join(two, "b").filter(_near_enough(percent)).select("a", "b")
+
+
 def _ids(pairs: DataFrame) -> DataFrame:
     return pairs.select(F.explode(F.array("a", "b")).alias("id")).distinct()
 
@@ -247,7 +254,8 @@ def _components(prefixes: DataFrame, classes: DataFrame, bodies: DataFrame, word
     # each class and its lists' hubs
     near = stored(posted.join(hubs, (F.col("token") == F.col("_token")) & (F.col("id") != F.col("id_2")) & _alike(percent, matches))
                   .select(F.least("id", "id_2").alias("a"), F.greatest("id", "id_2").alias("b")).distinct(), "near")
-    spent(hubs)
+    near, all_near = stored(_sketched(near, classes, percent), "near"), near
+    spent(hubs, all_near)
     sets = _sets(_ids(near), classes, bodies, words)
     links = _confirmed(near, sets, percent)
     labels = _labelled(links)
@@ -268,7 +276,8 @@ def _components(prefixes: DataFrame, classes: DataFrame, bodies: DataFrame, word
     across = stored(across.join(near, ["a", "b"], "left_anti"), "across")
     if across.limit(1).count():
         fresh = _ids(across).join(sets.select("id"), "id", "left_anti")
-        more = _confirmed(across, sets.unionByName(_sets(fresh, classes, bodies, words)), percent)
+        asked = sets.join(_ids(across), "id", "left_semi").unionByName(_sets(fresh, classes, bodies, words))
+        more = _confirmed(across, asked, percent)
         if more.limit(1).count():
             labels = _labelled(links.unionByName(more))
     spent(rated, sets, near, across)

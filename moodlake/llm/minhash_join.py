@@ -5,7 +5,7 @@ the set under as many hash functions.  Two sets of similarity s agree in each
 coordinate with probability s, so pairs that agree in MATCHES coordinates or
 more are candidates, and candidates are confirmed on their full sets.  (With 64
 coordinates and 34 matches a pair of similarity 0.8 is missed with probability
-3e-7, one of 0.85 with 5e-10.)
+3e-7, one of 0.85 with 3e-10.)
 
 Every document is posted under its (coordinate, value) pairs, and collisions
 are counted over these lists with two savings:

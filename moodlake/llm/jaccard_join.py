@@ -32,7 +32,7 @@ from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from moodlake.llm.common import begin, id_filter, ship_package, shuffle_partitions, spent, stored
+from moodlake.llm.common import begin, give_back, id_filter, ship_package, shuffle_partitions, spent, stored
 
 WORDS = 5
 PERCENT = 80
@@ -128,6 +128,8 @@ def _signatures(bodies: DataFrame, words: int) -> DataFrame:
             none = pa.nulls(SEGMENTS)
             yield pa.RecordBatch.from_arrays([none.cast(arrow), none.cast(pa.int64()), none.cast(pa.int64()),
                                               none.cast(pa.list_(pa.int64())), pa.array(range(SEGMENTS), pa.int32()), pa.array(parts, pa.binary())], schema.names)
+        held = []
+        give_back()
 
     return stored(bodies.mapInArrow(sign, schema), "signatures")
 
@@ -210,6 +212,8 @@ def _entries(bodies: DataFrame, counts: np.ndarray, buckets: int, words: int, pe
                     held, size = [], 0
         if held:
             yield from packed()
+        held = []
+        give_back()
 
     return bodies.mapInArrow(send, "bucket int, entries binary")
 
@@ -330,6 +334,7 @@ def _verified(pairs: DataFrame, bodies: DataFrame, classes: DataFrame, words: in
                     docs, keys, found, size = [], [], [], 0
             if docs:
                 yield packed(docs, keys, found, batch.column(0).type)
+        give_back()
 
     schema = T.StructType([T.StructField("_doc", bodies.schema["doc_id"].dataType), T.StructField("_class", T.LongType()),
                            T.StructField("own", T.ArrayType(T.LongType()))])

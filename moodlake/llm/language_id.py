@@ -22,7 +22,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from moodlake.llm.common import begin, ship_package
+from moodlake.llm.common import begin, give_back, ship_package
 
 NGRAMS = (3, 4)  # lengths, over lower-case words with a blank at each end
 ROWS_PER_LANGUAGE = 4000  # labelled rows of a language that fitting reads, about; chosen by hash of the text
@@ -197,6 +197,8 @@ def predict(docs: DataFrame, model: LanguageFilter, text: str = "text", lang_pre
                 scores.append(value)
             yield pa.RecordBatch.from_arrays([*batch.columns, pa.array(names, pa.string()), pa.array(scores, pa.float64())],
                                              schema.names)
+        known.clear()
+        give_back()
 
     return rows.mapInArrow(decide, schema)
 
@@ -230,9 +232,11 @@ def keep_identified(docs: DataFrame, doc_id: str = "doc_id", text: str = "text",
     stay as they are, whatever their names; an empty table stays empty."""
     labelled = docs.filter(~held_out(F.col(f"`{doc_id}`")) & F.col(f"`{lang}`").isNotNull() & F.col(f"`{text}`").isNotNull())
     model = fit(labelled, text, lang)
-    rows = docs.select(F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("row"), F.col(f"`{text}`").alias("text"))
     if not model.cells.any():
-        return rows.filter(F.col("text").rlike(r"\p{L}")).select("row.*")
+        return docs.filter(F.col(f"`{text}`").rlike(r"\p{L}"))
     sample = labelled.filter(F.pmod(F.xxhash64(F.col(f"`{text}`")), F.lit(int(sum(model.prior)))) < ROWS_PER_LANGUAGE * len(model.languages))
     least = known_share(sample, model, text)
-    return predict(rows, model).filter((F.col("lang_pred") != UNKNOWN) & (F.col("score") > 0) & (F.col("score") >= least)).select("row.*")
+    pred, score = ("_" * (1 + max(map(len, docs.columns))) + end for end in ("pred", "score"))  # names longer than any column's
+    judged = predict(docs, model, text, pred, score)
+    return judged.filter((F.col(pred) != UNKNOWN) & (F.col(score) > 0) & (F.col(score) >= least)).select(
+        *[F.col(f"`{c}`") for c in docs.columns])

@@ -30,7 +30,7 @@ from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from moodlake.llm.common import begin, kept_by_worker, ship_package, stored
+from moodlake.llm.common import begin, give_back, kept_by_worker, ship_package, stored
 
 CAPACITY = 4096
 END_OF_DOCUMENT = 1
@@ -301,6 +301,7 @@ def pieces_of(docs: DataFrame, tokenizer_path: str, capacity: int, doc_id: str,
                         out[-1].append(np.frombuffer(own, "<i4"))
             types = [batch.schema.field("doc_id").type, pa.int32(), *[pa.int64()] * 5, pa.list_(pa.int32())]
             yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(out, types)], schema.names)
+        give_back()
 
     return rows.mapInArrow(cut, schema)
 

@@ -28,7 +28,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from moodlake.llm.common import begin, ship_package
+from moodlake.llm.common import begin, give_back, ship_package
 
 # The patterns of the base spans, in the order of their kinds.
 ASSIGN = re.compile(r"""(?ai)(password|passwd|secret|token|api_?key)["']?\x20*[:=]\x20*["']?([A-Za-z0-9+/_.=-]+)""")
@@ -48,6 +48,7 @@ POSITIVE_WINDOWS, NEGATIVE_WINDOWS = 2000, 4000  # windows of tokens that traini
 REACH = 4  # tokens on each side of a window's centre
 NEGATIVE_EVERY = 307  # of the tokens without a secret near by, one in so many is the centre of a window
 LEAST_SEEN = 3  # a neighbouring word is a feature if so many windows have it
+ROWS_SENT = 500
 KEPT_WORDS = 60_000  # words whose row a Python worker remembers; a full memory starts anew
 MASK = "[SECRET]"
 BEGIN, INSIDE, OUTSIDE = 0, 1, 2
@@ -431,12 +432,20 @@ def mask_secrets(docs: DataFrame, text: str = "text", n_chars: str = "n_chars")
     ship_package(docs.sparkSession)
     shared = docs.sparkSession.sparkContext.broadcast(model)
 
-    @F.pandas_udf("string")
-    def clean(series):
-        begin("secret masks")
-        return series.map(lambda t: masked(t, all_spans(t, shared.value)), na_action="ignore")
+    names = docs.columns
 
-    out = docs.withColumn(text, clean(F.col(f"`{text}`")))
+    def clean(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        begin("secret masks")
+        at = names.index(text)
+        for whole in batches:
+            for first in range(0, whole.num_rows, ROWS_SENT):  # few texts at a time are Python's
+                batch = whole.slice(first, ROWS_SENT)
+                bodies = (body.as_py() for body in batch.column(at))
+                new = [None if body is None else masked(body, all_spans(body, shared.value)) for body in bodies]
+                yield pa.RecordBatch.from_arrays([*batch.columns[:at], pa.array(new, batch.column(at).type), *batch.columns[at + 1:]], names)
+        give_back()
+
+    out = docs.mapInArrow(clean, docs.schema)
     if n_chars in docs.columns:
         out = out.withColumn(n_chars, F.when(F.col(f"`{text}`").isNotNull(), F.char_length(F.col(f"`{text}`")))
                              .otherwise(F.col(f"`{n_chars}`")).cast(docs.schema[n_chars].dataType))

@@ -49,6 +49,18 @@ def spent(*tables: DataFrame) -> None:
         folder.getFileSystem(df.sparkSession._jsc.hadoopConfiguration()).delete(folder, True)
 
 
+def step_done(spark: SparkSession, *tables: DataFrame) -> None:
+    """Between the large steps of a job: remove spent tables, and let Spark
+    delete the shuffle files of the steps before.  It does so when the driver's
+    JVM finds that nothing refers to them, which left alone it may not look for
+    until far more has been written."""
+    import gc
+
+    spent(*tables)
+    gc.collect()
+    spark.sparkContext._jvm.System.gc()
+
+
 _caches: list = []
 _beginner: str | None = None
 

@@ -32,7 +32,7 @@ from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from moodlake.llm.common import begin, give_back, id_filter, ship_package, shuffle_partitions, spent, stored
+from moodlake.llm.common import begin, give_back, id_filter, ship_package, shuffle_partitions, spent, step_done, stored
 
 WORDS = 5
 PERCENT = 80
@@ -352,7 +352,7 @@ def _verified(pairs: DataFrame, bodies: DataFrame, classes: DataFrame, words: in
     shared = F.size(F.array_intersect("own_a", "own_b"))
     similar = 100 * shared >= percent * (F.size("own_a") + F.size("own_b") - shared)
     links = stored(both.filter(similar).select("a", "b").distinct(), "links")
-    spent(checked)
+    step_done(bodies.sparkSession, checked)
     return links
 
 
@@ -397,7 +397,7 @@ def _rated_classes(docs: DataFrame, doc_id: str, text: str, words: int,
     buckets = max(shuffle_partitions(spark), -(-total * (100 - percent) // 100 // ENTRIES_PER_BUCKET))
     meetings = _meetings(_entries(bodies, counts, buckets, words, percent), counts, buckets)
     rated = stored(_rated(meetings, percent), "rated")
-    spent(meetings)
+    step_done(spark, meetings)
     return bodies, signed, classes, rated
 
 
@@ -426,14 +426,14 @@ def _grouped(docs: DataFrame, doc_id: str, text: str, words: int, percent: int)
     sketched = classes.select(F.col("key").alias("_key"), *SKETCH)
     open_rows = stored(placed.join(mixed, F.col("token") == F.col("_token"), "left_semi").join(sketched, F.col("key") == F.col("_key"))
                        .select(*placed.columns, *SKETCH), "open")
-    spent(placed, mixed, hubs)
+    step_done(docs.sparkSession, placed, mixed, hubs)
     other = open_rows.select(*[F.col(c).alias(f"{c}_2") for c in open_rows.columns])
     second = stored(open_rows.join(other, (F.col("token") == F.col("token_2")) & (F.col("key") < F.col("key_2"))
                                    & (F.col("component") != F.col("component_2")) & _near_enough(percent) & _possible(percent, "_2"))
                     .groupBy(F.col("key").alias("a"), F.col("key_2").alias("b"))
                     .agg(F.count(F.lit(1)).alias("shared"), F.min(F.least("least", "least_2")).alias("least"))
                     .filter(F.col("shared") >= F.col("least")).select("a", "b").join(first, ["a", "b"], "left_anti"), "second")
-    spent(open_rows, rated, first)
+    step_done(docs.sparkSession, open_rows, rated, first)
     more = _verified(second, bodies, classes, words, percent)
     if more.limit(1).count():
         found = components(links.unionByName(more))

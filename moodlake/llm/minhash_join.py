@@ -42,7 +42,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from moodlake.llm.common import begin, id_filter, ship_package, spent, stored
+from moodlake.llm.common import begin, id_filter, ship_package, spent, step_done, stored
 from moodlake.llm.jaccard_join import components, shingles
 
 WORDS = 2
@@ -145,7 +145,7 @@ def _prefixes(classes: DataFrame, matches: int) -> DataFrame:
                     (-F.aggregate("met", F.lit(0.0), lambda sum_, x: sum_ + F.log2(x["n"]))).alias("rank")))
     out = stored(rare.join(classes.select("id", "size", *MARKS), F.col("_id") == F.col("id"))
                  .select("prefix", "rank", "id", "size", *MARKS), "prefixes")
-    spent(lists)
+    step_done(classes.sparkSession, lists)
     return out
 
 
@@ -255,9 +255,11 @@ def _components(prefixes: DataFrame, classes: DataFrame, bodies: DataFrame, word
     near = stored(posted.join(hubs, (F.col("token") == F.col("_token")) & (F.col("id") != F.col("id_2")) & _alike(percent, matches))
                   .select(F.least("id", "id_2").alias("a"), F.greatest("id", "id_2").alias("b")).distinct(), "near")
     near, all_near = stored(_sketched(near, classes, percent), "near"), near
-    spent(hubs, all_near)
+    step_done(classes.sparkSession, hubs, all_near)
     sets = _sets(_ids(near), classes, bodies, words)
+    step_done(classes.sparkSession)
     links = _confirmed(near, sets, percent)
+    step_done(classes.sparkSession)
     labels = _labelled(links)
     # lists whose members are still in different components: these meet each other
     sketched = classes.select(F.col("id").alias("_sketched"), *SKETCH)
@@ -274,13 +276,14 @@ def _components(prefixes: DataFrame, classes: DataFrame, bodies: DataFrame, word
                          & (F.col("component") != F.col("component_2")) & _near_enough(percent) & _alike(percent, matches) & first)
               .select(F.col("id").alias("a"), F.col("id_2").alias("b")))
     across = stored(across.join(near, ["a", "b"], "left_anti"), "across")
+    step_done(classes.sparkSession, rated)
     if across.limit(1).count():
         fresh = _ids(across).join(sets.select("id"), "id", "left_anti")
         asked = sets.join(_ids(across), "id", "left_semi").unionByName(_sets(fresh, classes, bodies, words))
         more = _confirmed(across, asked, percent)
         if more.limit(1).count():
             labels = _labelled(links.unionByName(more))
-    spent(rated, sets, near, across)
+    step_done(classes.sparkSession, sets, near, across)
     return labels
 
 
@@ -300,7 +303,7 @@ def near_copies(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", wor
     signed = _signed(bodies, words)
     members = stored(signed.select("doc_id", "n_shingles", "k1", "k2"), "members")
     classes = _classes(signed)
-    spent(signed)
+    step_done(docs.sparkSession, signed)
     prefixes = _prefixes(classes, matches)
     labels = _components(prefixes, classes, bodies, words, percent, matches)
     labels = stored(classes.select("id", "k1", "k2", "root").join(labels, F.col("id") == F.col("_id"), "left")

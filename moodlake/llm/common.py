@@ -23,6 +23,8 @@ def shared_dir(spark: SparkSession) -> str:
     """The folder that spark.checkpoint.dir names; only where that is unset
     (tests, one machine) a scratch folder is made and set."""
     path = spark.conf.get("spark.checkpoint.dir", None)
+    if not path and not spark.sparkContext.master.startswith("local["):
+        raise ValueError("set spark.checkpoint.dir to a folder that all executors share")
     if not path:
         path = tempfile.mkdtemp(prefix="moodlake-llm-")
         spark.conf.set("spark.checkpoint.dir", path)

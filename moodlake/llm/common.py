@@ -104,10 +104,17 @@ def give_back() -> None:
 
 _shipped: set[str] = set()
 
+# Spark's 10,000 rows a batch are some 50 MB of texts, held by the JVM and by Python at once, in every task
+BATCH_ROWS = "spark.sql.execution.arrow.maxRecordsPerBatch"
+TEXTS_A_BATCH = 1000
+
 
 def ship_package(spark: SparkSession) -> None:
     """Give the executors this package, once an application: their Python
-    need not find it on a path of its own."""
+    need not find it on a path of its own.  Batches to and from Python hold
+    TEXTS_A_BATCH rows at most from then on in this session."""
+    if int(spark.conf.get(BATCH_ROWS)) > TEXTS_A_BATCH:
+        spark.conf.set(BATCH_ROWS, str(TEXTS_A_BATCH))
     context = spark.sparkContext
     if context.applicationId in _shipped:
         return

@@ -81,5 +81,13 @@ def build_silver(bronze: DataFrame, tiebreak: list[str] | None = None, key: str
     """bronze -> silver: dedup (before filtering: an out-of-range latest row
     removes the track rather than resurrecting an older copy), conform, filter.
     The canonical schema, range columns and required columns are parameters
-    (e.g. a single-precision variant with five range checks)."""
-    return filter_ranges(conform_schema(dedup_latest(bronze, key, ts, tiebreak), schema), range_cols, not_null)
+    (e.g. a single-precision variant with five range checks).
+
+    The wide rows are rebalanced by key before they are sorted: a split of the
+    input holds more of them than a task can sort in memory and hardly two of
+    one key, so limiting there would spill all and drop none.  Adaptive
+    execution sizes the parts and splits that of a hot key; the limit inside
+    them leaves one row per key and part for the second exchange."""
+    keys = [key] if isinstance(key, str) else list(key)
+    dealt = bronze.withColumn("_deal", F.xxhash64(*keys)).hint("rebalance", "_deal").drop("_deal")
+    return filter_ranges(conform_schema(dedup_latest(dealt, key, ts, tiebreak), schema), range_cols, not_null)

@@ -54,3 +54,16 @@ def test_artist_snapshot_first_row_rule(spark):
     got = {r["artist_name"]: (r["artist_genre"], r["artist_popularity"]) for r in A.artist_snapshot(df).collect()}
     # X: newest ingestion ties at T0 -> smallest track_id t1; Y: newest is t3 at T1
     assert got == {"X": ("pop", 20), "Y": ("jazz", 30)}
+
+
+def test_build_silver_deals_wide_rows_before_it_sorts_them(spark):
+    """The first sort is of parts that adaptive execution sizes, not of whole
+    splits of the input; a hot and a null key leave one row each."""
+    key = F.when(F.col("id") % 3 == 0, F.lit("hot")).when(F.col("id") % 3 == 1, F.concat(F.lit("T"), F.col("id").cast("string")))
+    df = spark.range(3000).select(key.alias("track_id"), F.col("id").alias("popularity"), F.lit(0.5).alias("energy"),
+                                  F.lit(100.0).alias("tempo"), F.lit(T0).alias("ingestion_timestamp"))
+    out = S.build_silver(df, ["popularity"])
+    got = {r["track_id"]: r["popularity"] for r in out.collect()}
+    assert out.count() == len(got) == 1002 and (got["hot"], got["T4"], got[None]) == (0, 4, 2)
+    plan = S.build_silver(df, ["popularity"])._jdf.queryExecution().executedPlan().toString()
+    assert "REBALANCE_PARTITIONS_BY_COL" in plan[plan.rindex("Sort ["):]

@@ -22,14 +22,13 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from moodlake.llm.common import begin, give_back, ship_package
+from moodlake.llm.common import begin, give_back, renamed, ship_package, stored
 
 NGRAMS = (3, 4)  # lengths, over lower-case words with a blank at each end
-ROWS_PER_LANGUAGE = 4000  # labelled rows of a language that fitting reads, about; chosen by hash of the text
 LEAST_SHARE = 2e-5  # an n-gram enters a language's slice with this share of its n-grams at least
 CELLS_PER_NGRAM = 16
 HASHES = 2
-KEPT_WORDS = 100_000  # words whose counts a Python worker keeps; then it starts anew
+KEPT_WORDS = 100_000  # words whose counts a Python worker keeps, about; then it starts anew
 UNKNOWN = "und"
 
 _words = regex.compile(r"\p{L}+").findall
@@ -105,41 +104,58 @@ def held_out(doc_id: F.Column) -> F.Column:
     return F.crc32(F.coalesce(doc_id.cast("string"), F.lit("")).cast("binary")) % 3 == 1
 
 
+def _gram_counts(words: dict[str, Counter]) -> Iterator[pa.RecordBatch]:
+    """Each language's counted words as counted n-grams; the words are let go."""
+    for name, counted in words.items():
+        grams = Counter()
+        for word, n in counted.items():
+            for gram in _ngrams(word):
+                grams[gram] += n
+        yield pa.RecordBatch.from_arrays([pa.array([name] * len(grams)), pa.array(list(grams), pa.string()),
+                                          pa.array(list(grams.values()), pa.float64())], ["lang", "gram", "n"])
+    words.clear()
+
+
 def fit(labelled: DataFrame, text: str = "text", lang: str = "lang") -> LanguageFilter:
-    """The filter of the labelled rows (null text or lang: left out).
+    """The filter of all labelled rows (null text or lang: left out).
 
-    About ROWS_PER_LANGUAGE different texts of each language are read, chosen by
-    a hash of the text, each once however many copies there are; what reaches the driver are the n-grams with LEAST_SHARE of a
-    language's at least, so at most 1 / LEAST_SHARE for each language."""
+    Every text of a language is read whole and counts once, however many copies
+    there are: each of n copies adds an nth of its counts.  What reaches the
+    driver are the n-grams with LEAST_SHARE of a language's at least, so at
+    most 1 / LEAST_SHARE for each language."""
     ship_package(labelled.sparkSession)
     rows = labelled.select(F.col(f"`{text}`").alias("body"), F.col(f"`{lang}`").alias("lang")).filter(
-        F.col("body").isNotNull() & F.col("lang").isNotNull())
-    counted = rows.groupBy("lang").agg(F.count(F.lit(1)).alias("n"), F.approx_count_distinct(F.xxhash64("body")).alias("texts")).collect()
-    sizes = {r["lang"]: r["n"] for r in counted}
-    texts = {r["lang"]: max(1, r["texts"]) for r in counted}
+        F.col("body").isNotNull() & F.col("lang").isNotNull()).withColumn("digest", F.xxhash64("body"))
+    groups = stored(rows.groupBy("lang", "digest").agg(F.count(F.lit(1)).alias("copies")), "language_groups")
+    sizes = {r["lang"]: r["n"] for r in groups.groupBy("lang").agg(F.sum("copies").alias("n")).collect()}
     if not sizes:
         return LanguageFilter.build([], [], {})
     languages = sorted(sizes)
-    parts = F.create_map(*[F.lit(x) for name in languages
-                           for x in (name, int(min(1.0, ROWS_PER_LANGUAGE / texts[name]) * 2**30))])
-    chosen = rows.filter(F.pmod(F.xxhash64("body"), F.lit(2**30)) < parts[F.col("lang")]).dropDuplicates(["lang", "body"])
+    # stored, so that Spark knows how few they are and need not move the texts to join them
+    copied = stored(groups.filter("copies > 1"), "language_copies")
+    weighed = rows.join(copied, ["lang", "digest"], "left").select(
+        "body", "lang", F.coalesce(F.lit(1.0) / F.col("copies"), F.lit(1.0)).alias("weight"))
 
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         begin("language fit")
         words: dict[str, Counter] = {}
         for batch in batches:
-            for body, name in zip(batch.column(0), batch.column(1).to_pylist()):
-                words.setdefault(name, Counter()).update(_words(body.as_py().lower()))
-        for name, counted in words.items():
-            grams = Counter()
-            for word, n in counted.items():
-                for gram in _ngrams(word):
-                    grams[gram] += n
-            yield pa.RecordBatch.from_arrays([pa.array([name] * len(grams)), pa.array(list(grams), pa.string()),
-                                              pa.array(list(grams.values()), pa.int64())], ["lang", "gram", "n"])
-
-    grams = (chosen.mapInArrow(count, "lang string, gram string, n long").groupBy("lang", "gram")
-             .agg(F.sum("n").alias("n")))
+            for body, name, weight in zip(batch.column(0), batch.column(1).to_pylist(), batch.column(2).to_pylist()):
+                own = words.setdefault(name, Counter())
+                found = _words(body.as_py().lower())
+                if weight == 1:
+                    own.update(found)
+                else:
+                    for word, n in Counter(found).items():
+                        own[word] += n * weight
+            if sum(map(len, words.values())) > KEPT_WORDS:
+                yield from _gram_counts(words)
+        yield from _gram_counts(words)
+        give_back()
+
+    # the copies' parts of a text add up to whole numbers
+    grams = (weighed.mapInArrow(count, "lang string, gram string, n double").groupBy("lang", "gram")
+             .agg(F.round(F.sum("n")).cast("long").alias("n")))
     totals = grams.groupBy(F.col("lang").alias("_lang")).agg(F.sum("n").alias("total"))
     frequent = grams.join(F.broadcast(totals), F.col("lang") == F.col("_lang")).filter(
         F.col("n") >= F.greatest(F.lit(2), F.col("total") * LEAST_SHARE))
@@ -215,28 +231,29 @@ def identify(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", lang:
     return predict(rows.select("doc_id", "held_out", "text"), model).select("doc_id", "held_out", "lang_pred", "score")
 
 
-def known_share(docs: DataFrame, model: LanguageFilter, text: str = "text") -> float:
+def known_share(judged: DataFrame) -> float:
     """The least score that a text of a learned language has, but for one in a
     thousand, halved: what texts of other languages share with it stays below
-    that more often than not, and its own texts do not."""
-    judged = predict(docs.select(F.col(f"`{text}`").alias("text")), model).filter(F.col("lang_pred") != UNKNOWN)
-    found = judged.agg(F.percentile_approx("score", 0.001, 1000).alias("least")).first()["least"]
+    that more often than not, and its own texts do not.  judged: predict()'s
+    rows of texts whose language is known."""
+    found = judged.filter(F.col("lang_pred") != UNKNOWN).agg(F.percentile_approx("score", 0.001, 100_000).alias("least")).first()["least"]
     return 0.0 if found is None else found / 2
 
 
 def keep_identified(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", lang: str = "lang") -> DataFrame:
     """docs without those whose text has no language: null, without a letter, or
-    with fewer of its n-grams in any language than known_share() of about
-    ROWS_PER_LANGUAGE labelled texts of each language says.  Without
+    with fewer of its n-grams in any language than known_share() of all
+    labelled texts says.  Every text is scored once, and the scores are
+    stored with the documents: the threshold and the choice both read them.  Without
     labelled rows to learn from nothing can be judged, and all texts with a letter stay.  The columns
     stay as they are, whatever their names; an empty table stays empty."""
-    labelled = docs.filter(~held_out(F.col(f"`{doc_id}`")) & F.col(f"`{lang}`").isNotNull() & F.col(f"`{text}`").isNotNull())
-    model = fit(labelled, text, lang)
+    at = {c: f"c{i}" for i, c in enumerate(docs.columns)}
+    labelled = ~held_out(F.col(f"`{doc_id}`")) & F.col(f"`{lang}`").isNotNull() & F.col(f"`{text}`").isNotNull()
+    model = fit(docs.filter(labelled), text, lang)
     if not model.cells.any():
         return docs.filter(F.col(f"`{text}`").rlike(r"\p{L}"))
-    sample = labelled.filter(F.pmod(F.xxhash64(F.col(f"`{text}`")), F.lit(int(sum(model.prior)))) < ROWS_PER_LANGUAGE * len(model.languages))
-    least = known_share(sample, model, text)
-    pred, score = ("_" * (1 + max(map(len, docs.columns))) + end for end in ("pred", "score"))  # names longer than any column's
-    judged = predict(docs, model, text, pred, score)
-    return judged.filter((F.col(pred) != UNKNOWN) & (F.col(score) > 0) & (F.col(score) >= least)).select(
-        *[F.col(f"`{c}`") for c in docs.columns])
+    judged = stored(predict(renamed(docs, docs.columns), model, at[text]), "language")
+    known = judged.filter(~held_out(F.col(at[doc_id])) & F.col(at[lang]).isNotNull())
+    least = known_share(known)
+    return judged.filter((F.col("lang_pred") != UNKNOWN) & (F.col("score") > 0) & (F.col("score") >= least)).select(
+        *[F.col(c).alias(name) for name, c in at.items()])

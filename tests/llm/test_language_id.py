@@ -136,3 +136,21 @@ def test_stage_keeps_columns_of_its_own_names_and_works_without_labels(spark, no
     assert {r.doc_id for r in L.keep_identified(bare).collect()} == set(range(10))
     two = L.keep_identified(docs.filter("doc_id < 2"))  # too few to learn an n-gram from
     assert two.count() == 2 and L.keep_identified(no_docs).count() == 0
+
+
+def test_every_labelled_text_counts_and_sets_the_threshold(spark, monkeypatch):
+    """12,180 different texts of one language: words that are in nine of them
+    reach their share of all texts' n-grams, which a part of the texts would miss."""
+    from string import ascii_lowercase as abc
+
+    rare = [chr(0x3B1 + k) * 5 for k in range(20)]
+    texts = [f"stone river number {abc[i // 676]}{abc[i // 26 % 26]}{abc[i % 26]}" for i in range(12000)]
+    texts += [f"stone river number {w} {abc[i]}" for w in rare for i in range(9)]
+    rows = [(i, t, "en") for i, t in enumerate(texts)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, lang string")
+    hits = L.fit(docs).hits(rare)
+    assert (hits[:, 0] == hits[:, -1]).all()
+    judged = []
+    monkeypatch.setattr(L, "known_share", lambda known, *more: judged.append(known.count()) or 0.0)
+    L.keep_identified(docs)
+    assert judged == [sum(zlib.crc32(str(i).encode()) % 3 != 1 for i, _, _ in rows)]

@@ -10,6 +10,10 @@ from pyspark.sql import functions as F
 from moodlake.functions.expr import nan_to_null
 from moodlake.functions.params import RANGE_COLUMNS, TRACK_SCHEMA
 
+# The filter of the latest rows: words of 64 bits, and bits that a row sets in its word.
+FILTER_WORDS_LOG2 = 20
+FILTER_PROBES = 3
+
 
 def latest_order(ts: str, tiebreak: list[str] | None = None) -> list[Column]:
     """Total order for 'latest wins': newest timestamp first (nulls last), then
@@ -75,6 +79,26 @@ def filter_ranges(df: DataFrame, cols: list[str] | None = None, not_null: list[s
     return df.filter(range_predicate(cols, not_null))
 
 
+def maybe_latest(df: DataFrame, key: list[str], ts: str) -> DataFrame:
+    """df without most rows that are not at the latest `ts` of their key; no
+    row at it is lost (nulls count as oldest).
+
+    The latest `ts` of every key is an aggregate of two narrow columns.  Its
+    (key, ts) pairs set FILTER_PROBES bits each in one of at most
+    2 ** FILTER_WORDS_LOG2 words, which are broadcast: what is sent is bounded, and with many more keys
+    than words the filter lets more rows through.  It never decides: a
+    dedup has to follow."""
+    pair = F.xxhash64(*key, ts)
+    word = F.shiftrightunsigned("_pair", 64 - FILTER_WORDS_LOG2)
+    bits = reduce(lambda a, b: a.bitwiseOR(b),
+                  [F.expr(f"shiftleft(1L, cast(shiftright(_pair, {6 * i}) & 63 as int))") for i in range(FILTER_PROBES)])
+    newest = df.groupBy(*key).agg(F.max(ts).alias(ts)).withColumn("_pair", pair)
+    held = newest.groupBy(word.alias("_word")).agg(F.bit_or(bits).alias("_held"))
+    probed = df.withColumn("_pair", pair).withColumns({"_at": word, "_bits": bits})
+    met = probed.join(F.broadcast(held), F.col("_at") == F.col("_word"))
+    return met.filter(F.col("_held").bitwiseAND(F.col("_bits")) == F.col("_bits")).select(*df.columns)
+
+
 def build_silver(bronze: DataFrame, tiebreak: list[str] | None = None, key: str = "track_id",
                  ts: str = "ingestion_timestamp", schema: list[tuple[str, str]] | None = None,
                  range_cols: list[str] | None = None, not_null: list[str] | None = None) -> DataFrame:
@@ -83,11 +107,13 @@ def build_silver(bronze: DataFrame, tiebreak: list[str] | None = None, key: str
     The canonical schema, range columns and required columns are parameters
     (e.g. a single-precision variant with five range checks).
 
-    The wide rows are rebalanced by key before they are sorted: a split of the
-    input holds more of them than a task can sort in memory and hardly two of
-    one key, so limiting there would spill all and drop none.  Adaptive
-    execution sizes the parts and splits that of a hot key; the limit inside
-    them leaves one row per key and part for the second exchange."""
+    Of the wide rows only those that may be the latest of their key are
+    exchanged (`maybe_latest`: keys and timestamps are read once more for it).
+    What is left is rebalanced by key before it is sorted, as it may still be
+    most of the input: a split holds more wide rows than a task can sort in
+    memory.  Adaptive execution sizes the parts and splits that of a hot key;
+    the limit inside them leaves one row per key and part for the second
+    exchange."""
     keys = [key] if isinstance(key, str) else list(key)
-    dealt = bronze.withColumn("_deal", F.xxhash64(*keys)).hint("rebalance", "_deal").drop("_deal")
+    dealt = maybe_latest(bronze, keys, ts).withColumn("_deal", F.xxhash64(*keys)).hint("rebalance", "_deal").drop("_deal")
     return filter_ranges(conform_schema(dedup_latest(dealt, key, ts, tiebreak), schema), range_cols, not_null)

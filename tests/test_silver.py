@@ -67,3 +67,34 @@ def test_build_silver_deals_wide_rows_before_it_sorts_them(spark):
     assert out.count() == len(got) == 1002 and (got["hot"], got["T4"], got[None]) == (0, 4, 2)
     plan = S.build_silver(df, ["popularity"])._jdf.queryExecution().executedPlan().toString()
     assert "REBALANCE_PARTITIONS_BY_COL" in plan[plan.rindex("Sort ["):]
+
+
+def test_only_rows_that_may_be_latest_are_exchanged(spark, monkeypatch):
+    """40 copies a key: few but the latest row of each pass the filter, with and
+    without room in it, and silver keeps the rows that a plain dedup keeps."""
+    n, copies = 500, 40
+    day = F.timestamp_seconds(F.expr(f"id div {n} * 7 % {copies}") * 86400)
+    key = F.when(F.col("id") % n > 0, F.concat(F.lit("T"), (F.col("id") % n).cast("string")))
+    ts = F.when(F.col("id") % n == 1, F.lit(None)).when((F.col("id") % n == 2) & (F.col("id") % 3 == 0), F.lit(None)).when(
+        F.col("id") % n == 3, F.lit(T0)).otherwise(day)  # a key without time, one with some, one with ties alone
+    df = spark.range(n * copies).select(key.alias("track_id"), F.col("id").alias("popularity"), F.lit(0.5).alias("energy"),
+                                        F.lit(100.0).alias("tempo"), ts.alias("ingestion_timestamp")).cache()
+    want = {r.track_id: r.popularity for r in S.dedup_latest(df, "track_id", "ingestion_timestamp", ["popularity"]).collect()}
+    assert len(want) == n
+    assert S.maybe_latest(df, ["track_id"], "ingestion_timestamp").count() < 2 * n
+    for words in (S.FILTER_WORDS_LOG2, 2):
+        monkeypatch.setattr(S, "FILTER_WORDS_LOG2", words)
+        out = S.build_silver(df, ["popularity"])
+        assert {r.track_id: r.popularity for r in out.collect()} == want and out.count() == n
+    plan = out._jdf.queryExecution().executedPlan().toString()
+    assert "BroadcastHashJoin" in plan[plan.index("REBALANCE_PARTITIONS_BY_COL"):]
+
+
+def test_latest_of_several_key_columns_and_odd_numbers(spark):
+    nan = float("nan")
+    rows = [(k, j, t) for k, j in ((0.0, "a"), (nan, None), (None, "b"), (1.0, None)) for t in (1.0, nan, None, -0.0)]
+    rows += [(-0.0, "a", nan)]
+    df = spark.createDataFrame(rows, "k double, j string, ts double")
+    got = S.maybe_latest(df, ["k", "j"], "ts").collect()
+    assert sum(r.ts is not None and r.ts != r.ts for r in got) == 5
+    assert S.dedup_latest(S.maybe_latest(df, ["k", "j"], "ts"), ["k", "j"], "ts").count() == 4

@@ -10,6 +10,7 @@ share decides.
 
 from __future__ import annotations
 
+import re
 from collections import Counter
 from collections.abc import Iterator
 from dataclasses import dataclass
@@ -29,9 +30,18 @@ LEAST_SHARE = 2e-5  # an n-gram enters a language's slice with this share of its
 CELLS_PER_NGRAM = 16
 HASHES = 2
 KEPT_WORDS = 100_000  # words whose counts a Python worker keeps, about; then it starts anew
+WORDS_AT_ONCE = 20_000  # words whose n-grams are held in arrays at a time, about
 UNKNOWN = "und"
 
-_words = regex.compile(r"\p{L}+").findall
+_any_words = regex.compile(r"\p{L}+").findall
+# up to U+024F the same letters for the faster module
+_is_latin = re.compile("[\x00-\u024f]*").fullmatch
+_latin_words = re.compile("[A-Za-z\xaa\xb5\xba\xc0-\xd6\xd8-\xf6\xf8-\u024f]+").findall
+
+
+def _words(text: str) -> list[str]:
+    """The runs of letters (\\p{L}+)."""
+    return _latin_words(text) if _is_latin(text) else _any_words(text)
 
 
 def _ngrams(word: str) -> list[str]:
@@ -39,6 +49,38 @@ def _ngrams(word: str) -> list[str]:
     return [padded[i:i + n] for n in NGRAMS for i in range(len(padded) - n + 1)]
 
 
+def _gram_places(words: list[str]) -> tuple[list[str], np.ndarray, np.ndarray]:
+    """The distinct n-grams of words, and for every n-gram of every word its
+    place among them and the word's place: _ngrams of all words at once.  The
+    words stand in one row of characters with a blank between two; an n-gram is
+    a window without a blank but at its ends.  A window's number is made of that
+    of the window shorter by one and of the next character."""
+    joined = f" {' '.join(words)} "
+    chars = np.frombuffer(joined.encode("utf-32-le"), np.uint32).astype(np.uint64)
+    blank = chars == 32
+    word = np.cumsum(blank) - 1
+    grams: list[str] = []
+    places, owners = [np.zeros(0, np.int64)], [np.zeros(0, np.int64)]
+    number, inside = chars, np.ones(len(chars), bool)
+    for n in range(2, max(NGRAMS) + 1):
+        number = number[:-1] << np.uint64(21) | chars[n - 1:]
+        inside = inside[:-1] if n == 2 else inside[:-1] & ~blank[n - 2:-1]
+        if n == 2 and n not in NGRAMS:  # three characters fit a number as they are
+            continue
+        at = np.flatnonzero(inside)
+        found = pa.array(number[at]).dictionary_encode()
+        place = found.indices.to_numpy().astype(np.int64)
+        number = np.zeros(len(number), np.uint64)
+        number[at] = place
+        if n in NGRAMS:
+            first = np.zeros(len(found.dictionary), np.int64)
+            first[place[::-1]] = at[::-1]
+            places.append(place + len(grams))
+            owners.append(word[at])
+            grams += [joined[i:i + n] for i in first.tolist()]
+    return grams, np.concatenate(places), np.concatenate(owners)
+
+
 @dataclass
 class LanguageFilter:
     """cells[c, b // 64] holds in bit b % 64 whether some n-gram of language b fell into cell c."""
@@ -74,19 +116,17 @@ class LanguageFilter:
 
     def hits(self, words: list[str]) -> np.ndarray:
         """For each word: n-grams found in each language's slice, and n-grams."""
-        grams, owner = [], []
-        for i, word in enumerate(words):
-            own = _ngrams(word)
-            grams += own
-            owner += [i] * len(own)
         out = np.zeros((len(words), len(self.languages) + 1))
-        masks = None
-        for places in self._places(grams, len(self.cells)):
-            masks = self.cells[places] if masks is None else masks & self.cells[places]
-        owner = np.array(owner, np.int64)
-        for b in range(len(self.languages)):
-            out[:, b] = np.bincount(owner, self._bits(masks, b), len(words))
-        out[:, -1] = np.bincount(owner, minlength=len(words))
+        for start in range(0, len(words), WORDS_AT_ONCE):
+            some = words[start:start + WORDS_AT_ONCE]
+            grams, at, owner = _gram_places(some)
+            masks = None
+            for places in self._places(grams, len(self.cells)):
+                masks = self.cells[places] if masks is None else masks & self.cells[places]
+            rows = out[start:start + len(some)]
+            for b in range(len(self.languages)):
+                rows[:, b] = np.bincount(owner, self._bits(masks, b).astype(float)[at], len(some))
+            rows[:, -1] = np.bincount(owner, minlength=len(some))
         return out
 
     def decide(self, found: np.ndarray) -> tuple[str, float]:
@@ -107,10 +147,12 @@ def held_out(doc_id: F.Column) -> F.Column:
 def _gram_counts(words: dict[str, Counter]) -> Iterator[pa.RecordBatch]:
     """Each language's counted words as counted n-grams; the words are let go."""
     for name, counted in words.items():
-        grams = Counter()
-        for word, n in counted.items():
-            for gram in _ngrams(word):
-                grams[gram] += n
+        grams: dict[str, float] = {}
+        listed, times = list(counted), np.fromiter(counted.values(), float, len(counted))
+        for start in range(0, len(listed), WORDS_AT_ONCE):
+            found, at, owner = _gram_places(listed[start:start + WORDS_AT_ONCE])
+            for gram, n in zip(found, np.bincount(at, times[start + owner], len(found)).tolist()):
+                grams[gram] = grams.get(gram, 0.0) + n
         yield pa.RecordBatch.from_arrays([pa.array([name] * len(grams)), pa.array(list(grams), pa.string()),
                                           pa.array(list(grams.values()), pa.float64())], ["lang", "gram", "n"])
     words.clear()
@@ -184,33 +226,41 @@ def predict(docs: DataFrame, model: LanguageFilter, text: str = "text", lang_pre
         model = shared.value
         known: dict[str, int] = {}
         table = np.zeros((KEPT_WORDS, len(model.languages) + 1))
+
+        def found(group: list[list[str]]) -> Iterator[np.ndarray]:
+            """The sums of hits of each text, of which group holds the words."""
+            distinct = set().union(*group)
+            new = [w for w in distinct if w not in known]
+            if len(known) + len(new) > KEPT_WORDS:
+                known.clear()
+                new = list(distinct)
+            if len(new) > KEPT_WORDS:  # texts with more words than the memory holds
+                for words in group:
+                    counted = Counter(words)
+                    yield np.fromiter(counted.values(), float, len(counted)) @ model.hits(list(counted))
+                return
+            if new:
+                at = len(known)
+                known.update(zip(new, range(at, at + len(new))))
+                table[at:at + len(new)] = model.hits(new)
+            for words in group:
+                yield table[np.fromiter(map(known.__getitem__, words), np.int64, len(words))].sum(axis=0)
+
         for batch in batches:
-            names, scores = [], []
-            for body in batch.column(batch.schema.get_field_index(text)):
+            bodies = batch.column(batch.schema.get_field_index(text))
+            names, scores = [UNKNOWN] * len(bodies), [0.0] * len(bodies)
+            group: dict[int, list[str]] = {}
+            held = 0
+            for i, body in enumerate(bodies):
                 body = body.as_py()
-                words = _words(body.lower()) if body else []
-                if not words or not model.languages:
-                    names.append(UNKNOWN)
-                    scores.append(0.0)
-                    continue
-                distinct = set(words)
-                new = [w for w in distinct if w not in known]
-                if len(known) + len(new) > KEPT_WORDS:
-                    known.clear()
-                    new = list(distinct)
-                if len(new) > KEPT_WORDS:  # a text with more words than the memory holds
-                    counted = Counter(words)
-                    found = np.fromiter(counted.values(), float, len(counted)) @ model.hits(list(counted))
-                else:
-                    if new:
-                        at = len(known)
-                        known.update(zip(new, range(at, at + len(new))))
-                        table[at:at + len(new)] = model.hits(new)
-                    places = np.fromiter(map(known.__getitem__, words), np.int64, len(words))
-                    found = table[places].sum(axis=0)
-                name, value = model.decide(found)
-                names.append(name)
-                scores.append(value)
+                words = _words(body.lower()) if body and model.languages else []
+                if words:
+                    group[i] = words
+                    held += len(words)
+                if held > WORDS_AT_ONCE or i == len(bodies) - 1:
+                    for j, hits in zip(group, found(list(group.values()))):
+                        names[j], scores[j] = model.decide(hits)
+                    group, held = {}, 0
             yield pa.RecordBatch.from_arrays([*batch.columns, pa.array(names, pa.string()), pa.array(scores, pa.float64())],
                                              schema.names)
         known.clear()

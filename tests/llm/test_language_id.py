@@ -154,3 +154,49 @@ def test_every_labelled_text_counts_and_sets_the_threshold(spark, monkeypatch):
     monkeypatch.setattr(L, "known_share", lambda known, *more: judged.append(known.count()) or 0.0)
     L.keep_identified(docs)
     assert judged == [sum(zlib.crc32(str(i).encode()) % 3 != 1 for i, _, _ in rows)]
+
+
+def test_words_are_runs_of_letters():
+    import regex
+
+    for text in ["".join(chr(c) + "1" * (c % 3 == 0) for c in range(0x250)), "a² Ⅷ日本 x_y ·é", "", "ß µm 5ª", "İstanbul ća"]:
+        assert L._words(text) == regex.findall(r"\p{L}+", text)
+
+
+def test_ngrams_of_many_words_at_once(monkeypatch):
+    """Windows over all words give each word's n-grams, and none across two words."""
+    words = ["a", "ab", "abcab", "日本語", "\U00020000\U00020001z", "é" * 50, "aaaa", "b"]
+    grams, at, owner = L._gram_places(words)
+    assert len(set(grams)) == len(grams)
+    for i, word in enumerate(words):
+        assert sorted(grams[p] for p, o in zip(at, owner) if o == i) == sorted(L._ngrams(word))
+    assert [len(x) for x in L._gram_places([])] == [0, 0, 0]
+    model = L.LanguageFilter.build(["x", "y"], [1, 1], {g: 1 + i % 3 for i, g in enumerate(grams) if i % 4})
+    whole, counts = model.hits(words), {"x": L.Counter(dict(zip(words, range(1, 9))))}
+    monkeypatch.setattr(L, "WORDS_AT_ONCE", 3)
+    assert (model.hits(words) == whole).all()
+    want = L.Counter()
+    for word, n in counts["x"].items():
+        for gram in L._ngrams(word):
+            want[gram] += n
+    [batch] = L._gram_counts(counts)
+    assert dict(zip(batch.column(1).to_pylist(), batch.column(2).to_pylist())) == want and not counts
+
+
+def test_texts_judged_together_keep_their_own_scores(spark):
+    """Long, short and empty texts in one batch, with more words than are taken at a time."""
+    import random
+
+    rng = random.Random(3)
+    learned = [(i, t, lang) for lang in ("en", "fr") for i, t in enumerate(sentences(lang, 100, rng), 1000 * (1 + (lang == "fr")))]
+    docs = spark.createDataFrame(learned, "doc_id long, text string, lang string")
+    model = L.fit(docs)
+    texts = [" ".join(rng.choice(SAMPLES[("en", "fr", "fi")[i % 3]]) + chr(97 + i % 26) * (k % 7 == 0)
+                      for k in range(30_000 if i % 20 == 5 else 40)) for i in range(60)]
+    texts[7], texts[8], texts[59] = None, "12 34", ""
+    got = L.predict(spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string").coalesce(1), model).collect()
+    for r in got:
+        words = L._words((texts[r.doc_id] or "").lower())
+        want = model.decide(model.hits(words).sum(axis=0)) if words else ("und", 0.0)
+        assert (r.lang_pred, r.score) == want
+    assert len(got) == 60

@@ -293,17 +293,19 @@ def known_share(judged: DataFrame) -> float:
 def keep_identified(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", lang: str = "lang") -> DataFrame:
     """docs without those whose text has no language: null, without a letter, or
     with fewer of its n-grams in any language than known_share() of all
-    labelled texts says.  Every text is scored once, and the scores are
-    stored with the documents: the threshold and the choice both read them.  Without
-    labelled rows to learn from nothing can be judged, and all texts with a letter stay.  The columns
-    stay as they are, whatever their names; an empty table stays empty."""
+    labelled texts says.  The labelled texts are scored for that threshold
+    first, and all texts again for the choice: scores stored with the documents
+    would be a second copy of them, which lasts as long as the result is read.
+    Without labelled rows to learn from nothing can be judged, and all texts
+    with a letter stay.  The columns stay as they are, whatever their names; an
+    empty table stays empty."""
     at = {c: f"c{i}" for i, c in enumerate(docs.columns)}
     labelled = ~held_out(F.col(f"`{doc_id}`")) & F.col(f"`{lang}`").isNotNull() & F.col(f"`{text}`").isNotNull()
-    model = fit(docs.filter(labelled), text, lang)
+    known = docs.filter(labelled)
+    model = fit(known, text, lang)
     if not model.cells.any():
         return docs.filter(F.col(f"`{text}`").rlike(r"\p{L}"))
-    judged = stored(predict(renamed(docs, docs.columns), model, at[text]), "language")
-    known = judged.filter(~held_out(F.col(at[doc_id])) & F.col(at[lang]).isNotNull())
-    least = known_share(known)
+    least = known_share(predict(renamed(known, [text]), model, "c0"))
+    judged = predict(renamed(docs, docs.columns), model, at[text])
     return judged.filter((F.col("lang_pred") != UNKNOWN) & (F.col("score") > 0) & (F.col("score") >= least)).select(
         *[F.col(c).alias(name) for name, c in at.items()])

@@ -200,3 +200,18 @@ def test_texts_judged_together_keep_their_own_scores(spark):
         want = model.decide(model.hits(words).sum(axis=0)) if words else ("und", 0.0)
         assert (r.lang_pred, r.score) == want
     assert len(got) == 60
+
+
+def test_stage_leaves_no_copy_of_the_documents(spark):
+    """What stays in the shared folder holds no texts."""
+    import glob
+    import os
+
+    from moodlake.llm.common import shared_dir
+
+    there = lambda: set(glob.glob(os.path.join(shared_dir(spark).removeprefix("file:"), "llm", "*")))
+    before = there()
+    docs = spark.createDataFrame([(i, f"the river and the stone {i}", "en") for i in range(50)], "doc_id long, text string, lang string")
+    assert L.keep_identified(docs).count() == 50
+    new = there() - before
+    assert new and not any("string" in dict(spark.read.parquet(d).drop("lang").dtypes).values() for d in new)

@@ -79,41 +79,49 @@ def filter_ranges(df: DataFrame, cols: list[str] | None = None, not_null: list[s
     return df.filter(range_predicate(cols, not_null))
 
 
-def maybe_latest(df: DataFrame, key: list[str], ts: str) -> DataFrame:
+def maybe_latest(df: DataFrame, key: list[str], ts: str, stamps: DataFrame | None = None) -> DataFrame:
     """df without most rows that are not at the latest `ts` of their key; no
     row at it is lost (nulls count as oldest).
 
-    The latest `ts` of every key is an aggregate of two narrow columns.  Its
-    (key, ts) pairs set FILTER_PROBES bits each in one of at most
+    The latest `ts` of every key is an aggregate of two narrow columns, of df or
+    of `stamps`.  Its (key, ts) pairs set FILTER_PROBES bits each in one of at most
     2 ** FILTER_WORDS_LOG2 words, which are broadcast: what is sent is bounded, and with many more keys
-    than words the filter lets more rows through.  It never decides: a
-    dedup has to follow."""
+    than words the filter lets more rows through.  It is a semi join, which the
+    optimizer moves below other joins of df: what those exchange is filtered
+    too.  It never decides: a dedup has to follow."""
     pair = F.xxhash64(*key, ts)
-    word = F.shiftrightunsigned("_pair", 64 - FILTER_WORDS_LOG2)
+
+    def word(c: Column) -> Column:
+        return F.shiftrightunsigned(c, 64 - FILTER_WORDS_LOG2)
+
+    newest = (df if stamps is None else stamps).groupBy(*key).agg(F.max(ts).alias(ts)).select(pair.alias("_pair"))
     bits = reduce(lambda a, b: a.bitwiseOR(b),
                   [F.expr(f"shiftleft(1L, cast(shiftright(_pair, {6 * i}) & 63 as int))") for i in range(FILTER_PROBES)])
-    newest = df.groupBy(*key).agg(F.max(ts).alias(ts)).withColumn("_pair", pair)
-    held = newest.groupBy(word.alias("_word")).agg(F.bit_or(bits).alias("_held"))
-    probed = df.withColumn("_pair", pair).withColumns({"_at": word, "_bits": bits})
-    met = probed.join(F.broadcast(held), F.col("_at") == F.col("_word"))
-    return met.filter(F.col("_held").bitwiseAND(F.col("_bits")) == F.col("_bits")).select(*df.columns)
+    held = newest.groupBy(word(F.col("_pair")).alias("_word")).agg(F.bit_or(bits).alias("_held"))
+    places = [F.shiftright(pair, 6 * i).bitwiseAND(F.lit(63)).cast("int") for i in range(FILTER_PROBES)]
+    # one bit after the other: most rows that go are ruled out by the first
+    found = [F.call_function("shiftright", F.col("_held"), at).bitwiseAND(F.lit(1)) == 1 for at in places]
+    return df.join(F.broadcast(held), reduce(lambda a, b: a & b, found, word(pair) == F.col("_word")), "left_semi")
 
 
 def build_silver(bronze: DataFrame, tiebreak: list[str] | None = None, key: str = "track_id",
                  ts: str = "ingestion_timestamp", schema: list[tuple[str, str]] | None = None,
-                 range_cols: list[str] | None = None, not_null: list[str] | None = None) -> DataFrame:
+                 range_cols: list[str] | None = None, not_null: list[str] | None = None,
+                 stamps: DataFrame | None = None) -> DataFrame:
     """bronze -> silver: dedup (before filtering: an out-of-range latest row
     removes the track rather than resurrecting an older copy), conform, filter.
     The canonical schema, range columns and required columns are parameters
     (e.g. a single-precision variant with five range checks).
 
     Of the wide rows only those that may be the latest of their key are
-    exchanged (`maybe_latest`: keys and timestamps are read once more for it).
+    exchanged (`maybe_latest`: keys and timestamps are read once more for it, of
+    bronze or of `stamps`: rows of key and `ts` with the same latest `ts` of
+    every key in bronze, and maybe more keys, from where they cost less).
     What is left is rebalanced by key before it is sorted, as it may still be
     most of the input: a split holds more wide rows than a task can sort in
     memory.  Adaptive execution sizes the parts and splits that of a hot key;
     the limit inside them leaves one row per key and part for the second
     exchange."""
     keys = [key] if isinstance(key, str) else list(key)
-    dealt = maybe_latest(bronze, keys, ts).withColumn("_deal", F.xxhash64(*keys)).hint("rebalance", "_deal").drop("_deal")
+    dealt = maybe_latest(bronze, keys, ts, stamps).withColumn("_deal", F.xxhash64(*keys)).hint("rebalance", "_deal").drop("_deal")
     return filter_ranges(conform_schema(dedup_latest(dealt, key, ts, tiebreak), schema), range_cols, not_null)

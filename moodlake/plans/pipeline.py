@@ -29,7 +29,7 @@ def silver(spark: SparkSession, sf: str, materialize: bool = False) -> DataFrame
     consume silver in several branches then do not repeat the bronze dedup
     shuffle per branch (column pruning makes those branches' exchanges
     differ, so exchange reuse cannot merge them)."""
-    df = build_silver(bronze(spark, sf), tiebreak=fixture.BRONZE_TIEBREAK)
+    df = build_silver(bronze(spark, sf), tiebreak=fixture.BRONZE_TIEBREAK, stamps=fixture.bronze_stamps(spark, sf))
     if materialize:
         df = stored(df, "silver")
     return df

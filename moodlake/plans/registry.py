@@ -67,7 +67,7 @@ select * from (select {_FLOAT_COLS} from ranked where rn = 1)
 where {_FLOAT_RANGES} and tempo is not null and not isnan(tempo)""")
 def q_silver_float(spark, sf):
     return build_silver(PL.bronze(spark, sf), fixture.BRONZE_TIEBREAK, schema=P.FLOAT_TRACK_SCHEMA,
-                        range_cols=P.FLOAT_RANGE_COLUMNS)
+                        range_cols=P.FLOAT_RANGE_COLUMNS, stamps=fixture.bronze_stamps(spark, sf))
 
 
 @register("bronze_cast_failures", W(f"bronze as ({fixture.BRONZE_SQL})") + " union all ".join(

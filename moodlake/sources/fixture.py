@@ -88,6 +88,14 @@ def bronze_tracks(spark: SparkSession, sf_dir: str) -> DataFrame:
     return spark.sql(BRONZE_SQL_TEMPLATE, lineitem=read(spark, sf_dir, "lineitem"), part=read(spark, sf_dir, "part"))
 
 
+def bronze_stamps(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Id and time of every line item.  The join that makes bronze is on the id
+    itself and keeps all line items of an id or none, so the latest time of each
+    id in bronze is the latest one here."""
+    return read(spark, sf_dir, "lineitem").selectExpr("concat('T', cast(l_partkey as string)) as track_id",
+                                                      "l_shipdate as ingestion_timestamp")
+
+
 def albums(spark: SparkSession, sf_dir: str) -> DataFrame:
     """New-release album records derived from the driver tables: an order is
     an album, its line items are tracks, the supplier (plus a second artist on

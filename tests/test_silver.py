@@ -4,6 +4,8 @@ from pyspark.sql import functions as F
 
 from moodlake.operators import artists as A
 from moodlake.operators import silver as S
+from moodlake.plans import pipeline as PL
+from moodlake.sources import fixture
 
 T0 = dt.datetime(2024, 1, 1)
 T1 = dt.datetime(2024, 1, 2)
@@ -98,3 +100,23 @@ def test_latest_of_several_key_columns_and_odd_numbers(spark):
     got = S.maybe_latest(df, ["k", "j"], "ts").collect()
     assert sum(r.ts is not None and r.ts != r.ts for r in got) == 5
     assert S.dedup_latest(S.maybe_latest(df, ["k", "j"], "ts"), ["k", "j"], "ts").count() == 4
+
+
+def test_latest_times_come_without_the_join_of_bronze(spark, tmp_path):
+    """Keys that bronze does not have (no part, no id) change nothing; part is read once, for the wide rows."""
+    rows = [(o, k, 1, n, 1.0, 10.0, "R", T0 + dt.timedelta(days=o)) for n, (o, k) in enumerate([(1, 1), (9, 1), (3, 2), (3, 2), (7, 5), (4, None), (2, 6), (5, 6)])]
+    li = spark.createDataFrame(rows, "l_orderkey long, l_partkey long, l_suppkey long, l_linenumber int, l_quantity double, "
+                                     "l_extendedprice double, l_returnflag string, l_shipdate timestamp")
+    part = spark.createDataFrame([(1, "one", "b"), (2, "two", "b"), (2, "again", "b"), (6, "six", "b")],
+                                 "p_partkey long, p_name string, p_brand string")
+    li.write.parquet(f"{tmp_path}/lineitem.parquet")
+    part.write.parquet(f"{tmp_path}/part.parquet")
+    out = PL.silver(spark, str(tmp_path))
+    bronze = PL.bronze(spark, str(tmp_path))
+    want = S.filter_ranges(S.conform_schema(S.dedup_latest(bronze, "track_id", "ingestion_timestamp", fixture.BRONZE_TIEBREAK)))
+    shape = ["track_id", "popularity", "ingestion_timestamp", "energy"]
+    assert sorted(out.select(shape).collect()) == sorted(want.select(shape).collect()) and out.count() > 0
+    times = {r.track_id: r.ingestion_timestamp for r in S.maybe_latest(
+        bronze, ["track_id"], "ingestion_timestamp", fixture.bronze_stamps(spark, str(tmp_path))).collect()}
+    assert {k: (t - T0).days for k, t in times.items()} == {"T1": 9, "T2": 3, "T6": 5}
+    assert out._jdf.queryExecution().sparkPlan().toString().count("ReadSchema: struct<p_partkey") == 1

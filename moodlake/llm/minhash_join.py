@@ -51,6 +51,7 @@ COORDINATES = 64  # the bits of a long
 MATCHES = 34
 TOKEN_BITS = 48  # of the hash of a coordinate and its value
 CHUNK = 2048  # shingles hashed at once
+BITS_PER_SET = 64  # of the filter of rows whose sets are made again: what it lets through in vain is sent
 SEND_BYTES = 1 << 23  # of sets that a task holds before it sends them
 PLANES = 6  # bits of each coordinate that are kept beside a posting
 SKETCH_BITS = 512
@@ -177,7 +178,7 @@ def _sets(asked: DataFrame, classes: DataFrame, bodies: DataFrame, words: int) -
     """(id, own): the sets of the asked classes, made again from the texts of the rows with their smallest doc_ids."""
     reps = stored(asked.join(classes.select("id", "k1", "k2", "root"), "id"), "asked")
     nameless = bool(reps.filter("root is null").limit(1).count())
-    maybe = id_filter(reps, "root")
+    maybe = id_filter(reps, "root", BITS_PER_SET)
     wanted = F.col("doc_id").isNotNull() & maybe("doc_id")
     schema = "_k1 long, _k2 long, own array<long>"
 
@@ -268,13 +269,20 @@ def _components(prefixes: DataFrame, classes: DataFrame, bodies: DataFrame, word
     mixed = stored(placed.select(F.explode("prefix").alias("_token"), "component").groupBy("_token")
                    .agg(F.min("component").alias("low"), F.max("component").alias("high"))
                    .filter("low < high").select("_token"), "mixed")
-    rated = stored(placed.withColumn("token", F.explode("prefix")).join(mixed, F.col("token") == F.col("_token"), "left_semi"), "open")
+    # ids alone meet these lists; what belongs to them is fetched by id
+    opened = (placed.select(F.explode("prefix").alias("token"), F.col("id").alias("_open"))
+              .join(mixed, F.col("token") == F.col("_token"), "left_semi").groupBy("_open").agg(F.collect_list("token").alias("open")))
+    rated = stored(placed.join(opened, F.col("id") == F.col("_open")).drop("_open"), "open")
     spent(placed, mixed)
+    # both sides of the join are one exchange: columns are renamed after it
+    columns = ["token", "prefix", "id", "size", "component", *MARKS, *SKETCH]
+    met = rated.withColumn("token", F.explode("open")).select(*columns)
+    both = met.alias("one").join(met.alias("two"), F.col("one.token") == F.col("two.token")).select(
+        *[F.col(f"one.{c}").alias(c) for c in columns], *[F.col(f"two.{c}").alias(f"{c}_2") for c in columns])
     # a pair is made once, at the first token that both prefixes have
     first = F.element_at(F.array_intersect("prefix", "prefix_2"), 1) == F.col("token")
-    across = (rated.join(_other(rated), (F.col("token") == F.col("token_2")) & (F.col("id") < F.col("id_2"))
-                         & (F.col("component") != F.col("component_2")) & _near_enough(percent) & _alike(percent, matches) & first)
-              .select(F.col("id").alias("a"), F.col("id_2").alias("b")))
+    across = both.filter((F.col("id") < F.col("id_2")) & (F.col("component") != F.col("component_2")) & _near_enough(percent)
+                         & _alike(percent, matches) & first).select(F.col("id").alias("a"), F.col("id_2").alias("b"))
     across = stored(across.join(near, ["a", "b"], "left_anti"), "across")
     step_done(classes.sparkSession, rated)
     if across.limit(1).count():

@@ -150,3 +150,32 @@ def test_a_group_is_not_expanded_into_pairs(spark, monkeypatch):
     rows = [(i, t) for i, t in enumerate(texts)]
     assert rows_of(M.near_copies(spark.createDataFrame(rows, "doc_id long, text string"))) == brute_force(rows)
     assert sum(compared) < 12 * n
+
+
+def test_members_of_open_lists_are_exchanged_once(spark, monkeypatch):
+    """Wide rows of classes are no longer exploded and moved to the lists that are
+    still open, and both sides of the join of their members are one exchange."""
+    plans = {}
+    real = M.stored
+
+    def noted(df, name):
+        plans.setdefault(name, df._jdf.queryExecution().executedPlan().toString())
+        return real(df, name)
+
+    monkeypatch.setattr(M, "stored", noted)
+    kept = {c: spark.conf.get(c) for c in ("spark.sql.adaptive.enabled", "spark.sql.autoBroadcastJoinThreshold")}
+    try:
+        spark.conf.set("spark.sql.adaptive.enabled", "false")
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+        words = [f"w{i}" for i in range(60)]
+        texts = [" ".join(words[:50 + i]) for i in range(8)] + [" ".join(words[30:]), "other text here", None]
+        df = spark.createDataFrame([(i, t) for i, t in enumerate(texts)], "doc_id long, text string")
+        got = {r.doc_id: r.component_id for r in M.near_copies(df).collect()}
+    finally:
+        for c, v in kept.items():
+            spark.conf.set(c, v)
+    assert got == {**{i: 0 for i in range(8)}, 8: 8, 9: 9, 10: 10}
+    assert "ReusedExchange" in plans["across"]
+    assert plans["open"].count("Generate explode(prefix") == 1
+    narrow = plans["open"][plans["open"].index("Generate explode(prefix"):].splitlines()[0]
+    assert "m0" not in narrow and "s0" not in narrow and "component" not in narrow

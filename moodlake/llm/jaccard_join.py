@@ -43,6 +43,7 @@ ENTRIES_PER_BUCKET = 1 << 20
 HOT_COUNT = 100_000  # a shingle with more documents, as estimated, is dealt over several buckets
 SEND_AT = 1 << 19  # entries a task gathers before it sends them
 SEND_BYTES = 1 << 23  # of sets that a task holds before it sends them
+BITS_PER_SET = 64  # of the filter of rows whose sets are made again: what it lets through in vain is sent
 SKETCH_BITS = 512
 SKETCH = [f"s{i}" for i in range(SKETCH_BITS // 64)]
 
@@ -305,54 +306,51 @@ def _verified(pairs: DataFrame, bodies: DataFrame, classes: DataFrame, words: in
     """Of the candidate pairs of classes (a, b), those whose sets are similar."""
     asked = pairs.select(F.explode(F.array("a", "b")).alias("_key")).distinct()
     reps = stored(asked.join(classes, F.col("_key") == F.col("key")).select("key", "doc_id"), "asked")
-    maybe = id_filter(reps, "doc_id")
+    maybe = id_filter(reps, "doc_id", BITS_PER_SET)
     nameless = bool(reps.filter("doc_id is null").limit(1).count())
 
-    def packed(docs: list, keys: list[int], found: list[np.ndarray], kind: pa.DataType) -> pa.RecordBatch:
+    def packed(keys: list[int], found: list[np.ndarray]) -> pa.RecordBatch:
         ends = np.concatenate([[0], np.cumsum([len(x) for x in found])]).astype(np.int32)
         sets = pa.ListArray.from_arrays(pa.array(ends), pa.array(np.concatenate(found).view(np.int64)))
-        return pa.RecordBatch.from_arrays([pa.array(docs, kind), pa.array(keys, pa.int64()), sets], ["_doc", "_class", "own"])
+        return pa.RecordBatch.from_arrays([pa.array(keys, pa.int64()), sets], ["class", "own"])
 
     def sets(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         begin("jaccard sets")
-        sent: set[int] = set()
+        sent: set[int] = set()  # a class goes once from a task
         for batch in batches:
-            docs, keys, found, size = [], [], [], 0
-            for doc, body in zip(batch.column(0), batch.column(1)):
+            keys, found, size = [], [], 0
+            for body in batch.column(1):
                 own = shingles(body.as_py(), words)
                 key = class_key(own)
-                if key is None or not doc.is_valid and key in sent:
+                if key is None or key in sent:
                     continue
-                if not doc.is_valid:
-                    sent.add(key)  # a class without a doc_id goes once from a task
-                docs.append(doc.as_py())
+                sent.add(key)
                 keys.append(key)
                 found.append(own)
                 size += own.nbytes
                 if size > SEND_BYTES:
-                    yield packed(docs, keys, found, batch.column(0).type)
-                    docs, keys, found, size = [], [], [], 0
-            if docs:
-                yield packed(docs, keys, found, batch.column(0).type)
+                    yield packed(keys, found)
+                    keys, found, size = [], [], 0
+            if keys:
+                yield packed(keys, found)
         give_back()
 
-    schema = T.StructType([T.StructField("_doc", bodies.schema["doc_id"].dataType), T.StructField("_class", T.LongType()),
-                           T.StructField("own", T.ArrayType(T.LongType()))])
     wanted = F.col("doc_id").isNotNull() & maybe("doc_id")
-    own = bodies.filter(wanted | F.col("doc_id").isNull() if nameless else wanted).mapInArrow(sets, schema)
-    if nameless:  # of the rows without doc_id only those of a class that has no other rows
-        some = id_filter(reps.filter("doc_id is null"), "key")
-        own = own.filter(F.col("_doc").isNotNull() | some("_class"))
-    # a doc_id may stand on several rows: the set must be that of the class, and there once
-    checked = stored(own.join(reps, (F.col("_class") == F.col("key")) & F.col("_doc").eqNullSafe(F.col("doc_id")))
-                     .select("key", "own").dropDuplicates(["key"]), "sets")
+    own = bodies.filter(wanted | F.col("doc_id").isNull() if nameless else wanted).mapInArrow(sets, "class long, own array<long>")
+    if nameless:  # of the rows without doc_id only those of a class that is asked for
+        own = own.filter(id_filter(reps, "key")("class"))
+    made = stored(own.withColumn("row", F.monotonically_increasing_id()), "sets")
     spent(reps)
-    left = pairs.join(checked.select(F.col("key").alias("a"), F.col("own").alias("own_a")), "a")
-    both = left.join(checked.select(F.col("key").alias("b"), F.col("own").alias("own_b")), "b")
+    # several tasks may have made the set of a class: pairs ask for one row each, so sets move once and need not be made distinct first
+    row = stored(made.groupBy("class").agg(F.min("row").alias("row")), "rows")
+    numbered = (pairs.join(row.select(F.col("class").alias("a"), F.col("row").alias("row_a")), "a")
+                .join(row.select(F.col("class").alias("b"), F.col("row").alias("row_b")), "b"))
+    both = (numbered.join(made.select(F.col("row").alias("row_a"), F.col("own").alias("own_a")), "row_a")
+            .join(made.select(F.col("row").alias("row_b"), F.col("own").alias("own_b")), "row_b"))
     shared = F.size(F.array_intersect("own_a", "own_b"))
     similar = 100 * shared >= percent * (F.size("own_a") + F.size("own_b") - shared)
     links = stored(both.filter(similar).select("a", "b").distinct(), "links")
-    step_done(bodies.sparkSession, checked)
+    step_done(bodies.sparkSession, made, row)
     return links
 
 
@@ -427,9 +425,11 @@ def _grouped(docs: DataFrame, doc_id: str, text: str, words: int, percent: int)
     open_rows = stored(placed.join(mixed, F.col("token") == F.col("_token"), "left_semi").join(sketched, F.col("key") == F.col("_key"))
                        .select(*placed.columns, *SKETCH), "open")
     step_done(docs.sparkSession, placed, mixed, hubs)
-    other = open_rows.select(*[F.col(c).alias(f"{c}_2") for c in open_rows.columns])
-    second = stored(open_rows.join(other, (F.col("token") == F.col("token_2")) & (F.col("key") < F.col("key_2"))
-                                   & (F.col("component") != F.col("component_2")) & _near_enough(percent) & _possible(percent, "_2"))
+    # both sides of the join are one exchange: columns are renamed after it
+    met = open_rows.alias("one").join(open_rows.alias("two"), F.col("one.token") == F.col("two.token")).select(
+        *[F.col(f"one.{c}").alias(c) for c in open_rows.columns], *[F.col(f"two.{c}").alias(f"{c}_2") for c in open_rows.columns])
+    second = stored(met.filter((F.col("key") < F.col("key_2")) & (F.col("component") != F.col("component_2"))
+                               & _near_enough(percent) & _possible(percent, "_2"))
                     .groupBy(F.col("key").alias("a"), F.col("key_2").alias("b"))
                     .agg(F.count(F.lit(1)).alias("shared"), F.min(F.least("least", "least_2")).alias("least"))
                     .filter(F.col("shared") >= F.col("least")).select("a", "b").join(first, ["a", "b"], "left_anti"), "second")

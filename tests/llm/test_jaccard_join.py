@@ -130,3 +130,34 @@ def test_a_centre_with_far_copies(spark):
             own[place] = f"e{i}_{place}"
         rows.append((i, " ".join(own)))
     assert result(spark.createDataFrame(rows, "doc_id long, text string").repartition(4)) == brute_force(rows)
+
+
+def test_sets_move_once(spark, monkeypatch):
+    """Sets are written by the tasks that make them and are one exchange of the join of pairs;
+    classes of open shingles are one exchange for both sides."""
+    plans = {}
+    real = J.stored
+
+    def noted(df, name):
+        plans.setdefault(name, df._jdf.queryExecution().executedPlan().toString())
+        return real(df, name)
+
+    monkeypatch.setattr(J, "stored", noted)
+    kept = {c: spark.conf.get(c) for c in ("spark.sql.adaptive.enabled", "spark.sql.autoBroadcastJoinThreshold")}
+    try:
+        spark.conf.set("spark.sql.adaptive.enabled", "false")
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+        words = [f"w{i}" for i in range(60)]
+        texts = [" ".join(words[:50 + i]) for i in range(4)] * 2 + [" ".join(words[30:]), "other text here", None]
+        rows = [(i, t) for i, t in enumerate(texts)] + [(0, texts[1]), (0, texts[1]), (None, " ".join(words[1:])), (None, texts[0])]
+        df = spark.createDataFrame(rows, "doc_id long, text string").repartition(3)
+        got = sorted(((r.doc_id, r.n_shingles, r.component_id) for r in J.near_duplicates(df).collect()), key=str)
+    finally:
+        for c, v in kept.items():
+            spark.conf.set(c, v)
+    assert got == brute_force(rows)
+    assert plans["sets"].count("Exchange") == 1  # that of this test's repartition
+    moved = [line for line in plans["links"].splitlines() if "Exchange" in line]
+    assert sum("hashpartitioning(row" in line and "Reused" not in line for line in moved) == 3  # the sets, and the pairs for each side
+    assert sum("ReusedExchange" in line and "own" in line for line in moved) == 1
+    assert "ReusedExchange" in plans["second"]
